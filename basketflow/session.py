@@ -35,7 +35,8 @@ def build_session(master: str | None = None, app: str = "basketflow",
     ``master`` is only set when given, so ``spark-submit`` keeps control of
     the cluster manager.  The web UI is off: nothing here needs a server.
     """
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for key, value in ENGINE_CONF.items():
