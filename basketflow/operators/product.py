@@ -22,11 +22,15 @@ def _lines(src: Sources) -> DataFrame:
 
 
 def _lines_with_orders(src: Sources, *order_cols: str) -> DataFrame:
-    return _lines(src).join(src.orders.select("order_id", *order_cols), "order_id")
+    """Prior lines joined (inner) to their order: the stored ``lines`` fact."""
+    return facts.shared_facts(src).lines.select(*_LINE_COLS, *order_cols)
+
+
+_LINE_COLS = ("order_id", "product_id", "add_to_cart_order", "reordered")
 
 
 def _pairs(src: Sources) -> DataFrame:
-    return facts.pairs(facts.order_lines(src))
+    return facts.shared_facts(src).pairs
 
 
 def _with_grand_total_pct(df: DataFrame, count_col: str, pct_col: str) -> DataFrame:
@@ -72,8 +76,7 @@ def p05_product_reorder_count(src: Sources) -> DataFrame:
 
 
 def p06_product_first_order_count(src: Sources) -> DataFrame:
-    first_orders = src.orders.filter(F.col("order_number") == 1).select("order_id")
-    return (_lines(src).join(first_orders, "order_id").groupBy("product_id")
+    return (_lines_with_orders(src, "order_number").filter(F.col("order_number") == 1).groupBy("product_id")
             .agg(count_lines().alias("product_first_order_count")))
 
 
@@ -161,8 +164,7 @@ def p15_department_product_reorder_rate(src: Sources) -> DataFrame:
 
 def p16_product_first_order_reorder_count(src: Sources) -> DataFrame:
     """All reordered lines of products that occur in somebody's first order."""
-    first_order_products = (_lines(src).join(src.orders.filter(F.col("order_number") == 1)
-                                             .select("order_id"), "order_id")
+    first_order_products = (_lines_with_orders(src, "order_number").filter(F.col("order_number") == 1)
                             .select("product_id").distinct())
     return (_lines(src).filter(F.col("reordered")).join(first_order_products, "product_id", "left_semi")
             .groupBy("product_id").agg(count_lines().alias("product_first_order_reorder_count")))
@@ -191,8 +193,8 @@ def p18_product_repeat_user_count(src: Sources) -> DataFrame:
 
 
 def _first_cart_first_order_lines(src: Sources) -> DataFrame:
-    first_orders = src.orders.filter(F.col("order_number") == 1).select("order_id", "user_id")
-    return _lines(src).filter(F.col("add_to_cart_order") == 1).join(first_orders, "order_id")
+    return (_lines_with_orders(src, "user_id", "order_number")
+            .filter((F.col("add_to_cart_order") == 1) & (F.col("order_number") == 1)))
 
 
 def p19_product_first_cart_first_order(src: Sources) -> DataFrame:
@@ -228,7 +230,7 @@ def p22_product_in_first_and_last(src: Sources) -> DataFrame:
 
 
 def p23_product_last_orders_count(src: Sources) -> DataFrame:
-    lines = facts.order_lines(src)
+    lines = facts.shared_facts(src).lines
     return (lines.filter(F.col("is_last")).groupBy("product_id")
             .agg(count_lines().alias("product_last_orders_count")))
 

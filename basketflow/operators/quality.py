@@ -207,7 +207,7 @@ def _q_product(src: Sources) -> DataFrame:
 
 def _q_user_product(src: Sources) -> DataFrame:
     from basketflow.plans import tables
-    fx = tables.Facts.from_sources(src)
+    fx = tables.shared_facts(src)
     return user_product_feature_checks(tables.user_product_feature(src, fx), tables.user_feature(src, fx),
                                        tables.product_feature(src, fx), src)
 

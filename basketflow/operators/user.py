@@ -23,11 +23,8 @@ def _prior_orders(src: Sources) -> DataFrame:
 
 
 def _baskets(src: Sources) -> DataFrame:
-    lines = src.order_products_prior.join(src.orders.select("order_id", "user_id", "order_number"), "order_id")
-    return lines.groupBy("user_id", "order_id").agg(
-        F.first("order_number").alias("order_number"),
-        F.count("product_id").alias("basket_size"),
-        F.count_if(F.col("reordered")).alias("basket_reorders"))
+    """One row per order with prior lines (the stored ``baskets`` fact)."""
+    return facts.shared_facts(src).baskets
 
 
 def basket_stats(baskets: DataFrame) -> DataFrame:
@@ -137,9 +134,7 @@ def reorder_diversity(pairs: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def u11_user_reorder_diversity(src: Sources) -> DataFrame:
-    pairs = (src.order_products_prior.join(src.orders.select("order_id", "user_id"), "order_id")
-             .groupBy("user_id", "product_id").agg(F.count_if(F.col("reordered")).alias("n_reorders")))
-    d = reorder_diversity(pairs, src.products)
+    d = reorder_diversity(facts.shared_facts(src).pairs, src.products)
     # Stand-alone form: the reordered department/aisle counts are NULL when
     # the user reordered nothing.
     none = F.col("user_reordered_unique_products") == 0
@@ -150,28 +145,24 @@ def u11_user_reorder_diversity(src: Sources) -> DataFrame:
 
 
 def u12_user_last_product_count(src: Sources) -> DataFrame:
-    lines = facts.order_lines(src)
+    lines = facts.shared_facts(src).lines
     return (lines.filter(F.col("is_last")).groupBy("user_id")
             .agg(F.count("product_id").alias("user_last_product_count")))
 
 
 def u13_user_first_product_count(src: Sources) -> DataFrame:
-    firsts = src.orders.filter(F.col("order_number") == 1).select("order_id", "user_id")
-    return (src.order_products_prior.join(firsts, "order_id").groupBy("user_id")
+    return (facts.shared_facts(src).lines.filter(F.col("order_number") == 1).groupBy("user_id")
             .agg(F.count("product_id").alias("user_first_product_count")))
 
 
 def u14_user_products_in_first_and_second(src: Sources) -> DataFrame:
-    early = src.orders.filter(F.col("order_number").isin(1, 2)).select("order_id", "user_id", "order_number")
-    per_pair = (src.order_products_prior.join(early, "order_id").groupBy("user_id", "product_id")
-                .agg(F.bool_or(F.col("order_number") == 1).alias("f"),
-                     F.bool_or(F.col("order_number") == 2).alias("s")))
-    return (per_pair.filter(F.col("f") & F.col("s")).groupBy("user_id")
+    pairs = facts.shared_facts(src).pairs
+    return (pairs.filter((F.col("in_first") == 1) & (F.col("in_second") == 1)).groupBy("user_id")
             .agg(count_lines().alias("user_products_in_first_and_second")))
 
 
 def u15_user_products_in_first_and_last(src: Sources) -> DataFrame:
-    pairs = facts.pairs(facts.order_lines(src))
+    pairs = facts.shared_facts(src).pairs
     return (pairs.filter((F.col("in_first") == 1) & (F.col("in_last") == 1)).groupBy("user_id")
             .agg(count_lines().alias("user_products_in_first_and_last")))
 

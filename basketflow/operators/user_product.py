@@ -20,7 +20,7 @@ PAIR = ["user_id", "product_id"]
 
 
 def _pairs(src: Sources) -> DataFrame:
-    return facts.pairs(facts.order_lines(src))
+    return facts.shared_facts(src).pairs
 
 
 def _user_line_totals(src: Sources) -> DataFrame:
@@ -106,8 +106,8 @@ def up11_user_product_in_last_order(src: Sources) -> DataFrame:
 
 
 def up12_user_product_current_streak(src: Sources) -> DataFrame:
-    lines = facts.order_lines(src)
-    rows = facts.pairs(lines).join(facts.pair_latest_run_start(lines), PAIR)
+    fx = facts.shared_facts(src)
+    rows = fx.pairs.join(fx.run_starts, PAIR)
     return (facts.current_streak(rows).filter(F.col("current_streak").isNotNull())
             .select(*PAIR, F.col("current_streak").alias("user_product_current_streak")))
 
@@ -120,7 +120,7 @@ def order_trend(pairs_with_halves: DataFrame) -> DataFrame:
 
 
 def _user_halves(src: Sources) -> DataFrame:
-    timeline = facts.order_timeline(src).filter(F.col("is_prior"))
+    timeline = facts.shared_facts(src).timeline.filter(F.col("is_prior"))
     return timeline.groupBy("user_id").agg(
         F.count_if(F.col("in_first_half")).alias("first_half_orders"),
         F.count_if(F.col("in_second_half")).alias("second_half_orders"))

@@ -19,7 +19,9 @@ order flags look at the order number of any order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions import count_lines, flag_max
@@ -148,3 +150,58 @@ def current_streak(pair_rows: DataFrame) -> DataFrame:
         "current_streak",
         F.when(F.col("in_last") == 1,
                (F.col("user_max_order_number") - F.col("latest_run_start") + 1).cast("long")))
+
+
+FACT_NAMES = ("timeline", "lines", "baskets", "pairs", "run_starts")
+
+
+@dataclass
+class Facts:
+    """The shared facts of one set of sources."""
+
+    timeline: DataFrame
+    lines: DataFrame
+    baskets: DataFrame
+    pairs: DataFrame
+    run_starts: DataFrame
+
+    @classmethod
+    def derive(cls, src: Sources) -> "Facts":
+        """Plans only: every consumer re-derives what it reads."""
+        timeline = order_timeline(src)
+        lines = order_lines(src, timeline)
+        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines),
+                   pairs=pairs(lines), run_starts=pair_latest_run_start(lines))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)  # noqa: SLF001
+
+
+def shared_facts(src: Sources) -> Facts:
+    """Facts of ``src``, materialised once as Parquet next to stored sources.
+
+    Each fact is written after the one it is derived from has been written
+    and read back, so no step recomputes an earlier one and the lineage of
+    every later query starts at a stored table (a lost executor costs a
+    re-read, not a re-derivation).  Sources that are only a plan
+    (``home`` is None) get derived, unmaterialised facts.
+    """
+    if src.home is None:
+        return Facts.derive(src)
+    spark = src.orders.sparkSession
+    root = f"{src.home}/_facts"
+
+    def stored(name: str, build) -> DataFrame:
+        path = f"{root}/{name}"
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            build().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    timeline = stored("timeline", lambda: order_timeline(src))
+    lines = stored("lines", lambda: order_lines(src, timeline))
+    return Facts(timeline=timeline, lines=lines,
+                 baskets=stored("baskets", lambda: order_baskets(lines)),
+                 pairs=stored("pairs", lambda: pairs(lines)),
+                 run_starts=stored("run_starts", lambda: pair_latest_run_start(lines)))

@@ -7,8 +7,6 @@ are co-partitioned merges of aggregated data, not fact-sized shuffles.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,34 +15,16 @@ from basketflow.operators.product import popularity_ranks, product_span_stats
 from basketflow.operators.user import basket_stats, order_timing, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts
+from basketflow.plans.facts import Facts, shared_facts
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import (
     PRODUCT_FEATURE_COLUMNS, USER_FEATURE_COLUMNS, USER_PRODUCT_FEATURE_COLUMNS,
 )
 
 
-@dataclass
-class Facts:
-    """The shared facts one build uses; the pipeline may replace each one by
-    a materialised (written and re-read) copy."""
-
-    timeline: DataFrame
-    lines: DataFrame
-    baskets: DataFrame
-    pairs: DataFrame
-    run_starts: DataFrame
-
-    @classmethod
-    def from_sources(cls, src: Sources) -> "Facts":
-        timeline = facts.order_timeline(src)
-        lines = facts.order_lines(src, timeline)
-        return cls(timeline=timeline, lines=lines, baskets=facts.order_baskets(lines),
-                   pairs=facts.pairs(lines), run_starts=facts.pair_latest_run_start(lines))
-
-
 def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     """t1: one row per user with a prior order (29 columns)."""
-    fx = fx or Facts.from_sources(src)
+    fx = fx or shared_facts(src)
     timing = order_timing(fx.timeline.filter(F.col("is_prior")))
     b = fx.baskets
     baskets = basket_stats(b).join(b.groupBy("user_id").agg(
@@ -71,7 +51,7 @@ def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
 
 def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     """t2: one row per product with a prior line (36 columns)."""
-    fx = fx or Facts.from_sources(src)
+    fx = fx or shared_facts(src)
     is_first, is_last, reordered = F.col("is_first"), F.col("is_last"), F.col("reordered")
     first_cart_first = is_first & (F.col("add_to_cart_order") == 1)
     line_side = fx.lines.groupBy("product_id").agg(
@@ -159,7 +139,7 @@ def _product_dimension_features(counts: DataFrame, products: DataFrame) -> DataF
 
 def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     """t3: one row per (user, product) pair of the prior lines (19 columns)."""
-    fx = fx or Facts.from_sources(src)
+    fx = fx or shared_facts(src)
     timeline = fx.timeline.filter(F.col("is_prior"))
     users = timeline.groupBy("user_id").agg(
         F.count_if(F.col("in_first_half")).alias("first_half_orders"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from basketflow.operators import product, quality, user, user_product
 from basketflow.plans import mldataset, tables
-from basketflow.sources.fixtures import star_schema_sources
+from basketflow.sources.fixtures import load_star_schema
 from basketflow.sources.readers import Sources
 
 DECIMALS = 6
@@ -31,7 +31,7 @@ def presented(df: DataFrame) -> DataFrame:
 
 def _over_sources(op: Callable[[Sources], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return presented(op(star_schema_sources(spark, sf_dir)))
+        return presented(op(load_star_schema(spark, sf_dir)))
     run.__name__ = getattr(op, "__name__", "query")
     run.__doc__ = op.__doc__
     return run
@@ -58,7 +58,7 @@ def _t5(src: Sources) -> DataFrame:
 
 
 def _t6(src: Sources) -> DataFrame:
-    fx = tables.Facts.from_sources(src)
+    fx = tables.shared_facts(src)
     return mldataset.ml_dataset_final(
         mldataset.ml_dataset(src), tables.user_feature(src, fx), tables.product_feature(src, fx),
         tables.user_product_feature(src, fx))

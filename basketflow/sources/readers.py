@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +30,12 @@ class Sources:
     products: DataFrame
     order_products_prior: DataFrame
     order_products_train: DataFrame
+    # Folder the tables are stored in (shared facts are kept next to them);
+    # None for sources that are only a plan.
+    home: str | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in SCHEMAS}
 
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.as_dict().items():
@@ -65,7 +68,7 @@ def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
     """Read the six tables from ``<folder>/<table>`` Parquet datasets."""
     frames = {name: _conform(spark.read.parquet(f"{folder.rstrip('/')}/{name}"), name)
               for name in SCHEMAS}
-    return Sources(**frames)
+    return Sources(**frames, home=folder.rstrip("/"))
 
 
 def write_parquet_sources(sources: Sources, folder: str) -> None:
