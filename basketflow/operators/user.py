@@ -104,37 +104,51 @@ def u10_user_order_frequency(src: Sources) -> DataFrame:
     return order_timing(_prior_orders(src)).select("user_id", "user_order_frequency")
 
 
-def reorder_diversity(pairs: DataFrame, products: DataFrame) -> DataFrame:
+def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column) -> DataFrame:
     """Distinct departments, aisles and products per user, overall and among
-    the reordered ones (a pair counts as reordered if any line is)."""
-    rows = pairs.select("user_id", "product_id", (F.col("n_reorders") > 0).alias("rebought")) \
-        .join(products.select("product_id", "department_id", "aisle_id"), "product_id")
+    the reordered ones (a pair counts as reordered if any line is).  Only
+    catalogue products count; users without one get NULL counts.
+
+    ``extra`` aggregates over all of the user's pairs ride along in the same
+    aggregation (their columns must be on ``pairs``)."""
+    catalogue = products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known"))
+    rows = (pairs.join(catalogue, "product_id", "left")
+            .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+            .withColumn("rebought", F.col("n_reorders") > 0))
 
     def distinct_count(col: str, all_name: str, re_name: str) -> DataFrame:
         level = rows.filter(F.col(col).isNotNull()).groupBy("user_id", col).agg(F.bool_or("rebought").alias("rb"))
         return level.groupBy("user_id").agg(count_lines().alias(all_name), F.count_if(F.col("rb")).alias(re_name))
 
     products_side = rows.groupBy("user_id").agg(
-        count_lines().alias("user_total_unique_products"),
-        F.count_if(F.col("rebought")).alias("user_reordered_unique_products"))
+        F.count_if(F.col("_known")).alias("user_total_unique_products"),
+        F.count_if(F.col("_known") & F.col("rebought")).alias("user_reordered_unique_products"),
+        *[expr.alias(name) for name, expr in extra.items()])
+    known = F.col("user_total_unique_products") > 0
+
+    def zero_if_missing(name: str) -> F.Column:
+        return F.when(known, F.coalesce(F.col(name), F.lit(0))).alias(name)
+
     return (products_side
             .join(distinct_count("department_id", "user_unique_department_count",
                                  "user_reordered_department_count"), "user_id", "left")
             .join(distinct_count("aisle_id", "user_unique_aisle_count", "user_reordered_aisle_count"),
                   "user_id", "left")
             .select("user_id",
-                    F.coalesce("user_unique_department_count", F.lit(0)).alias("user_unique_department_count"),
-                    F.coalesce("user_unique_aisle_count", F.lit(0)).alias("user_unique_aisle_count"),
-                    "user_total_unique_products",
-                    F.coalesce("user_reordered_department_count", F.lit(0)).alias("user_reordered_department_count"),
-                    F.coalesce("user_reordered_aisle_count", F.lit(0)).alias("user_reordered_aisle_count"),
-                    "user_reordered_unique_products",
-                    rate(F.col("user_reordered_unique_products"), F.col("user_total_unique_products"))
-                    .alias("user_reorder_diversity_rate")))
+                    zero_if_missing("user_unique_department_count"),
+                    zero_if_missing("user_unique_aisle_count"),
+                    F.when(known, F.col("user_total_unique_products")).alias("user_total_unique_products"),
+                    zero_if_missing("user_reordered_department_count"),
+                    zero_if_missing("user_reordered_aisle_count"),
+                    F.when(known, F.col("user_reordered_unique_products")).alias("user_reordered_unique_products"),
+                    F.when(known, rate(F.col("user_reordered_unique_products"),
+                                       F.col("user_total_unique_products"))).alias("user_reorder_diversity_rate"),
+                    *extra.keys()))
 
 
 def u11_user_reorder_diversity(src: Sources) -> DataFrame:
-    d = reorder_diversity(facts.shared_facts(src).pairs, src.products)
+    d = reorder_diversity(facts.shared_facts(src).pairs, src.products) \
+        .filter(F.col("user_total_unique_products").isNotNull())
     # Stand-alone form: the reordered department/aisle counts are NULL when
     # the user reordered nothing.
     none = F.col("user_reordered_unique_products") == 0

@@ -41,7 +41,17 @@ def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: Da
                      user_product_feature: DataFrame) -> DataFrame:
     """t6: the line dataset with the three feature tables (95 columns).
 
+    All three are left joins from the lines, so their order does not change
+    the result; they run widest-key first so the line-sized intermediate is
+    shuffled twice (by pair, then by user) and the product table, one row
+    per product, is joined last where a size-checked broadcast applies.
     Column order follows chained USING joins: the last join keys first."""
-    return (ml.join(user_feature, "user_id", "left")
-            .join(product_feature, "product_id", "left")
-            .join(user_product_feature, ["user_id", "product_id"], "left"))
+    keys = ["user_id", "product_id"]
+    joined = (ml.join(user_product_feature, keys, "left")
+              .join(user_feature, "user_id", "left")
+              .join(product_feature, "product_id", "left"))
+    rest = [c for c in ml.columns if c not in keys]
+    cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
+            + [c for c in product_feature.columns if c != "product_id"]
+            + [c for c in user_product_feature.columns if c not in keys])
+    return joined.select(*cols)

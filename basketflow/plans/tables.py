@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag, avg_double, count_lines, mode_smallest, nullif_zero, rate
 from basketflow.operators.product import popularity_ranks, product_span_stats
-from basketflow.operators.user import basket_stats, order_timing, reorder_diversity
+from basketflow.operators.user import order_timing, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts
 from basketflow.plans.facts import Facts, shared_facts
@@ -27,19 +27,18 @@ def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     fx = fx or shared_facts(src)
     timing = order_timing(fx.timeline.filter(F.col("is_prior")))
     b = fx.baskets
-    baskets = basket_stats(b).join(b.groupBy("user_id").agg(
+    baskets = b.groupBy("user_id").agg(
+        avg_double(F.col("basket_size")).alias("user_avg_basket_size"),
+        F.stddev_samp(F.col("basket_size").cast("double")).alias("user_basket_size_stddev"),
         rate(F.sum("basket_reorders"), F.sum("basket_size")).alias("user_reorder_rate"),
         F.sum("basket_reorders").alias("user_total_reorders"),
         F.sum(F.when(F.col("is_last"), F.col("basket_size"))).alias("user_last_product_count"),
-        F.sum(F.when(F.col("is_first"), F.col("basket_size"))).alias("user_first_product_count"),
-    ), "user_id")
-    p = fx.pairs
-    overlap = p.groupBy("user_id").agg(
-        F.count_if((F.col("in_first") == 1) & (F.col("in_second") == 1)).alias("first_second"),
-        F.count_if((F.col("in_first") == 1) & (F.col("in_last") == 1)).alias("first_last"))
-    diversity = reorder_diversity(p, src.products)
-    t = (timing.join(baskets, "user_id", "left").join(diversity, "user_id", "left")
-         .join(overlap, "user_id", "left"))
+        F.sum(F.when(F.col("is_first"), F.col("basket_size"))).alias("user_first_product_count"))
+    diversity = reorder_diversity(
+        fx.pairs, src.products,
+        first_second=F.count_if((F.col("in_first") == 1) & (F.col("in_second") == 1)),
+        first_last=F.count_if((F.col("in_first") == 1) & (F.col("in_last") == 1)))
+    t = timing.join(baskets, "user_id", "left").join(diversity, "user_id", "left")
     t = (t.withColumn("user_total_reorders", F.coalesce("user_total_reorders", F.lit(0)).cast("long"))
          .withColumn("user_last_product_count", F.col("user_last_product_count").cast("long"))
          .withColumn("user_first_product_count", F.col("user_first_product_count").cast("long"))
