@@ -33,7 +33,8 @@ bf_orders AS (
          CAST(rn AS INTEGER) AS order_number,
          CAST(dayofweek(order_date) AS INTEGER) AS order_dow,
          CAST(order_id % 24 AS INTEGER) AS order_hour_of_day,
-         CAST(LEAST(date_diff('day', prev_date, order_date), 30) AS DECIMAL(10,2)) AS days_since_prior_order
+         CAST(CASE WHEN prev_date IS NOT NULL THEN LEAST(date_diff('day', prev_date, order_date), 30) END
+              AS DECIMAL(10,2)) AS days_since_prior_order
   FROM bf_seq),
 bf_all_lines AS (
   SELECT b.order_id, b.product_id,

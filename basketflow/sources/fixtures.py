@@ -33,6 +33,9 @@ from basketflow.sources.readers import Sources, _conform, read_parquet_sources
 from basketflow.sources.schema import GAP_TYPE, SCHEMAS
 
 STAR_TABLES = ("orders", "lineitem", "supplier", "nation", "region")
+# Bumped whenever the mapping changes, so stored tables of an older mapping
+# are never reused.
+MAPPING_VERSION = "2"
 
 MAX_GAP_DAYS = 30
 
@@ -67,7 +70,8 @@ def _number_orders(orders: DataFrame) -> DataFrame:
         order_number.alias("order_number"),
         (F.dayofweek("order_date") - 1).alias("order_dow"),
         (F.col("order_id") % 24).cast("int").alias("order_hour_of_day"),
-        F.least(gap, F.lit(MAX_GAP_DAYS)).cast(GAP_TYPE).alias("days_since_prior_order"),
+        # least() skips NULLs, so the first order's missing gap is kept apart.
+        F.when(gap.isNotNull(), F.least(gap, F.lit(MAX_GAP_DAYS))).cast(GAP_TYPE).alias("days_since_prior_order"),
     )
 
 
@@ -122,7 +126,7 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
 
 def _fingerprint(sf_dir: str) -> str:
     """Identify the input folder and the state of its files."""
-    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+    parts = [MAPPING_VERSION, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for table in STAR_TABLES:
         path = f"{sf_dir.rstrip('/')}/{table}.parquet"
         try:
