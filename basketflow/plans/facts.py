@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -174,9 +175,14 @@ class Facts:
                    pairs=pairs(lines), run_starts=pair_latest_run_start(lines))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)  # noqa: SLF001
+def stored_table_complete(spark: SparkSession, folder: str) -> bool:
+    """True when ``folder`` holds a fully committed Parquet table (Spark's
+    job commit writes ``_SUCCESS`` last)."""
+    try:
+        spark.read.text(f"{folder.rstrip('/')}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
 
 
 def shared_facts(src: Sources) -> Facts:
@@ -195,7 +201,7 @@ def shared_facts(src: Sources) -> Facts:
 
     def stored(name: str, build) -> DataFrame:
         path = f"{root}/{name}"
-        if not _exists(spark, f"{path}/_SUCCESS"):
+        if not stored_table_complete(spark, path):
             build().write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 

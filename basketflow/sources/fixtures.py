@@ -146,11 +146,9 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     re-deriving order numbers and basket lines in every plan.  A table is
     only reused when Spark's commit marker (``_SUCCESS``) is present.
     """
+    from basketflow.plans.facts import stored_table_complete
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-sources/{_fingerprint(sf_dir)}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(root)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    missing = [name for name in SCHEMAS
-               if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS"))]  # noqa: SLF001
+    missing = [name for name in SCHEMAS if not stored_table_complete(spark, f"{root}/{name}")]
     if missing:
         mapped = star_schema_sources(spark, sf_dir).as_dict()
         for name in missing:

@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+Every statement of the modelled workload is a one-shot batch build (create a
+table from a query); there is no event time, watermark, window or state to
+reproduce, so this package intentionally stays empty.  Incremental refresh of
+the feature tables would be a new feature, not part of the model.
+"""
