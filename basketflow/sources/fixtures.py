@@ -35,7 +35,7 @@ from basketflow.sources.schema import GAP_TYPE, SCHEMAS
 STAR_TABLES = ("orders", "lineitem", "supplier", "nation", "region")
 # Bumped whenever the mapping changes, so stored tables of an older mapping
 # are never reused.
-MAPPING_VERSION = "2"
+MAPPING_VERSION = "3"
 
 MAX_GAP_DAYS = 30
 
@@ -75,12 +75,10 @@ def _number_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Map the star-schema Parquet files in ``sf_dir`` to the six inputs."""
+def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation = _read(spark, sf_dir, "nation")
     region = _read(spark, sf_dir, "region")
     supplier = _read(spark, sf_dir, "supplier")
-
     aisles = nation.select(F.col("n_nationkey").alias("aisle_id"), F.col("n_name").alias("aisle"))
     departments = region.select(F.col("r_regionkey").alias("department_id"),
                                 F.col("r_name").alias("department"))
@@ -88,40 +86,52 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
                 .select(F.col("s_suppkey").alias("product_id"), F.col("s_name").alias("product_name"),
                         F.col("s_nationkey").alias("aisle_id"),
                         F.col("n_regionkey").alias("department_id")))
+    return {"aisles": _conform(aisles, "aisles"), "departments": _conform(departments, "departments"),
+            "products": _conform(products, "products")}
+
 
-    # One basket line per (order, product); its cart slot follows the first
-    # line number of the product in the order.
+def _basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One basket line per (order, product); its cart slot follows the first
+    line number of the product in the order (a window per order: a basket
+    is small by nature)."""
     lines = (_read(spark, sf_dir, "lineitem")
              .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("product_id"))
              .agg(F.min("l_linenumber").alias("first_line")))
-    lines = lines.withColumn(
+    return lines.withColumn(
         "add_to_cart_order",
         F.row_number().over(Window.partitionBy("order_id").orderBy("first_line", "product_id")))
 
+
+def _mapped_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     orders = (_read(spark, sf_dir, "orders")
               .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                       F.to_date("o_orderdate").alias("order_date"))
               .join(lines.select("order_id"), "order_id", "left_semi"))
-    orders = _number_orders(orders)
+    return _conform(_number_orders(orders), "orders")
+
 
-    # reordered: the pair already occurs in an earlier order of the user.
+def _placed_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """All basket lines with ``reordered`` = the pair already occurs in an
+    earlier order of the user (per-pair minimum joined back, no window)."""
     placed = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first_buy = placed.groupBy("user_id", "product_id").agg(
         F.min("order_number").alias("first_order_number"))
-    placed = placed.join(first_buy, ["user_id", "product_id"]).withColumn(
-        "reordered", F.col("order_number") > F.col("first_order_number"))
+    return (placed.join(first_buy, ["user_id", "product_id"])
+            .withColumn("reordered", F.col("order_number") > F.col("first_order_number")))
+
+
+def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """Map the star-schema Parquet files in ``sf_dir`` to the six inputs
+    (a plan only; ``load_star_schema`` stores them)."""
+    lines = _basket_lines(spark, sf_dir)
+    orders = _mapped_orders(spark, sf_dir, lines)
+    placed = _placed_lines(lines, orders)
 
     def basket(eval_set: str) -> DataFrame:
         return _conform(placed.filter(F.col("eval_set") == eval_set), "order_products_prior")
 
-    return Sources(
-        aisles=_conform(aisles, "aisles"),
-        departments=_conform(departments, "departments"),
-        orders=_conform(orders, "orders"),
-        products=_conform(products, "products"),
-        order_products_prior=basket("prior"),
-        order_products_train=basket("train"),
-    )
+    return Sources(**_dimensions(spark, sf_dir), orders=orders,
+                   order_products_prior=basket("prior"), order_products_train=basket("train"))
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -148,9 +158,17 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     """
     from basketflow.plans.facts import stored_table_complete
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-sources/{_fingerprint(sf_dir)}"
-    missing = [name for name in SCHEMAS if not stored_table_complete(spark, f"{root}/{name}")]
-    if missing:
-        mapped = star_schema_sources(spark, sf_dir).as_dict()
-        for name in missing:
-            mapped[name].write.mode("overwrite").parquet(f"{root}/{name}")
+    if not all(stored_table_complete(spark, f"{root}/{name}") for name in SCHEMAS):
+        for name, df in _dimensions(spark, sf_dir).items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+        lines = _basket_lines(spark, sf_dir)
+        _mapped_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(f"{root}/orders")
+        orders = spark.read.parquet(f"{root}/orders")
+        # All lines in one pass, split by evaluation set on write.
+        _placed_lines(lines, orders).filter(F.col("eval_set").isin("prior", "train")) \
+            .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered") \
+            .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/_lines")
+        for eval_set in ("prior", "train"):
+            (spark.read.parquet(f"{root}/_lines").filter(F.col("eval_set") == eval_set)
+             .drop("eval_set").write.mode("overwrite").parquet(f"{root}/order_products_{eval_set}"))
     return read_parquet_sources(spark, root)
