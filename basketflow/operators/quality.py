@@ -197,19 +197,20 @@ def enforce(report: DataFrame) -> DataFrame:
 
 def _q_user(src: Sources) -> DataFrame:
     from basketflow.plans import tables
-    return user_feature_checks(tables.user_feature(src), src)
+    uf, _, _ = tables.shared_tables(src)
+    return user_feature_checks(uf, src)
 
 
 def _q_product(src: Sources) -> DataFrame:
     from basketflow.plans import tables
-    return product_feature_checks(tables.product_feature(src), src)
+    _, pf, _ = tables.shared_tables(src)
+    return product_feature_checks(pf, src)
 
 
 def _q_user_product(src: Sources) -> DataFrame:
     from basketflow.plans import tables
-    fx = tables.shared_facts(src)
-    return user_product_feature_checks(tables.user_product_feature(src, fx), tables.user_feature(src, fx),
-                                       tables.product_feature(src, fx), src)
+    uf, pf, upf = tables.shared_tables(src)
+    return user_product_feature_checks(upf, uf, pf, src)
 
 
 CHECK_QUERIES = {

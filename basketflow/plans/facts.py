@@ -185,6 +185,13 @@ def stored_table_complete(spark: SparkSession, folder: str) -> bool:
         return False
 
 
+def materialise(spark: SparkSession, path: str, build) -> DataFrame:
+    """Write ``build()`` to ``path`` unless a complete copy is there; read it."""
+    if not stored_table_complete(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def shared_facts(src: Sources) -> Facts:
     """Facts of ``src``, materialised once as Parquet next to stored sources.
 
@@ -200,10 +207,7 @@ def shared_facts(src: Sources) -> Facts:
     root = f"{src.home}/_facts"
 
     def stored(name: str, build) -> DataFrame:
-        path = f"{root}/{name}"
-        if not stored_table_complete(spark, path):
-            build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return materialise(spark, f"{root}/{name}", build)
 
     timeline = stored("timeline", lambda: order_timeline(src))
     lines = stored("lines", lambda: order_lines(src, timeline))

@@ -15,7 +15,7 @@ from basketflow.operators.product import popularity_ranks, product_span_stats
 from basketflow.operators.user import order_timing, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts
-from basketflow.plans.facts import Facts, shared_facts
+from basketflow.plans.facts import Facts, materialise, shared_facts
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import (
     PRODUCT_FEATURE_COLUMNS, USER_FEATURE_COLUMNS, USER_PRODUCT_FEATURE_COLUMNS,
@@ -174,3 +174,17 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
         (F.col("user_cumulative_days") - F.col("cum_last")).cast("double")
         .alias("user_product_days_since_last_order"),
     ).select(*USER_PRODUCT_FEATURE_COLUMNS)
+
+
+def shared_tables(src: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three feature tables, materialised once next to stored sources
+    and read back (later jobs - the final dataset, the checks - start from
+    the written tables).  Plan-only sources get unmaterialised plans."""
+    fx = shared_facts(src)
+    if src.home is None:
+        return user_feature(src, fx), product_feature(src, fx), user_product_feature(src, fx)
+    spark = src.orders.sparkSession
+    root = f"{src.home}/_tables"
+    return (materialise(spark, f"{root}/user_feature", lambda: user_feature(src, fx)),
+            materialise(spark, f"{root}/product_feature", lambda: product_feature(src, fx)),
+            materialise(spark, f"{root}/user_product_feature", lambda: user_product_feature(src, fx)))

@@ -58,10 +58,9 @@ def _t5(src: Sources) -> DataFrame:
 
 
 def _t6(src: Sources) -> DataFrame:
-    fx = tables.shared_facts(src)
-    return mldataset.ml_dataset_final(
-        mldataset.ml_dataset(src), tables.user_feature(src, fx), tables.product_feature(src, fx),
-        tables.user_product_feature(src, fx))
+    """The line dataset joined with the stored feature tables."""
+    uf, pf, upf = tables.shared_tables(src)
+    return mldataset.ml_dataset_final(mldataset.ml_dataset(src), uf, pf, upf)
 
 
 TABLE_BUILDERS = {

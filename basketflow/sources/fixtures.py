@@ -134,9 +134,22 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
                    order_products_prior=basket("prior"), order_products_train=basket("train"))
 
 
+def _code_version() -> str:
+    """Digest of the package sources: stored sources, facts and tables of
+    another code version are never reused."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    digest = hashlib.sha1()
+    for folder, _, files in sorted(os.walk(root)):
+        for name in sorted(files):
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name), "rb") as fh:
+                    digest.update(name.encode() + fh.read())
+    return digest.hexdigest()[:12]
+
+
 def _fingerprint(sf_dir: str) -> str:
-    """Identify the input folder and the state of its files."""
-    parts = [MAPPING_VERSION, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+    """Identify the input folder, the state of its files and the code."""
+    parts = [MAPPING_VERSION, _code_version(), os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for table in STAR_TABLES:
         path = f"{sf_dir.rstrip('/')}/{table}.parquet"
         try:
