@@ -11,11 +11,16 @@ from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
 
-def _catalogue(src: Sources) -> DataFrame:
-    """Products with their department and aisle names (inner joins: products
-    outside the dimension tables are not part of the dataset)."""
-    return (src.products.join(src.departments, "department_id").join(src.aisles, "aisle_id")
-            .select("product_id", "product_name", "department_id", "department", "aisle_id", "aisle"))
+def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
+    """Attach product, department and aisle names (inner joins: products
+    outside the dimension tables are not part of the dataset).
+
+    Each dimension is joined on its own, so Catalyst's size check sees the
+    size of that table (a pre-joined catalogue would carry a join-size
+    estimate that never qualifies for broadcast)."""
+    return (lines.join(src.products, "product_id")
+            .join(src.departments, "department_id")
+            .join(src.aisles, "aisle_id"))
 
 
 def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
@@ -26,7 +31,7 @@ def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
     is 1 when the user's train basket holds the product.  The label side is
     joined as it is (not de-duplicated), so a user with several train
     baskets repeats the line once per matching basket."""
-    lines = src.order_products_prior.join(src.orders, "order_id").join(_catalogue(src), "product_id")
+    lines = _with_catalogue(src.order_products_prior.join(src.orders, "order_id"), src)
     cols = list(ML_DATASET_COLUMNS)
     if with_target:
         train = (src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id")

@@ -20,8 +20,10 @@ ENGINE_CONF = {
     # Size-checked broadcast: only sides whose estimated (planning) or
     # measured (AQE) size is below the threshold are broadcast; all others
     # use a shuffle join.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # (Parquet sizes are compressed; in memory a side is several times
+    # larger, hence a modest threshold.)
+    "spark.sql.autoBroadcastJoinThreshold": "16m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
 }
