@@ -185,11 +185,20 @@ def stored_table_complete(spark: SparkSession, folder: str) -> bool:
         return False
 
 
+# Handles of stored tables already resolved in this process, per Spark
+# application.  Stored tables are immutable once committed (their folder is
+# keyed by input state and code version), so a handle stays valid.
+_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+
+
 def materialise(spark: SparkSession, path: str, build) -> DataFrame:
     """Write ``build()`` to ``path`` unless a complete copy is there; read it."""
-    if not stored_table_complete(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _RESOLVED:
+        if not stored_table_complete(spark, path):
+            build().write.mode("overwrite").parquet(path)
+        _RESOLVED[key] = spark.read.parquet(path)
+    return _RESOLVED[key]
 
 
 def shared_facts(src: Sources) -> Facts:

@@ -22,9 +22,18 @@ from basketflow.sources.readers import Sources
 DECIMALS = 6
 
 
+def round_half_away(col: F.Column, decimals: int = DECIMALS) -> F.Column:
+    """``round(x * 10^d) / 10^d`` with halves away from zero, in plain double
+    arithmetic (the definition the oracle's ROUND uses).  ``F.round`` on a
+    double goes through a BigDecimal per value, several times slower on wide
+    tables."""
+    scale = float(10 ** decimals)
+    return F.signum(col) * F.floor(F.abs(col) * scale + 0.5) / scale
+
+
 def presented(df: DataFrame) -> DataFrame:
     """Round every double column to ``DECIMALS`` places."""
-    cols = [F.round(F.col(f.name), DECIMALS).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    cols = [round_half_away(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 

@@ -134,9 +134,15 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
                    order_products_prior=basket("prior"), order_products_train=basket("train"))
 
 
+_CODE_VERSION: list[str] = []
+_LOADED: dict[tuple[str, str], Sources] = {}
+
+
 def _code_version() -> str:
     """Digest of the package sources: stored sources, facts and tables of
     another code version are never reused."""
+    if _CODE_VERSION:
+        return _CODE_VERSION[0]
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     digest = hashlib.sha1()
     for folder, _, files in sorted(os.walk(root)):
@@ -144,7 +150,8 @@ def _code_version() -> str:
             if name.endswith(".py"):
                 with open(os.path.join(folder, name), "rb") as fh:
                     digest.update(name.encode() + fh.read())
-    return digest.hexdigest()[:12]
+    _CODE_VERSION.append(digest.hexdigest()[:12])
+    return _CODE_VERSION[0]
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -171,6 +178,9 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     """
     from basketflow.plans.facts import stored_table_complete
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-sources/{_fingerprint(sf_dir)}"
+    key = (spark.sparkContext.applicationId, root)
+    if key in _LOADED:
+        return _LOADED[key]
     if not all(stored_table_complete(spark, f"{root}/{name}") for name in SCHEMAS):
         for name, df in _dimensions(spark, sf_dir).items():
             df.write.mode("overwrite").parquet(f"{root}/{name}")
@@ -184,4 +194,5 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
         for eval_set in ("prior", "train"):
             (spark.read.parquet(f"{root}/_lines").filter(F.col("eval_set") == eval_set)
              .drop("eval_set").write.mode("overwrite").parquet(f"{root}/order_products_{eval_set}"))
-    return read_parquet_sources(spark, root)
+    _LOADED[key] = read_parquet_sources(spark, root)
+    return _LOADED[key]
