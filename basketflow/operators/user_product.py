@@ -106,8 +106,7 @@ def up11_user_product_in_last_order(src: Sources) -> DataFrame:
 
 
 def up12_user_product_current_streak(src: Sources) -> DataFrame:
-    fx = facts.shared_facts(src)
-    rows = fx.pairs.join(fx.run_starts, PAIR)
+    rows = facts.shared_facts(src).pairs
     return (facts.current_streak(rows).filter(F.col("current_streak").isNotNull())
             .select(*PAIR, F.col("current_streak").alias("user_product_current_streak")))
 

@@ -153,7 +153,13 @@ def current_streak(pair_rows: DataFrame) -> DataFrame:
                (F.col("user_max_order_number") - F.col("latest_run_start") + 1).cast("long")))
 
 
-FACT_NAMES = ("timeline", "lines", "baskets", "pairs", "run_starts")
+FACT_NAMES = ("timeline", "lines", "baskets", "pairs")
+
+
+def pairs_with_runs(lines: DataFrame) -> DataFrame:
+    """``pairs`` plus ``latest_run_start``: both are keyed by (user, product),
+    so they are joined once here and every consumer reads one table."""
+    return pairs(lines).join(pair_latest_run_start(lines), ["user_id", "product_id"], "left")
 
 
 @dataclass
@@ -163,16 +169,14 @@ class Facts:
     timeline: DataFrame
     lines: DataFrame
     baskets: DataFrame
-    pairs: DataFrame
-    run_starts: DataFrame
+    pairs: DataFrame  # includes latest_run_start
 
     @classmethod
     def derive(cls, src: Sources) -> "Facts":
         """Plans only: every consumer re-derives what it reads."""
         timeline = order_timeline(src)
         lines = order_lines(src, timeline)
-        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines),
-                   pairs=pairs(lines), run_starts=pair_latest_run_start(lines))
+        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines), pairs=pairs_with_runs(lines))
 
 
 def stored_table_complete(spark: SparkSession, folder: str) -> bool:
@@ -222,5 +226,4 @@ def shared_facts(src: Sources) -> Facts:
     lines = stored("lines", lambda: order_lines(src, timeline))
     return Facts(timeline=timeline, lines=lines,
                  baskets=stored("baskets", lambda: order_baskets(lines)),
-                 pairs=stored("pairs", lambda: pairs(lines)),
-                 run_starts=stored("run_starts", lambda: pair_latest_run_start(lines)))
+                 pairs=stored("pairs", lambda: pairs_with_runs(lines)))

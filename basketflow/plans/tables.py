@@ -146,8 +146,7 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     user_lines = fx.pairs.groupBy("user_id").agg(F.sum("n").alias("user_line_count"))
     product_lines = fx.pairs.groupBy("product_id").agg(F.sum("n").alias("product_line_count"))
     keys = ["user_id", "product_id"]
-    t = (fx.pairs.join(fx.run_starts, keys, "left")
-         .join(users, "user_id", "left").join(user_lines, "user_id", "left")
+    t = (fx.pairs.join(users, "user_id", "left").join(user_lines, "user_id", "left")
          .join(product_lines, "product_id", "left"))
     t = order_trend(facts.current_streak(t))
     n, umax = F.col("n"), F.col("user_max_order_number")
