@@ -1,0 +1,22 @@
+"""Size-checked broadcast of dimension-like sides."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side with at most this many rows is shipped to every task (a million
+# narrow dimension rows is a few tens of MB).  Larger sides are joined with
+# a shuffle join; AQE may still broadcast them if their measured size is
+# under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+DIMENSION_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows, so its cost is bounded
+    no matter how large the side is."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.operators.dimension import broadcast_if_small
 from basketflow.functions import avg_double, count_lines, mode_smallest, nullif_zero, rate, share_of
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
@@ -111,7 +112,8 @@ def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column)
 
     ``extra`` aggregates over all of the user's pairs ride along in the same
     aggregation (their columns must be on ``pairs``)."""
-    catalogue = products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known"))
+    catalogue = broadcast_if_small(
+        products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known")))
     rows = (pairs.join(catalogue, "product_id", "left")
             .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
             .withColumn("rebought", F.col("n_reorders") > 0))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag
+from basketflow.operators.dimension import broadcast_if_small
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
@@ -15,12 +16,11 @@ def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
     """Attach product, department and aisle names (inner joins: products
     outside the dimension tables are not part of the dataset).
 
-    Each dimension is joined on its own, so Catalyst's size check sees the
-    size of that table (a pre-joined catalogue would carry a join-size
-    estimate that never qualifies for broadcast)."""
-    return (lines.join(src.products, "product_id")
-            .join(src.departments, "department_id")
-            .join(src.aisles, "aisle_id"))
+    Each dimension is joined on its own and broadcast when a bounded count
+    proves it small, so the line data is not shuffled for dimensions."""
+    return (lines.join(broadcast_if_small(src.products), "product_id")
+            .join(broadcast_if_small(src.departments), "department_id")
+            .join(broadcast_if_small(src.aisles), "aisle_id"))
 
 
 def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
@@ -49,12 +49,12 @@ def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: Da
     All three are left joins from the lines, so their order does not change
     the result; they run widest-key first so the line-sized intermediate is
     shuffled twice (by pair, then by user) and the product table, one row
-    per product, is joined last where a size-checked broadcast applies.
+    per product, is joined last, broadcast when provably small.
     Column order follows chained USING joins: the last join keys first."""
     keys = ["user_id", "product_id"]
     joined = (ml.join(user_product_feature, keys, "left")
               .join(user_feature, "user_id", "left")
-              .join(product_feature, "product_id", "left"))
+              .join(broadcast_if_small(product_feature), "product_id", "left"))
     rest = [c for c in ml.columns if c not in keys]
     cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
             + [c for c in product_feature.columns if c != "product_id"]
