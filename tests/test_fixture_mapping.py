@@ -29,3 +29,15 @@ def test_pair_statistics(small_sources):
     assert p.count() == 1423
     assert p.filter("in_first = 1 AND in_last = 1").count() == 170
     assert p.filter("in_first = 1 AND in_second = 1").count() == 160
+
+
+def test_streaks_and_mode_ties(small_sources):
+    from basketflow.plans import tables
+    uf = tables.user_feature(small_sources)
+    assert uf.filter("user_total_orders = 1").count() == 1
+    upf = tables.user_product_feature(small_sources)
+    assert upf.filter("user_product_current_streak >= 2").count() == 169
+    d = small_sources.orders.filter("eval_set = 'prior'").groupBy("user_id", "order_dow").count()
+    ties = (d.groupBy("user_id").agg(F.max("count").alias("m")).join(d, "user_id")
+            .filter("count = m").groupBy("user_id").count().filter("count > 1"))
+    assert ties.count() == 62
