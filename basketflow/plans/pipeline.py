@@ -80,9 +80,11 @@ def main(argv: list[str] | None = None) -> None:
     group.add_argument("--star", help="folder with the star-schema test Parquet files")
     parser.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--shuffle-partitions", type=int, default=None,
+                        help="initial shuffle partitions (about shuffle bytes / 128 MB); AQE coalesces")
     parser.add_argument("--no-check", action="store_true")
     args = parser.parse_args(argv)
-    spark = build_session(args.master)
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     if args.csv:
         src = read_csv_sources(spark, args.csv)
     elif args.parquet:

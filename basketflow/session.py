@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; stored facts and tables "
+                               "must survive the loss of an executor")
         current = tempfile.mkdtemp(prefix="basketflow-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
