@@ -56,8 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The folder named by ``spark.checkpoint.dir`` (or one already registered
-    on the context) is used as is.  Only when neither is set, as in local
-    tests, a private folder is created and registered.
+    on the context) is used as is.  Only when neither is set in local mode,
+    as in tests, a private folder is created and registered; on a cluster
+    the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
