@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag, avg_double, count_lines, mode_smallest, nullif_zero, rate
-from basketflow.operators.product import popularity_ranks, product_span_stats
+from basketflow.operators.product import popularity_ranks
 from basketflow.operators.user import order_timing, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts

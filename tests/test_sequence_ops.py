@@ -71,3 +71,20 @@ def test_run_starts_give_gaps_and_islands_streak(spark):
             streak, k = streak + 1, k - 1
         expected[u] = streak
     assert got == expected
+
+
+def test_broadcast_only_with_proven_bound(spark):
+    from basketflow.operators.dimension import broadcast_if_small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        facts = spark.range(1000).withColumn("k", F.col("id") % 10)
+        dim = spark.range(10).withColumnRenamed("id", "k")
+
+        def plan(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(facts.join(broadcast_if_small(dim, 10), "k"))
+        assert "BroadcastHashJoin" not in plan(facts.join(broadcast_if_small(dim, 9), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16m")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
