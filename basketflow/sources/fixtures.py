@@ -184,7 +184,8 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     if not all(stored_table_complete(spark, f"{root}/{name}") for name in SCHEMAS):
         for name, df in _dimensions(spark, sf_dir).items():
             df.write.mode("overwrite").parquet(f"{root}/{name}")
-        lines = _basket_lines(spark, sf_dir)
+        _basket_lines(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/_basket")
+        lines = spark.read.parquet(f"{root}/_basket")
         _mapped_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(f"{root}/orders")
         orders = spark.read.parquet(f"{root}/orders")
         # All lines in one pass, split by evaluation set on write.
