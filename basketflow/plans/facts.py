@@ -8,6 +8,8 @@
 ``order_baskets``   one row per order that has prior lines.
 ``pairs``           one row per (user, product) with every pair statistic
                     the features need, from one aggregation.
+``product_lines``   one row per product with every line-level statistic
+                    of the product tables (one aggregation of the lines).
 ``user_profile``    one row per user with prior orders.
 ``pair_latest_run_start``  latest start of a run of consecutive orders per
                     pair, from which the current streak follows.
@@ -153,7 +155,28 @@ def current_streak(pair_rows: DataFrame) -> DataFrame:
                (F.col("user_max_order_number") - F.col("latest_run_start") + 1).cast("long")))
 
 
-FACT_NAMES = ("timeline", "lines", "baskets", "pairs")
+def product_line_stats(lines: DataFrame) -> DataFrame:
+    """One row per product: every line-level product statistic in one
+    aggregation (the product tables read this small fact, not the lines)."""
+    is_first, is_last, reordered = F.col("is_first"), F.col("is_last"), F.col("reordered")
+    first_cart_first = is_first & (F.col("add_to_cart_order") == 1)
+    return lines.groupBy("product_id").agg(
+        count_lines().alias("n"),
+        F.count_if(reordered).alias("r"),
+        F.count_if(is_first).alias("n_first"),
+        F.count_if(first_cart_first).alias("n_first_cart_first"),
+        F.count_if(first_cart_first & F.col("user_id").isNotNull()).alias("n_first_cart_first_users"),
+        F.count_if(is_last).alias("n_last"),
+        F.avg(F.col("days_since_prior_order").cast("double")).alias("avg_gap"),
+        F.mode(F.col("order_dow"), True).alias("mode_dow"),
+        F.mode(F.col("order_hour_of_day"), True).alias("mode_hour"),
+        F.avg(F.col("add_to_cart_order").cast("double")).alias("avg_cart"),
+        F.avg(F.col("add_to_cart_order").cast("double") / F.col("basket_size").cast("double"))
+        .alias("avg_relative_cart"),
+    )
+
+
+FACT_NAMES = ("timeline", "lines", "baskets", "pairs", "product_lines")
 
 
 def pairs_with_runs(lines: DataFrame) -> DataFrame:
@@ -170,13 +193,15 @@ class Facts:
     lines: DataFrame
     baskets: DataFrame
     pairs: DataFrame  # includes latest_run_start
+    product_lines: DataFrame
 
     @classmethod
     def derive(cls, src: Sources) -> "Facts":
         """Plans only: every consumer re-derives what it reads."""
         timeline = order_timeline(src)
         lines = order_lines(src, timeline)
-        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines), pairs=pairs_with_runs(lines))
+        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines), pairs=pairs_with_runs(lines),
+                   product_lines=product_line_stats(lines))
 
 
 def stored_table_complete(spark: SparkSession, folder: str) -> bool:
@@ -226,4 +251,5 @@ def shared_facts(src: Sources) -> Facts:
     lines = stored("lines", lambda: order_lines(src, timeline))
     return Facts(timeline=timeline, lines=lines,
                  baskets=stored("baskets", lambda: order_baskets(lines)),
-                 pairs=stored("pairs", lambda: pairs_with_runs(lines)))
+                 pairs=stored("pairs", lambda: pairs_with_runs(lines)),
+                 product_lines=stored("product_lines", lambda: product_line_stats(lines)))

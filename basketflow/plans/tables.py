@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions import as_flag, avg_double, count_lines, mode_smallest, nullif_zero, rate
+from basketflow.functions import as_flag, avg_double, count_lines, nullif_zero, rate
 from basketflow.operators.product import popularity_ranks
 from basketflow.operators.user import order_timing, reorder_diversity
 from basketflow.operators.user_product import order_trend
@@ -51,22 +51,21 @@ def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
 def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     """t2: one row per product with a prior line (36 columns)."""
     fx = fx or shared_facts(src)
-    is_first, is_last, reordered = F.col("is_first"), F.col("is_last"), F.col("reordered")
-    first_cart_first = is_first & (F.col("add_to_cart_order") == 1)
-    line_side = fx.lines.groupBy("product_id").agg(
-        avg_double(reordered.cast("int")).alias("product_reorder_rate"),
-        count_lines().alias("product_order_count"),
-        F.count_if(reordered).alias("product_reorder_count"),
-        F.count_if(is_first).alias("product_first_order_count"),
-        avg_double(F.col("days_since_prior_order")).alias("product_avg_days_between_orders"),
-        mode_smallest(F.col("order_dow")).alias("product_preferred_order_day"),
-        mode_smallest(F.col("order_hour_of_day")).alias("product_preferred_order_hour"),
-        avg_double(F.col("add_to_cart_order")).alias("product_avg_cart_position"),
-        F.avg(rate(F.col("add_to_cart_order"), F.col("basket_size")))
-        .alias("product_avg_cart_position_relative_basket_size"),
-        F.count_if(first_cart_first).alias("product_first_cart_first_order_count"),
-        F.count_if(first_cart_first & F.col("user_id").isNotNull()).alias("_fcfo_users"),
-        F.count_if(is_last).alias("product_last_orders_count"),
+    pl = F.col
+    line_side = fx.product_lines.select(
+        "product_id",
+        rate(pl("r"), pl("n")).alias("product_reorder_rate"),
+        pl("n").alias("product_order_count"),
+        pl("r").alias("product_reorder_count"),
+        pl("n_first").alias("product_first_order_count"),
+        pl("avg_gap").alias("product_avg_days_between_orders"),
+        pl("mode_dow").alias("product_preferred_order_day"),
+        pl("mode_hour").alias("product_preferred_order_hour"),
+        pl("avg_cart").alias("product_avg_cart_position"),
+        pl("avg_relative_cart").alias("product_avg_cart_position_relative_basket_size"),
+        pl("n_first_cart_first").alias("product_first_cart_first_order_count"),
+        pl("n_first_cart_first_users").alias("_fcfo_users"),
+        pl("n_last").alias("product_last_orders_count"),
     ).withColumn("product_first_order_reorder_count",
                  F.when(F.col("product_first_order_count") > 0, F.col("product_reorder_count"))
                  .otherwise(F.lit(0)).cast("long"))
@@ -109,9 +108,7 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
         F.count_if(in_first & in_last).alias("product_users_in_first_and_last"),
     )
 
-    dims = _product_dimension_features(line_side.select("product_id", F.col("product_order_count").alias("n"),
-                                                        F.col("product_reorder_count").alias("r")),
-                                       src.products)
+    dims = _product_dimension_features(fx.product_lines.select("product_id", "n", "r"), src.products)
     t = line_side.join(pair_side, "product_id", "left").join(dims, "product_id", "left")
     return t.select(*PRODUCT_FEATURE_COLUMNS)
 
@@ -143,8 +140,8 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     users = timeline.groupBy("user_id").agg(
         F.count_if(F.col("in_first_half")).alias("first_half_orders"),
         F.count_if(F.col("in_second_half")).alias("second_half_orders"))
-    user_lines = fx.pairs.groupBy("user_id").agg(F.sum("n").alias("user_line_count"))
-    product_lines = fx.pairs.groupBy("product_id").agg(F.sum("n").alias("product_line_count"))
+    user_lines = fx.baskets.groupBy("user_id").agg(F.sum("basket_size").alias("user_line_count"))
+    product_lines = fx.product_lines.select("product_id", F.col("n").alias("product_line_count"))
     keys = ["user_id", "product_id"]
     t = (fx.pairs.join(users, "user_id", "left").join(user_lines, "user_id", "left")
          .join(product_lines, "product_id", "left"))
