@@ -110,42 +110,44 @@ def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column)
     the reordered ones (a pair counts as reordered if any line is).  Only
     catalogue products count; users without one get NULL counts.
 
-    ``extra`` aggregates over all of the user's pairs ride along in the same
-    aggregation (their columns must be on ``pairs``)."""
+    One aggregation of the pairs: the distinct departments/aisles of a user
+    are kept as sets, which merge map-side and can never exceed the size of
+    the dimension table, however many rows the user has.  ``extra``
+    aggregates over all of the user's pairs ride along (their columns must
+    be on ``pairs``)."""
     catalogue = broadcast_if_small(
         products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known")))
     rows = (pairs.join(catalogue, "product_id", "left")
             .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
             .withColumn("rebought", F.col("n_reorders") > 0))
+    rebought = F.col("rebought")
 
-    def distinct_count(col: str, all_name: str, re_name: str) -> DataFrame:
-        level = rows.filter(F.col(col).isNotNull()).groupBy("user_id", col).agg(F.bool_or("rebought").alias("rb"))
-        return level.groupBy("user_id").agg(count_lines().alias(all_name), F.count_if(F.col("rb")).alias(re_name))
+    def distinct(col: str, only_rebought: bool = False) -> F.Column:
+        value = F.when(rebought, F.col(col)) if only_rebought else F.col(col)
+        return F.size(F.collect_set(value)).cast("long")
 
-    products_side = rows.groupBy("user_id").agg(
+    per_user = rows.groupBy("user_id").agg(
         F.count_if(F.col("_known")).alias("user_total_unique_products"),
-        F.count_if(F.col("_known") & F.col("rebought")).alias("user_reordered_unique_products"),
+        F.count_if(F.col("_known") & rebought).alias("user_reordered_unique_products"),
+        distinct("department_id").alias("user_unique_department_count"),
+        distinct("aisle_id").alias("user_unique_aisle_count"),
+        distinct("department_id", True).alias("user_reordered_department_count"),
+        distinct("aisle_id", True).alias("user_reordered_aisle_count"),
         *[expr.alias(name) for name, expr in extra.items()])
     known = F.col("user_total_unique_products") > 0
 
-    def zero_if_missing(name: str) -> F.Column:
-        return F.when(known, F.coalesce(F.col(name), F.lit(0))).alias(name)
-
-    return (products_side
-            .join(distinct_count("department_id", "user_unique_department_count",
-                                 "user_reordered_department_count"), "user_id", "left")
-            .join(distinct_count("aisle_id", "user_unique_aisle_count", "user_reordered_aisle_count"),
-                  "user_id", "left")
-            .select("user_id",
-                    zero_if_missing("user_unique_department_count"),
-                    zero_if_missing("user_unique_aisle_count"),
-                    F.when(known, F.col("user_total_unique_products")).alias("user_total_unique_products"),
-                    zero_if_missing("user_reordered_department_count"),
-                    zero_if_missing("user_reordered_aisle_count"),
-                    F.when(known, F.col("user_reordered_unique_products")).alias("user_reordered_unique_products"),
-                    F.when(known, rate(F.col("user_reordered_unique_products"),
-                                       F.col("user_total_unique_products"))).alias("user_reorder_diversity_rate"),
-                    *extra.keys()))
+    def if_known(name: str) -> F.Column:
+        return F.when(known, F.col(name)).alias(name)
+
+    return per_user.select(
+        "user_id",
+        if_known("user_unique_department_count"), if_known("user_unique_aisle_count"),
+        if_known("user_total_unique_products"),
+        if_known("user_reordered_department_count"), if_known("user_reordered_aisle_count"),
+        if_known("user_reordered_unique_products"),
+        F.when(known, rate(F.col("user_reordered_unique_products"), F.col("user_total_unique_products")))
+        .alias("user_reorder_diversity_rate"),
+        *extra.keys())
 
 
 def u11_user_reorder_diversity(src: Sources) -> DataFrame:
