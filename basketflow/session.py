@@ -25,6 +25,11 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "16m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # The JVM does not JIT-compile methods above 8,000 bytecodes.  Wide
+    # stages (the 95-column dataset) generate larger methods and would run
+    # interpreted; with this limit Spark falls back per stage to its
+    # compiled operators instead (t6: 10 s -> 3.5 s at sf0.1).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
