@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.functions.constants import DAYS_PER_WEEK, PERCENT
 from basketflow.functions import avg_double, count_lines, mode_smallest, rate
 from basketflow.operators.sequence import dense_rank_desc
 from basketflow.plans import facts
@@ -38,7 +39,7 @@ def _with_grand_total_pct(df: DataFrame, count_col: str, pct_col: str) -> DataFr
     window: the grand total is a one-row aggregate, broadcast to all rows."""
     total = df.agg(F.sum(count_col).alias("_grand_total"))
     return (df.crossJoin(F.broadcast(total))
-            .withColumn(pct_col, F.col(count_col).cast("double") * 100.0 / F.col("_grand_total").cast("double"))
+            .withColumn(pct_col, F.col(count_col).cast("double") * PERCENT / F.col("_grand_total").cast("double"))
             .drop("_grand_total"))
 
 
@@ -96,7 +97,7 @@ def product_span_stats(pairs: DataFrame) -> DataFrame:
     return on_timeline.groupBy("product_id").agg(
         F.avg(span).alias("product_avg_days_from_first_to_last_order"),
         F.avg(freq).alias("product_order_frequency"),
-        (F.avg(freq) * 7).alias("product_order_per_week"))
+        (F.avg(freq) * DAYS_PER_WEEK).alias("product_order_per_week"))
 
 
 def p08_product_order_span_frequency(src: Sources) -> DataFrame:

@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.functions.constants import CHECK_TOLERANCE
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import FOREIGN_KEYS, PRIMARY_KEYS
 
-TOLERANCE = 1e-9
+TOLERANCE = CHECK_TOLERANCE
 
 
 class DataQualityError(AssertionError):

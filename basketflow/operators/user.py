@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.operators.dimension import broadcast_if_small
+from basketflow.functions.constants import (
+    AFTERNOON_HOURS, DAYS_PER_WEEK, EVENING_HOURS, MORNING_HOURS, NIGHT_HOURS, WEEKEND_DAYS,
+)
 from basketflow.functions import avg_double, count_lines, mode_smallest, nullif_zero, rate, share_of
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
@@ -59,21 +62,21 @@ def gap_sum() -> F.Column:
 def order_timing(prior_orders: DataFrame) -> DataFrame:
     """All order-level user features in one aggregation of prior orders."""
     hour, dow = F.col("order_hour_of_day"), F.col("order_dow")
-    weekend = dow.isin(0, 6)
+    weekend = dow.isin(*WEEKEND_DAYS)
     orders_minus_one = (count_lines() - 1).cast("double")
     return prior_orders.groupBy("user_id").agg(
         count_lines().alias("user_total_orders"),
         avg_double(F.col("days_since_prior_order")).alias("user_avg_days_between_orders"),
         mode_smallest(dow).alias("user_preferred_order_day"),
         mode_smallest(hour).alias("user_preferred_order_hour"),
-        share_of(hour.between(6, 11)).alias("user_morning_order_rate"),
-        share_of(hour.between(12, 17)).alias("user_afternoon_order_rate"),
-        share_of(hour.between(18, 20)).alias("user_evening_order_rate"),
-        share_of(hour.between(21, 23) | hour.between(0, 5)).alias("user_night_order_rate"),
+        share_of(hour.between(*MORNING_HOURS)).alias("user_morning_order_rate"),
+        share_of(hour.between(*AFTERNOON_HOURS)).alias("user_afternoon_order_rate"),
+        share_of(hour.between(*EVENING_HOURS)).alias("user_evening_order_rate"),
+        share_of(hour.between(*NIGHT_HOURS[0]) | hour.between(*NIGHT_HOURS[1])).alias("user_night_order_rate"),
         share_of(weekend).alias("user_weekend_order_rate"),
         share_of(~weekend).alias("user_weekday_order_rate"),
         gap_sum().alias("user_total_days_active"),
-        (orders_minus_one / nullif_zero(gap_sum() / 7.0)).alias("user_orders_per_week"),
+        (orders_minus_one / nullif_zero(gap_sum() / float(DAYS_PER_WEEK))).alias("user_orders_per_week"),
         (orders_minus_one / nullif_zero(gap_sum())).alias("user_order_frequency"),
     )
 

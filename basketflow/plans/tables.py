@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.functions.constants import DAYS_PER_WEEK, PERCENT
 from basketflow.functions import as_flag, avg_double, count_lines, nullif_zero, rate
 from basketflow.operators.product import popularity_ranks
 from basketflow.operators.user import order_timing, reorder_diversity
@@ -75,11 +76,11 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     line_side = (line_side.crossJoin(F.broadcast(totals))
                  .withColumn("product_first_cart_first_order_pct",
                              F.when(F.col("product_first_cart_first_order_count") > 0,
-                                    F.col("product_first_cart_first_order_count") * 100.0
+                                    F.col("product_first_cart_first_order_count") * PERCENT
                                     / F.col("_fcfo_total").cast("double")))
                  .withColumn("product_first_cart_first_order_user_pct",
                              F.when(F.col("product_first_cart_first_order_count") > 0,
-                                    F.col("_fcfo_users") * 100.0 / F.col("_fcfo_users_total").cast("double"))))
+                                    F.col("_fcfo_users") * PERCENT / F.col("_fcfo_users_total").cast("double"))))
 
     p = fx.pairs
     rebought = F.col("n_reorders") > 0
@@ -93,7 +94,7 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     pair_side = p.groupBy("product_id").agg(
         F.avg(span).alias("product_avg_days_from_first_to_last_order"),
         F.avg(freq).alias("product_order_frequency"),
-        (F.avg(freq) * 7).alias("product_order_per_week"),
+        (F.avg(freq) * DAYS_PER_WEEK).alias("product_order_per_week"),
         count_lines().alias("product_unique_user_count"),
         F.count_if(rebought).alias("product_unique_reorder_user_count"),
         rate(F.count_if(rebought), count_lines()).alias("product_user_reorder_rate"),
