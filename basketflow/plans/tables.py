@@ -144,7 +144,11 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     user_lines = fx.baskets.groupBy("user_id").agg(F.sum("basket_size").alias("user_line_count"))
     product_lines = fx.product_lines.select("product_id", F.col("n").alias("product_line_count"))
     keys = ["user_id", "product_id"]
-    t = (fx.pairs.join(users, "user_id", "left").join(user_lines, "user_id", "left")
+    # The per-user side is combined first (both parts are one row per user)
+    # so the pair data meets it in a single join, which AQE's skew-join
+    # handling can split for a heavy user.
+    per_user = users.join(user_lines, "user_id", "full")
+    t = (fx.pairs.join(per_user, "user_id", "left")
          .join(product_lines, "product_id", "left"))
     t = order_trend(facts.current_streak(t))
     n, umax = F.col("n"), F.col("user_max_order_number")

@@ -103,3 +103,28 @@ def test_no_window_over_pair_lines(hot):
     for parts, _ in _windows(upf):
         keys = [k.split("#")[0] for k in parts.split(", ")]
         assert keys != ["user_id", "product_id"]
+
+
+def test_aqe_splits_the_heavy_user_join(spark, hot):
+    src, _, _ = hot
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        upf = tables.user_product_feature(src)
+        upf.collect()  # same query execution, so the final adaptive plan is visible
+        plan = upf._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
