@@ -21,6 +21,7 @@ order flags look at the order number of any order.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -218,16 +219,20 @@ def stored_table_complete(spark: SparkSession, folder: str) -> bool:
 # application.  Stored tables are immutable once committed (their folder is
 # keyed by input state and code version), so a handle stays valid.
 _RESOLVED: dict[tuple[str, str], DataFrame] = {}
+# One writer per process: queries submitted from several threads must not
+# write the same stored table at the same time.
+STORE_LOCK = threading.RLock()
 
 
 def materialise(spark: SparkSession, path: str, build) -> DataFrame:
     """Write ``build()`` to ``path`` unless a complete copy is there; read it."""
     key = (spark.sparkContext.applicationId, path)
-    if key not in _RESOLVED:
-        if not stored_table_complete(spark, path):
-            build().write.mode("overwrite").parquet(path)
-        _RESOLVED[key] = spark.read.parquet(path)
-    return _RESOLVED[key]
+    with STORE_LOCK:
+        if key not in _RESOLVED:
+            if not stored_table_complete(spark, path):
+                build().write.mode("overwrite").parquet(path)
+            _RESOLVED[key] = spark.read.parquet(path)
+        return _RESOLVED[key]
 
 
 def shared_facts(src: Sources) -> Facts:

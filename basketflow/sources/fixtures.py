@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow.session import ensure_checkpoint_dir
-from basketflow.sources.readers import Sources, _conform, read_parquet_sources
+from basketflow.sources.readers import Sources, _conform
 from basketflow.sources.schema import GAP_TYPE, SCHEMAS
 
 STAR_TABLES = ("orders", "lineitem", "supplier", "nation", "region")
 # Bumped whenever the mapping changes, so stored tables of an older mapping
 # are never reused.
-MAPPING_VERSION = "3"
+MAPPING_VERSION = "4"
 
 MAX_GAP_DAYS = 30
 
@@ -176,24 +176,33 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     re-deriving order numbers and basket lines in every plan.  A table is
     only reused when Spark's commit marker (``_SUCCESS``) is present.
     """
-    from basketflow.plans.facts import stored_table_complete
+    from basketflow.plans.facts import STORE_LOCK, stored_table_complete
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-sources/{_fingerprint(sf_dir)}"
     key = (spark.sparkContext.applicationId, root)
-    if key in _LOADED:
+    with STORE_LOCK:
+        if key not in _LOADED:
+            _LOADED[key] = _load(spark, sf_dir, root, stored_table_complete)
         return _LOADED[key]
-    if not all(stored_table_complete(spark, f"{root}/{name}") for name in SCHEMAS):
+
+
+def _load(spark: SparkSession, sf_dir: str, root: str, complete) -> Sources:
+    line_tables = {"order_products_prior": "prior", "order_products_train": "train"}
+    tables = [n for n in SCHEMAS if n not in line_tables] + ["_lines"]
+    if not all(complete(spark, f"{root}/{name}") for name in tables):
         for name, df in _dimensions(spark, sf_dir).items():
             df.write.mode("overwrite").parquet(f"{root}/{name}")
         _basket_lines(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/_basket")
         lines = spark.read.parquet(f"{root}/_basket")
         _mapped_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(f"{root}/orders")
         orders = spark.read.parquet(f"{root}/orders")
-        # All lines in one pass, split by evaluation set on write.
-        _placed_lines(lines, orders).filter(F.col("eval_set").isin("prior", "train")) \
+        # All lines in one pass, split by evaluation set on write; each line
+        # table is one partition of it (read with partition pruning).
+        _placed_lines(lines, orders).filter(F.col("eval_set").isin(*line_tables.values())) \
             .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered") \
             .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/_lines")
-        for eval_set in ("prior", "train"):
-            (spark.read.parquet(f"{root}/_lines").filter(F.col("eval_set") == eval_set)
-             .drop("eval_set").write.mode("overwrite").parquet(f"{root}/order_products_{eval_set}"))
-    _LOADED[key] = read_parquet_sources(spark, root)
-    return _LOADED[key]
+    frames = {name: _conform(spark.read.parquet(f"{root}/{name}"), name)
+              for name in SCHEMAS if name not in line_tables}
+    stored_lines = spark.read.parquet(f"{root}/_lines")
+    for name, eval_set in line_tables.items():
+        frames[name] = _conform(stored_lines.filter(F.col("eval_set") == eval_set), name)
+    return Sources(**frames, home=root)
