@@ -10,7 +10,6 @@
                     the features need, from one aggregation.
 ``product_lines``   one row per product with every line-level statistic
                     of the product tables (one aggregation of the lines).
-``user_profile``    one row per user with prior orders.
 ``pair_latest_run_start``  latest start of a run of consecutive orders per
                     pair, from which the current streak follows.
 
@@ -112,22 +111,6 @@ def pairs(lines: DataFrame) -> DataFrame:
     )
 
 
-def user_profile(timeline: DataFrame, baskets: DataFrame) -> DataFrame:
-    """Per-user prior-order statistics plus line totals of the user."""
-    prior = timeline.filter(F.col("is_prior"))
-    orders_side = prior.groupBy("user_id").agg(
-        count_lines().alias("user_total_orders"),
-        F.max("order_number").alias("user_max_order_number"),
-        F.count_if(F.col("in_first_half")).alias("first_half_orders"),
-        F.count_if(F.col("in_second_half")).alias("second_half_orders"),
-    )
-    lines_side = baskets.groupBy("user_id").agg(
-        F.sum("basket_size").alias("user_line_count"),
-        F.sum("basket_reorders").alias("user_reorder_lines"),
-    )
-    return orders_side.join(lines_side, "user_id", "left")
-
-
 def product_line_totals(src: Sources) -> DataFrame:
     """Prior lines per product (the denominator of per-product shares)."""
     return src.order_products_prior.groupBy("product_id").agg(count_lines().alias("product_line_count"))
