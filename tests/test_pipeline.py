@@ -37,3 +37,20 @@ def test_csv_source_round_trip(spark, small_sources):
     assert back.order_products_prior.schema == small_sources.order_products_prior.schema
     assert back.order_products_prior.filter("reordered").count() == 3033
     assert back.orders.exceptAll(small_sources.orders).count() == 0
+
+
+def test_build_all_from_csv(spark, small_sources):
+    from pyspark.sql import functions as F
+
+    from basketflow.sources.readers import CSV_FILE_NAMES, read_csv_sources
+    folder = tempfile.mkdtemp(prefix="basketflow-csv-")
+    for name, df in small_sources.as_dict().items():
+        if "reordered" in df.columns:
+            df = df.withColumn("reordered", F.col("reordered").cast("int"))
+        df.coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+    src = read_csv_sources(spark, folder, {k: f"{k}/*.csv" for k in CSV_FILE_NAMES})
+    out = tempfile.mkdtemp(prefix="basketflow-csv-out-")
+    steps = build_all(spark, src, out)
+    assert set(steps) >= {"sources", "facts", "checks", "ml_dataset_final"}
+    assert spark.read.parquet(f"{out}/ml_dataset_final").count() == 4456
+    assert spark.read.parquet(f"{out}/user_product_feature").count() == 1423
