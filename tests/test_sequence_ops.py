@@ -88,3 +88,13 @@ def test_broadcast_only_with_proven_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16m")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_filters_and_projection_reach_the_scan(spark, small_sources):
+    from basketflow.operators import product
+    df = product.p06_product_first_order_count(small_sources)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scan) == 1
+    assert "EqualTo(order_number,1)" in scan[0]                  # pushed into Parquet
+    assert "ReadSchema: struct<product_id:bigint,order_number:int>" in scan[0]  # 2 of ~20 columns
