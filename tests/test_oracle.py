@@ -5,11 +5,13 @@ sf0.01."""
 import pytest
 
 import __spark_entry__ as entry
+from basketflow import registry
+from basketflow.oracle import oracle_sql
 from conftest import SF_SMALL
 from oracle_compare import compare, duckdb_connection
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,11 @@ def test_matches_oracle(spark, con, name):
     assert r["hash_match"]
 
 
+def test_entry_registers_the_library_queries():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 19
