@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import decontam
+from basketflow.llm import bpe, decontam, near_dup, records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +16,21 @@ def op4_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.report(_table(spark, sf_dir, "documents"))
+
+
+def op8_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_fm_decontamination,)}
+    return {f.__name__: f for f in (op4_fm_decontamination, op7_tensored_minhash, op8_record_files,
+                                    op10_bpe_transducer)}
 
 
 # Words of op4: A-Z lower-cased, then runs of digits, a-z and non-ASCII.
@@ -52,5 +66,30 @@ WHERE d.kind = 'd'
 """
 
 
+# Words of op7: A-Z lower-cased, split at ASCII white space.
+_OP7 = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, coalesce(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM listed WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN sizes m ON m.doc_id = p.a JOIN sizes k ON k.doc_id = p.b
+  WHERE 100 * p.both >= 85 * (m.n + k.n - p.both)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM listed
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM listed d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN least_of c ON c.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fm_decontamination": _OP4}
+    return {"op4_fm_decontamination": _OP4, "op7_tensored_minhash": _OP7}
