@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import ann, bpe, decontam, near_dup, records
+from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, near_dup, pseudo_lm, records,
+                            secret_forest)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +17,26 @@ def op1_multiprobe_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.report(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
+def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.report(_table(spark, sf_dir, "documents"))
+
+
 def op4_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_license_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_lm.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.report(_table(spark, sf_dir, "documents"))
 
@@ -28,13 +45,20 @@ def op8_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+QUERIES = (op1_multiprobe_hashing, op2_output_codes, op3_secret_forest, op4_fm_decontamination, op5_license_tfidf,
+           op6_pseudo_likelihood, op7_tensored_minhash, op8_record_files, op9_cotraining, op10_bpe_transducer)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_multiprobe_hashing, op4_fm_decontamination, op7_tensored_minhash,
-                                    op8_record_files, op10_bpe_transducer)}
+    return {f.__name__: f for f in QUERIES}
 
 
 # Words of op4: A-Z lower-cased, then runs of digits, a-z and non-ASCII.
@@ -95,5 +119,42 @@ FROM listed d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN least_of c ON c.doc_
 """
 
 
+def _op5() -> str:
+    rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in license_scan.TEMPLATES)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    terms = f"list_filter(string_split_regex(translate({{}}, '{upper}', '{lower}'), '[^a-z0-9]+'), lambda w: w <> '')"
+    return f"""
+WITH templates(license, t) AS (VALUES {rows}),
+template_terms AS (SELECT license, term, count(*) AS tf
+                   FROM (SELECT license, unnest({terms.format('t')}) AS term FROM templates) GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT term FROM template_terms),
+lines AS (SELECT doc_id, source, generate_subscripts(l, 1) - 1 AS unit, unnest(l) AS line
+          FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents)),
+words AS (SELECT doc_id, source, unit, unnest({terms.format('line')}) AS term FROM lines),
+line_terms AS (SELECT doc_id, unit, term, count(*) AS tf FROM words GROUP BY ALL),
+n_lines AS (SELECT count(DISTINCT (doc_id, unit)) AS n FROM words),
+idf AS (SELECT v.term, ln((1.0 + n) / (1.0 + count(t.term))) + 1 AS idf
+        FROM vocabulary v CROSS JOIN n_lines LEFT JOIN line_terms t ON t.term = v.term GROUP BY v.term, n),
+weights AS (SELECT license, term, tf * idf / sqrt(sum((tf * idf) ^ 2) OVER (PARTITION BY license)) AS w, idf
+            FROM template_terms JOIN idf USING (term)),
+units AS (SELECT * FROM line_terms UNION ALL
+          SELECT doc_id, -1, term, sum(tf) FROM line_terms GROUP BY doc_id, term),
+norms AS (SELECT doc_id, unit, sqrt(sum(CASE WHEN idf IS NULL THEN tf * (ln(1.0 + n) + 1) ^ 2
+                                             ELSE (tf * idf) ^ 2 END)) AS norm
+          FROM units CROSS JOIN n_lines LEFT JOIN idf USING (term) GROUP BY doc_id, unit),
+found AS (SELECT doc_id, unit, license, sum(tf * idf * w) / norm AS s
+          FROM units JOIN weights USING (term) JOIN norms USING (doc_id, unit)
+          GROUP BY doc_id, unit, license, norm HAVING sum(tf * idf * w) / norm >= {license_scan.THRESHOLD}),
+own AS (SELECT doc_id, round(s, 6) AS s, license FROM found WHERE unit >= 0
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 6) DESC, license) = 1),
+dirs AS (SELECT d.source AS dir, round(s, 6) AS s, license FROM found f JOIN documents d USING (doc_id) WHERE unit = -1
+         QUALIFY row_number() OVER (PARTITION BY d.source ORDER BY round(s, 6) DESC, license) = 1)
+SELECT d.doc_id, coalesce(o.license, i.license) AS license, coalesce(o.s, i.s) AS similarity,
+       CASE WHEN o.license IS NOT NULL THEN 'own' WHEN i.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN o.license IS NULL THEN i.dir END AS licence_dir
+FROM documents d LEFT JOIN own o ON o.doc_id = d.doc_id LEFT JOIN dirs i ON i.dir = d.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fm_decontamination": _OP4, "op7_tensored_minhash": _OP7}
+    return {"op4_fm_decontamination": _OP4, "op5_license_tfidf": _op5(), "op7_tensored_minhash": _OP7}
