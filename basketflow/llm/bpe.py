@@ -49,8 +49,9 @@ def byte_characters() -> dict[str, int]:
 class Model:
     """Merges by id pair, bytes by id, and the special strings."""
 
-    def __init__(self, merges: dict[int, tuple[int, int]], token: list[bytes], special: dict[str, int]):
-        self.merges, self.token, self.special = merges, token, special
+    def __init__(self, rank: dict[int, int], made: list[int], token: list[bytes], special: dict[str, int]):
+        """``rank``: of a pair (a << 32 | b); ``made``: its id, by rank."""
+        self.rank, self.made, self.token, self.special = rank, made, token, special
         ids = {t: i for i, t in enumerate(token) if len(t) == 1}
         self.single = [ids[bytes([b])] for b in range(256)]
         names = sorted(special, key=len, reverse=True)
@@ -74,11 +75,9 @@ class Model:
         if spec["normalizer"] or spec["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False,
                                                            "trim_offsets": True, "use_regex": True}:
             raise ValueError("not a plain byte-level BPE")
-        merges = {}
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            merges[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
-        return cls(merges, token, special)
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in spec["model"]["merges"]]
+        rank = {vocab[a] << 32 | vocab[b]: k for k, (a, b) in enumerate(pairs)}
+        return cls(rank, [vocab[a + b] for a, b in pairs], token, special)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank, leftmost first, is
@@ -93,17 +92,17 @@ class Model:
         heap = []
 
         def offer(i: int) -> None:
-            if i >= 0 and after[i] < n and (found := self.merges.get(ids[i] << 32 | ids[after[i]])):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[after[i]], found[1]))
+            if i >= 0 and after[i] < n and (rank := self.rank.get(ids[i] << 32 | ids[after[i]])) is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[after[i]]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i] if ids[i] == a else n
             if j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = self.made[rank], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
@@ -112,16 +111,16 @@ class Model:
         return [i for i in ids if i >= 0]
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        get = self.merges.get
-        while len(ids) > 1:
-            best, at = None, -1
-            for k in range(len(ids) - 1):
-                found = get(ids[k] << 32 | ids[k + 1])
-                if found and (best is None or found[0] < best[0]):
-                    best, at = found, k
-            if best is None:
-                break
-            ids[at:at + 2] = [best[1]]
+        rank, made, none = self.rank, self.made, 1 << 60
+        ranks = [rank.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while (best := min(ranks, default=none)) != none:
+            k = ranks.index(best)  # leftmost
+            ids[k] = new = made[best]
+            del ids[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = rank.get(ids[k - 1] << 32 | new, none)
+            if k < len(ranks):
+                ranks[k] = rank.get(new << 32 | ids[k + 1], none)
         return ids
 
 
@@ -165,7 +164,8 @@ def minimal_automaton(words: list[bytes]) -> tuple[list[dict[int, int]], list[bo
     return next_, final
 
 
-_FILE = ("key", "to", "add", "final", "first", "ids", "pair", "rank", "made", "token_from", "token")
+_FILE = ("key", "to", "add", "final", "first", "ids", "pair", "rank", "made", "token_from",
+         "token")
 _TYPES = {"key": np.int64, "to": np.int32, "add": np.int32, "final": np.uint8, "first": np.int64, "ids": np.uint32,
           "pair": np.int64, "rank": np.int32, "made": np.int32, "token_from": np.int64, "token": np.uint8}
 
@@ -197,10 +197,9 @@ def write_lexicon(path: str, words: list[str], model: Model) -> None:
             add += below[t]
     edges.sort()
     ids = [model.merge(w) for w in coded]
-    merges = sorted((pair, rank, made) for pair, (rank, made) in model.merges.items())
     arrays = {"key": [e[0] for e in edges], "to": [e[1] for e in edges], "add": [e[2] for e in edges], "final": final,
               "first": np.cumsum([0] + [len(x) for x in ids]), "ids": [i for x in ids for i in x],
-              "pair": [m[0] for m in merges], "rank": [m[1] for m in merges], "made": [m[2] for m in merges],
+              "pair": list(model.rank), "rank": list(model.rank.values()), "made": model.made,
               "token_from": np.cumsum([0] + [len(t) for t in model.token]),
               "token": np.frombuffer(b"".join(model.token), np.uint8)}
     arrays = {k: np.asarray(arrays[k], _TYPES[k]) for k in _FILE}
@@ -227,7 +226,7 @@ class Lexicon:
             special = json.loads(f.read(sizes[-1]))
         ends = self.token_from.tolist()
         data = self.token.tobytes()
-        self.model = Model(dict(zip(self.pair.tolist(), zip(self.rank.tolist(), self.made.tolist()))),
+        self.model = Model(dict(zip(self.pair.tolist(), self.rank.tolist())), self.made.tolist(),
                            [data[a:b] for a, b in zip(ends, ends[1:])], special)
 
     def find(self, words: list[bytes]) -> np.ndarray:
@@ -254,18 +253,22 @@ class Lexicon:
         place[(place >= 0) & (self.final[state] == 0)] = -1
         return place
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        special = self.model.special
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and the number of each."""
+        special, merge = self.model.special, self.model.merge
         coded = [w.encode("utf-8") for w in words]
-        out = []
+        first, known = self.first, self.ids
+        out: list[int] = []
+        ends = []
         for w, b, place in zip(words, coded, self.find(coded).tolist()):
             if w in special:
-                out.append([special[w]])
+                out.append(special[w])
             elif place >= 0:
-                out.append(self.ids[self.first[place]:self.first[place + 1]].tolist())
+                out += known[first[place]:first[place + 1]].tolist()
             else:
-                out.append(self.model.merge(b))
-        return out
+                out += merge(b)
+            ends.append(len(out))
+        return np.array(out, np.uint32), np.diff(ends, prepend=0)
 
 
 _SPLIT = regex.compile(PATTERN)

@@ -21,6 +21,7 @@ a lost executor or a second attempt leaves no wrong file in use.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -53,17 +54,72 @@ def cut(text: str | None) -> list[str]:
     return [w for w in _SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
 
 
-_OPEN: dict[str, WordIds] = {}
+class WordEncoder:
+    """Ids of distinct words by the tokenizer, many words in one call.
 
+    Words of letters alone are joined by a line end and told apart by the ids
+    that end a word, if the model marks those; the others are joined by a
+    special token, which then stands between their ids.  A word that holds a
+    special token's text goes alone."""
 
-def _memory(model: str) -> WordIds:
-    if model not in _OPEN:
+    def __init__(self, model: str):
         from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        added = json.loads(model).get("added_tokens", [])
+        plain = [a for a in added if a["special"] and not (a["lstrip"] or a["rstrip"] or a["normalized"] or a["single_word"])]
+        self.mark, self.mark_id = (plain[0]["content"], plain[0]["id"]) if plain else (None, None)
+        self.special = [a["content"] for a in added]
+        # A tokenizer that lower-cases gives A-Z and a-z the same ids.
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.lowers = '"Lowercase"' in json.dumps(json.loads(model).get("normalizer"))
+
+    def words(self, text: str | None) -> list[str]:
+        if text and self.lowers and not any(m[:2] in text for m in self.special):
+            text = text.encode("utf-8").lower().decode("utf-8")  # A-Z only: fewer distinct words
+        return cut(text)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and the number of each."""
+        letters = [k for k, w in enumerate(words) if w.isalpha()] if self.ends_word.any() else []
+        found: list[np.ndarray | None] = [None] * len(words)
+        if letters:
+            ids = self._encode("\n".join([words[k] for k in letters]))
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(letters):
+                if len(letters) == len(words):
+                    return ids, np.diff(ends, prepend=0)
+                for k, a, b in zip(letters, [0, *ends.tolist()], ends.tolist()):
+                    found[k] = ids[a:b]
+        rest = [k for k, f in enumerate(found) if f is None]
+        alone = [k for k in rest if self.mark is None or any(m in words[k] for m in self.special)]
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([words[k] for k in alone], add_special_tokens=False)):
+            found[k] = np.array(e.ids, np.uint32)
+        rest = [k for k in rest if found[k] is None]
+        if rest:
+            ids = self._encode(self.mark.join([*(words[k] for k in rest), ""]))
+            ends = np.flatnonzero(ids == self.mark_id).tolist()
+            for k, a, b in zip(rest, [0, *(e + 1 for e in ends)], ends):
+                found[k] = ids[a:b]
+        return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+
+_OPEN: dict[str, tuple[WordEncoder, WordIds]] = {}
+
+
+def _encoder(model: str) -> tuple[WordEncoder, WordIds]:
+    if model not in _OPEN:
         _OPEN.clear()
-        t = Tokenizer.from_str(model)
-        t.no_truncation()
-        t.no_padding()
-        _OPEN[model] = WordIds(lambda new: [e.ids for e in t.encode_batch(new, add_special_tokens=False)])
+        words = WordEncoder(model)
+        _OPEN[model] = words, WordIds(words.ids)
     return _OPEN[model]
 
 
@@ -143,7 +199,7 @@ def write_records(docs: DataFrame, folder: str, model: str, id_col: str = "doc_i
     wide = vocabulary > 1 << 16
 
     def write(batches):
-        memory = _memory(model)
+        encoder, memory = _encoder(model)
         target, path = _filesystem(folder)
         part = TaskContext.get().partitionId()
         name = f"{path}/{part:06d}-{uuid.uuid4().hex}"
@@ -153,7 +209,7 @@ def write_records(docs: DataFrame, folder: str, model: str, id_col: str = "doc_i
             _, offs = text_buffer(column)
             for i, j in chunks(offs):
                 texts = column.slice(i, j - i).to_pylist()
-                ids, at = memory.encode([cut(t) for t in texts])
+                ids, at = memory.encode([encoder.words(t) for t in texts])
                 if end_id is not None:
                     ids = np.insert(ids, at[1:], end_id)
                     at = at + np.arange(len(at))

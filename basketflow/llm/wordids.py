@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 
+BLOCK = 20_000  # words encoded at a time
+
 
 class WordIds:
     """Ids of the distinct words seen by a task.
 
-    ``encode_new`` maps a list of unseen words to their id sequences.  The
-    memory is emptied when it holds ``limit`` words, which only costs encoding
+    ``encode_new`` maps a list of unseen words to their id sequences: all ids
+    end to end, and the number of each word.  The memory is emptied when it holds ``limit`` words, which only costs encoding
     words again."""
 
-    def __init__(self, encode_new, limit: int = 400_000):
+    def __init__(self, encode_new, limit: int = 1_200_000):
         self.encode_new, self.limit = encode_new, limit
         self._reset()
 
@@ -28,15 +30,13 @@ class WordIds:
         return a if n <= len(a) else np.concatenate((a, np.zeros(max(n - len(a), len(a)), a.dtype)))
 
     def _learn(self, new: list[str]) -> None:
-        found = self.encode_new(new)
-        n, m = len(self.slot), len(new)
-        size = np.fromiter(map(len, found), np.int64, m)
-        total = int(size.sum())
+        ids, size = self.encode_new(new)
+        n, m, total = len(self.slot), len(new), len(ids)
         self.start, self.size = self._room(self.start, n + m), self._room(self.size, n + m)
         self.ids = self._room(self.ids, self.used + total)
         self.start[n:n + m] = self.used + np.cumsum(size) - size
         self.size[n:n + m] = size
-        self.ids[self.used:self.used + total] = [i for ids in found for i in ids]
+        self.ids[self.used:self.used + total] = ids
         self.used += total
         self.slot.update(zip(new, range(n, n + m)))
 
@@ -46,8 +46,8 @@ class WordIds:
             self._reset()
         flat = [w for row in rows for w in row]
         new = [w for w in dict.fromkeys(flat) if w not in self.slot]
-        if new:
-            self._learn(new)
+        for i in range(0, len(new), BLOCK):
+            self._learn(new[i:i + BLOCK])
         at = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
         size = self.size[at]
         ends = np.cumsum(size)
