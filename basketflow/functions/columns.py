@@ -3,7 +3,7 @@ inside whole-stage code generation; no Python runs per row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,9 +43,28 @@ def avg_double(col: Column) -> Column:
     return F.avg(col.cast("double"))
 
 
-def mode_smallest(col: Column) -> Column:
-    """Most frequent value, the smallest one on ties, NULLs skipped.
+def mode_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, out: str) -> DataFrame:
+    """Per ``keys``: the int ``value`` of the largest summed count ``n``, the
+    smallest one on ties, NULL values skipped.
 
-    The aggregate keeps a value -> count map per group and merges partial
-    maps, so it runs map-side before the shuffle like any other aggregate."""
-    return F.mode(col, True)
+    Works on counts by key and value, never on rows, and both aggregations
+    use plain longs, so they stay hash aggregations at any number of groups:
+    count and value are packed into one long (count first, then the value
+    turned around) whose maximum is taken."""
+    by_value = (counts.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(n).alias("_n")))
+    largest = F.lit(2 ** 31 - 1).cast("long")
+    packed = F.col("_n") * F.lit(2 ** 32) + (largest - F.col(value))
+    return by_value.groupBy(*keys).agg(F.max(packed).alias("_best")).select(
+        *keys, (largest - F.pmod("_best", F.lit(2 ** 32))).cast("int").alias(out))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join on ``key`` where NULL equals NULL (group rows of one aggregation
+    met with those of another)."""
+    other = right.withColumnRenamed(key, "_other_key")
+    return left.join(other, F.col(key).eqNullSafe(F.col("_other_key")), how).drop("_other_key")
+
+
+def significant(col: Column, digits: int = 12) -> Column:
+    """Rounded to so many significant digits."""
+    return F.when(col.isNotNull(), F.format_string(f"%.{digits - 1}e", col).cast("double"))

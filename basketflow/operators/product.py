@@ -8,11 +8,11 @@ facts.  Counts are long, rates and averages double, flags and modes int.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.constants import DAYS_PER_WEEK, PERCENT
-from basketflow.functions import avg_double, count_lines, mode_smallest, rate
+from basketflow.functions import avg_double, count_lines, nullif_zero, rate
 from basketflow.operators.sequence import dense_rank_desc
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
@@ -105,13 +105,12 @@ def p08_product_order_span_frequency(src: Sources) -> DataFrame:
 
 
 def p09_product_preferred_order_day(src: Sources) -> DataFrame:
-    return (_lines_with_orders(src, "order_dow").groupBy("product_id")
-            .agg(mode_smallest(F.col("order_dow")).alias("product_preferred_order_day")))
+    return facts.shared_facts(src).product_lines.select("product_id", F.col("mode_dow").alias("product_preferred_order_day"))
 
 
 def p10_product_preferred_order_hour(src: Sources) -> DataFrame:
-    return (_lines_with_orders(src, "order_hour_of_day").groupBy("product_id")
-            .agg(mode_smallest(F.col("order_hour_of_day")).alias("product_preferred_order_hour")))
+    return facts.shared_facts(src).product_lines.select("product_id",
+                                                        F.col("mode_hour").alias("product_preferred_order_hour"))
 
 
 def p11_product_user_reorder_rate(src: Sources) -> DataFrame:
@@ -141,8 +140,7 @@ def relative_cart_position(lines_with_basket: DataFrame) -> DataFrame:
 
 
 def p13_product_avg_cart_position_relative_basket_size(src: Sources) -> DataFrame:
-    lines = _lines(src).withColumn("basket_size", F.count("product_id").over(Window.partitionBy("order_id")))
-    return relative_cart_position(lines)
+    return relative_cart_position(facts.shared_facts(src).lines)
 
 
 def _group_reorder_rate(src: Sources, group: str, out: str) -> DataFrame:
@@ -174,12 +172,14 @@ def p16_product_first_order_reorder_count(src: Sources) -> DataFrame:
 def first_order_buyer_stats(pairs: DataFrame, selector: str, users_col: str,
                             rebuyers_col: str, rate_col: str) -> DataFrame:
     """Buyers whose pair flag ``selector`` is set, how many of them have a
-    reordered line of the product, and the ratio."""
+    reordered line of the product, and the ratio.  Lines without a user have
+    no buyer."""
     chosen = pairs.filter(F.col(selector) == 1)
-    rebuyers = F.count_if(F.col("n_reorders") > 0)
+    buyers = F.count("user_id")
+    rebuyers = F.count_if((F.col("n_reorders") > 0) & F.col("user_id").isNotNull())
     return chosen.groupBy("product_id").agg(
-        count_lines().alias(users_col), rebuyers.alias(rebuyers_col),
-        rate(rebuyers, count_lines()).alias(rate_col))
+        buyers.alias(users_col), rebuyers.alias(rebuyers_col),
+        rate(rebuyers, nullif_zero(buyers)).alias(rate_col))
 
 
 def p17_product_first_order_reorder_rate(src: Sources) -> DataFrame:
@@ -190,7 +190,7 @@ def p17_product_first_order_reorder_rate(src: Sources) -> DataFrame:
 
 def p18_product_repeat_user_count(src: Sources) -> DataFrame:
     return (_pairs(src).filter((F.col("in_first") == 1) & (F.col("in_second") == 1))
-            .groupBy("product_id").agg(count_lines().alias("product_repeat_user_count")))
+            .groupBy("product_id").agg(F.count("user_id").alias("product_repeat_user_count")))
 
 
 def _first_cart_first_order_lines(src: Sources) -> DataFrame:

@@ -1,9 +1,13 @@
 """Data-quality checks as Spark aggregations.
 
-Each check set is one pass over its table (a single ``agg`` of conditional
-counts) and yields a report DataFrame ``(check, bad_rows)``.  A condition
-that evaluates to NULL passes, as in SQL.  ``enforce`` raises on any
-non-zero count; the report itself has one row per check, never per data row.
+The row checks of a table are conditional counts in one aggregation of it;
+comparisons with other tables add an aggregation or an anti join each.  A
+report is ``(check, bad_rows)``.  A condition that evaluates to NULL passes, as
+in SQL.  ``enforce`` raises on any non-zero count; the report itself has one
+row per check, never per data row.
+
+The conditions below are fixed values: they must equal the checks of the
+modelled workload.
 """
 
 from __future__ import annotations
@@ -44,14 +48,22 @@ def _rows(wide: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _difference(name: str, a: DataFrame, b: DataFrame) -> DataFrame:
-    """|a - b| for two one-row, one-column counts."""
-    return (a.crossJoin(b).select(F.lit(name).alias("check"),
-                                  F.abs(F.col("_a") - F.col("_b")).cast("long").alias("bad_rows")))
+    """|a - b| for two one-row, one-column counts (summed with signs, so the
+    two never meet in a product)."""
+    signed = a.select(F.col(a.columns[0]).alias("v")).union(b.select(-F.col(b.columns[0])))
+    return signed.agg(F.abs(F.sum("v")).cast("long").alias("bad_rows")).select(F.lit(name).alias("check"), "bad_rows")
+
+
+def _count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("k"))
 
 
 def user_feature_checks(uf: DataFrame, src: Sources) -> DataFrame:
-    rows = uf.agg(F.count(F.lit(1)).alias("_a"))
-    users = src.orders.filter(F.col("eval_set") == "prior").agg(F.count_distinct("user_id").alias("_b"))
+    # One row per user; COUNT(DISTINCT) leaves a missing user out, as the model
+    # does, so a row without a user counts as a difference.
+    rows = _count(uf)
+    users = _count(src.orders.filter((F.col("eval_set") == "prior") & F.col("user_id").isNotNull())
+                   .select("user_id").distinct())
     c = F.col
     invariants = _report(uf, {
         "user_subset_counts": _any(
@@ -79,8 +91,8 @@ def user_feature_checks(uf: DataFrame, src: Sources) -> DataFrame:
 
 
 def product_feature_checks(pf: DataFrame, src: Sources) -> DataFrame:
-    rows = pf.agg(F.count(F.lit(1)).alias("_a"))
-    products = src.order_products_prior.agg(F.count_distinct("product_id").alias("_b"))
+    rows = _count(pf)
+    products = _count(src.order_products_prior.select("product_id").distinct())
     c = F.col
     invariants = _report(pf, {
         "product_subset_counts": _any(
@@ -110,25 +122,17 @@ def product_feature_checks(pf: DataFrame, src: Sources) -> DataFrame:
 
 def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, src: Sources) -> DataFrame:
     c = F.col
-    rows = upf.agg(F.count(F.lit(1)).alias("_a"))
-    distinct_keys = upf.agg(F.count_distinct(F.struct("user_id", "product_id")).alias("_b"))
     source_pairs = (src.order_products_prior.join(src.orders.select("order_id", "user_id"), "order_id")
-                    .select("user_id", "product_id").distinct().agg(F.count(F.lit(1)).alias("_b")))
-    upf_users = upf.select("user_id").distinct()
-    user_count = upf_users.agg(F.count(F.lit(1)).alias("_a"))
-    uf_rows = uf.agg(F.count(F.lit(1)).alias("_b"))
-    missing_users = upf_users.join(uf.select("user_id"), "user_id", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("user_product_users_in_user_feature"))
-    missing_products = (upf.select("product_id").distinct().join(pf.select("product_id"), "product_id", "left_anti")
-                        .agg(F.count(F.lit(1)).alias("user_product_products_in_product_feature")))
-    share_sums = (upf.groupBy("user_id").agg(F.sum("user_product_order_share").alias("s"))
-                  .agg(F.count_if(F.abs(F.col("s") - 1) > TOLERANCE).alias("user_product_share_sums")))
+                    .select("user_id", "product_id").distinct())
+    missing_users = _count(upf.select("user_id").filter("user_id is not null").distinct()
+                           .join(uf.select("user_id"), "user_id", "left_anti"))
+    missing_products = _count(upf.select("product_id").distinct().join(pf.select("product_id"), "product_id", "left_anti"))
 
     def open_unit(col: str) -> Column:
         return (c(col) <= 0) | (c(col) > 1)
 
     n = c("user_product_order_count")
-    invariants = _report(upf, {
+    conditions = {
         "user_product_rates_in_open_unit": _any(*[open_unit(x) for x in (
             "user_product_order_rate_overall", "user_product_order_rate_since_first",
             "user_product_order_share", "user_share_of_product_orders")]),
@@ -148,22 +152,55 @@ def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, sr
             ~c("user_product_in_first_and_last").isin(0, 1), ~c("user_product_in_last_order").isin(0, 1)),
         "user_product_first_last_implies_last":
             (c("user_product_in_first_and_last") == 1) & (c("user_product_in_last_order") == 0),
-    })
-    return reduce(DataFrame.unionByName, [
-        _difference("user_product_grain", rows, distinct_keys),
-        _difference("user_product_coverage", rows, source_pairs),
-        _difference("user_product_user_count", user_count, uf_rows),
-        _rows(missing_users, ["user_product_users_in_user_feature"]),
-        _rows(missing_products, ["user_product_products_in_product_feature"]),
-        invariants.filter(F.col("check") == "user_product_rates_in_open_unit"),
-        _rows(share_sums, ["user_product_share_sums"]),
-        invariants.filter(F.col("check") != "user_product_rates_in_open_unit"),
-    ])
+    }
+    # One aggregation of the table by pair, then by user, then as a whole,
+    # gives rows, distinct pairs, users, share sums and the row conditions.
+    counts = {name: F.count_if(cond).alias(name) for name, cond in conditions.items()}
+    by_pair = upf.groupBy("user_id", "product_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("user_product_order_share").alias("_share"), *counts.values())
+    by_user = by_pair.groupBy("user_id").agg(
+        F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_pairs"), F.sum("_share").alias("_share"),
+        *[F.sum(name).alias(name) for name in counts])
+    whole = by_user.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_pairs"), F.lit(0)).alias("_pairs"),
+        F.count("user_id").alias("_users"),
+        F.count_if(F.abs(F.col("_share") - 1) > TOLERANCE).alias("user_product_share_sums"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts])
+    whole = whole.withColumn("user_product_grain", F.col("_rows") - F.col("_pairs"))
+    named = ["user_product_grain", "user_product_share_sums", *counts]
+    # Comparisons with other tables: this side's counts, and the others' as
+    # rows of the same shape with a minus sign.
+    ours = whole.unpivot([], ["_rows", "_users"], "check", "v")
+    label = F.when(F.col("check") == "_rows", "user_product_coverage").otherwise("user_product_user_count")
+    theirs = (_count(source_pairs).select(F.lit("user_product_coverage").alias("check"), (-F.col("k")).alias("v"))
+              .union(_count(uf).select(F.lit("user_product_user_count"), -F.col("k"))))
+    compared = (ours.select(label.alias("check"), "v").union(theirs)
+                .groupBy("check").agg(F.abs(F.sum("v")).cast("long").alias("bad_rows")))
+    report = reduce(DataFrame.unionByName, [
+        _rows(whole, named), compared,
+        missing_users.select(F.lit("user_product_users_in_user_feature").alias("check"), F.col("k").alias("bad_rows")),
+        missing_products.select(F.lit("user_product_products_in_product_feature").alias("check"),
+                                F.col("k").alias("bad_rows"))])
+    return _with_verdict(report)
+
+
+def _with_verdict(report: DataFrame) -> DataFrame:
+    """The report with a last row ``ok`` that counts the failed checks (0:
+    all passed)."""
+    flag = report.select("check", "bad_rows", (F.col("bad_rows") != 0).cast("long").alias("failed"))
+    rolled = flag.rollup("check").agg(F.sum("bad_rows").alias("bad_rows"), F.sum("failed").alias("failed"))
+    return rolled.select(F.coalesce("check", F.lit("ok")).alias("check"),
+                         F.when(F.col("check").isNull(), F.col("failed")).otherwise(F.col("bad_rows")).alias("bad_rows"))
 
 
 def key_checks(src: Sources) -> DataFrame:
-    """Primary keys: duplicate or NULL key rows per table."""
-    parts = []
+    """Primary keys: duplicate or NULL key rows per table; and the train lines
+    whose user has the product in several train baskets (``ml_dataset`` takes
+    a label to be unique)."""
+    labels = (src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id")
+              .filter("user_id is not null").groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("k"))
+              .agg(F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).cast("long").alias("bad_rows")))
+    parts = [labels.select(F.lit("key_train_labels").alias("check"), "bad_rows")]
     for table, keys in PRIMARY_KEYS.items():
         df = getattr(src, table)
         null_key = _any(*[F.col(k).isNull() for k in keys])

@@ -36,7 +36,10 @@ def blocked_running_sum(df: DataFrame, key: str, order_col: str, value: Column,
     """Add ``out`` = SUM(value) OVER (PARTITION BY key ORDER BY order_col).
 
     The frame is the default RANGE frame (ties included), which blocks
-    preserve because a block is a function of ``order_col``.
+    preserve because a block is a function of ``order_col``.  ``key`` must
+    not be NULL.  Rows without a position (NULL ``order_col``) must have a
+    ``value`` of 0; they are spread over blocks of their own, so that they
+    count in ``key_sums`` and ``key_maxes``.
 
     ``key_sums`` / ``key_maxes`` map output names to expressions that are
     summed / maximised over all rows of the key.  They are aggregated per
@@ -46,7 +49,9 @@ def blocked_running_sum(df: DataFrame, key: str, order_col: str, value: Column,
     """
     key_sums = key_sums or {}
     key_maxes = key_maxes or {}
-    blocked = df.withColumn("_blk", sequence_block(order_col, block_rows)).withColumn("_val", value)
+    unplaced = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(block_rows))
+    blocked = (df.withColumn("_blk", F.coalesce(sequence_block(order_col, block_rows), unplaced))
+               .withColumn("_val", value))
     in_block = Window.partitionBy(key, "_blk").orderBy(order_col)
     blocked = blocked.withColumn("_in_block", F.sum("_val").over(in_block))
 

@@ -4,8 +4,8 @@ Order-level features aggregate the user's prior orders; line-level ones
 aggregate per-order baskets (``order_baskets``: lines grouped by order on
 data already clustered by order); product-set features aggregate the
 ``pairs`` fact.  Distinct counts of departments and aisles are two-level
-aggregations (group by user and department, then by user), which combine
-map-side instead of expanding every row once per distinct column.
+aggregations (group by user and department, then by user), and modes are taken
+from counts by user and value, so nothing keeps a set or a map per user.
 """
 
 from __future__ import annotations
@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.operators.dimension import broadcast_if_small
 from basketflow.functions.constants import (
     AFTERNOON_HOURS, DAYS_PER_WEEK, EVENING_HOURS, MORNING_HOURS, NIGHT_HOURS, WEEKEND_DAYS,
 )
-from basketflow.functions import avg_double, count_lines, mode_smallest, nullif_zero, rate, share_of
+from basketflow.functions import avg_double, count_lines, join_null_safe, mode_of_counts, nullif_zero, rate, share_of
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
 
@@ -47,7 +46,12 @@ def u02_user_total_orders(src: Sources) -> DataFrame:
 
 def u03_user_reorder_rate(src: Sources) -> DataFrame:
     return _baskets(src).groupBy("user_id").agg(
-        rate(F.sum("basket_reorders"), F.sum("basket_size")).alias("user_reorder_rate"))
+        known_reorder_rate().alias("user_reorder_rate"))
+
+
+def known_reorder_rate() -> F.Column:
+    """Share of reordered lines among those whose flag is known (NULL if none)."""
+    return rate(F.sum("basket_reorders"), nullif_zero(F.sum("basket_known_flags")))
 
 
 def u04_user_total_reorders(src: Sources) -> DataFrame:
@@ -59,16 +63,30 @@ def gap_sum() -> F.Column:
     return F.sum(F.col("days_since_prior_order")).cast("double")
 
 
+def preferred(prior_orders: DataFrame, column: str, out: str) -> DataFrame:
+    """The user's most frequent value of ``column``, the smallest on ties."""
+    counts = prior_orders.groupBy("user_id", column).agg(count_lines().alias("n"))
+    # A user whose values are all unknown has a row, without a value.
+    users = counts.select("user_id").distinct()
+    return join_null_safe(users, mode_of_counts(counts, ["user_id"], column, "n", out), "user_id")
+
+
+def preferred_day(prior_orders: DataFrame) -> DataFrame:
+    return preferred(prior_orders, "order_dow", "user_preferred_order_day")
+
+
+def preferred_hour(prior_orders: DataFrame) -> DataFrame:
+    return preferred(prior_orders, "order_hour_of_day", "user_preferred_order_hour")
+
+
 def order_timing(prior_orders: DataFrame) -> DataFrame:
-    """All order-level user features in one aggregation of prior orders."""
+    """The order-level user features but the modes, in one aggregation."""
     hour, dow = F.col("order_hour_of_day"), F.col("order_dow")
     weekend = dow.isin(*WEEKEND_DAYS)
     orders_minus_one = (count_lines() - 1).cast("double")
     return prior_orders.groupBy("user_id").agg(
         count_lines().alias("user_total_orders"),
         avg_double(F.col("days_since_prior_order")).alias("user_avg_days_between_orders"),
-        mode_smallest(dow).alias("user_preferred_order_day"),
-        mode_smallest(hour).alias("user_preferred_order_hour"),
         share_of(hour.between(*MORNING_HOURS)).alias("user_morning_order_rate"),
         share_of(hour.between(*AFTERNOON_HOURS)).alias("user_afternoon_order_rate"),
         share_of(hour.between(*EVENING_HOURS)).alias("user_evening_order_rate"),
@@ -86,11 +104,12 @@ def u05_user_avg_days_between_orders(src: Sources) -> DataFrame:
 
 
 def u06_user_preferred_order_day(src: Sources) -> DataFrame:
-    return order_timing(_prior_orders(src)).select("user_id", "user_preferred_order_day")
+    return preferred_day(_prior_orders(src))
 
 
 def u07_user_order_hour_profile(src: Sources) -> DataFrame:
-    return order_timing(_prior_orders(src)).select(
+    orders = _prior_orders(src)
+    return join_null_safe(order_timing(orders), preferred_hour(orders), "user_id").select(
         "user_id", "user_preferred_order_hour", "user_morning_order_rate", "user_afternoon_order_rate",
         "user_evening_order_rate", "user_night_order_rate")
 
@@ -111,32 +130,30 @@ def u10_user_order_frequency(src: Sources) -> DataFrame:
 def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column) -> DataFrame:
     """Distinct departments, aisles and products per user, overall and among
     the reordered ones (a pair counts as reordered if any line is).  Only
-    catalogue products count; users without one get NULL counts.
-
-    One aggregation of the pairs: the distinct departments/aisles of a user
-    are kept as sets, which merge map-side and can never exceed the size of
-    the dimension table, however many rows the user has.  ``extra``
-    aggregates over all of the user's pairs ride along (their columns must
-    be on ``pairs``)."""
-    catalogue = broadcast_if_small(
-        products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known")))
-    rows = (pairs.join(catalogue, "product_id", "left")
-            .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
-            .withColumn("rebought", F.col("n_reorders") > 0))
-    rebought = F.col("rebought")
-
-    def distinct(col: str, only_rebought: bool = False) -> F.Column:
-        value = F.when(rebought, F.col(col)) if only_rebought else F.col(col)
-        return F.size(F.collect_set(value)).cast("long")
-
-    per_user = rows.groupBy("user_id").agg(
-        F.count_if(F.col("_known")).alias("user_total_unique_products"),
-        F.count_if(F.col("_known") & rebought).alias("user_reordered_unique_products"),
-        distinct("department_id").alias("user_unique_department_count"),
-        distinct("aisle_id").alias("user_unique_aisle_count"),
-        distinct("department_id", True).alias("user_reordered_department_count"),
-        distinct("aisle_id", True).alias("user_reordered_aisle_count"),
+    catalogue products count; users without one get NULL counts.  Pairs
+    without a user count, but never as reordered (the model meets the two
+    sides by an equality of users).
+
+    The pairs are summed once by user, department and aisle; distinct counts
+    are counts of those sums, first by user and dimension value, then by
+    user.  ``extra`` sums over all of the user's pairs ride along (their
+    columns must be on ``pairs``)."""
+    catalogue = products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known"))
+    rows = pairs.join(catalogue, "product_id", "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+    rebought = F.col("_known") & (F.col("n_reorders") > 0) & F.col("user_id").isNotNull()
+    sums = rows.groupBy("user_id", "department_id", "aisle_id").agg(
+        F.count_if(F.col("_known")).alias("known"), F.count_if(rebought).alias("again"),
         *[expr.alias(name) for name, expr in extra.items()])
+    per_user = sums.groupBy("user_id").agg(
+        F.sum("known").alias("user_total_unique_products"), F.sum("again").alias("user_reordered_unique_products"),
+        *[F.sum(name).alias(name) for name in extra])
+    for column, every, some in (("department_id", "user_unique_department_count", "user_reordered_department_count"),
+                                ("aisle_id", "user_unique_aisle_count", "user_reordered_aisle_count")):
+        named = F.col(column).isNotNull()
+        distinct = (sums.groupBy("user_id", column).agg(F.sum("known").alias("known"), F.sum("again").alias("again"))
+                    .groupBy("user_id").agg(F.count_if(named & (F.col("known") > 0)).alias(every),
+                                            F.count_if(named & (F.col("again") > 0)).alias(some)))
+        per_user = join_null_safe(per_user, distinct, "user_id")
     known = F.col("user_total_unique_products") > 0
 
     def if_known(name: str) -> F.Column:
@@ -178,7 +195,8 @@ def u13_user_first_product_count(src: Sources) -> DataFrame:
 
 def u14_user_products_in_first_and_second(src: Sources) -> DataFrame:
     pairs = facts.shared_facts(src).pairs
-    return (pairs.filter((F.col("in_first") == 1) & (F.col("in_second") == 1)).groupBy("user_id")
+    both = (F.col("in_first") == 1) & (F.col("in_second") == 1) & F.col("user_id").isNotNull()
+    return (pairs.filter(both).groupBy("user_id")
             .agg(count_lines().alias("user_products_in_first_and_second")))
 
 

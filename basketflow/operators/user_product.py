@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions import as_flag, count_lines, nullif_zero, rate
+from basketflow.functions import as_flag, join_null_safe, nullif_zero, rate
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
 
@@ -24,14 +24,7 @@ def _pairs(src: Sources) -> DataFrame:
 
 
 def _user_line_totals(src: Sources) -> DataFrame:
-    return (src.order_products_prior.join(src.orders.select("order_id", "user_id"), "order_id")
-            .groupBy("user_id").agg(count_lines().alias("user_line_count")))
-
-
-def _user_prior_bounds(src: Sources) -> DataFrame:
-    return (src.orders.filter(F.col("eval_set") == "prior").groupBy("user_id")
-            .agg(count_lines().alias("user_total_orders"),
-                 F.max("order_number").alias("user_max_order_number")))
+    return facts.shared_facts(src).baskets.groupBy("user_id").agg(F.sum("basket_size").alias("user_line_count"))
 
 
 def pair_span(pairs: DataFrame) -> DataFrame:
@@ -56,15 +49,14 @@ def up03_user_product_repurchase_interval(src: Sources) -> DataFrame:
 
 
 def up04_user_product_order_share(src: Sources) -> DataFrame:
-    return _pairs(src).join(_user_line_totals(src), "user_id").select(
+    return join_null_safe(_pairs(src), _user_line_totals(src), "user_id", "inner").select(
         *PAIR, F.col("n").alias("user_product_order_count"),
         rate(F.col("n"), F.col("user_line_count")).alias("user_product_order_share"))
 
 
 def up05_user_product_order_rates(src: Sources) -> DataFrame:
-    p = _pairs(src).drop("user_total_orders", "user_max_order_number")
     since_first = (F.col("user_max_order_number") - F.col("first_no") + 1).cast("long")
-    return p.join(_user_prior_bounds(src), "user_id").select(
+    return _pairs(src).filter(F.col("user_total_orders").isNotNull()).select(
         *PAIR, F.col("n").alias("user_product_order_count"),
         rate(F.col("n"), F.col("user_total_orders")).alias("user_product_order_rate_overall"),
         since_first.alias("product_orders_since_first_purchase"),
@@ -72,21 +64,24 @@ def up05_user_product_order_rates(src: Sources) -> DataFrame:
 
 
 def up06_user_share_of_product_orders(src: Sources) -> DataFrame:
-    return _pairs(src).join(facts.product_line_totals(src), "product_id").select(
+    totals = facts.shared_facts(src).product_lines.select("product_id", F.col("n").alias("product_line_count"))
+    return _pairs(src).join(totals, "product_id").select(
         *PAIR, rate(F.col("n"), F.col("product_line_count")).alias("user_share_of_product_orders"))
 
 
 def up07_user_product_reorder_after_first_count(src: Sources) -> DataFrame:
-    return (_pairs(src).filter((F.col("in_first") == 1) & (F.col("n_reorders") > 0))
+    return (_pairs(src).filter((F.col("in_first") == 1) & (F.col("n_reorders") > 0) & F.col("user_id").isNotNull())
             .select("product_id", "user_id",
                     F.col("n_reorders").alias("user_product_reorder_after_first_count")))
 
 
 def up08_user_product_reorder_rate(src: Sources) -> DataFrame:
+    """The model meets reorders and totals by an equality of users, so pairs
+    without a user have no reorders."""
+    reorders = F.when(F.col("user_id").isNotNull(), F.col("n_reorders")).otherwise(F.lit(0))
     return _pairs(src).select(
-        "product_id", "user_id",
-        F.nullif(F.col("n_reorders"), F.lit(0)).alias("user_product_reorder_count"),
-        rate(F.col("n_reorders"), F.col("n")).alias("user_product_reorder_rate"))
+        "product_id", "user_id", F.nullif(reorders, F.lit(0)).alias("user_product_reorder_count"),
+        rate(reorders, F.col("n")).alias("user_product_reorder_rate"))
 
 
 def up09_user_product_in_first_and_last(src: Sources) -> DataFrame:

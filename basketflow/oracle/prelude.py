@@ -2,10 +2,14 @@
 ``basketflow.sources.fixtures``) plus helper relations of the basket model.
 
 Canonical tables get a ``bf_`` prefix so they never shadow the star-schema
-views (``orders`` is a view of the star schema).
+views (``orders`` is a view of the star schema).  ``MAPPING_CTES`` give the six
+inputs (``BASE_TABLES``), ``MODEL_CTES`` what the statements derive from them.
 """
 
-PRELUDE_CTES = """
+BASE_TABLES = {"aisles": "bf_aisles", "departments": "bf_departments", "orders": "bf_orders",
+               "products": "bf_products", "order_products_prior": "bf_prior", "order_products_train": "bf_train"}
+
+MAPPING_CTES = """
 bf_aisles AS (
   SELECT CAST(n_nationkey AS INTEGER) AS aisle_id, n_name AS aisle FROM nation),
 bf_departments AS (
@@ -23,7 +27,6 @@ bf_seq AS (
          LAG(CAST(o_orderdate AS DATE)) OVER w AS prev_date,
          COUNT(*) OVER (PARTITION BY o_custkey) AS n_orders
   FROM orders
-  WHERE o_orderkey IN (SELECT order_id FROM bf_basket)
   WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey)),
 bf_orders AS (
   SELECT order_id, user_id,
@@ -33,8 +36,7 @@ bf_orders AS (
          CAST(rn AS INTEGER) AS order_number,
          CAST(dayofweek(order_date) AS INTEGER) AS order_dow,
          CAST(order_id % 24 AS INTEGER) AS order_hour_of_day,
-         CAST(CASE WHEN prev_date IS NOT NULL THEN LEAST(date_diff('day', prev_date, order_date), 30) END
-              AS DECIMAL(10,2)) AS days_since_prior_order
+         CAST(date_diff('day', prev_date, order_date) AS DECIMAL(10,2)) AS days_since_prior_order
   FROM bf_seq),
 bf_all_lines AS (
   SELECT b.order_id, b.product_id,
@@ -49,7 +51,10 @@ bf_flagged AS (
 bf_prior AS (
   SELECT order_id, product_id, add_to_cart_order, reordered FROM bf_flagged WHERE eval_set = 'prior'),
 bf_train AS (
-  SELECT order_id, product_id, add_to_cart_order, reordered FROM bf_flagged WHERE eval_set = 'train'),
+  SELECT order_id, product_id, add_to_cart_order, reordered FROM bf_flagged WHERE eval_set = 'train')
+"""
+
+MODEL_CTES = """
 bf_lines AS (
   SELECT l.order_id, l.product_id, l.add_to_cart_order, l.reordered, o.user_id, o.eval_set,
          o.order_number, o.order_dow, o.order_hour_of_day, o.days_since_prior_order

@@ -2,67 +2,73 @@
 
 Each feature is a *part*: a SELECT over the prelude relations (and possibly
 other parts), with its output columns.  Parts are unrounded; only the final
-projection of a statement rounds double columns to 6 decimals, like the
-Spark registry does.  Tables and checks are composed from the parts.
+projection of a statement rounds the doubles that depend on the order of
+summation, like the Spark registry does.  Tables and checks are composed from
+the parts.
+
+Output names, their order and the check conditions are fixed values: they are
+the definition that is being tested.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from basketflow.oracle.prelude import PRELUDE_CTES
+from basketflow.oracle.prelude import MAPPING_CTES, MODEL_CTES
+from basketflow.sources.schema import (
+    ML_DATASET_COLUMNS, ORDER_DEPENDENT_COLUMNS, PRODUCT_FEATURE_COLUMNS, USER_FEATURE_COLUMNS,
+    USER_PRODUCT_FEATURE_COLUMNS,
+)
 
 
 @dataclass(frozen=True)
 class Part:
     sql: str
-    cols: str  # comma separated; ":d" marks a double column
+    cols: str  # comma separated
     deps: tuple[str, ...] = field(default_factory=tuple)
 
-    def columns(self) -> list[tuple[str, bool]]:
-        out = []
-        for item in self.cols.split(","):
-            item = item.strip()
-            out.append((item[:-2], True) if item.endswith(":d") else (item, False))
-        return out
+    def columns(self) -> list[str]:
+        return [item.strip() for item in self.cols.split(",")]
 
 
 def _mode(key: str, value: str, source: str, alias: str) -> str:
-    """Most frequent value per key, smallest value on ties, NULLs skipped."""
+    """Most frequent value per key, smallest value on ties; NULL only if the
+    key has no other value."""
     return f"""SELECT {key}, {value} AS {alias} FROM (
-      SELECT {key}, {value}, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY COUNT(*) DESC, {value}) AS pick
-      FROM {source} WHERE {value} IS NOT NULL GROUP BY {key}, {value}) WHERE pick = 1"""
+      SELECT {key}, {value},
+             ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {value} IS NULL, COUNT(*) DESC, {value}) AS pick
+      FROM {source} GROUP BY {key}, {value}) WHERE pick = 1"""
 
 
 P: dict[str, Part] = {}
 
 # ---------------------------------------------------------------- products
 P["p01"] = Part("""SELECT product_id, AVG(CAST(reordered AS INTEGER)) AS product_reorder_rate
-  FROM bf_prior GROUP BY product_id""", "product_id, product_reorder_rate:d")
+  FROM bf_prior GROUP BY product_id""", "product_id, product_reorder_rate")
 P["p02"] = Part("""SELECT product_id, COUNT(*) AS product_order_count FROM bf_prior GROUP BY product_id""",
                 "product_id, product_order_count")
 for key, grp, out in (("p03", "aisle_id", "aisle_avg_product_order_count"),
                       ("p04", "department_id", "department_avg_product_order_count")):
-    P[key] = Part(f"""SELECT product_id, {grp}, AVG(k) OVER (PARTITION BY {grp}) AS {out} FROM (
+    P[key] = Part(f"""SELECT product_id, {grp}, AVG(CAST(k AS DOUBLE)) OVER (PARTITION BY {grp}) AS {out} FROM (
       SELECT l.product_id, c.{grp}, COUNT(*) AS k FROM bf_prior l JOIN bf_products c ON c.product_id = l.product_id
-      GROUP BY l.product_id, c.{grp})""", f"product_id, {grp}, {out}:d")
+      GROUP BY l.product_id, c.{grp})""", f"product_id, {grp}, {out}")
 P["p05"] = Part("""SELECT product_id, COUNT(*) AS product_reorder_count FROM bf_prior WHERE reordered
   GROUP BY product_id""", "product_id, product_reorder_count")
 P["p06"] = Part("""SELECT product_id, COUNT(*) AS product_first_order_count FROM bf_lines WHERE order_number = 1
   GROUP BY product_id""", "product_id, product_first_order_count")
 P["p07"] = Part("""SELECT product_id, AVG(CAST(days_since_prior_order AS DOUBLE)) AS product_avg_days_between_orders
-  FROM bf_lines GROUP BY product_id""", "product_id, product_avg_days_between_orders:d")
+  FROM bf_lines GROUP BY product_id""", "product_id, product_avg_days_between_orders")
 P["pair_span"] = Part("""SELECT pb.user_id, pb.product_id, pb.n,
       CAST(cl.cum_days - cf.cum_days AS DOUBLE) AS span
   FROM bf_pair_base pb
   JOIN bf_cum cf ON cf.user_id = pb.user_id AND cf.order_number = pb.first_no
-  JOIN bf_cum cl ON cl.user_id = pb.user_id AND cl.order_number = pb.last_no""", "user_id, product_id, n, span:d")
+  JOIN bf_cum cl ON cl.user_id = pb.user_id AND cl.order_number = pb.last_no""", "user_id, product_id, n, span")
 P["p08"] = Part("""SELECT product_id, AVG(span) AS product_avg_days_from_first_to_last_order,
       AVG(CAST(n - 1 AS DOUBLE) / NULLIF(span, 0)) AS product_order_frequency,
       AVG(CAST(n - 1 AS DOUBLE) / NULLIF(span, 0)) * 7 AS product_order_per_week
   FROM pair_span GROUP BY product_id""",
-                "product_id, product_avg_days_from_first_to_last_order:d, product_order_frequency:d, "
-                "product_order_per_week:d", ("pair_span",))
+                "product_id, product_avg_days_from_first_to_last_order, product_order_frequency, "
+                "product_order_per_week", ("pair_span",))
 P["p09"] = Part(_mode("product_id", "order_dow", "bf_lines", "product_preferred_order_day"),
                 "product_id, product_preferred_order_day")
 P["p10"] = Part(_mode("product_id", "order_hour_of_day", "bf_lines", "product_preferred_order_hour"),
@@ -74,19 +80,19 @@ P["p11"] = Part("""SELECT l.product_id, COUNT(DISTINCT o.user_id) AS product_uni
         AS product_user_reorder_rate
   FROM bf_prior l LEFT JOIN bf_orders o ON o.order_id = l.order_id GROUP BY l.product_id""",
                 "product_id, product_unique_user_count, product_unique_reorder_user_count, "
-                "product_user_reorder_rate:d")
+                "product_user_reorder_rate")
 P["p12"] = Part("""SELECT product_id, AVG(add_to_cart_order) AS product_avg_cart_position FROM bf_prior
-  GROUP BY product_id""", "product_id, product_avg_cart_position:d")
+  GROUP BY product_id""", "product_id, product_avg_cart_position")
 P["p13"] = Part("""SELECT product_id,
       AVG(CAST(add_to_cart_order AS DOUBLE) / basket) AS product_avg_cart_position_relative_basket_size
   FROM (SELECT product_id, add_to_cart_order, COUNT(*) OVER (PARTITION BY order_id) AS basket FROM bf_prior)
-  GROUP BY product_id""", "product_id, product_avg_cart_position_relative_basket_size:d")
+  GROUP BY product_id""", "product_id, product_avg_cart_position_relative_basket_size")
 for key, grp, out in (("p14", "aisle_id", "aisle_product_reorder_rate"),
                       ("p15", "department_id", "department_product_reorder_rate")):
     P[key] = Part(f"""SELECT c.product_id, g.r AS {out} FROM bf_products c LEFT JOIN (
       SELECT d.{grp}, CAST(COUNT(*) FILTER (WHERE l.reordered) AS DOUBLE) / COUNT(*) AS r
       FROM bf_prior l JOIN bf_products d ON d.product_id = l.product_id GROUP BY d.{grp}) g
-    ON g.{grp} = c.{grp}""", f"product_id, {out}:d")
+    ON g.{grp} = c.{grp}""", f"product_id, {out}")
 P["p16"] = Part("""SELECT product_id, COUNT(*) AS product_first_order_reorder_count FROM bf_prior
   WHERE reordered AND product_id IN (SELECT product_id FROM bf_lines WHERE order_number = 1)
   GROUP BY product_id""", "product_id, product_first_order_reorder_count")
@@ -96,20 +102,20 @@ P["p17"] = Part("""SELECT f.product_id, COUNT(*) AS product_first_order_user_cou
   FROM bf_first_pairs f JOIN bf_pair_base pb ON pb.user_id = f.user_id AND pb.product_id = f.product_id
   GROUP BY f.product_id""",
                 "product_id, product_first_order_user_count, product_first_order_reorder_user_count, "
-                "product_first_order_reorder_rate:d")
-P["p18"] = Part("""SELECT product_id, COUNT(*) AS product_repeat_user_count FROM (
+                "product_first_order_reorder_rate")
+P["p18"] = Part("""SELECT product_id, COUNT(user_id) AS product_repeat_user_count FROM (
     SELECT user_id, product_id FROM bf_first_pairs INTERSECT SELECT user_id, product_id FROM bf_second_pairs)
   GROUP BY product_id""", "product_id, product_repeat_user_count")
 P["p19"] = Part("""SELECT product_id, k AS product_first_cart_first_order_count,
       CAST(k AS DOUBLE) * 100.0 / CAST(SUM(k) OVER () AS DOUBLE) AS product_first_cart_first_order_pct
   FROM (SELECT product_id, COUNT(*) AS k FROM bf_lines WHERE order_number = 1 AND add_to_cart_order = 1
         GROUP BY product_id)""", "product_id, product_first_cart_first_order_count, "
-                                 "product_first_cart_first_order_pct:d")
+                                 "product_first_cart_first_order_pct")
 P["p20"] = Part("""SELECT product_id, k AS product_first_cart_first_order_user_count,
       CAST(k AS DOUBLE) * 100.0 / CAST(SUM(k) OVER () AS DOUBLE) AS product_first_cart_first_order_user_pct
   FROM (SELECT product_id, COUNT(user_id) AS k FROM bf_lines WHERE order_number = 1 AND add_to_cart_order = 1
         GROUP BY product_id)""", "product_id, product_first_cart_first_order_user_count, "
-                                 "product_first_cart_first_order_user_pct:d")
+                                 "product_first_cart_first_order_user_pct")
 P["first_cart_pairs"] = Part("""SELECT DISTINCT user_id, product_id FROM bf_lines
   WHERE order_number = 1 AND add_to_cart_order = 1""", "user_id, product_id")
 P["p21"] = Part("""SELECT f.product_id, COUNT(*) AS product_first_cart_first_order_user_count,
@@ -118,7 +124,7 @@ P["p21"] = Part("""SELECT f.product_id, COUNT(*) AS product_first_cart_first_ord
   FROM first_cart_pairs f JOIN bf_pair_base pb ON pb.user_id = f.user_id AND pb.product_id = f.product_id
   GROUP BY f.product_id""",
                 "product_id, product_first_cart_first_order_user_count, product_first_order_reorder_user_count, "
-                "product_first_order_reorder_rate:d", ("first_cart_pairs",))
+                "product_first_order_reorder_rate", ("first_cart_pairs",))
 P["p22"] = Part("""SELECT d.product_id,
       CASE WHEN d.product_id IN (SELECT product_id FROM bf_first_pairs)
             AND d.product_id IN (SELECT product_id FROM bf_last_pairs) THEN 1 ELSE 0 END
@@ -140,32 +146,34 @@ P["p25"] = Part("""SELECT k.product_id,
 
 # ------------------------------------------------------ user x product
 P["up01"] = Part("""SELECT user_id, product_id, AVG(add_to_cart_order) AS user_product_avg_cart_position
-  FROM bf_lines GROUP BY user_id, product_id""", "user_id, product_id, user_product_avg_cart_position:d")
+  FROM bf_lines GROUP BY user_id, product_id""", "user_id, product_id, user_product_avg_cart_position")
 P["up02"] = Part("""SELECT user_id, product_id, AVG(CAST(days_since_prior_order AS DOUBLE)) AS user_order_tempo
-  FROM bf_lines GROUP BY user_id, product_id""", "user_id, product_id, user_order_tempo:d")
+  FROM bf_lines GROUP BY user_id, product_id""", "user_id, product_id, user_order_tempo")
 P["up03"] = Part("""SELECT user_id, product_id, span AS user_product_days_from_first_to_last,
       span / NULLIF(n - 1, 0) AS user_product_avg_repurchase_interval FROM pair_span""",
-                 "user_id, product_id, user_product_days_from_first_to_last:d, "
-                 "user_product_avg_repurchase_interval:d", ("pair_span",))
+                 "user_id, product_id, user_product_days_from_first_to_last, "
+                 "user_product_avg_repurchase_interval", ("pair_span",))
 P["up04"] = Part("""SELECT user_id, product_id, n AS user_product_order_count,
-      CAST(n AS DOUBLE) / SUM(n) OVER (PARTITION BY user_id) AS user_product_order_share FROM bf_pair_base""",
-                 "user_id, product_id, user_product_order_count, user_product_order_share:d")
+      CAST(n AS DOUBLE) / CAST(SUM(n) OVER (PARTITION BY user_id) AS DOUBLE) AS user_product_order_share
+  FROM bf_pair_base""",
+                 "user_id, product_id, user_product_order_count, user_product_order_share")
 P["up05"] = Part("""SELECT pb.user_id, pb.product_id, pb.n AS user_product_order_count,
       CAST(pb.n AS DOUBLE) / b.total_orders AS user_product_order_rate_overall,
       CAST(b.max_no - pb.first_no + 1 AS BIGINT) AS product_orders_since_first_purchase,
       CAST(pb.n AS DOUBLE) / (b.max_no - pb.first_no + 1) AS user_product_order_rate_since_first
   FROM bf_pair_base pb JOIN bf_user_bounds b ON b.user_id = pb.user_id""",
-                 "user_id, product_id, user_product_order_count, user_product_order_rate_overall:d, "
-                 "product_orders_since_first_purchase, user_product_order_rate_since_first:d")
+                 "user_id, product_id, user_product_order_count, user_product_order_rate_overall, "
+                 "product_orders_since_first_purchase, user_product_order_rate_since_first")
 P["up06"] = Part("""SELECT user_id, product_id,
-      CAST(n AS DOUBLE) / SUM(n) OVER (PARTITION BY product_id) AS user_share_of_product_orders
-  FROM bf_pair_base""", "user_id, product_id, user_share_of_product_orders:d")
+      CAST(n AS DOUBLE) / CAST(SUM(n) OVER (PARTITION BY product_id) AS DOUBLE) AS user_share_of_product_orders
+  FROM bf_pair_base""", "user_id, product_id, user_share_of_product_orders")
 P["up07"] = Part("""SELECT pb.product_id, pb.user_id, pb.n_re AS user_product_reorder_after_first_count
   FROM bf_pair_base pb JOIN bf_first_pairs f ON f.user_id = pb.user_id AND f.product_id = pb.product_id
   WHERE pb.n_re > 0""", "product_id, user_id, user_product_reorder_after_first_count")
-P["up08"] = Part("""SELECT product_id, user_id, NULLIF(n_re, 0) AS user_product_reorder_count,
-      CAST(n_re AS DOUBLE) / n AS user_product_reorder_rate FROM bf_pair_base""",
-                 "product_id, user_id, user_product_reorder_count, user_product_reorder_rate:d")
+P["up08"] = Part("""SELECT t.product_id, t.user_id, NULLIF(r.n_re, 0) AS user_product_reorder_count,
+      CAST(COALESCE(r.n_re, 0) AS DOUBLE) / t.n AS user_product_reorder_rate
+  FROM bf_pair_base t LEFT JOIN bf_pair_base r ON r.product_id = t.product_id AND r.user_id = t.user_id""",
+                 "product_id, user_id, user_product_reorder_count, user_product_reorder_rate")
 P["both_first_last"] = Part("""SELECT user_id, product_id FROM bf_first_pairs
   INTERSECT SELECT user_id, product_id FROM bf_last_pairs""", "user_id, product_id")
 P["up09"] = Part("""SELECT pb.product_id, pb.user_id,
@@ -197,22 +205,22 @@ P["up13"] = Part("""SELECT ph.user_id, ph.product_id,
                COUNT(*) FILTER (WHERE o.order_number <= b.max_no / 2.0) AS early,
                COUNT(*) FILTER (WHERE o.order_number > b.max_no / 2.0) AS late
         FROM bf_prior_orders o JOIN bf_user_bounds b ON b.user_id = o.user_id GROUP BY o.user_id) h
-    ON h.user_id = ph.user_id""", "user_id, product_id, user_product_order_trend:d")
+    ON h.user_id = ph.user_id""", "user_id, product_id, user_product_order_trend")
 P["up14"] = Part("""SELECT pb.user_id, pb.product_id,
       CAST(cu.cum_days - cp.cum_days AS DOUBLE) AS user_product_days_since_last_order
   FROM bf_pair_base pb JOIN bf_user_bounds b ON b.user_id = pb.user_id
   JOIN bf_cum cu ON cu.user_id = pb.user_id AND cu.order_number = b.max_no
   JOIN bf_cum cp ON cp.user_id = pb.user_id AND cp.order_number = pb.last_no""",
-                 "user_id, product_id, user_product_days_since_last_order:d")
+                 "user_id, product_id, user_product_days_since_last_order")
 
 # ------------------------------------------------------------------ users
-P["u01"] = Part("""SELECT user_id, AVG(k) AS user_avg_basket_size, STDDEV_SAMP(k) AS user_basket_size_stddev
+P["u01"] = Part("""SELECT user_id, AVG(CAST(k AS DOUBLE)) AS user_avg_basket_size, STDDEV_SAMP(k) AS user_basket_size_stddev
   FROM (SELECT user_id, order_id, COUNT(*) AS k FROM bf_lines GROUP BY user_id, order_id) GROUP BY user_id""",
-                "user_id, user_avg_basket_size:d, user_basket_size_stddev:d")
+                "user_id, user_avg_basket_size, user_basket_size_stddev")
 P["u02"] = Part("""SELECT user_id, COUNT(*) AS user_total_orders FROM bf_prior_orders GROUP BY user_id""",
                 "user_id, user_total_orders")
 P["u03"] = Part("""SELECT user_id, AVG(CAST(reordered AS INTEGER)) AS user_reorder_rate FROM bf_lines
-  GROUP BY user_id""", "user_id, user_reorder_rate:d")
+  GROUP BY user_id""", "user_id, user_reorder_rate")
 P["u04"] = Part("""SELECT user_id, COUNT(*) AS user_total_reorders FROM bf_lines WHERE reordered
   GROUP BY user_id""", "user_id, user_total_reorders")
 P["timing"] = Part("""SELECT user_id,
@@ -230,11 +238,11 @@ P["timing"] = Part("""SELECT user_id,
       CAST(COUNT(*) - 1 AS DOUBLE) / NULLIF(CAST(SUM(days_since_prior_order) AS DOUBLE), 0)
         AS user_order_frequency
   FROM bf_prior_orders GROUP BY user_id""",
-                   "user_id, user_avg_days_between_orders:d, user_morning_order_rate:d, "
-                   "user_afternoon_order_rate:d, user_evening_order_rate:d, user_night_order_rate:d, "
-                   "user_weekend_order_rate:d, user_weekday_order_rate:d, user_total_days_active:d, "
-                   "user_orders_per_week:d, user_order_frequency:d")
-P["u05"] = Part("SELECT user_id, user_avg_days_between_orders FROM timing", "user_id, user_avg_days_between_orders:d",
+                   "user_id, user_avg_days_between_orders, user_morning_order_rate, "
+                   "user_afternoon_order_rate, user_evening_order_rate, user_night_order_rate, "
+                   "user_weekend_order_rate, user_weekday_order_rate, user_total_days_active, "
+                   "user_orders_per_week, user_order_frequency")
+P["u05"] = Part("SELECT user_id, user_avg_days_between_orders FROM timing", "user_id, user_avg_days_between_orders",
                 ("timing",))
 P["u06"] = Part(_mode("user_id", "order_dow", "bf_prior_orders", "user_preferred_order_day"),
                 "user_id, user_preferred_order_day")
@@ -242,29 +250,31 @@ P["hour_mode"] = Part(_mode("user_id", "order_hour_of_day", "bf_prior_orders", "
                       "user_id, user_preferred_order_hour")
 P["u07"] = Part("""SELECT t.user_id, h.user_preferred_order_hour, t.user_morning_order_rate,
       t.user_afternoon_order_rate, t.user_evening_order_rate, t.user_night_order_rate
-  FROM timing t JOIN hour_mode h ON h.user_id = t.user_id""",
-                "user_id, user_preferred_order_hour, user_morning_order_rate:d, user_afternoon_order_rate:d, "
-                "user_evening_order_rate:d, user_night_order_rate:d", ("timing", "hour_mode"))
+  FROM timing t JOIN hour_mode h ON h.user_id IS NOT DISTINCT FROM t.user_id""",
+                "user_id, user_preferred_order_hour, user_morning_order_rate, user_afternoon_order_rate, "
+                "user_evening_order_rate, user_night_order_rate", ("timing", "hour_mode"))
 P["u08"] = Part("SELECT user_id, user_weekend_order_rate, user_weekday_order_rate FROM timing",
-                "user_id, user_weekend_order_rate:d, user_weekday_order_rate:d", ("timing",))
+                "user_id, user_weekend_order_rate, user_weekday_order_rate", ("timing",))
 P["u09"] = Part("SELECT user_id, user_total_days_active, user_orders_per_week FROM timing",
-                "user_id, user_total_days_active:d, user_orders_per_week:d", ("timing",))
-P["u10"] = Part("SELECT user_id, user_order_frequency FROM timing", "user_id, user_order_frequency:d", ("timing",))
-P["u11"] = Part("""SELECT l.user_id,
-      COUNT(DISTINCT c.department_id) AS user_unique_department_count,
-      COUNT(DISTINCT c.aisle_id) AS user_unique_aisle_count,
-      COUNT(DISTINCT l.product_id) AS user_total_unique_products,
-      CASE WHEN BOOL_OR(l.reordered) THEN COUNT(DISTINCT c.department_id) FILTER (WHERE l.reordered) END
-        AS user_reordered_department_count,
-      CASE WHEN BOOL_OR(l.reordered) THEN COUNT(DISTINCT c.aisle_id) FILTER (WHERE l.reordered) END
-        AS user_reordered_aisle_count,
-      COUNT(DISTINCT l.product_id) FILTER (WHERE l.reordered) AS user_reordered_unique_products,
-      CAST(COUNT(DISTINCT l.product_id) FILTER (WHERE l.reordered) AS DOUBLE) / COUNT(DISTINCT l.product_id)
+                "user_id, user_total_days_active, user_orders_per_week", ("timing",))
+P["u10"] = Part("SELECT user_id, user_order_frequency FROM timing", "user_id, user_order_frequency", ("timing",))
+P["u11"] = Part("""SELECT t.user_id, t.user_unique_department_count, t.user_unique_aisle_count,
+      t.user_total_unique_products, r.user_reordered_department_count, r.user_reordered_aisle_count,
+      COALESCE(r.user_reordered_unique_products, 0) AS user_reordered_unique_products,
+      CAST(COALESCE(r.user_reordered_unique_products, 0) AS DOUBLE) / t.user_total_unique_products
         AS user_reorder_diversity_rate
-  FROM bf_lines l JOIN bf_products c ON c.product_id = l.product_id GROUP BY l.user_id""",
+  FROM (SELECT l.user_id, COUNT(DISTINCT c.department_id) AS user_unique_department_count,
+               COUNT(DISTINCT c.aisle_id) AS user_unique_aisle_count,
+               COUNT(DISTINCT l.product_id) AS user_total_unique_products
+        FROM bf_lines l JOIN bf_products c ON c.product_id = l.product_id GROUP BY l.user_id) t
+  LEFT JOIN (SELECT l.user_id, COUNT(DISTINCT c.department_id) AS user_reordered_department_count,
+                    COUNT(DISTINCT c.aisle_id) AS user_reordered_aisle_count,
+                    COUNT(DISTINCT l.product_id) AS user_reordered_unique_products
+             FROM bf_lines l JOIN bf_products c ON c.product_id = l.product_id WHERE l.reordered
+             GROUP BY l.user_id) r ON r.user_id = t.user_id""",
                 "user_id, user_unique_department_count, user_unique_aisle_count, user_total_unique_products, "
                 "user_reordered_department_count, user_reordered_aisle_count, user_reordered_unique_products, "
-                "user_reorder_diversity_rate:d")
+                "user_reorder_diversity_rate")
 P["u12"] = Part("""SELECT l.user_id, COUNT(*) AS user_last_product_count
   FROM bf_lines l JOIN bf_user_bounds b ON b.user_id = l.user_id AND l.order_number = b.max_no
   GROUP BY l.user_id""", "user_id, user_last_product_count")
@@ -286,8 +296,10 @@ P["t1"] = Part("""SELECT s.user_id, u01.user_avg_basket_size, u01.user_basket_si
       tm.user_night_order_rate, tm.user_weekend_order_rate, tm.user_weekday_order_rate,
       tm.user_total_days_active, tm.user_orders_per_week, tm.user_order_frequency,
       u11.user_unique_department_count, u11.user_unique_aisle_count, u11.user_total_unique_products,
-      COALESCE(u11.user_reordered_department_count, 0) AS user_reordered_department_count,
-      COALESCE(u11.user_reordered_aisle_count, 0) AS user_reordered_aisle_count,
+      CASE WHEN u11.user_id IS NOT NULL THEN COALESCE(u11.user_reordered_department_count, 0) END
+        AS user_reordered_department_count,
+      CASE WHEN u11.user_id IS NOT NULL THEN COALESCE(u11.user_reordered_aisle_count, 0) END
+        AS user_reordered_aisle_count,
       u11.user_reordered_unique_products, u11.user_reorder_diversity_rate,
       u12.user_last_product_count, u13.user_first_product_count,
       CASE WHEN u02.user_total_orders >= 2 THEN COALESCE(u14.user_products_in_first_and_second, 0) END
@@ -299,17 +311,7 @@ P["t1"] = Part("""SELECT s.user_id, u01.user_avg_basket_size, u01.user_basket_si
   LEFT JOIN timing tm ON tm.user_id = s.user_id LEFT JOIN u06 ON u06.user_id = s.user_id
   LEFT JOIN hour_mode ON hour_mode.user_id = s.user_id LEFT JOIN u11 ON u11.user_id = s.user_id
   LEFT JOIN u12 ON u12.user_id = s.user_id LEFT JOIN u13 ON u13.user_id = s.user_id
-  LEFT JOIN u14 ON u14.user_id = s.user_id LEFT JOIN u15 ON u15.user_id = s.user_id""",
-               "user_id, user_avg_basket_size:d, user_basket_size_stddev:d, user_total_orders, "
-               "user_reorder_rate:d, user_total_reorders, user_avg_days_between_orders:d, "
-               "user_preferred_order_day, user_preferred_order_hour, user_morning_order_rate:d, "
-               "user_afternoon_order_rate:d, user_evening_order_rate:d, user_night_order_rate:d, "
-               "user_weekend_order_rate:d, user_weekday_order_rate:d, user_total_days_active:d, "
-               "user_orders_per_week:d, user_order_frequency:d, user_unique_department_count, "
-               "user_unique_aisle_count, user_total_unique_products, user_reordered_department_count, "
-               "user_reordered_aisle_count, user_reordered_unique_products, user_reorder_diversity_rate:d, "
-               "user_last_product_count, user_first_product_count, user_products_in_first_and_second, "
-               "user_products_in_first_and_last", _T1_DEPS)
+  LEFT JOIN u14 ON u14.user_id = s.user_id LEFT JOIN u15 ON u15.user_id = s.user_id""", ", ".join(USER_FEATURE_COLUMNS), _T1_DEPS)
 
 _T2_DEPS = ("p01", "p02", "p03", "p04", "p05", "p06", "p07", "pair_span", "p08", "p09", "p10", "p11", "p12",
             "p13", "p14", "p15", "p16", "p17", "p18", "p19", "p20", "first_cart_pairs", "p21", "p22", "p23",
@@ -342,30 +344,14 @@ P["t2"] = Part(f"""SELECT s.product_id, p01.product_reorder_rate, p02.product_or
       COALESCE(p24.product_users_in_first_and_last, 0) AS product_users_in_first_and_last,
       p25.department_product_popularity, p25.aisle_product_popularity
   FROM (SELECT DISTINCT product_id FROM bf_prior) s
-{_T2_JOINS}""",
-               "product_id, product_reorder_rate:d, product_order_count, aisle_avg_product_order_count:d, "
-               "department_avg_product_order_count:d, product_reorder_count, product_first_order_count, "
-               "product_avg_days_between_orders:d, product_avg_days_from_first_to_last_order:d, "
-               "product_order_frequency:d, product_order_per_week:d, product_preferred_order_day, "
-               "product_preferred_order_hour, product_unique_user_count, product_unique_reorder_user_count, "
-               "product_user_reorder_rate:d, product_avg_cart_position:d, "
-               "product_avg_cart_position_relative_basket_size:d, aisle_product_reorder_rate:d, "
-               "department_product_reorder_rate:d, product_first_order_reorder_count, "
-               "product_first_order_user_count, product_first_order_reorder_user_count, "
-               "product_first_order_reorder_rate:d, product_repeat_user_count, "
-               "product_first_cart_first_order_count, product_first_cart_first_order_pct:d, "
-               "product_first_cart_first_order_user_pct:d, product_first_cart_first_order_user_count, "
-               "product_first_order_first_cart_reorder_user_count, "
-               "product_first_order_first_cart_reorder_rate:d, product_in_first_and_last, "
-               "product_last_orders_count, product_users_in_first_and_last, department_product_popularity, "
-               "aisle_product_popularity", _T2_DEPS)
+{_T2_JOINS}""", ", ".join(PRODUCT_FEATURE_COLUMNS), _T2_DEPS)
 
 _T3_DEPS = ("up01", "up02", "up04", "up06", "pair_span", "up03", "up05", "up07", "both_first_last", "up09",
             "up10", "up11", "up12", "up13", "up14")
 _T3_JOINS = "\n".join(f"  LEFT JOIN {d} ON {d}.user_id = k.user_id AND {d}.product_id = k.product_id"
                       for d in _T3_DEPS if d not in ("pair_span", "both_first_last"))
 P["t3"] = Part(f"""SELECT k.user_id, k.product_id, up01.user_product_avg_cart_position,
-      up02.user_order_tempo AS user_product_order_tempo, k.n AS user_product_order_count,
+      up02.user_order_tempo AS user_product_order_tempo, up04.user_product_order_count,
       up04.user_product_order_share, up06.user_share_of_product_orders,
       CASE WHEN k.n >= 2 THEN up03.user_product_days_from_first_to_last END
         AS user_product_days_from_first_to_last,
@@ -380,18 +366,9 @@ P["t3"] = Part(f"""SELECT k.user_id, k.product_id, up01.user_product_avg_cart_po
       up13.user_product_order_trend, up14.user_product_days_since_last_order
   FROM bf_pair_base k
   LEFT JOIN bf_first_pairs fp ON fp.user_id = k.user_id AND fp.product_id = k.product_id
-{_T3_JOINS}""",
-               "user_id, product_id, user_product_avg_cart_position:d, user_product_order_tempo:d, "
-               "user_product_order_count, user_product_order_share:d, user_share_of_product_orders:d, "
-               "user_product_days_from_first_to_last:d, user_product_avg_repurchase_interval:d, "
-               "user_product_order_rate_overall:d, user_product_orders_since_first_purchase, "
-               "user_product_order_rate_since_first:d, user_product_reorder_after_first_count, "
-               "user_product_in_first_and_last, user_product_orders_since_last, user_product_in_last_order, "
-               "user_product_current_streak, user_product_order_trend:d, user_product_days_since_last_order:d",
-               _T3_DEPS)
-
-_ML_COLS = ("order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, days_since_prior_order, "
-            "product_id, product_name, department_id, department, aisle_id, aisle, add_to_cart_order, reordered")
+{_T3_JOINS}""", ", ".join(USER_PRODUCT_FEATURE_COLUMNS), _T3_DEPS)
+
+_ML_COLS = ", ".join(ML_DATASET_COLUMNS)
 _ML_FROM = """FROM bf_orders o JOIN bf_prior l ON l.order_id = o.order_id
   JOIN (SELECT p.product_id, p.product_name, d.department_id, d.department, a.aisle_id, a.aisle
         FROM bf_products p JOIN bf_departments d ON d.department_id = p.department_id
@@ -401,9 +378,10 @@ _ML_SELECT = """SELECT o.order_id, o.user_id, o.eval_set, o.order_number, o.orde
       c.aisle, l.add_to_cart_order, l.reordered"""
 P["t4"] = Part(f"{_ML_SELECT}\n  {_ML_FROM}", _ML_COLS)
 P["t5"] = Part(f"""{_ML_SELECT},
-      CAST(CASE WHEN tt.user_id IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS target_variable
+      CAST(CASE WHEN tt.label IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS target_variable
   {_ML_FROM}
-  LEFT JOIN (SELECT o2.user_id, t.product_id FROM bf_train t JOIN bf_orders o2 ON o2.order_id = t.order_id) tt
+  LEFT JOIN (SELECT o2.user_id, t.product_id, t.reordered AS label
+             FROM bf_train t JOIN bf_orders o2 ON o2.order_id = t.order_id) tt
     ON tt.user_id = o.user_id AND tt.product_id = l.product_id""", _ML_COLS + ", target_variable")
 
 
@@ -468,7 +446,7 @@ P["q_product"] = Part("""SELECT 'product_grain' AS "check",
       OR product_in_first_and_last NOT IN (0, 1) OR product_preferred_order_day NOT BETWEEN 0 AND 6
       OR product_preferred_order_hour NOT BETWEEN 0 AND 23 OR department_product_popularity < 1
       OR aisle_product_popularity < 1) FROM t2""", "check, bad_rows", ("t2",) + _T2_DEPS)
-P["q_user_product"] = Part("""SELECT 'user_product_grain' AS "check",
+P["q_user_product_checks"] = Part("""SELECT 'user_product_grain' AS "check",
       CAST(ABS((SELECT COUNT(*) FROM t3) - (SELECT COUNT(DISTINCT (user_id, product_id)) FROM t3)) AS BIGINT)
         AS bad_rows
   UNION ALL SELECT 'user_product_coverage', CAST(ABS((SELECT COUNT(*) FROM t3)
@@ -505,6 +483,10 @@ P["q_user_product"] = Part("""SELECT 'user_product_grain' AS "check",
       user_product_in_first_and_last = 1 AND user_product_in_last_order = 0) FROM t3""",
                            "check, bad_rows", ("t1", "t2", "t3") + _T1_DEPS + _T2_DEPS + _T3_DEPS)
 
+P["q_user_product"] = Part("""SELECT "check", bad_rows FROM q_user_product_checks
+  UNION ALL SELECT 'ok', COUNT(*) FILTER (WHERE bad_rows <> 0) FROM q_user_product_checks""", "check, bad_rows",
+                           ("q_user_product_checks",))
+
 _KEYS = (("aisles", "bf_aisles", ("aisle_id",)), ("departments", "bf_departments", ("department_id",)),
          ("orders", "bf_orders", ("order_id",)), ("products", "bf_products", ("product_id",)),
          ("order_products_prior", "bf_prior", ("order_id", "product_id")),
@@ -513,7 +495,10 @@ P["q_keys"] = Part("\n  UNION ALL ".join(
     f"""SELECT 'key_{name}' AS "check", CAST(COALESCE(SUM(CASE WHEN k > 1 THEN k ELSE 0 END), 0)
       + COALESCE(SUM(z), 0) AS BIGINT) AS bad_rows
     FROM (SELECT COUNT(*) AS k, COUNT(*) FILTER (WHERE {' OR '.join(c + ' IS NULL' for c in cols)}) AS z
-          FROM {rel} GROUP BY {', '.join(cols)})""" for name, rel, cols in _KEYS), "check, bad_rows")
+          FROM {rel} GROUP BY {', '.join(cols)})""" for name, rel, cols in _KEYS) + """
+  UNION ALL SELECT 'key_train_labels', CAST(COALESCE(SUM(CASE WHEN k > 1 THEN k ELSE 0 END), 0) AS BIGINT)
+    FROM (SELECT COUNT(*) AS k FROM bf_train t JOIN bf_orders o ON o.order_id = t.order_id
+          WHERE o.user_id IS NOT NULL GROUP BY o.user_id, t.product_id)""", "check, bad_rows")
 _REFS = (("products", "bf_products", "aisle_id", "bf_aisles"), ("products", "bf_products", "department_id", "bf_departments"),
          ("order_products_prior", "bf_prior", "order_id", "bf_orders"),
          ("order_products_prior", "bf_prior", "product_id", "bf_products"),
@@ -538,12 +523,14 @@ def _ordered_deps(key: str) -> list[str]:
     return seen
 
 
-def statement(key: str) -> str:
-    """Full DuckDB statement for part ``key``, doubles rounded."""
+def statement(key: str, base: bool = True) -> str:
+    """Full DuckDB statement for part ``key``.  Without ``base`` the six
+    ``bf_`` input tables are expected to exist."""
     ctes = ",\n".join(f"{k} AS (\n{P[k].sql}\n)" for k in _ordered_deps(key))
-    cols = ", ".join(f'ROUND({c}, 6) AS {c}' if d else (f'"{c}"' if c == "check" else c)
-                     for c, d in P[key].columns())
-    return f"WITH {PRELUDE_CTES.strip()},\n{ctes}\nSELECT {cols} FROM {key}"
+    given = f"{MAPPING_CTES.strip()},\n" if base else ""
+    cols = ", ".join(f"CAST(printf('%.11e', {c}) AS DOUBLE) AS {c}" if c in ORDER_DEPENDENT_COLUMNS
+                     else ('"check"' if c == "check" else c) for c in P[key].columns())
+    return f"WITH {given}{MODEL_CTES.strip()},\n{ctes}\nSELECT {cols} FROM {key}"
 
 
 QUERY_PARTS = {

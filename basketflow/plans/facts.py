@@ -10,26 +10,29 @@
                     the features need, from one aggregation.
 ``product_lines``   one row per product with every line-level statistic
                     of the product tables (one aggregation of the lines).
-``pair_latest_run_start``  latest start of a run of consecutive orders per
-                    pair, from which the current streak follows.
+``with_runs``       the pairs with the start of their latest run of
+                    consecutive orders, from which the current streak follows.
 
 Semantics follow the model: the timeline, the user's order count, maximum
 order number and halves only look at ``prior`` orders, while first/second
 order flags look at the order number of any order.
+
+Orders without a user belong to nobody's timeline: they keep their lines and
+their own attributes, and have no running days and no bounds.  Orders without
+a number count among the user's orders but stand nowhere on the timeline.
 """
 
 from __future__ import annotations
 
-import threading
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions import count_lines, flag_max
+from basketflow.functions import count_lines, flag_max, mode_of_counts
 from basketflow.operators.sequence import BLOCK_ROWS, blocked_running_sum, run_starts
 from basketflow.sources.readers import Sources
+from basketflow.sources.store import materialise
 
 
 def _prior() -> F.Column:
@@ -42,19 +45,22 @@ def order_timeline(src: Sources, block_rows: int = BLOCK_ROWS) -> DataFrame:
     orders = src.orders.select("order_id", "user_id", "eval_set", "order_number", "order_dow",
                                "order_hour_of_day", "days_since_prior_order")
     # A missing gap (first order) counts as 0 days on the timeline.
-    timeline_gap = F.when(PRIOR, F.coalesce(F.col("days_since_prior_order"), F.lit(0))).otherwise(F.lit(0))
+    timeline_gap = F.when(PRIOR & F.col("order_number").isNotNull(),
+                          F.coalesce(F.col("days_since_prior_order"), F.lit(0))).otherwise(F.lit(0))
     t = blocked_running_sum(
-        orders, "user_id", "order_number", timeline_gap, "running_days", block_rows,
+        orders.filter(F.col("user_id").isNotNull()), "user_id", "order_number", timeline_gap, "running_days", block_rows,
         key_sums={"user_total_orders": F.when(PRIOR, F.lit(1)).otherwise(F.lit(0)),
                   "user_cumulative_days": timeline_gap},
         key_maxes={"user_max_order_number": F.when(PRIOR, F.col("order_number"))})
+    # Orders without a user pass by the blocks (they would all meet in one).
+    t = t.unionByName(orders.filter(F.col("user_id").isNull()), allowMissingColumns=True)
     umax = F.col("user_max_order_number")
     return t.select(
         "order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day",
         "days_since_prior_order",
         PRIOR.alias("is_prior"),
-        F.when(PRIOR, F.col("running_days")).alias("cumulative_days"),
-        F.when(umax.isNotNull(), F.col("user_total_orders")).alias("user_total_orders"),
+        F.when(PRIOR & F.col("order_number").isNotNull(), F.col("running_days")).alias("cumulative_days"),
+        F.when(F.col("user_total_orders") > 0, F.col("user_total_orders")).alias("user_total_orders"),
         umax.alias("user_max_order_number"),
         F.when(umax.isNotNull(), F.col("user_cumulative_days")).alias("user_cumulative_days"),
         (F.col("order_number") == 1).alias("is_first"),
@@ -69,20 +75,21 @@ def order_timeline(src: Sources, block_rows: int = BLOCK_ROWS) -> DataFrame:
 def order_lines(src: Sources, timeline: DataFrame | None = None) -> DataFrame:
     """Prior lines with their order attributes and the order's basket size."""
     timeline = timeline if timeline is not None else order_timeline(src)
-    lines = src.order_products_prior.withColumn(
-        "basket_size", F.count("product_id").over(Window.partitionBy("order_id")))
-    return lines.join(timeline, "order_id")
+    sizes = src.order_products_prior.groupBy("order_id").agg(F.count("product_id").alias("basket_size"))
+    return src.order_products_prior.join(timeline.join(sizes, "order_id"), "order_id")
 
 
 def order_baskets(lines: DataFrame) -> DataFrame:
-    """One row per order with prior lines.  ``order_lines`` is already
-    clustered by ``order_id``, so this aggregation needs no shuffle."""
+    """One row per order with prior lines.  The stored lines' files hold
+    whole orders, so the map-side combine leaves about one row per order for
+    the exchange."""
     return lines.groupBy("user_id", "order_id").agg(
         F.first("order_number").alias("order_number"),
         F.first("is_first").alias("is_first"),
         F.first("is_last").alias("is_last"),
         count_lines().alias("basket_size"),
         F.count_if(F.col("reordered")).alias("basket_reorders"),
+        F.count("reordered").alias("basket_known_flags"),
     )
 
 
@@ -111,22 +118,26 @@ def pairs(lines: DataFrame) -> DataFrame:
     )
 
 
-def product_line_totals(src: Sources) -> DataFrame:
-    """Prior lines per product (the denominator of per-product shares)."""
-    return src.order_products_prior.groupBy("product_id").agg(count_lines().alias("product_line_count"))
-
+def with_runs(pair_rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """``pairs`` plus ``latest_run_start``: for a pair of the user's last prior
+    order, the order number at which the run that ends there starts (NULL for
+    other pairs).
 
-def pair_latest_run_start(lines: DataFrame) -> DataFrame:
-    """Latest start of a run of consecutive orders, per pair.
-
-    For a pair in the user's last prior order, the run that ends there starts
-    at this order number, so the current streak is ``last - start + 1``.
-    Run starts come from an anti join on unique (user, product, order)
-    keys instead of a window over all orders of a pair, so a heavy pair is
-    spread over many tasks."""
-    rows = lines.select("user_id", "product_id", "order_number")
-    starts = run_starts(rows, ["user_id", "product_id"], "order_number")
-    return starts.groupBy("user_id", "product_id").agg(F.max("order_number").alias("latest_run_start"))
+    A pair whose lines fill every order from its first to the last needs no
+    lines at all: the run starts at its first order.  Only the others'
+    lines (a semi join on the pair) are searched for run starts, by an anti
+    join on unique (user, product, order) keys instead of a window over all
+    orders of a pair, so a heavy pair is spread over many tasks."""
+    keys = ["user_id", "product_id"]
+    umax = F.col("user_max_order_number")
+    in_last = F.col("in_last") == 1
+    unbroken = (F.col("last_no") == umax) & (F.col("n") == umax - F.col("first_no") + 1)
+    broken = pair_rows.filter(in_last & ~unbroken).select(*keys)
+    rows = lines.select(*keys, "order_number").join(broken, keys, "left_semi")
+    latest = run_starts(rows, keys, "order_number").groupBy(*keys).agg(F.max("order_number").alias("_start"))
+    return (pair_rows.join(latest, keys, "left")
+            .withColumn("latest_run_start", F.when(in_last, F.when(unbroken, F.col("first_no")).otherwise(F.col("_start"))))
+            .drop("_start"))
 
 
 def current_streak(pair_rows: DataFrame) -> DataFrame:
@@ -140,33 +151,37 @@ def current_streak(pair_rows: DataFrame) -> DataFrame:
 
 
 def product_line_stats(lines: DataFrame) -> DataFrame:
-    """One row per product: every line-level product statistic in one
-    aggregation (the product tables read this small fact, not the lines)."""
+    """One row per product with every line-level product statistic (the
+    product tables read this small fact, not the lines).
+
+    The lines are scanned once, into sums by product, day and hour; the
+    statistics and the two modes come from those."""
     is_first, is_last, reordered = F.col("is_first"), F.col("is_last"), F.col("reordered")
     first_cart_first = is_first & (F.col("add_to_cart_order") == 1)
-    return lines.groupBy("product_id").agg(
+    relative = F.col("add_to_cart_order").cast("double") / F.col("basket_size").cast("double")
+    counts = lines.groupBy("product_id", "order_dow", "order_hour_of_day").agg(
         count_lines().alias("n"),
         F.count_if(reordered).alias("r"),
+        F.count("reordered").alias("n_known_flags"),
         F.count_if(is_first).alias("n_first"),
         F.count_if(first_cart_first).alias("n_first_cart_first"),
         F.count_if(first_cart_first & F.col("user_id").isNotNull()).alias("n_first_cart_first_users"),
         F.count_if(is_last).alias("n_last"),
-        F.avg(F.col("days_since_prior_order").cast("double")).alias("avg_gap"),
-        F.mode(F.col("order_dow"), True).alias("mode_dow"),
-        F.mode(F.col("order_hour_of_day"), True).alias("mode_hour"),
-        F.avg(F.col("add_to_cart_order").cast("double")).alias("avg_cart"),
-        F.avg(F.col("add_to_cart_order").cast("double") / F.col("basket_size").cast("double"))
-        .alias("avg_relative_cart"),
-    )
+        F.sum("days_since_prior_order").alias("gaps"), F.count("days_since_prior_order").alias("n_gaps"),
+        F.sum("add_to_cart_order").alias("carts"), F.count("add_to_cart_order").alias("n_carts"),
+        F.sum(relative).alias("relatives"), F.count(relative).alias("n_relatives"))
+    names = [c for c in counts.columns if c not in ("product_id", "order_dow", "order_hour_of_day")]
+    totals = counts.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in names])
 
+    def mean(total: str, n: str) -> F.Column:
+        return F.col(total).cast("double") / F.nullif(F.col(n), F.lit(0)).cast("double")
 
-FACT_NAMES = ("timeline", "lines", "baskets", "pairs", "product_lines")
-
-
-def pairs_with_runs(lines: DataFrame) -> DataFrame:
-    """``pairs`` plus ``latest_run_start``: both are keyed by (user, product),
-    so they are joined once here and every consumer reads one table."""
-    return pairs(lines).join(pair_latest_run_start(lines), ["user_id", "product_id"], "left")
+    totals = (totals.withColumn("avg_gap", mean("gaps", "n_gaps")).withColumn("avg_cart", mean("carts", "n_carts"))
+              .withColumn("avg_relative_cart", mean("relatives", "n_relatives"))
+              .drop("gaps", "n_gaps", "carts", "n_carts", "relatives", "n_relatives"))
+    keys = ["product_id"]
+    return (totals.join(mode_of_counts(counts, keys, "order_dow", "n", "mode_dow"), keys, "left")
+            .join(mode_of_counts(counts, keys, "order_hour_of_day", "n", "mode_hour"), keys, "left"))
 
 
 @dataclass
@@ -184,42 +199,13 @@ class Facts:
         """Plans only: every consumer re-derives what it reads."""
         timeline = order_timeline(src)
         lines = order_lines(src, timeline)
-        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines), pairs=pairs_with_runs(lines),
+        return cls(timeline=timeline, lines=lines, baskets=order_baskets(lines), pairs=with_runs(pairs(lines), lines),
                    product_lines=product_line_stats(lines))
 
 
-def stored_table_complete(spark: SparkSession, folder: str) -> bool:
-    """True when ``folder`` holds a fully committed Parquet table (Spark's
-    job commit writes ``_SUCCESS`` last)."""
-    try:
-        spark.read.text(f"{folder.rstrip('/')}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
-
-
-# Handles of stored tables already resolved in this process, per Spark
-# application.  Stored tables are immutable once committed (their folder is
-# keyed by input state and code version), so a handle stays valid.
-_RESOLVED: dict[tuple[str, str], DataFrame] = {}
-# One writer per process: queries submitted from several threads must not
-# write the same stored table at the same time.
-STORE_LOCK = threading.RLock()
-
-
-def materialise(spark: SparkSession, path: str, build) -> DataFrame:
-    """Write ``build()`` to ``path`` unless a complete copy is there; read it."""
-    key = (spark.sparkContext.applicationId, path)
-    with STORE_LOCK:
-        if key not in _RESOLVED:
-            if not stored_table_complete(spark, path):
-                build().write.mode("overwrite").parquet(path)
-            _RESOLVED[key] = spark.read.parquet(path)
-        return _RESOLVED[key]
-
-
 def shared_facts(src: Sources) -> Facts:
-    """Facts of ``src``, materialised once as Parquet next to stored sources.
+    """Facts of ``src``, stored once as Parquet in the folder that is keyed by
+    the state of the sources' files.
 
     Each fact is written after the one it is derived from has been written
     and read back, so no step recomputes an earlier one and the lineage of
@@ -230,14 +216,14 @@ def shared_facts(src: Sources) -> Facts:
     if src.home is None:
         return Facts.derive(src)
     spark = src.orders.sparkSession
-    root = f"{src.home}/_facts"
 
     def stored(name: str, build) -> DataFrame:
-        return materialise(spark, f"{root}/{name}", build)
+        return materialise(spark, f"{src.home}/_facts/{name}", build)
 
     timeline = stored("timeline", lambda: order_timeline(src))
     lines = stored("lines", lambda: order_lines(src, timeline))
+    counted = stored("pair_counts", lambda: pairs(lines))
     return Facts(timeline=timeline, lines=lines,
                  baskets=stored("baskets", lambda: order_baskets(lines)),
-                 pairs=stored("pairs", lambda: pairs_with_runs(lines)),
+                 pairs=stored("pairs", lambda: with_runs(counted, lines)),
                  product_lines=stored("product_lines", lambda: product_line_stats(lines)))

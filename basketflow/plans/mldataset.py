@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag
-from basketflow.operators.dimension import broadcast_if_small
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
@@ -16,11 +15,10 @@ def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
     """Attach product, department and aisle names (inner joins: products
     outside the dimension tables are not part of the dataset).
 
-    Each dimension is joined on its own and broadcast when a bounded count
-    proves it small, so the line data is not shuffled for dimensions."""
-    return (lines.join(broadcast_if_small(src.products), "product_id")
-            .join(broadcast_if_small(src.departments), "department_id")
-            .join(broadcast_if_small(src.aisles), "aisle_id"))
+    The dimensions meet first, so the lines meet one table; its estimated or
+    measured size decides whether it is broadcast."""
+    catalogue = src.products.join(src.departments, "department_id").join(src.aisles, "aisle_id")
+    return lines.join(catalogue, "product_id")
 
 
 def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
@@ -28,16 +26,20 @@ def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
 
     The day gap stays NULL on first orders and ``reordered`` stays boolean,
     which is what the model's sentinel/cast round trip ends with.  The label
-    is 1 when the user's train basket holds the product.  The label side is
-    joined as it is (not de-duplicated), so a user with several train
-    baskets repeats the line once per matching basket."""
+    is 1 when the user's train basket holds the product with a known flag.
+    The label side is joined as it is (not de-duplicated), so a user with
+    several train baskets repeats the line once per matching basket.
+
+    t4 does not join the labels: the model joins them and drops the column
+    again, which leaves a line once only if no user has a product in two train
+    baskets.  ``key_checks`` counts the lines that break this."""
     lines = _with_catalogue(src.order_products_prior.join(src.orders, "order_id"), src)
     cols = list(ML_DATASET_COLUMNS)
     if with_target:
         train = (src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id")
-                 .select("user_id", "product_id", F.lit(True).alias("_in_train")))
+                 .select("user_id", "product_id", F.col("reordered").isNotNull().alias("_in_train")))
         lines = lines.join(train, ["user_id", "product_id"], "left") \
-            .withColumn("target_variable", as_flag(F.col("_in_train").isNotNull()))
+            .withColumn("target_variable", as_flag(F.col("_in_train")))
         cols.append("target_variable")
     return lines.select(*cols)
 
@@ -46,15 +48,14 @@ def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: Da
                      user_product_feature: DataFrame) -> DataFrame:
     """t6: the line dataset with the three feature tables (95 columns).
 
-    All three are left joins from the lines, so their order does not change
-    the result; they run widest-key first so the line-sized intermediate is
-    shuffled twice (by pair, then by user) and the product table, one row
-    per product, is joined last, broadcast when provably small.
+    The model joins the user table to the lines.  Here it meets the pair
+    table first, which has every (user, product) of the lines, so the lines
+    are shuffled once, by pair; a line without a user meets neither table in
+    either order.  The product table, one row per product, is joined last.
     Column order follows chained USING joins: the last join keys first."""
     keys = ["user_id", "product_id"]
-    joined = (ml.join(user_product_feature, keys, "left")
-              .join(user_feature, "user_id", "left")
-              .join(broadcast_if_small(product_feature), "product_id", "left"))
+    per_pair = user_product_feature.join(user_feature, "user_id", "left")
+    joined = ml.join(per_pair, keys, "left").join(product_feature, "product_id", "left")
     rest = [c for c in ml.columns if c not in keys]
     cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
             + [c for c in product_feature.columns if c != "product_id"]

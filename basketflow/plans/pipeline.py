@@ -1,6 +1,11 @@
 """End-to-end build: sources -> shared facts -> feature tables (checked)
 -> ML dataset.
 
+The five tables in the output folder are always rebuilt.  What they are
+derived from (typed sources, shared facts) is kept in the shared checkpoint
+folder, keyed by the state of the input files and the code, so changed input
+is never mixed with what was derived before.
+
 Every table is written as Parquet and read back before it is used again,
 so each job starts from stored data: the feature tables are checked on
 what was written, and ``ml_dataset_final`` joins the stored tables instead
@@ -9,7 +14,7 @@ of re-planning 3 x 20 aggregations under one root.
 Usage::
 
     python -m basketflow.plans.pipeline --star /root/testdata/sf0.01 --out /data/features
-    python -m basketflow.plans.pipeline --csv /data/instacart_csv --out /data/features
+    python -m basketflow.plans.pipeline --csv /data/basket_csv --out /data/features
 """
 
 from __future__ import annotations
@@ -17,23 +22,24 @@ from __future__ import annotations
 import argparse
 import json
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
 from basketflow.operators import quality
 from basketflow.plans import mldataset, tables
 from basketflow.plans.facts import shared_facts
-from basketflow.session import build_session
+from basketflow.session import build_session, ensure_checkpoint_dir
 from basketflow.sources.readers import Sources, read_csv_sources, read_parquet_sources, write_parquet_sources
 from basketflow.sources.sinks import write_and_read
 
-TABLE_NAMES = ("user_feature", "product_feature", "user_product_feature", "ml_dataset", "ml_dataset_final")
-
 
-def stored_sources(spark: SparkSession, src: Sources, folder: str) -> Sources:
-    """Sources backed by Parquet (written once if they are only a plan)."""
+def stored_sources(spark: SparkSession, src: Sources) -> Sources:
+    """Sources that derived tables can be stored for: those that are only a
+    plan are written to a fresh shared folder first."""
     if src.home is not None:
         return src
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-plan/{uuid.uuid4().hex}"
     write_parquet_sources(src, folder)
     return read_parquet_sources(spark, folder)
 
@@ -51,7 +57,7 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str, check: bool = Tru
         steps[name] = round(time.perf_counter() - t0, 3)
         return result
 
-    src = timed("sources", lambda: stored_sources(spark, src, f"{out}/_sources"))
+    src = timed("sources", lambda: stored_sources(spark, src))
     fx = timed("facts", lambda: shared_facts(src))
     uf = timed("user_feature", lambda: write_and_read(tables.user_feature(src, fx), f"{out}/user_feature"))
     pf = timed("product_feature",

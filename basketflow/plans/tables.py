@@ -11,27 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.constants import DAYS_PER_WEEK, PERCENT
-from basketflow.functions import as_flag, avg_double, count_lines, nullif_zero, rate
+from basketflow.functions import as_flag, avg_double, nullif_zero, rate
 from basketflow.operators.product import popularity_ranks
-from basketflow.operators.user import order_timing, reorder_diversity
+from basketflow.operators.user import known_reorder_rate, order_timing, preferred_day, preferred_hour, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts
-from basketflow.plans.facts import Facts, materialise, shared_facts
+from basketflow.plans.facts import Facts, shared_facts
 from basketflow.sources.readers import Sources
+from basketflow.sources.store import materialise
 from basketflow.sources.schema import (
     PRODUCT_FEATURE_COLUMNS, USER_FEATURE_COLUMNS, USER_PRODUCT_FEATURE_COLUMNS,
 )
 
 
 def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
-    """t1: one row per user with a prior order (29 columns)."""
+    """t1: one row per user with a prior order (29 columns).
+
+    Prior orders without a user give one row without a user, which meets no
+    feature (the model joins by an equality of users): NULLs, and 0 in the two
+    counts that are 0 for users without such products."""
     fx = fx or shared_facts(src)
-    timing = order_timing(fx.timeline.filter(F.col("is_prior")))
+    orders = fx.timeline.filter(F.col("is_prior"))
+    timing = (order_timing(orders).join(preferred_day(orders), "user_id", "left")
+              .join(preferred_hour(orders), "user_id", "left"))
+    timing = timing.select("user_id", *[F.when(F.col("user_id").isNotNull(), F.col(c)).alias(c)
+                                        for c in timing.columns if c != "user_id"])
     b = fx.baskets
     baskets = b.groupBy("user_id").agg(
         avg_double(F.col("basket_size")).alias("user_avg_basket_size"),
         F.stddev_samp(F.col("basket_size").cast("double")).alias("user_basket_size_stddev"),
-        rate(F.sum("basket_reorders"), F.sum("basket_size")).alias("user_reorder_rate"),
+        known_reorder_rate().alias("user_reorder_rate"),
         F.sum("basket_reorders").alias("user_total_reorders"),
         F.sum(F.when(F.col("is_last"), F.col("basket_size"))).alias("user_last_product_count"),
         F.sum(F.when(F.col("is_first"), F.col("basket_size"))).alias("user_first_product_count"))
@@ -55,7 +64,7 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     pl = F.col
     line_side = fx.product_lines.select(
         "product_id",
-        rate(pl("r"), pl("n")).alias("product_reorder_rate"),
+        rate(pl("r"), nullif_zero(pl("n_known_flags"))).alias("product_reorder_rate"),
         pl("n").alias("product_order_count"),
         pl("r").alias("product_reorder_count"),
         pl("n_first").alias("product_first_order_count"),
@@ -82,10 +91,12 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
                              F.when(F.col("product_first_cart_first_order_count") > 0,
                                     F.col("_fcfo_users") * PERCENT / F.col("_fcfo_users_total").cast("double"))))
 
+    # Users are counted without the pairs that have none.
     p = fx.pairs
-    rebought = F.col("n_reorders") > 0
-    in_first, in_last = F.col("in_first") == 1, F.col("in_last") == 1
-    first_cart = F.col("first_cart_in_first") == 1
+    user = F.col("user_id").isNotNull()
+    rebought = (F.col("n_reorders") > 0) & user
+    in_first, in_last = (F.col("in_first") == 1) & user, F.col("in_last") == 1
+    first_cart = (F.col("first_cart_in_first") == 1) & user
     on_timeline = F.col("cum_first").isNotNull() & F.col("cum_last").isNotNull()
     span = F.when(on_timeline, (F.col("cum_last") - F.col("cum_first")).cast("double"))
     freq = (F.col("n") - 1).cast("double") / F.nullif(span, F.lit(0.0))
@@ -95,9 +106,9 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
         F.avg(span).alias("product_avg_days_from_first_to_last_order"),
         F.avg(freq).alias("product_order_frequency"),
         (F.avg(freq) * DAYS_PER_WEEK).alias("product_order_per_week"),
-        count_lines().alias("product_unique_user_count"),
+        F.count("user_id").alias("product_unique_user_count"),
         F.count_if(rebought).alias("product_unique_reorder_user_count"),
-        rate(F.count_if(rebought), count_lines()).alias("product_user_reorder_rate"),
+        rate(F.count_if(rebought), nullif_zero(F.count("user_id"))).alias("product_user_reorder_rate"),
         n_first.alias("product_first_order_user_count"),
         n_first_re.alias("product_first_order_reorder_user_count"),
         F.when(n_first > 0, rate(n_first_re, n_first)).alias("product_first_order_reorder_rate"),
@@ -135,7 +146,10 @@ def _product_dimension_features(counts: DataFrame, products: DataFrame) -> DataF
 
 
 def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
-    """t3: one row per (user, product) pair of the prior lines (19 columns)."""
+    """t3: one row per (user, product) pair of the prior lines (19 columns).
+
+    Lines without a user give pairs without a user, which meet no feature (the
+    model joins by an equality of users): NULLs, and a streak of 0."""
     fx = fx or shared_facts(src)
     timeline = fx.timeline.filter(F.col("is_prior"))
     users = timeline.groupBy("user_id").agg(
@@ -154,7 +168,7 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     n, umax = F.col("n"), F.col("user_max_order_number")
     span = (F.col("cum_last") - F.col("cum_first")).cast("double")
     since_first = (umax - F.col("first_no") + 1).cast("long")
-    return t.select(
+    t = t.select(
         "user_id", "product_id",
         F.col("avg_cart").alias("user_product_avg_cart_position"),
         F.col("avg_gap").alias("user_product_order_tempo"),
@@ -174,12 +188,15 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
         "user_product_order_trend",
         (F.col("user_cumulative_days") - F.col("cum_last")).cast("double")
         .alias("user_product_days_since_last_order"),
-    ).select(*USER_PRODUCT_FEATURE_COLUMNS)
+    )
+    always = ("user_id", "product_id", "user_product_current_streak")
+    return t.select(*[F.col(c) if c in always else F.when(F.col("user_id").isNotNull(), F.col(c)).alias(c)
+                      for c in USER_PRODUCT_FEATURE_COLUMNS])
 
 
 def shared_tables(src: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three feature tables, materialised once next to stored sources
-    and read back (later jobs - the final dataset, the checks - start from
+    """The three feature tables, stored once in the folder that is keyed by
+    the state of the sources' files, and read back (later jobs - the final dataset, the checks - start from
     the written tables).  Plan-only sources get unmaterialised plans."""
     fx = shared_facts(src)
     if src.home is None:

@@ -1,9 +1,9 @@
 """Named queries: every feature operator, table and check as a callable
 ``(spark, sf_dir) -> DataFrame`` over the star-schema test data.
 
-Double columns are rounded to 6 decimals in this presentation layer (the
-oracle SQL does the same), because sums of non-integers depend on the
-summation order; the operators themselves return full precision.
+Doubles that depend on the order of summation (``ORDER_DEPENDENT_COLUMNS``) are
+rounded to 12 significant digits in this presentation layer, as the oracle SQL
+does; all others, and the operators themselves, keep full precision.
 """
 
 from __future__ import annotations
@@ -12,30 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from basketflow.functions import significant
 from basketflow.operators import product, quality, user, user_product
 from basketflow.plans import mldataset, tables
 from basketflow.sources.fixtures import load_star_schema
 from basketflow.sources.readers import Sources
-
-DECIMALS = 6
-
-
-def round_half_away(col: F.Column, decimals: int = DECIMALS) -> F.Column:
-    """``round(x * 10^d) / 10^d`` with halves away from zero, in plain double
-    arithmetic (the definition the oracle's ROUND uses).  ``F.round`` on a
-    double goes through a BigDecimal per value, several times slower on wide
-    tables."""
-    scale = float(10 ** decimals)
-    return F.signum(col) * F.floor(F.abs(col) * scale + 0.5) / scale
+from basketflow.sources.schema import ORDER_DEPENDENT_COLUMNS
 
 
 def presented(df: DataFrame) -> DataFrame:
-    """Round every double column to ``DECIMALS`` places."""
-    cols = [round_half_away(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    return df.select(*[significant(F.col(c)).alias(c) if c in ORDER_DEPENDENT_COLUMNS else F.col(c)
+                       for c in df.columns])
 
 
 def _over_sources(op: Callable[[Sources], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -2,13 +2,14 @@
 
 Mapping (same rules as the DuckDB oracle in ``basketflow.oracle``):
 
-* user = customer (``o_custkey``), order = ``orders`` row that has >= 1 line,
-  product = supplier, aisle = nation, department = region of the nation;
+* user = customer (``o_custkey``), order = every ``orders`` row (with or
+  without lines), product = supplier, aisle = nation, department = region of
+  the nation;
 * ``order_number``: rank of the order within the user by (date, order key);
 * ``eval_set``: the last order of a user with >= 2 orders is ``train`` (even
   user id) or ``test`` (odd); every other order is ``prior``;
 * ``order_dow`` Sunday=0, ``order_hour_of_day`` = order key mod 24,
-  ``days_since_prior_order`` = days since the previous order, capped at 30;
+  ``days_since_prior_order`` = days since the previous order;
 * basket line = distinct (order, supplier) of ``lineitem``; cart position by
   (first line number, product); ``reordered`` = the user bought the product
   in an earlier order.
@@ -22,22 +23,17 @@ customer therefore never lands in one task as a whole.
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketflow.session import ensure_checkpoint_dir
+from basketflow.sources import store
 from basketflow.sources.readers import Sources, _conform
-from basketflow.sources.schema import GAP_TYPE, SCHEMAS
+from basketflow.sources.schema import GAP_TYPE
 
 STAR_TABLES = ("orders", "lineitem", "supplier", "nation", "region")
 # Bumped whenever the mapping changes, so stored tables of an older mapping
 # are never reused.
-MAPPING_VERSION = "4"
-
-MAX_GAP_DAYS = 30
+MAPPING_VERSION = "5"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,8 +66,7 @@ def _number_orders(orders: DataFrame) -> DataFrame:
         order_number.alias("order_number"),
         (F.dayofweek("order_date") - 1).alias("order_dow"),
         (F.col("order_id") % 24).cast("int").alias("order_hour_of_day"),
-        # least() skips NULLs, so the first order's missing gap is kept apart.
-        F.when(gap.isNotNull(), F.least(gap, F.lit(MAX_GAP_DAYS))).cast(GAP_TYPE).alias("days_since_prior_order"),
+        gap.cast(GAP_TYPE).alias("days_since_prior_order"),
     )
 
 
@@ -102,11 +97,10 @@ def _basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.row_number().over(Window.partitionBy("order_id").orderBy("first_line", "product_id")))
 
 
-def _mapped_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    orders = (_read(spark, sf_dir, "orders")
-              .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-                      F.to_date("o_orderdate").alias("order_date"))
-              .join(lines.select("order_id"), "order_id", "left_semi"))
+def _mapped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        F.to_date("o_orderdate").alias("order_date"))
     return _conform(_number_orders(orders), "orders")
 
 
@@ -124,7 +118,7 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Map the star-schema Parquet files in ``sf_dir`` to the six inputs
     (a plan only; ``load_star_schema`` stores them)."""
     lines = _basket_lines(spark, sf_dir)
-    orders = _mapped_orders(spark, sf_dir, lines)
+    orders = _mapped_orders(spark, sf_dir)
     placed = _placed_lines(lines, orders)
 
     def basket(eval_set: str) -> DataFrame:
@@ -134,75 +128,32 @@ def star_schema_sources(spark: SparkSession, sf_dir: str) -> Sources:
                    order_products_prior=basket("prior"), order_products_train=basket("train"))
 
 
-_CODE_VERSION: list[str] = []
-_LOADED: dict[tuple[str, str], Sources] = {}
-
-
-def _code_version() -> str:
-    """Digest of the package sources: stored sources, facts and tables of
-    another code version are never reused."""
-    if _CODE_VERSION:
-        return _CODE_VERSION[0]
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    digest = hashlib.sha1()
-    for folder, _, files in sorted(os.walk(root)):
-        for name in sorted(files):
-            if name.endswith(".py"):
-                with open(os.path.join(folder, name), "rb") as fh:
-                    digest.update(name.encode() + fh.read())
-    _CODE_VERSION.append(digest.hexdigest()[:12])
-    return _CODE_VERSION[0]
-
-
-def _fingerprint(sf_dir: str) -> str:
-    """Identify the input folder, the state of its files and the code."""
-    parts = [MAPPING_VERSION, _code_version(), os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
-    for table in STAR_TABLES:
-        path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-        try:
-            st = os.stat(path)
-            parts.append(f"{table}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(table)
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-
-
 def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     """Map the star schema once and keep the six tables as Parquet in the
     shared checkpoint folder; later calls read the stored tables.
 
     This is the load step of the model (CSV/star schema -> typed tables):
     queries then scan compact, typed, column-pruned Parquet instead of
-    re-deriving order numbers and basket lines in every plan.  A table is
-    only reused when Spark's commit marker (``_SUCCESS``) is present.
+    re-deriving order numbers and basket lines in every plan.  The folder is
+    keyed by the state of the input files, the mapping and the code.
     """
-    from basketflow.plans.facts import STORE_LOCK, stored_table_complete
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketflow-sources/{_fingerprint(sf_dir)}"
-    key = (spark.sparkContext.applicationId, root)
-    with STORE_LOCK:
-        if key not in _LOADED:
-            _LOADED[key] = _load(spark, sf_dir, root, stored_table_complete)
-        return _LOADED[key]
-
-
-def _load(spark: SparkSession, sf_dir: str, root: str, complete) -> Sources:
+    folder = sf_dir.rstrip("/")
+    root = store.folder_of(spark, "star", [f"{folder}/{table}.parquet" for table in STAR_TABLES], MAPPING_VERSION)
+
+    def stored(name: str, build, **options) -> DataFrame:
+        return store.materialise(spark, f"{root}/{name}", build, **options)
+
+    dimensions = _dimensions(spark, sf_dir)
+    frames = {name: stored(name, lambda df=df: df) for name, df in dimensions.items()}
+    lines = stored("basket", lambda: _basket_lines(spark, sf_dir))
+    frames["orders"] = orders = stored("orders", lambda: _mapped_orders(spark, sf_dir))
+    # All lines in one pass, split by evaluation set on write; each line table
+    # is one partition of it (read with partition pruning).
     line_tables = {"order_products_prior": "prior", "order_products_train": "train"}
-    tables = [n for n in SCHEMAS if n not in line_tables] + ["_lines"]
-    if not all(complete(spark, f"{root}/{name}") for name in tables):
-        for name, df in _dimensions(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-        _basket_lines(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/_basket")
-        lines = spark.read.parquet(f"{root}/_basket")
-        _mapped_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(f"{root}/orders")
-        orders = spark.read.parquet(f"{root}/orders")
-        # All lines in one pass, split by evaluation set on write; each line
-        # table is one partition of it (read with partition pruning).
-        _placed_lines(lines, orders).filter(F.col("eval_set").isin(*line_tables.values())) \
-            .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered") \
-            .write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/_lines")
-    frames = {name: _conform(spark.read.parquet(f"{root}/{name}"), name)
-              for name in SCHEMAS if name not in line_tables}
-    stored_lines = spark.read.parquet(f"{root}/_lines")
+    placed = stored("lines", lambda: _placed_lines(lines, orders)
+                    .filter(F.col("eval_set").isin(*line_tables.values()))
+                    .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered"),
+                    partition_by="eval_set")
     for name, eval_set in line_tables.items():
-        frames[name] = _conform(stored_lines.filter(F.col("eval_set") == eval_set), name)
-    return Sources(**frames, home=root)
+        frames[name] = placed.filter(F.col("eval_set") == eval_set)
+    return Sources(**{name: _conform(df, name) for name, df in frames.items()}, home=root)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.sources import store
 from basketflow.sources.schema import CSV_READ_SCHEMAS, SCHEMAS
 
 # File names of the original CSV export (fixed values).
@@ -30,17 +31,13 @@ class Sources:
     products: DataFrame
     order_products_prior: DataFrame
     order_products_train: DataFrame
-    # Folder the tables are stored in (shared facts are kept next to them);
-    # None for sources that are only a plan.
+    # Shared folder for what is derived from these tables, keyed by the state
+    # of their files; None for sources that are only a plan.
     home: str | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SCHEMAS}
 
-    def register_views(self, prefix: str = "") -> None:
-        for name, df in self.as_dict().items():
-            df.createOrReplaceTempView(prefix + name)
-
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
     """Select the model columns in model order with model types."""
@@ -48,27 +45,39 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_csv_sources(spark: SparkSession, folder: str,
-                     file_names: dict[str, str] | None = None) -> Sources:
-    """Read the six CSV files (comma separated, header row).
+def read_csv_sources(spark: SparkSession, folder: str, file_names: dict[str, str] | None = None,
+                     multi_line: bool = False) -> Sources:
+    """Read the six CSV files (comma separated, header row) and keep them as
+    typed Parquet in the shared checkpoint folder, keyed by the files' state.
 
-    Rows that do not fit the schema fail the read (FAILFAST) instead of
-    turning into silent NULLs.  ``reordered`` is read as 0/1 and cast.
+    Fields may be quoted; a quote inside a quoted field is doubled.  An empty
+    unquoted field is NULL, a quoted empty one an empty string.  Rows that do
+    not fit the schema fail the read (FAILFAST) instead of turning into silent
+    NULLs.  ``reordered`` is read as 0/1 and cast.  Line ends inside quoted
+    fields need ``multi_line``, with which a file is read by one task; without
+    it such a row fails the read.
     """
     names = file_names or CSV_FILE_NAMES
-    frames = {}
-    for name, schema in CSV_READ_SCHEMAS.items():
-        raw = (spark.read.schema(schema).option("header", True)
-               .option("mode", "FAILFAST").csv(f"{folder.rstrip('/')}/{names[name]}"))
-        frames[name] = _conform(raw, name)
-    return Sources(**frames)
+    paths = {name: f"{folder.rstrip('/')}/{names[name]}" for name in CSV_READ_SCHEMAS}
+    root = store.folder_of(spark, "csv", list(paths.values()), str(multi_line))
+
+    def read(name: str) -> DataFrame:
+        raw = (spark.read.schema(CSV_READ_SCHEMAS[name]).option("header", True).option("mode", "FAILFAST")
+               .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(paths[name]))
+        return _conform(raw, name)
+
+    frames = {name: _conform(store.materialise(spark, f"{root}/{name}", lambda n=name: read(n)), name)
+              for name in paths}
+    return Sources(**frames, home=root)
 
 
 def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
-    """Read the six tables from ``<folder>/<table>`` Parquet datasets."""
-    frames = {name: _conform(spark.read.parquet(f"{folder.rstrip('/')}/{name}"), name)
-              for name in SCHEMAS}
-    return Sources(**frames, home=folder.rstrip("/"))
+    """Read the six tables from ``<folder>/<table>`` Parquet datasets.  What
+    is derived from them goes to the shared checkpoint folder, keyed by the
+    files' state; the input folder is only read."""
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in SCHEMAS}
+    frames = {name: _conform(spark.read.parquet(path), name) for name, path in paths.items()}
+    return Sources(**frames, home=store.folder_of(spark, "parquet", list(paths.values())))
 
 
 def write_parquet_sources(sources: Sources, folder: str) -> None:

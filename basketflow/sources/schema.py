@@ -86,6 +86,14 @@ FOREIGN_KEYS = [
     ("order_products_train", "product_id", "products", "product_id"),
 ]
 
+# Doubles whose last digits depend on the order in which rows are summed: a
+# standard deviation and means of ratios.  All other doubles are quotients of
+# exact sums.
+ORDER_DEPENDENT_COLUMNS = frozenset({
+    "user_basket_size_stddev", "product_avg_cart_position_relative_basket_size",
+    "product_order_frequency", "product_order_per_week",
+})
+
 # Output column order of the materialised tables (fixed values).
 ML_DATASET_COLUMNS = [
     "order_id", "user_id", "eval_set", "order_number", "order_dow",

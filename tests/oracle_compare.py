@@ -26,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(round(v, 6) + 0.0)
+        return repr(v + 0.0)  # exact: rounding is up to the two sides
     if isinstance(v, decimal.Decimal):
         return repr(float(v))
     if isinstance(v, bool):

