@@ -1,7 +1,7 @@
 """Stored tables that are derived once and reused while nothing has changed.
 
 A folder is keyed by the state of the input files (path, length and
-modification time of every file, listed by Spark, so any file system works)
+modification time of every file, through the Hadoop file system)
 and by a digest of the package source.  Changed input or code leads to another
 folder; nothing is ever overwritten.  Every writer writes a copy of its own and
 then publishes it: a one-line text table names the finished copy.  Readers take
@@ -40,9 +40,32 @@ def code_version() -> str:
     return _CODE_VERSION[0]
 
 
+FEW_FILES = 1000
+
+
+def _few_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]] | None:
+    """(path, length, modification time) of the files at ``path``, listed by
+    the driver; None if there are more than ``FEW_FILES``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(path)
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for top in fs.globStatus(pattern) or []:
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+            if len(found) > FEW_FILES:
+                return None
+    return sorted(found)
+
+
 def input_state(spark: SparkSession, path: str) -> str:
-    """Digest of the files at ``path`` (a file, a folder or a pattern): one
-    aggregated row, however many files there are."""
+    """Digest of the files at ``path`` (a file, a folder or a pattern).  A few
+    files are listed by the driver, many by a Spark job that returns one row."""
+    few = _few_files(spark, path)
+    if few is not None:
+        return hashlib.sha1(repr(few).encode()).hexdigest()
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select(F.xxhash64("path", "length", F.unix_micros("modificationTime")).alias("h")))
     state = files.agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("a"),
