@@ -10,13 +10,17 @@ probability (1 - (1 - s^r)^m)^2: 0.999 at s = 0.85 for m = 8, r = 3.
 Links are confirmed on the full sets.  No step forms all pairs of a bucket:
 
 1. documents with the same set are one class (its smallest id stands for it);
+   the sets themselves are worked out again, in a second scan, only for classes
+   that share a bucket with another one (told by a filter of bounded size, so
+   no text is moved);
 2. only hash groups that at least two classes share are paired into keys;
 3. in each bucket every class is compared with the bucket's smallest class,
    and linked classes are merged into components;
-4. buckets that still hold several components are finished exactly: their
-   classes are joined on the rarest shingles of their sets (the prefix that
-   two sets of the wanted similarity must share), with size and position
-   bounds, between different components only.
+4. buckets that still hold several components and more than one untried pair
+   are finished exactly, between different components only: in a small bucket
+   (``SMALL`` classes at most) by its untried pairs, in a larger one by a join
+   of its classes on the rarest shingles of their sets (the prefix that two
+   sets of the wanted similarity must share), with size and position bounds.
 
 So every link within a bucket counts, and a bucket's work stays near its size.
 """
@@ -34,6 +38,8 @@ from basketflow.llm.common import byte_table, chunks, mix64, ship_package, store
 from basketflow.llm.graph import components
 
 GROUPS, MINIMA = 8, 3  # m and r
+FILTER_BITS = 1 << 26  # bound of the filter that is sent to all tasks (8 MB)
+SMALL = 12  # classes of a bucket whose pairs are tried one by one
 # Words are [^\x20\x09-\x0D]+ after lower-casing A-Z.
 WORD_TABLE = byte_table({0x20, *range(0x09, 0x0E)})
 
@@ -100,9 +106,19 @@ def _sign(size: int):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted):
+    """Sets of the rows whose hash (third column) is in the filter."""
     def run(batches):
+        bits = wanted.value
+        mask = np.uint64(len(bits) * 64 - 1)
         for batch in batches:
+            h = batch.column(2).to_numpy().view(np.uint64)
+            keep = np.ones(len(h), bool)
+            for place in (h & mask, (h >> np.uint64(32)) & mask):
+                keep &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+            if not keep.any():
+                continue
+            batch = batch.filter(pa.array(keep))
             data, offs = text_buffer(batch.column(1))
             for i, j in chunks(offs):
                 sets, at = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], size)
@@ -113,6 +129,23 @@ def _sets(size: int):
     return run
 
 
+def id_filter(ids: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
+    """Bit filter (64-bit words) that holds every ``id``: two bits each among
+    16 per id, or among ``most_bits`` if that is less.  Others pass rarely; in
+    a full filter all pass, which costs time and changes no result."""
+    n = ids.count()
+    bits = min(most_bits, 1 << max(12, (16 * n - 1).bit_length() if n else 0))
+    h = F.xxhash64("id")
+    places = F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1)))
+    words_of = (ids.select(F.explode(places).alias("p"))
+                .select(F.shiftright("p", 6).alias("word"),
+                        F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
+                .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toPandas()  # at most bits / 64 rows
+    out = np.zeros(bits // 64, np.uint64)
+    out[words_of["word"].to_numpy(np.int64)] = words_of["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, folder: str | None = None) -> DataFrame:
     """One row per document: ``id_col``, ``n_shingles`` (set size),
@@ -134,9 +167,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(text.mapInArrow(_sign(shingle), f"id {id_type}, n long, mark binary, keys array<long>"),
                     f"{folder}/signed")
     linked = signed.where("n > 0 and id is not null")
-    classes = stored(linked.groupBy("mark").agg(F.min(F.struct("id", "keys")).alias("least"))
-                     .select("mark", F.col("least.id").alias("node"), F.col("least.keys").alias("keys")),
-                     f"{folder}/classes")
+    classes = stored(linked.groupBy("mark").agg(F.min(F.struct("id", "n", "keys")).alias("least"))
+                     .select("mark", F.col("least.id").alias("node"), F.col("least.n").alias("n"),
+                             F.col("least.keys").alias("keys")), f"{folder}/classes")
+    sizes = classes.select("node", "n")
 
     # 2. Table keys from hash groups that several classes share.
     groups = classes.select("node", F.posexplode("keys").alias("place", "key"))
@@ -154,18 +188,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = tables.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
     stars = stored(tables.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
                    .distinct(), f"{folder}/stars")
-    wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
-    sets = stored(text.join(wanted, "id", "left_semi").mapInArrow(_sets(shingle), f"node {id_type}, shingles array<long>"),
-                  f"{folder}/sets")
-    links = confirm(stars, sets, percent, f"{folder}/star-links")
+    wanted = spark.sparkContext.broadcast(
+        id_filter(stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()))
+    sets = stored(text.select("id", "text", F.xxhash64("id").alias("h")).where("id is not null")
+                  .mapInArrow(_sets(shingle, wanted), f"node {id_type}, shingles array<long>"), f"{folder}/sets")
+    links = confirm(stars, sizes, sets, percent, f"{folder}/star-links")
     roots = components(links, f"{folder}/star-components")
 
-    # 4. Buckets that hold several components.
+    # 4. Buckets that hold several components; with two classes nothing is
+    # left to try.
     where = tables.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
-    mixed = where.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    open_ = where.join(mixed, "key", "left_semi").select("node", "root").distinct()
-    more = confirm(prefix_pairs(sets.join(open_, "node"), percent, f"{folder}/prefix"), sets, percent,
-                   f"{folder}/prefix-links")
+    mixed = (where.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
+             .where("lo <> hi and c > 2").select("key", "c"))
+    rest = stored(where.join(mixed, "key"), f"{folder}/mixed")
+    large = rest.where(F.col("c") > SMALL).select("node", "root").distinct()
+    more = confirm(bucket_pairs(rest.where(F.col("c") <= SMALL)).union(
+        prefix_pairs(sets.join(large, "node"), percent, f"{folder}/prefix")).distinct(), sizes, sets, percent,
+        f"{folder}/more-links")
     roots = components(links.union(more), f"{folder}/components")
 
     # The smallest id of each component, back to all rows.
@@ -179,28 +218,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.col("id").eqNullSafe(component).alias("kept")))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int, path: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def confirm(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, path: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.  Sizes that are
+    too different rule most pairs out before any set is moved."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")), side)
+    near = pairs.where(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    # Sizes that are too different are ruled out before sets are compared.
-    near = F.least(F.size("sa"), F.size("sb")) * 100 >= percent * F.greatest(F.size("sa"), F.size("sb"))
     alike = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
-    return stored(pairs.join(b, "b").join(a, "a").where(near).where(alike).select("a", "b").distinct(), path)
+    return stored(near.join(b, "b").join(a, "a").where(alike).select("a", "b").distinct(), path)
+
+
+def bucket_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of different roots in small buckets (node, key, root), without
+    the bucket's smallest class, which has been compared with all others."""
+    groups = (rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "root"))).alias("all"))  # SMALL at most
+              .select(F.slice("all", F.lit(2), F.lit(SMALL)).alias("all")).distinct())
+    firsts = groups.select("all", F.posexplode("all").alias("k", "x"))
+    both = firsts.select("x", F.explode(F.slice("all", F.col("k") + 2, F.lit(SMALL))).alias("y"))
+    return both.where("x.root <> y.root").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def prefix_pairs(rows: DataFrame, percent: int, folder: str) -> DataFrame:
     """Pairs of different roots that can be similar enough, exactly: the sets
     of such a pair share one of their rarest shingles (``rows``: node, root,
     shingles)."""
-    tokens = rows.select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    tokens = rows.select("node", F.explode("shingles").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("c"))
     # Of n shingles, all but ceil(percent * n / 100) - 1 are the prefix.
     keep = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
     # Shingles of one set only match nothing, but they take places.
-    ordered = (tokens.join(often, "token").groupBy("node", "root", "n")
-               .agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("all")))  # one set's shingles
+    ordered = (tokens.join(often, "token").groupBy("node")
+               .agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("all"))  # one set's shingles
+               .withColumn("n", F.size("all")).join(rows.select("node", "root"), "node"))
     prefix = (ordered.select("node", "root", "n", F.posexplode(F.slice("all", F.lit(1), keep)).alias("at", "t"))
               .where("t.c > 1").select("node", "root", "n", "at", F.col("t.token").alias("token")))
     prefix = stored(prefix, f"{folder}-tokens")
