@@ -15,10 +15,10 @@ def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
     """Attach product, department and aisle names (inner joins: products
     outside the dimension tables are not part of the dataset).
 
-    The dimensions meet first, so the lines meet one table; its estimated or
-    measured size decides whether it is broadcast."""
-    catalogue = src.products.join(src.departments, "department_id").join(src.aisles, "aisle_id")
-    return lines.join(catalogue, "product_id")
+    Each dimension is joined on its own: the size of a stored table is a good
+    estimate, that of joined ones is not, and it decides the broadcast."""
+    return (lines.join(src.products, "product_id").join(src.departments, "department_id")
+            .join(src.aisles, "aisle_id"))
 
 
 def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
