@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.llm.common import byte_table, chunks, mix64, ship_package, stored, text_buffer, words, work_folder
 from basketflow.llm.graph import components
@@ -109,13 +110,8 @@ def _sign(size: int):
 def _sets(size: int, wanted):
     """Sets of the rows whose hash (third column) is in the filter."""
     def run(batches):
-        bits = wanted.value
-        mask = np.uint64(len(bits) * 64 - 1)
         for batch in batches:
-            h = batch.column(2).to_numpy().view(np.uint64)
-            keep = np.ones(len(h), bool)
-            for place in (h & mask, (h >> np.uint64(32)) & mask):
-                keep &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+            keep = passes(wanted.value, batch.column(2))
             if not keep.any():
                 continue
             batch = batch.filter(pa.array(keep))
@@ -129,6 +125,16 @@ def _sets(size: int, wanted):
     return run
 
 
+def passes(bits: np.ndarray, hashes: pa.Array) -> np.ndarray:
+    """Which of the id hashes are in the filter."""
+    h = hashes.to_numpy().view(np.uint64)
+    mask = np.uint64(len(bits) * 64 - 1)
+    keep = np.ones(len(h), bool)
+    for place in (h & mask, (h >> np.uint64(32)) & mask):
+        keep &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return keep
+
+
 def id_filter(ids: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
     """Bit filter (64-bit words) that holds every ``id``: two bits each among
     16 per id, or among ``most_bits`` if that is less.  Others pass rarely; in
@@ -218,6 +224,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.col("id").eqNullSafe(component).alias("kept")))
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (column ``id``, distinct).
+    Only rows that pass the bit filter of ``ids`` are moved to meet them; a
+    null id stays."""
+    ship_package(docs.sparkSession)
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def tag(batches):
+        for batch in batches:
+            found = pa.array(passes(bits.value, batch.column("__h")))
+            yield batch.append_column("__maybe", found)
+
+    tagged = docs.withColumn("__h", F.xxhash64(id_col))
+    tagged = tagged.mapInArrow(tag, T.StructType([*tagged.schema.fields, T.StructField("__maybe", T.BooleanType())]))
+    rest = tagged.where("__maybe").join(ids.select(F.col("id").alias("__id")), F.col(id_col) == F.col("__id"), "left_anti")
+    return tagged.where("not __maybe").unionByName(rest).select(docs.columns)
+
+
 def confirm(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, path: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.  Sizes that are
     too different rule most pairs out before any set is moved."""

@@ -28,10 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles,
-    similarity 0.8): the one with the smallest id."""
+    similarity 0.8): the one with the smallest id.  Rows that repeat an id stay
+    or go together."""
     found = near_dup.near_duplicates(docs, shingle=5, percent=80)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    dropped = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct(),
+                     work_folder(spark, "dropped"))
+    return near_dup.without_ids(docs, dropped)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

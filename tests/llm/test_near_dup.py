@@ -98,3 +98,12 @@ def test_components_of_a_chain_and_a_star(spark, tmp_path):
     for r in found.collect():
         roots.setdefault(r.root, set()).add(r.node)
     assert sorted(map(len, roots.values())) == [200, 301]
+
+
+def test_rows_without_ids(spark):
+    frame = crowded(docs(spark))
+    some = spark.createDataFrame([(1,), (6,), (77,)], "id long")
+    left = near_dup.without_ids(frame, some)
+    assert left.columns == frame.columns
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 2, 3, 4, 5, 7, 8, 9]
+    assert near_dup.without_ids(frame, some.where("id < 0")).count() == len(DOCS)
