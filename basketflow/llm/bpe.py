@@ -17,8 +17,10 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import struct
 import tempfile
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # merges, a few MB whatever the size of the corpus.
 LEXICON_WORDS = 65_536
 LEXICON_WORD_BYTES = 48
+MEMORY_WORDS = 200_000  # words that a task remembers besides the lexicon
 
 
 def byte_characters() -> dict[str, int]:
@@ -272,15 +275,21 @@ class Lexicon:
 
 
 _SPLIT = regex.compile(PATTERN)
+# The same pattern for ASCII text, where the standard module is faster.
+_SPLIT_ASCII = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+""", re.ASCII)
+
+
+def _split(text: str) -> list[str]:
+    return _SPLIT_ASCII.findall(text) if text.isascii() else _SPLIT.findall(text)
 
 
 def pre_tokens(text: str, special_pattern=None) -> list[str]:
     """Pre-tokens in order; special strings stand alone."""
     if special_pattern is None or not special_pattern.search(text):
-        return _SPLIT.findall(text)
+        return _split(text)
     out = []
     for k, part in enumerate(special_pattern.split(text)):
-        out += [part] if k % 2 else _SPLIT.findall(part)
+        out += [part] if k % 2 else _split(part)
     return out
 
 
@@ -290,7 +299,7 @@ def word_counts(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
     special = model.special_pattern
 
     def count(batches):
-        tally: dict[str, int] = {}
+        tally: Counter[str] = Counter()
 
         def rows():
             out = pa.RecordBatch.from_pydict({"word": pa.array(list(tally), pa.string()),
@@ -300,9 +309,7 @@ def word_counts(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                text = text.as_py()
-                for w in pre_tokens(text, special) if text else ():
-                    tally[w] = tally.get(w, 0) + 1
+                tally.update(pre_tokens(text.as_py() or "", special))
                 if len(tally) > 300_000:
                     yield rows()
         yield rows()
@@ -343,7 +350,7 @@ def _lexicon(name: str) -> tuple[Lexicon, WordIds]:
     if name not in _OPEN:
         _OPEN.clear()
         found = Lexicon(SparkFiles.get(name))
-        _OPEN[name] = found, WordIds(found.encode_words)
+        _OPEN[name] = found, WordIds(found.encode_words, MEMORY_WORDS)
     return _OPEN[name]
 
 
@@ -382,16 +389,15 @@ def decode(rows: DataFrame, lexicon: str, ids_col: str = "ids", out_col: str = "
         found, _ = _lexicon(lexicon)
         first, data = np.asarray(found.token_from), np.asarray(found.token)
         for batch in batches:
-            column = batch.column(ids_col)
-            for i, j in chunks(np.cumsum([0] + [len(x) if x is not None else 0 for x in column.to_pylist()])):
+            coded, offs = text_buffer(batch.column(ids_col))
+            for i, j in chunks(offs):
                 part = batch.slice(i, j - i)
-                values = [np.frombuffer(x or b"", "<u4") for x in part.column(ids_col).to_pylist()]
-                ids = np.concatenate(values).astype(np.int64)
+                ids = np.frombuffer(coded[offs[i]:offs[j]].tobytes(), "<u4").astype(np.int64)
                 ids[ids >= len(first) - 1] = len(first) - 1
                 size = np.append(first[1:] - first[:-1], 0)[ids]
                 ends = np.cumsum(size)
                 text = data[np.repeat(first[ids] - (ends - size), size) + np.arange(int(size.sum()))].tobytes()
-                at = np.concatenate(([0], ends))[np.cumsum([0] + [len(v) for v in values])].tolist()
+                at = np.concatenate(([0], ends))[(offs[i:j + 1] - offs[i]) // 4].tolist()
                 texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[*batch.schema.names, out_col])

@@ -54,12 +54,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes and row offsets (int64, n + 1) of a string column; null
-    rows are empty."""
-    if not pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_string())
+    """Bytes (of UTF-8 for text) and row offsets (int64, n + 1) of a string or
+    binary column; null rows are empty."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    large = pa.large_binary() if binary else pa.large_string()
+    if column.type != large:
+        column = column.cast(large)
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if binary else "")
     _, offsets, data = column.buffers()
     offs = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
