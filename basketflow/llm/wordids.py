@@ -14,7 +14,7 @@ class WordIds:
     end to end, and the number of each word.  The memory is emptied when it holds ``limit`` words, which only costs encoding
     words again."""
 
-    def __init__(self, encode_new, limit: int = 1_200_000):
+    def __init__(self, encode_new, limit: int = 800_000):
         self.encode_new, self.limit = encode_new, limit
         self._reset()
 
