@@ -105,8 +105,26 @@ def test_no_window_over_pair_lines(hot):
         assert keys != ["user_id", "product_id"]
 
 
-def test_aqe_splits_the_heavy_user_join(spark, hot):
-    src, _, _ = hot
+@pytest.fixture(scope="module")
+def wide(spark):
+    """A user with 1,800 products; twenty users with one or two."""
+    orders = [(k, 0, "prior", k, 1, 1, None if k == 1 else Decimal(1)) for k in (1, 2, 3)]
+    prior = [(k, 600 * k + j, j, False) for k in (1, 2, 3) for j in range(1, 601)]
+    for u in range(1, 21):
+        orders.append((100 + u, u, "prior", 1, 1, 1, None))
+        prior += [(100 + u, 601 + j, j, False) for j in range(1, 2 + u % 2)]
+
+    def df(name, rows):
+        return spark.createDataFrame(rows, SCHEMAS[name])
+    return Sources(
+        aisles=df("aisles", [(1, "a")]), departments=df("departments", [(1, "d")]), orders=df("orders", orders),
+        products=df("products", [(p, f"p{p}", 1, 1) for p in sorted({line[1] for line in prior})]),
+        order_products_prior=df("order_products_prior", prior),
+        order_products_train=df("order_products_train", []))
+
+
+def test_aqe_splits_the_heavy_user_join(spark, wide):
+    src = wide
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
