@@ -18,15 +18,17 @@ def words_of(text):
 
 def brute(text, items, window=13):
     w = words_of(text)
-    hit, names = set(), set()
+    hit, names, phrases = set(), set(), {}
     for name, item in items:
         v = words_of(item)
         k = min(window, len(v))
         for i in range(len(v) - k + 1 if k else 0):
-            for j in range(len(w) - k + 1):
-                if w[j:j + k] == v[i:i + k]:
-                    hit.update(range(j, j + k))
-                    names.add(str(name))
+            phrases.setdefault(tuple(v[i:i + k]), set()).add(str(name))
+    for k in {len(p) for p in phrases}:
+        for j in range(len(w) - k + 1):
+            if found := phrases.get(tuple(w[j:j + k])):
+                hit.update(range(j, j + k))
+                names |= found
     return len(w), len(hit), sorted(names)
 
 
