@@ -1,14 +1,19 @@
 """License scan: TF-IDF cosine to templates, inherited along directories.
 
 Every line of a text (a header) and the whole text (a licence file) are
-compared with short licence templates by the cosine of sparse TF-IDF vectors.
-A document takes the best of its lines; a document that is a licence file as a
-whole also covers its directory, and documents without a licence of their own
-inherit from the nearest ancestor directory that has one.
+compared with licence templates by the cosine of sparse TF-IDF vectors.  There
+are two collections, each with weights of its own: ``TEMPLATES``, one notice a
+licence, with the document frequency of lines, and ``full_forms()``, other
+notices and full licence texts, with that of whole texts and 1 + ln(tf) for tf, so a text
+is not close to a long licence by "the" and "of".
+
+A document takes the best of its lines and its whole text; a document that is a
+licence file as a whole also covers its directory, and documents without a
+licence of their own inherit from the nearest ancestor directory that has one.
 
 Terms are runs of a-z and 0-9 after lower-casing A-Z.  The document frequency
-of a term is the number of lines of the corpus that hold it; words that no
-template holds weigh like a term that no line holds.
+of a term is the number of lines (texts) of the corpus that hold it; words that
+no template of the collection holds weigh like a term that no line holds.
 
 A line reaches the threshold only with a key term of a template: the terms of
 least weight whose squares sum to less than the squared threshold are not
@@ -19,7 +24,10 @@ those that hold one are taken apart: an exact filter.
 from __future__ import annotations
 
 import math
+import os
 import re
+from collections import Counter
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +42,12 @@ TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose is hereby granted."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
@@ -42,6 +56,38 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+_NC, _ND, _SA = "NonCommercial", "NoDerivatives", "ShareAlike"
+_CC = {"": "Attribution", "-NC": f"Attribution-{_NC}", "-ND": f"Attribution-{_ND}", "-SA": f"Attribution-{_SA}",
+       "-NC-ND": f"Attribution-{_NC}-{_ND}", "-NC-SA": f"Attribution-{_NC}-{_SA}"}
+_FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licences")
+
+
+@cache
+def full_forms() -> list[tuple[str, str]]:
+    """Other notices of the same and more licences, and the full texts of the
+    folder ``licences``; a licence may have several."""
+    forms = [
+        ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+        ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+        ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+        ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+        ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+        ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+        ("ISC", "Released under the ISC License."),
+        ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+        ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+        ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+        ("Unlicense", "Released under the Unlicense."),
+        ("Zlib", "Released under the zlib License."),
+    ]
+    forms += [(f"CC-BY{k}-4.0", f"This work is licensed under a Creative Commons {v} 4.0 International License.")
+              for k, v in _CC.items() if k]
+    for name in sorted(os.listdir(_FOLDER)):
+        with open(os.path.join(_FOLDER, name), encoding="utf-8") as f:
+            forms.append((name.removesuffix(".txt"), f.read()))
+    return forms
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,23 +106,31 @@ def _idf(n_lines: int, held: int) -> float:
 class Weights:
     """IDF of the template terms, unit template vectors and key terms."""
 
-    def __init__(self, templates: list[tuple[str, str]], n_lines: int, held: dict[str, int], threshold: float):
-        terms = {name: _terms(text) for name, text in templates}
-        self.idf = {t: _idf(n_lines, held.get(t, 0)) for ts in terms.values() for t in ts}
+    def __init__(self, templates: list[tuple[str, str]], n_lines: int, held: dict[str, int], threshold: float,
+                 damped: bool = False):
+        """``damped``: 1 + ln(tf) for tf."""
+        terms = [(name, _terms(text)) for name, text in templates]
+        self.damped = damped
+        self.idf = {t: _idf(n_lines, held.get(t, 0)) for _, ts in terms for t in ts}
         self.other = _idf(n_lines, 0)
-        self.vectors: dict[str, dict[str, float]] = {}
+        self.vectors: list[tuple[str, dict[str, float]]] = []
         key: set[str] = set()
-        for name, ts in terms.items():
-            v = {t: ts.count(t) * self.idf[t] for t in dict.fromkeys(ts)}
+        for name, ts in terms:
+            v = {t: (1 + math.log(n) if damped else n) * self.idf[t] for t, n in Counter(ts).items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
-            self.vectors[name] = v = {t: x / norm for t, x in v.items()}
+            v = {t: x / norm for t, x in v.items()}
+            self.vectors.append((name, v))
             room = threshold ** 2 * (1 - 1e-9)
-            for t, x in sorted(v.items(), key=lambda p: (p[1], p[0])):
+            # Any order is exact; terms common in the corpus first leave rare key terms.
+            for t, x in sorted(v.items(), key=lambda p: (1000 * held.get(p[0], 0) <= n_lines, p[1], p[0])):
                 room -= x * x
                 if room <= 0:
                     key.add(t)
         self.key_terms = sorted(key)
 
+    def tf(self, column: str) -> F.Column:
+        return 1 + F.log(column) if self.damped else F.col(column)
+
 
 def line_statistics(docs: DataFrame, vocabulary: list[str], text_col: str) -> tuple[int, dict[str, int]]:
     """(lines with a word, lines that hold each term) over all texts."""
@@ -89,26 +143,39 @@ def line_statistics(docs: DataFrame, vocabulary: list[str], text_col: str) -> tu
     return held.pop("", 0), held
 
 
+def text_statistics(docs: DataFrame, vocabulary: list[str], text_col: str) -> tuple[int, dict[str, int]]:
+    """(texts with a word, texts that hold each term); a vocabulary too long
+    for an array per row is joined."""
+    terms = docs.sparkSession.createDataFrame([(t,) for t in ["", *vocabulary]], "term string")
+    words = docs.select(_words(text_col).alias("w")).where(F.size("w") > 0)
+    rows = words.select(F.explode(F.concat(F.array_distinct("w"), F.array(F.lit("")))).alias("term"))
+    held = {r.term: r["count"] for r in rows.join(F.broadcast(terms), "term").groupBy("term").count().collect()}
+    return held.pop("", 0), held
+
+
 def similarities(docs: DataFrame, weights: Weights, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """(id, unit, license, similarity) of the lines (unit 0 up) and whole
     texts (unit -1) that reach the threshold."""
     spark = docs.sparkSession
-    key = "(^|[^a-z0-9])(" + "|".join(weights.key_terms) + ")([^a-z0-9]|$)"
-    hit = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .where(F.translate("text", _UPPER, _LOWER).rlike(key) & F.col("id").isNotNull())
+    if len(weights.key_terms) > 100:
+        holds_key = F.arrays_overlap(_words(text_col), F.array(*map(F.lit, weights.key_terms)))
+    else:
+        holds_key = F.translate(text_col, _UPPER, _LOWER).rlike("(^|[^a-z0-9])(" + "|".join(weights.key_terms) + ")([^a-z0-9]|$)")
+    hit = docs.where(holds_key & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # Rows that repeat an id are texts of their own.
     lines = hit.select("id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("unit", "line"))
     counts = lines.select("id", "t", "unit", F.explode(_words("line")).alias("term")) \
         .groupBy("id", "t", "unit", "term").agg(F.count("*").alias("tf"))
     both = counts.union(counts.groupBy("id", "t", F.lit(-1).alias("unit"), "term").agg(F.sum("tf").alias("tf")))
-    table = spark.createDataFrame([(t, n, weights.idf[t], v[t]) for n, v in weights.vectors.items() for t in v],
-                                  "term string, license string, idf double, weight double")
+    table = spark.createDataFrame([(t, k, n, weights.idf[t], v[t]) for k, (n, v) in enumerate(weights.vectors) for t in v],
+                                  "term string, template int, license string, idf double, weight double")
+    tf = weights.tf("tf")
     idf = spark.createDataFrame(sorted(weights.idf.items()), "term string, idf double")  # template terms only
     norm = (both.join(F.broadcast(idf), "term", "left")
-            .groupBy("id", "t", "unit").agg(F.sqrt(F.sum(F.when(F.col("idf").isNull(), F.col("tf") * weights.other ** 2)
-                                                         .otherwise((F.col("tf") * F.col("idf")) ** 2))).alias("norm")))
+            .groupBy("id", "t", "unit").agg(F.sqrt(F.sum(F.when(F.col("idf").isNull(), tf * weights.other ** 2)
+                                                         .otherwise((tf * F.col("idf")) ** 2))).alias("norm")))
     dot = (both.join(F.broadcast(table), "term")
-           .groupBy("id", "t", "unit", "license").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot")))
+           .groupBy("id", "t", "unit", "template", "license").agg(F.sum(tf * F.col("idf") * F.col("weight")).alias("dot")))
     return (dot.join(norm, ["id", "t", "unit"]).select("id", "unit", "license", (F.col("dot") / F.col("norm")).alias("similarity"))
             .where(F.col("similarity") >= threshold))
 
@@ -128,7 +195,7 @@ def _parent(path: F.Column) -> F.Column:
 
 def scan(docs: DataFrame, path: F.Column, id_col: str = "doc_id", text_col: str = "text",
          templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
-         folder: str | None = None) -> DataFrame:
+         folder: str | None = None, forms: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per document: ``id_col``, ``license`` (null: none found),
     ``similarity`` (rounded to 6 digits; null if none), ``origin`` (own,
     inherited or none) and ``licence_dir`` (the directory it came from).
@@ -136,13 +203,20 @@ def scan(docs: DataFrame, path: F.Column, id_col: str = "doc_id", text_col: str
     Null, empty and wordless texts have no licence of their own; a null path
     is the root directory; rows with a null id only inherit.  Among a
     directory's licence files the most similar counts, ties by licence id.  Rows that repeat an id share
-    the best licence of their texts.  Other columns play no part."""
+    the best licence of their texts.  Other columns play no part.
+    ``templates`` alone leave out ``full_forms()``."""
     folder = folder or work_folder(docs.sparkSession, "license")
+    forms = forms if forms is not None else [] if templates else full_forms()
     templates = templates or TEMPLATES
     vocabulary = sorted({t for _, text in templates for t in _terms(text)})
     weights = Weights(templates, *line_statistics(docs, vocabulary, text_col), threshold)
-    found = stored(similarities(docs, weights, threshold, id_col, text_col), f"{folder}/found")
-    own = _best(found.where("unit >= 0"), "id")
+    found = similarities(docs, weights, threshold, id_col, text_col)
+    if forms:
+        vocabulary = sorted({t for _, text in forms for t in _terms(text)})
+        weights = Weights(forms, *text_statistics(docs, vocabulary, text_col), threshold, damped=True)
+        found = found.union(similarities(docs, weights, threshold, id_col, text_col))
+    found = stored(found, f"{folder}/found")
+    own = _best(found, "id")
     files = _best(found.where("unit = -1"), "id")
     rows = docs.select(F.col(id_col).alias("id"), _parent(F.coalesce(path.cast("string"), F.lit(""))).alias("dir"))
     # Licence files by directory, and for every directory the nearest of its

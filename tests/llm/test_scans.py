@@ -86,6 +86,36 @@ def test_nearest_ancestor_directory(spark):
     assert got[6] == got[8] == got[9] == ("MIT", "") and got[3] == ("Apache-2.0", "a/b")
 
 
+def test_every_licence_line_of_the_documents_is_found(spark):
+    kinds = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+             "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    wanted = {}
+    for r in table.where(F.col("text").rlike("(?i)licen[cs]e")).collect():
+        lines = {line for line in r.text.split("\n") if "icense" in line}
+        assert lines <= set(kinds)
+        wanted[r.doc_id] = {kinds[line] for line in lines}
+    assert set().union(*wanted.values()) == set(kinds.values())
+    got = {r.doc_id: r for r in license_scan.report(table).collect()}
+    assert all(got[i].origin == "own" and got[i].license in names for i, names in wanted.items())
+
+
+def test_full_texts_and_wrapped_notices_are_own_and_cover_their_directory(spark):
+    full = {name: text for name, text in license_scan.full_forms() if len(text) > 500}
+    rows = [(k, f"Copyright (c) 2019 A. Person\n\n{text}", f"{name}/LICENSE") for k, (name, text) in enumerate(full.items())]
+    rows += [(100 + k, "some code here", f"{name}/x.py") for k, name in enumerate(full)]
+    rows += [(200, "Licensed under\nthe Apache License,\nVersion 2.0.", "wrapped/NOTICE"),
+             (201, "Licensed under CC BY 4.0.", "short/NOTICE"), (202, "the of and to the the a of the", "prose/a.txt")]
+    rows += [(300 + k, f"the story of a house number {k} and the road to it", "prose/b.txt") for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r.doc_id: (r.license, r.origin) for r in license_scan.scan(frame, F.col("path")).collect()}
+    for k, name in enumerate(full):
+        assert got[k] == (name, "own") and got[100 + k] == (name, "inherited")
+    assert got[200] == ("Apache-2.0", "own") and got[201] == ("CC-BY-4.0", "own")
+    assert {got[i] for i in (202, *range(300, 600))} == {(None, "none")}
+
+
 def test_licences_of_awkward_rows(spark):
     frame = crowded(docs(spark))
     rows = license_scan.scan(frame, F.col("source")).collect()
