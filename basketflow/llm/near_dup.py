@@ -5,7 +5,9 @@ each of ``m`` groups of ``r`` minima, take the place of ``m * m`` independent
 bands: the key of table (i, j) pairs group i of the first collection with
 group j of the second, so ``m * m`` tables of ``2 * r`` minima cost only
 ``2 * m * r`` minima.  Two documents of similarity s share a table with
-probability (1 - (1 - s^r)^m)^2: 0.999 at s = 0.85 for m = 8, r = 3.
+probability (1 - (1 - s^r)^m)^2.  ``m`` follows the threshold, so that a pair at
+it is missed less than once in 10,000 times (``MISS``): with r = 3, m = 11 at
+0.85 (0.6 in 10,000) and m = 14 at 0.80 (0.9 in 10,000).
 
 Links are confirmed on the full sets.  No step forms all pairs of a bucket:
 
@@ -38,17 +40,29 @@ from pyspark.sql import types as T
 from basketflow.llm.common import byte_table, chunks, mix64, ship_package, stored, text_buffer, words, work_folder
 from basketflow.llm.graph import components
 
-GROUPS, MINIMA = 8, 3  # m and r
+MINIMA = 3  # r
+MISS = 1e-4  # greatest share of pairs at the threshold that share no table
 FILTER_BITS = 1 << 26  # bound of the filter that is sent to all tasks (8 MB)
 SMALL = 12  # classes of a bucket whose pairs are tried one by one
 # Words are [^\x20\x09-\x0D]+ after lower-casing A-Z.
 WORD_TABLE = byte_table({0x20, *range(0x09, 0x0E)})
 
-_SEEDS = np.random.default_rng(20240607).integers(0, 1 << 63, (2, 2 * GROUPS * MINIMA), dtype=np.uint64)
-_XOR, _TIMES = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1] * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
+def miss_rate(similarity: float, m: int) -> float:
+    """Share of pairs of this similarity that share no table."""
+    return 1 - (1 - (1 - similarity ** MINIMA) ** m) ** 2
+
+
+def groups_for(percent: int) -> int:
+    """The smallest m that keeps to ``MISS`` at a threshold."""
+    m = 1
+    while miss_rate(percent / 100, m) > MISS:
+        m += 1
+    return m
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every row, end to end, and row
     offsets.  Fewer words than ``size`` make one shingle; none make none."""
@@ -74,18 +88,20 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndar
     return np.concatenate(rows), np.cumsum([0] + [len(s) for s in rows])
 
 
-def hash_groups(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+def hash_groups(sets: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
     """(rows, 2m) keys of the hash groups of non-empty sets."""
     n = len(at) - 1
-    keys = np.zeros((2 * GROUPS, n), np.uint64)
-    for k in range(2 * GROUPS * MINIMA):
-        low = np.minimum.reduceat((sets ^ _XOR[k]) * _TIMES[k], at[:-1])
+    keys = np.zeros((2 * m, n), np.uint64)
+    seeds = np.random.default_rng(20240607).integers(0, 1 << 63, (2, 2 * m * MINIMA), dtype=np.uint64)
+    xor, times = seeds * np.uint64(2) + np.uint64(1)
+    for k in range(2 * m * MINIMA):
+        low = np.minimum.reduceat((sets ^ xor[k]) * times[k], at[:-1])
         g = k // MINIMA
         keys[g] = mix64(keys[g] + low + np.uint64(k))
     return keys.T
 
 
-def _sign(size: int):
+def _sign(size: int, m: int):
     def run(batches):
         for batch in batches:
             data, offs = text_buffer(batch.column(1))
@@ -93,14 +109,14 @@ def _sign(size: int):
                 sets, at = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], size)
                 n = at[1:] - at[:-1]
                 some = np.flatnonzero(n)
-                keys = np.zeros((j - i, 2 * GROUPS), np.uint64)
+                keys = np.zeros((j - i, 2 * m), np.uint64)
                 if len(some):
-                    keys[some] = hash_groups(sets, np.append(at[some], at[-1]))
+                    keys[some] = hash_groups(sets, np.append(at[some], at[-1]), m)
                 raw = sets.tobytes()
                 marks = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest()
                          for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 lists = pa.ListArray.from_arrays(np.where(np.arange(j - i + 1), 1, 0).cumsum().astype(np.int32)
-                                                 * np.int32(2 * GROUPS), pa.array(keys.reshape(-1).view(np.int64)))
+                                                 * np.int32(2 * m), pa.array(keys.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), lists],
                     names=["id", "n", "mark", "keys"])
@@ -170,7 +186,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = text.schema["id"].dataType.simpleString()
 
     # 1. Signatures, and classes of equal sets.
-    signed = stored(text.mapInArrow(_sign(shingle), f"id {id_type}, n long, mark binary, keys array<long>"),
+    m = groups_for(percent)
+    signed = stored(text.mapInArrow(_sign(shingle, m), f"id {id_type}, n long, mark binary, keys array<long>"),
                     f"{folder}/signed")
     linked = signed.where("n > 0 and id is not null")
     classes = stored(linked.groupBy("mark").agg(F.min(F.struct("id", "n", "keys")).alias("least"))
@@ -183,8 +200,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = groups.groupBy("place", "key").agg(F.count("*").alias("c")).where("c > 1")
     own = (groups.join(shared, ["place", "key"], "left_semi").groupBy("node")
            .agg(F.collect_list(F.struct("place", "key")).alias("all")))  # at most 2m entries
-    first = F.filter("all", lambda g: g["place"] < GROUPS)
-    second = F.filter("all", lambda g: g["place"] >= GROUPS)
+    first = F.filter("all", lambda g: g["place"] < m)
+    second = F.filter("all", lambda g: g["place"] >= m)
     tables = stored(own.select("node", F.explode(first).alias("u"), second.alias("vs"))
                     .select("node", "u", F.explode("vs").alias("v"))
                     .select("node", F.xxhash64("u.place", "u.key", "v.place", "v.key").alias("key")),

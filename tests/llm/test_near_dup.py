@@ -107,3 +107,24 @@ def test_rows_without_ids(spark):
     assert left.columns == frame.columns
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 2, 3, 4, 5, 7, 8, 9]
     assert near_dup.without_ids(frame, some.where("id < 0")).count() == len(DOCS)
+
+
+def test_groups_follow_the_threshold():
+    for percent in (70, 80, 85, 95):
+        assert near_dup.miss_rate(percent / 100, near_dup.groups_for(percent)) <= 1e-4
+
+
+def test_isolated_pairs_just_over_the_threshold(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(1200):  # every edit in the middle changes five of 196 shingles
+        a = [f"p{k}w{i}" for i in range(200)]
+        b = a[:]
+        for e in range(4):
+            b[10 + 40 * e + rng.randrange(30)] = f"q{k}e{e}"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    frame = docs(spark, [(i, t, None, None, None) for i, t in rows])
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame, shingle=5, percent=80).collect()}
+    both = [len(shingles(a, 5) & shingles(b, 5)) for (_, a), (_, b) in zip(rows[::2], rows[1::2])]
+    assert all(0.8 <= n / (2 * 196 - n) <= 0.82 for n in both)
+    assert all(got[2 * k + 1] == 2 * k for k in range(1200))
