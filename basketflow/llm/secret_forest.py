@@ -46,14 +46,15 @@ def dictionary(docs: DataFrame, text_col: str = "text", n_words: int = DICTIONAR
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """One row per candidate: id, path, candidate, start, end (characters of
-    the text, end exclusive), and the text right before and after it."""
+    """One row per candidate: id, hash of the text, path, candidate, start, end
+    (characters of the text, end exclusive), and the text right before and after
+    it."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.col("text")
     found = (docs.select(F.col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"),
                          F.col(text_col).alias("text"))
              .where(text.rlike(CANDIDATE))
-             .select("id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
+             .select("id", F.xxhash64("text").alias("text_hash"), "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
                      F.split("text", CANDIDATE, -1).alias("between")))
     # Running starts: the pieces before a candidate and the candidates before it.
     step = F.aggregate(
@@ -62,8 +63,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lambda a, x: F.struct((a["at"] + F.length(x["before"]) + F.length(x["found"])).alias("at"),
                               F.concat(a["starts"], F.array(a["at"] + F.length(x["before"]))).alias("starts")))
     rows = found.withColumn("starts", step["starts"]).select(
-        "id", "path", "between", F.posexplode(F.arrays_zip("found", "starts")).alias("k", "x"))
-    return rows.select("id", "path", F.col("x.found").alias("candidate"), F.col("x.starts").alias("start"),
+        "id", "text_hash", "path", "between", F.posexplode(F.arrays_zip("found", "starts")).alias("k", "x"))
+    return rows.select("id", "text_hash", "path", F.col("x.found").alias("candidate"), F.col("x.starts").alias("start"),
                        (F.col("x.starts") + F.length("x.found")).alias("end"),
                        F.substring(F.get("between", F.col("k")), -48, 48).alias("before"),
                        F.substring(F.get("between", F.col("k") + 1), 1, 16).alias("after"))
@@ -139,7 +140,7 @@ def judge(found: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None,
          labelled: DataFrame | None = None, folder: str | None = None) -> DataFrame:
-    """All candidates of all texts, judged: id, path, candidate, start, end,
+    """All candidates of all texts, judged: id, text_hash, path, candidate, start, end,
     before, after, features, label, probability, is_secret.
 
     Null and empty texts have no candidates; a null path counts as an empty
@@ -155,8 +156,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
 def redact(docs: DataFrame, secrets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every secret (rows of ``scan`` with ``is_secret``) of a
     text replaced by ``MASK``.  Only texts that hold a candidate are moved to
-    meet their spans.  Rows that repeat an id must repeat the text."""
-    spans = (secrets.where("is_secret").groupBy(F.col("id").alias("__id"))
+    meet their spans, by id (null or not) and hash of the text: rows that repeat
+    an id may differ in text."""
+    spans = (secrets.where("is_secret").groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
              .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans")))  # one text's spans
     has = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
     text = F.col(text_col)
@@ -166,7 +168,8 @@ def redact(docs: DataFrame, secrets: DataFrame, id_col: str = "doc_id", text_col
                               .alias("kept"), s["end"].alias("at")))
     masked = F.when(F.col("__spans").isNull(), text).otherwise(
         F.concat(cut["kept"], F.substring(text, cut["at"] + 1, F.length(text))))
-    touched = docs.where(has).join(spans, F.col(id_col) == F.col("__id"), "left").withColumn(text_col, masked)
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
+    touched = docs.where(has).join(spans, same, "left").withColumn(text_col, masked)
     return docs.where(~has).unionByName(touched.select(docs.columns))
 
 

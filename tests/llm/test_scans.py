@@ -58,6 +58,14 @@ def test_secret_scan_of_awkward_rows(spark):
     assert secret_forest.scan(empty(spark)).count() == 0
 
 
+def test_secrets_of_rows_without_an_id_or_with_a_repeated_one_are_masked(spark):
+    rows = [(i, f'{"x " * k}api_key: "{hexes(k)}" end', None, None, None) for k, i in enumerate((None, None, 7, 7))]
+    frame = docs(spark, rows)
+    out = secret_forest.redact(frame, secret_forest.scan(frame)).collect()
+    wanted = [(i, f'{"x " * k}api_key: "{secret_forest.MASK}" end') for k, i in enumerate((None, None, 7, 7))]
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted((i or 0, t) for i, t in wanted)
+
+
 def test_labels_of_one_class_need_no_forest(spark):
     rows = [(1, f'password = "{hexes(1)}"', None, None, None), (2, f"sha {hexes(2)} here", None, None, None)]
     found = {r.candidate: r.is_secret for r in secret_forest.scan(docs(spark, rows)).collect()}
