@@ -11,7 +11,8 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from basketflow.session import ensure_checkpoint_dir
 
@@ -53,6 +54,33 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_ROWS_OF_PARTITION = 33  # bits that monotonically_increasing_id keeps for a partition's rows
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], folder: str) -> DataFrame:
+    """``rows`` with ``position`` (from 0, by ``order``, nulls first) among the
+    rows of equal ``group`` (null is a group) and ``group_rows``, their number.
+
+    Rows are dealt by ranges of (group, order), so a large group fills many
+    tasks; rows equal in both are dealt by their place in the input.  What meets
+    in one place is one row per group and range.  ``rows`` must not hold
+    columns named ``_*``."""
+    keys = [F.col(c).asc_nulls_first() for c in [group, *order, "_place"]]
+    dealt = stored(rows.withColumn("_place", F.monotonically_increasing_id())
+                   .repartitionByRange(*keys).sortWithinPartitions(*keys)
+                   .drop("_place").withColumn("_at", F.monotonically_increasing_id()), f"{folder}/dealt")
+    dealt = dealt.withColumn("_range", F.shiftright("_at", _ROWS_OF_PARTITION))
+    runs = dealt.groupBy("_range", F.col(group).alias("_group")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    whole = Window.partitionBy("_group")
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("_range").alias("_run"), "_group", "_first",
+                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                       F.sum("_n").over(whole).alias("group_rows"))
+    return (dealt.join(runs, (F.col("_range") == F.col("_run")) & F.col(group).eqNullSafe(F.col("_group")))
+            .withColumn("position", F.col("_before") + F.col("_at") - F.col("_first"))
+            .select(*rows.columns, "position", "group_rows"))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes (of UTF-8 for text) and row offsets (int64, n + 1) of a string or
     binary column; null rows are empty."""

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, near_dup, pseudo_lm, records,
-                            secret_forest)
+from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, mixing, near_dup, pseudo_lm,
+                            records, secret_forest)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +53,13 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = (op1_multiprobe_hashing, op2_output_codes, op3_secret_forest, op4_fm_decontamination, op5_license_tfidf,
-           op6_pseudo_likelihood, op7_tensored_minhash, op8_record_files, op9_cotraining, op10_bpe_transducer)
+           op6_pseudo_likelihood, op7_tensored_minhash, op8_record_files, op9_cotraining, op10_bpe_transducer,
+           op12_pivotal_mixing)
 
 
 def queries() -> dict:
