@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, mixing, near_dup, pseudo_lm,
-                            records, secret_forest)
+from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, manifest, mixing, near_dup,
+                            pseudo_lm, records, secret_forest)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +57,13 @@ def op12_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op13_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = (op1_multiprobe_hashing, op2_output_codes, op3_secret_forest, op4_fm_decontamination, op5_license_tfidf,
            op6_pseudo_likelihood, op7_tensored_minhash, op8_record_files, op9_cotraining, op10_bpe_transducer,
-           op12_pivotal_mixing)
+           op12_pivotal_mixing, op13_postorder_manifest)
 
 
 def queries() -> dict:
@@ -161,5 +165,68 @@ FROM documents d LEFT JOIN own o ON o.doc_id = d.doc_id LEFT JOIN dirs i ON i.di
 """
 
 
+def _crc32(code_points: str) -> str:
+    """SQL of the unsigned crc32 of a list of bytes; ``crc_table`` (a one-row
+    table of the 256 remainders ``t``) must be in scope."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code_points}), "
+            "lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _op13() -> str:
+    def leaf(n_chars: str) -> str:
+        parts = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+        return "sha256(" + " || ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name}(grp, level, i, h) AS (
+  {leaves}
+  UNION ALL
+  SELECT grp, level + 1, i // 2, sha256(h || coalesce(after, ''))
+  FROM (SELECT *, lead(h) OVER (PARTITION BY grp ORDER BY i) AS after, count(*) OVER (PARTITION BY grp) AS n FROM {name})
+  WHERE n > 1 AND i % 2 = 0)"""
+
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, {leaf('n_chars')} AS leaf,
+         CASE WHEN {_crc32(digits)} % 7 = 0 THEN {leaf('(n_chars + 1)')} ELSE {leaf('n_chars')} END AS found
+  FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+{tree('nodes', 'SELECT grp, 0, i, leaf FROM placed')},
+highest AS (SELECT grp, h, level AS top FROM nodes
+            QUALIFY row_number() OVER (PARTITION BY grp ORDER BY level DESC) = 1),
+subroots AS (SELECT *, row_number() OVER (ORDER BY grp) - 1 AS i FROM highest),
+{tree('tops', "SELECT 'all', 0, i, h FROM subroots")},
+top_root AS (SELECT h, level FROM tops ORDER BY level DESC LIMIT 1),
+steps AS (
+  SELECT p.grp, p.i, s.level AS k, (p.i >> s.level) % 2 = 1 AS odd, n.h
+  FROM placed p JOIN (SELECT grp, unnest(range(top)) AS level FROM subroots) s ON s.grp = p.grp
+  LEFT JOIN nodes n ON n.grp = p.grp AND n.level = s.level AND n.i = xor(p.i >> s.level, 1)
+  UNION ALL
+  SELECT p.grp, p.i, r.top + s.level, (r.i >> s.level) % 2 = 1, n.h
+  FROM placed p JOIN subroots r ON r.grp = p.grp, (SELECT unnest(range(level)) AS level FROM top_root) s
+  LEFT JOIN tops n ON n.level = s.level AND n.i = xor(r.i >> s.level, 1)),
+folds(grp, i, k, h) AS (
+  SELECT grp, i, 0, found FROM placed
+  UNION ALL
+  SELECT f.grp, f.i, f.k + 1, CASE WHEN s.h IS NULL THEN sha256(f.h) WHEN s.odd THEN sha256(s.h || f.h)
+                                   ELSE sha256(f.h || s.h) END
+  FROM folds f JOIN steps s ON s.grp = f.grp AND s.i = f.i AND s.k = f.k),
+proofs AS (SELECT grp, i, sha256(coalesce(string_agg(h, '' ORDER BY k), '')) AS proof FROM steps GROUP BY grp, i),
+ends AS (SELECT grp, i, h FROM folds QUALIFY row_number() OVER (PARTITION BY grp, i ORDER BY k DESC) = 1)
+SELECT p.doc_id, p.leaf, r.h AS subroot, t.h AS root, coalesce(o.proof, sha256('')) AS proof_sha256,
+       e.h AS folded_root, e.h = t.h AS verified
+FROM placed p JOIN subroots r ON r.grp = p.grp JOIN ends e ON e.grp = p.grp AND e.i = p.i
+LEFT JOIN proofs o ON o.grp = p.grp AND o.i = p.i, top_root t
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fm_decontamination": _OP4, "op5_license_tfidf": _op5(), "op7_tensored_minhash": _OP7}
+    return {"op4_fm_decontamination": _OP4, "op5_license_tfidf": _op5(), "op7_tensored_minhash": _OP7,
+            "op13_postorder_manifest": _op13()}
