@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.llm import (ann, bpe, cotrain, decontam, langid, license_scan, manifest, mixing, near_dup,
-                            pseudo_lm, records, secret_forest)
+                            pseudo_lm, records, secret_forest, spelling)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op13_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_multiprobe_hashing, op2_output_codes, op3_secret_forest, op4_fm_decontamination, op5_license_tfidf,
            op6_pseudo_likelihood, op7_tensored_minhash, op8_record_files, op9_cotraining, op10_bpe_transducer,
-           op12_pivotal_mixing, op13_postorder_manifest)
+           op11_reduced_alphabet, op12_pivotal_mixing, op13_postorder_manifest)
 
 
 def queries() -> dict:
@@ -177,6 +181,44 @@ _CRC_TABLE = """crc_table AS (
            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
 
 
+def _op11() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    # Letters beyond ASCII take two bytes of UTF-8, 195 and the code point less 64.
+    utf8 = ("flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda d: "
+            "CASE WHEN unicode(d) < 128 THEN [unicode(d)::BIGINT] ELSE [195, unicode(d) - 64] END))")
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{spelling.LETTERS}+')) AS run
+         FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= {spelling.SHORTEST} GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32(utf8)} AS h FROM counted, crc_table),
+slipped AS (SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                           ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM slipped WHERE length(word) >= {spelling.SHORTEST}
+          GROUP BY word HAVING sum(k) >= {spelling.LEAST}),
+cuts AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b, b.n FROM cuts a JOIN words b ON b.word = a.cut
+  UNION
+  SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.cut
+  UNION
+  SELECT a.word, b.word, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word),
+best AS (SELECT a, count(*) AS n_near, max(n) AS top_n, min(b) FILTER (n = top) AS top
+         FROM (SELECT *, max(n) OVER (PARTITION BY a) AS top FROM near) GROUP BY a),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN top_n >= {spelling.RATIO} * n THEN best.top END AS form,
+                 CASE WHEN top_n >= {spelling.RATIO} * n THEN top_n END AS form_n
+          FROM words w LEFT JOIN best ON best.a = w.word),
+chains(word, leads_to) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.leads_to WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.leads_to AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chains c ON c.word = f.word JOIN forms e ON e.word = c.leads_to WHERE e.form IS NULL
+"""
+
+
 def _op13() -> str:
     def leaf(n_chars: str) -> str:
         parts = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
@@ -229,4 +271,4 @@ LEFT JOIN proofs o ON o.grp = p.grp AND o.i = p.i, top_root t
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_fm_decontamination": _OP4, "op5_license_tfidf": _op5(), "op7_tensored_minhash": _OP7,
-            "op13_postorder_manifest": _op13()}
+            "op11_reduced_alphabet": _op11(), "op13_postorder_manifest": _op13()}
