@@ -41,7 +41,7 @@ SHORTEST = 7  # code points of a word
 LEAST = 2  # occurrences of a word
 RATIO = 10  # how much more frequent a form is
 FEWEST, MOST = 6, 24  # symbols of the reduced alphabet
-CELLS = 1 << 18  # letters of the words (filled up to the longest) that are worked on at once
+CELLS = 1 << 15  # letters of the words (filled up to the longest) that are worked on at once
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
