@@ -1,5 +1,6 @@
 """Column expressions shared by the feature operators (all JVM built-ins)."""
 
 from basketflow.functions.columns import (  # noqa: F401
-    as_flag, avg_double, count_lines, flag_max, join_null_safe, mode_of_counts, nullif_zero, rate, share_of, significant,
+    as_flag, avg_double, best_value, count_lines, flag_max, mode_of_counts, nullif_zero, rate, share_of,
+    significant,
 )

@@ -44,25 +44,24 @@ def avg_double(col: Column) -> Column:
 
 
 def mode_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, out: str) -> DataFrame:
-    """Per ``keys``: the int ``value`` of the largest summed count ``n``, the
-    smallest one on ties, NULL values skipped.
-
-    Works on counts by key and value, never on rows, and both aggregations
-    use plain longs, so they stay hash aggregations at any number of groups:
-    count and value are packed into one long (count first, then the value
-    turned around) whose maximum is taken."""
-    by_value = (counts.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(n).alias("_n")))
-    largest = F.lit(2 ** 31 - 1).cast("long")
-    packed = F.col("_n") * F.lit(2 ** 32) + (largest - F.col(value))
-    return by_value.groupBy(*keys).agg(F.max(packed).alias("_best")).select(
-        *keys, (largest - F.pmod("_best", F.lit(2 ** 32))).cast("int").alias(out))
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join on ``key`` where NULL equals NULL (group rows of one aggregation
-    met with those of another)."""
-    other = right.withColumnRenamed(key, "_other_key")
-    return left.join(other, F.col(key).eqNullSafe(F.col("_other_key")), how).drop("_other_key")
+    """Per ``keys``: the ``value`` of the largest summed count ``n``, the
+    smallest one on ties, NULL values skipped (NULL if there are no others).
+
+    Works on counts by key and value, never on rows.  The sums by key and
+    value are dealt by key once; the largest count is found in two steps that
+    both stay where the rows are: the smallest value of every count, and of
+    these the value of the largest count.  Counts are compared as they are, so
+    nothing can overflow that the counts themselves don't."""
+    by_value = counts.groupBy(*keys, value).agg(F.sum(n).alias("_n")).repartition(*keys)
+    return best_value(by_value, keys, value, "_n", out)
+
+
+def best_value(by_value: DataFrame, keys: list[str], value: str, n: str, out: str) -> DataFrame:
+    """The mode from one row per ``keys`` and ``value``: two hash aggregations,
+    without an exchange where ``by_value`` is dealt by ``keys``."""
+    known = F.when(F.col(value).isNotNull(), F.col(n)).otherwise(F.lit(-1).cast("long")).alias("_k")
+    levels = by_value.select(*keys, value, known).groupBy(*keys, "_k").agg(F.min(value).alias("_v"))
+    return levels.groupBy(*keys).agg(F.max_by("_v", "_k").alias(out))
 
 
 def significant(col: Column, digits: int = 12) -> Column:

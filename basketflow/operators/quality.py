@@ -1,8 +1,11 @@
 """Data-quality checks as Spark aggregations.
 
-The row checks of a table are conditional counts in one aggregation of it;
-comparisons with other tables add an aggregation or an anti join each.  A
-report is ``(check, bad_rows)``.  A condition that evaluates to NULL passes, as
+The row checks of a table are conditional counts (``observed_counts`` names them by
+table).  They can be taken while the table is written (``store.write_copy``,
+``sinks.write_table``); the checks then get them as ``seen`` and read the table
+only for what needs a grouping or a join.  Without ``seen`` they are one
+aggregation of the table.  Comparisons with other tables add an aggregation or
+an anti join each.  A report is ``(check, bad_rows)``.  A condition that evaluates to NULL passes, as
 in SQL.  ``enforce`` raises on any non-zero count; the report itself has one
 row per check, never per data row.
 
@@ -36,10 +39,25 @@ def _outside(col: str, lo: float, hi: float) -> Column:
     return ~F.col(col).between(lo, hi)
 
 
-def _report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """One aggregation with a conditional count per check, as rows."""
-    wide = df.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
-    return _rows(wide, list(checks))
+ROWS = "_rows"
+
+
+def _row_counts(conditions: dict[str, Column]) -> dict[str, Column]:
+    """The aggregates behind a table's row checks, and its number of rows."""
+    return {ROWS: F.count(F.lit(1)), **{name: F.count_if(c) for name, c in conditions.items()}}
+
+
+def _report(df: DataFrame, conditions: dict[str, Column], seen: dict | None) -> DataFrame:
+    """A row per row check, from what was seen or by one aggregation."""
+    if seen is not None:
+        return df.sparkSession.createDataFrame([(name, int(seen[name])) for name in conditions],
+                                               "check string, bad_rows long")
+    wide = df.agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+    return _rows(wide, list(conditions))
+
+
+def _row_count(df: DataFrame, seen: dict | None) -> DataFrame:
+    return _count(df) if seen is None else df.sparkSession.createDataFrame([(int(seen[ROWS]),)], "k long")
 
 
 def _rows(wide: DataFrame, names: list[str]) -> DataFrame:
@@ -58,14 +76,9 @@ def _count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("k"))
 
 
-def user_feature_checks(uf: DataFrame, src: Sources) -> DataFrame:
-    # One row per user; COUNT(DISTINCT) leaves a missing user out, as the model
-    # does, so a row without a user counts as a difference.
-    rows = _count(uf)
-    users = _count(src.orders.filter((F.col("eval_set") == "prior") & F.col("user_id").isNotNull())
-                   .select("user_id").distinct())
+def _user_conditions() -> dict[str, Column]:
     c = F.col
-    invariants = _report(uf, {
+    return {
         "user_subset_counts": _any(
             c("user_reordered_unique_products") > c("user_total_unique_products"),
             c("user_reordered_department_count") > c("user_unique_department_count"),
@@ -86,15 +99,21 @@ def user_feature_checks(uf: DataFrame, src: Sources) -> DataFrame:
             c("user_total_orders") < 1, c("user_avg_basket_size") < 1, c("user_total_unique_products") < 1,
             _outside("user_preferred_order_day", 0, 6), _outside("user_preferred_order_hour", 0, 23),
             _outside("user_avg_days_between_orders", 0, 30)),
-    })
-    return _difference("user_grain", rows, users).unionByName(invariants)
+    }
 
 
-def product_feature_checks(pf: DataFrame, src: Sources) -> DataFrame:
-    rows = _count(pf)
-    products = _count(src.order_products_prior.select("product_id").distinct())
+def user_feature_checks(uf: DataFrame, src: Sources, seen: dict | None = None) -> DataFrame:
+    # One row per user; COUNT(DISTINCT) leaves a missing user out, as the model
+    # does, so a row without a user counts as a difference.
+    users = _count(src.orders.filter((F.col("eval_set") == "prior") & F.col("user_id").isNotNull())
+                   .select("user_id").distinct())
+    return (_difference("user_grain", _row_count(uf, seen), users)
+            .unionByName(_report(uf, _user_conditions(), seen)))
+
+
+def _product_conditions() -> dict[str, Column]:
     c = F.col
-    invariants = _report(pf, {
+    return {
         "product_subset_counts": _any(
             c("product_reorder_count") > c("product_order_count"),
             c("product_first_order_count") > c("product_order_count"),
@@ -116,23 +135,23 @@ def product_feature_checks(pf: DataFrame, src: Sources) -> DataFrame:
             ~c("product_in_first_and_last").isin(0, 1),
             _outside("product_preferred_order_day", 0, 6), _outside("product_preferred_order_hour", 0, 23),
             c("department_product_popularity") < 1, c("aisle_product_popularity") < 1),
-    })
-    return _difference("product_grain", rows, products).unionByName(invariants)
+    }
 
 
-def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, src: Sources) -> DataFrame:
+def product_feature_checks(pf: DataFrame, src: Sources, seen: dict | None = None) -> DataFrame:
+    products = _count(src.order_products_prior.select("product_id").distinct())
+    return (_difference("product_grain", _row_count(pf, seen), products)
+            .unionByName(_report(pf, _product_conditions(), seen)))
+
+
+def _user_product_conditions() -> dict[str, Column]:
     c = F.col
-    source_pairs = (src.order_products_prior.join(src.orders.select("order_id", "user_id"), "order_id")
-                    .select("user_id", "product_id").distinct())
-    missing_users = _count(upf.select("user_id").filter("user_id is not null").distinct()
-                           .join(uf.select("user_id"), "user_id", "left_anti"))
-    missing_products = _count(upf.select("product_id").distinct().join(pf.select("product_id"), "product_id", "left_anti"))
 
     def open_unit(col: str) -> Column:
         return (c(col) <= 0) | (c(col) > 1)
 
     n = c("user_product_order_count")
-    conditions = {
+    return {
         "user_product_rates_in_open_unit": _any(*[open_unit(x) for x in (
             "user_product_order_rate_overall", "user_product_order_rate_since_first",
             "user_product_order_share", "user_share_of_product_orders")]),
@@ -153,9 +172,20 @@ def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, sr
         "user_product_first_last_implies_last":
             (c("user_product_in_first_and_last") == 1) & (c("user_product_in_last_order") == 0),
     }
+
+
+def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, src: Sources,
+                                seen: dict | None = None) -> DataFrame:
+    source_pairs = (src.order_products_prior.join(src.orders.select("order_id", "user_id"), "order_id")
+                    .select("user_id", "product_id").distinct())
+    missing_users = _count(upf.select("user_id").filter("user_id is not null").distinct()
+                           .join(uf.select("user_id"), "user_id", "left_anti"))
+    missing_products = _count(upf.select("product_id").distinct().join(pf.select("product_id"), "product_id", "left_anti"))
     # One aggregation of the table by pair, then by user, then as a whole,
-    # gives rows, distinct pairs, users, share sums and the row conditions.
-    counts = {name: F.count_if(cond).alias(name) for name, cond in conditions.items()}
+    # gives rows, distinct pairs, users, share sums and, unless they were seen
+    # when the table was written, the row conditions.
+    conditions = _user_product_conditions()
+    counts = {name: F.count_if(cond).alias(name) for name, cond in conditions.items()} if seen is None else {}
     by_pair = upf.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("user_product_order_share").alias("_share"), *counts.values())
     by_user = by_pair.groupBy("user_id").agg(
@@ -177,7 +207,7 @@ def user_product_feature_checks(upf: DataFrame, uf: DataFrame, pf: DataFrame, sr
     compared = (ours.select(label.alias("check"), "v").union(theirs)
                 .groupBy("check").agg(F.abs(F.sum("v")).cast("long").alias("bad_rows")))
     report = reduce(DataFrame.unionByName, [
-        _rows(whole, named), compared,
+        _rows(whole, named), *([] if seen is None else [_report(upf, conditions, seen)]), compared,
         missing_users.select(F.lit("user_product_users_in_user_feature").alias("check"), F.col("k").alias("bad_rows")),
         missing_products.select(F.lit("user_product_products_in_product_feature").alias("check"),
                                 F.col("k").alias("bad_rows"))])
@@ -193,14 +223,36 @@ def _with_verdict(report: DataFrame) -> DataFrame:
                          F.when(F.col("check").isNull(), F.col("failed")).otherwise(F.col("bad_rows")).alias("bad_rows"))
 
 
+def observed_counts(table: str) -> dict[str, Column]:
+    """What is counted while a feature table is written."""
+    return _row_counts({"user_feature": _user_conditions, "product_feature": _product_conditions,
+                        "user_product_feature": _user_product_conditions}[table]())
+
+
+def _repeated_labels(src: Sources) -> DataFrame:
+    """Train lines whose user has the product in several train lines.
+
+    Lines are summed by order and product first, where they are stored.  Only
+    the sums of users with several train baskets must meet by user and product;
+    a user with one basket has that order's sums."""
+    baskets = src.order_products_train.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    orders = (src.orders.filter("user_id is not null").select("order_id", "user_id")
+              .join(baskets, "order_id").select("order_id", "user_id"))
+    several = (orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+               .select(F.col("user_id").alias("_user"), (F.col("_n") > 1).alias("several")))
+    orders = orders.join(several, F.col("user_id") == F.col("_user")).drop("_user")
+    sums = (src.order_products_train.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("k"))
+            .join(orders, "order_id"))
+    met = sums.filter("several").groupBy("user_id", "product_id").agg(F.sum("k").alias("k"))
+    return (sums.filter("not several").select("k").unionByName(met.select("k")).filter("k > 1")
+            .agg(F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("bad_rows")))
+
+
 def key_checks(src: Sources) -> DataFrame:
     """Primary keys: duplicate or NULL key rows per table; and the train lines
     whose user has the product in several train baskets (``ml_dataset`` takes
     a label to be unique)."""
-    labels = (src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id")
-              .filter("user_id is not null").groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("k"))
-              .agg(F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).cast("long").alias("bad_rows")))
-    parts = [labels.select(F.lit("key_train_labels").alias("check"), "bad_rows")]
+    parts = [_repeated_labels(src).select(F.lit("key_train_labels").alias("check"), "bad_rows")]
     for table, keys in PRIMARY_KEYS.items():
         df = getattr(src, table)
         null_key = _any(*[F.col(k).isNull() for k in keys])
@@ -218,7 +270,10 @@ def reference_checks(src: Sources) -> DataFrame:
     for child, col, parent, pcol in FOREIGN_KEYS:
         kids = getattr(src, child).filter(F.col(col).isNotNull())
         parents = getattr(src, parent).select(F.col(pcol).alias(col))
-        orphans = kids.join(parents, col, "left_anti").agg(F.count(F.lit(1)).alias("bad_rows"))
+        # Lines and orders are stored by order; other keys are few, so the
+        # rows are summed by key before they meet the parents.
+        counted = kids.groupBy(col).agg(F.count(F.lit(1)).alias("k"))
+        orphans = counted.join(parents, col, "left_anti").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("bad_rows"))
         parts.append(orphans.select(F.lit(f"ref_{child}_{col}").alias("check"),
                                     F.col("bad_rows").cast("long")))
     return reduce(DataFrame.unionByName, parts)
@@ -236,19 +291,19 @@ def enforce(report: DataFrame) -> DataFrame:
 def _q_user(src: Sources) -> DataFrame:
     from basketflow.plans import tables
     uf, _, _ = tables.shared_tables(src)
-    return user_feature_checks(uf, src)
+    return user_feature_checks(uf, src, tables.seen_while_written(src, "user_feature"))
 
 
 def _q_product(src: Sources) -> DataFrame:
     from basketflow.plans import tables
     _, pf, _ = tables.shared_tables(src)
-    return product_feature_checks(pf, src)
+    return product_feature_checks(pf, src, tables.seen_while_written(src, "product_feature"))
 
 
 def _q_user_product(src: Sources) -> DataFrame:
     from basketflow.plans import tables
     uf, pf, upf = tables.shared_tables(src)
-    return user_product_feature_checks(upf, uf, pf, src)
+    return user_product_feature_checks(upf, uf, pf, src, tables.seen_while_written(src, "user_product_feature"))
 
 
 CHECK_QUERIES = {

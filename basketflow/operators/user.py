@@ -3,9 +3,10 @@
 Order-level features aggregate the user's prior orders; line-level ones
 aggregate per-order baskets (``order_baskets``: lines grouped by order on
 data already clustered by order); product-set features aggregate the
-``pairs`` fact.  Distinct counts of departments and aisles are two-level
-aggregations (group by user and department, then by user), and modes are taken
-from counts by user and value, so nothing keeps a set or a map per user.
+``pairs`` fact.  Distinct counts of departments and aisles, and modes, are taken
+from sums by user and value.  These are few per user and are dealt by user once,
+so nothing keeps a set or a map per user, and no group-by after that needs an
+exchange.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from basketflow.functions.constants import (
     AFTERNOON_HOURS, DAYS_PER_WEEK, EVENING_HOURS, MORNING_HOURS, NIGHT_HOURS, WEEKEND_DAYS,
 )
-from basketflow.functions import avg_double, count_lines, join_null_safe, mode_of_counts, nullif_zero, rate, share_of
+from basketflow.functions import avg_double, best_value, count_lines, nullif_zero, rate, share_of
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
 
@@ -64,21 +65,16 @@ def gap_sum() -> F.Column:
 
 
 def preferred(prior_orders: DataFrame, column: str, out: str) -> DataFrame:
-    """The user's most frequent value of ``column``, the smallest on ties."""
+    """The user's most frequent value of ``column``, the smallest on ties.  A
+    user whose values are all unknown has a row, without a value."""
     counts = prior_orders.groupBy("user_id", column).agg(count_lines().alias("n"))
-    # A user whose values are all unknown has a row, without a value.
-    users = counts.select("user_id").distinct()
-    return join_null_safe(users, mode_of_counts(counts, ["user_id"], column, "n", out), "user_id")
+    return best_value(counts.repartition("user_id"), ["user_id"], column, "n", out)
 
 
 def preferred_day(prior_orders: DataFrame) -> DataFrame:
     return preferred(prior_orders, "order_dow", "user_preferred_order_day")
 
 
-def preferred_hour(prior_orders: DataFrame) -> DataFrame:
-    return preferred(prior_orders, "order_hour_of_day", "user_preferred_order_hour")
-
-
 def order_timing(prior_orders: DataFrame) -> DataFrame:
     """The order-level user features but the modes, in one aggregation."""
     hour, dow = F.col("order_hour_of_day"), F.col("order_dow")
@@ -99,6 +95,61 @@ def order_timing(prior_orders: DataFrame) -> DataFrame:
     )
 
 
+def order_profile(prior_orders: DataFrame) -> DataFrame:
+    """``order_timing`` and both modes from one pass over the orders.
+
+    The orders are summed by user, day and hour; a user's sums (days x hours
+    at most) are dealt by user once, and everything else is grouped where
+    they are: each sum stands once under its day and once under its hour,
+    every value has its count, and of those follow modes and shares."""
+    sums = prior_orders.groupBy("user_id", "order_dow", "order_hour_of_day").agg(
+        count_lines().alias("n"), F.sum("days_since_prior_order").alias("gaps"),
+        F.count("days_since_prior_order").alias("n_gaps")).repartition("user_id")
+    day, hour = F.lit("day"), F.lit("hour")
+    under = F.inline(F.array(F.struct(day.alias("kind"), F.col("order_dow").alias("value")),
+                             F.struct(hour.alias("kind"), F.col("order_hour_of_day").alias("value"))))
+    by_value = sums.select("user_id", "n", "gaps", "n_gaps", under).groupBy("user_id", "kind", "value").agg(
+        *[F.sum(c).alias(c) for c in ("n", "gaps", "n_gaps")])
+
+    def counted(kind: F.Column, condition: F.Column) -> F.Column:
+        return F.sum(F.when((F.col("kind") == kind) & condition, F.col("n")).otherwise(F.lit(0).cast("long")))
+
+    value = F.col("value")
+    weekend = value.isin(*WEEKEND_DAYS)
+    shares = {"user_morning_order_rate": counted(hour, value.between(*MORNING_HOURS)),
+              "user_afternoon_order_rate": counted(hour, value.between(*AFTERNOON_HOURS)),
+              "user_evening_order_rate": counted(hour, value.between(*EVENING_HOURS)),
+              "user_night_order_rate": counted(hour, value.between(*NIGHT_HOURS[0]) | value.between(*NIGHT_HOURS[1])),
+              "user_weekend_order_rate": counted(day, weekend),
+              "user_weekday_order_rate": counted(day, ~weekend)}
+    # The smallest value of every count, then the value of the largest count.
+    rank = F.when(value.isNotNull(), F.col("n")).otherwise(F.lit(-1).cast("long"))
+    levels = by_value.withColumn("rank", rank).groupBy("user_id", "kind", "rank").agg(
+        F.min("value").alias("value"), F.sum("n").alias("n"), F.sum("gaps").alias("gaps"),
+        F.sum("n_gaps").alias("n_gaps"), *[c.alias(name) for name, c in shares.items()])
+
+    def once(c: str) -> F.Column:  # every sum stands under its day and its hour
+        return F.sum(F.when(F.col("kind") == day, F.col(c)))
+
+    def mode(kind: F.Column) -> F.Column:
+        return F.max_by("value", F.when(F.col("kind") == kind, F.col("rank")))
+
+    whole = levels.groupBy("user_id").agg(
+        once("n").alias("n"), once("gaps").cast("double").alias("gaps"), once("n_gaps").alias("n_gaps"),
+        mode(day).alias("user_preferred_order_day"), mode(hour).alias("user_preferred_order_hour"),
+        *[F.sum(name).alias(name) for name in shares])
+    n, gaps = F.col("n"), F.col("gaps")
+    before = (n - 1).cast("double")
+    return whole.select(
+        "user_id", n.alias("user_total_orders"),
+        rate(gaps, nullif_zero(F.col("n_gaps"))).alias("user_avg_days_between_orders"),
+        *[rate(F.col(name), n).alias(name) for name in shares],
+        gaps.alias("user_total_days_active"),
+        (before / nullif_zero(gaps / float(DAYS_PER_WEEK))).alias("user_orders_per_week"),
+        (before / nullif_zero(gaps)).alias("user_order_frequency"),
+        "user_preferred_order_day", "user_preferred_order_hour")
+
+
 def u05_user_avg_days_between_orders(src: Sources) -> DataFrame:
     return order_timing(_prior_orders(src)).select("user_id", "user_avg_days_between_orders")
 
@@ -108,8 +159,7 @@ def u06_user_preferred_order_day(src: Sources) -> DataFrame:
 
 
 def u07_user_order_hour_profile(src: Sources) -> DataFrame:
-    orders = _prior_orders(src)
-    return join_null_safe(order_timing(orders), preferred_hour(orders), "user_id").select(
+    return order_profile(_prior_orders(src)).select(
         "user_id", "user_preferred_order_hour", "user_morning_order_rate", "user_afternoon_order_rate",
         "user_evening_order_rate", "user_night_order_rate")
 
@@ -134,26 +184,36 @@ def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column)
     without a user count, but never as reordered (the model meets the two
     sides by an equality of users).
 
-    The pairs are summed once by user, department and aisle; distinct counts
-    are counts of those sums, first by user and dimension value, then by
-    user.  ``extra`` sums over all of the user's pairs ride along (their
-    columns must be on ``pairs``)."""
+    The pairs are summed once by user, department and aisle, and these sums
+    (departments x aisles at most) dealt by user; each stands once under its
+    department and once under its aisle, and distinct counts are counts of the
+    sums by value, taken where they are.  ``extra`` sums over all of the user's
+    pairs ride along (their columns must be on ``pairs``)."""
     catalogue = products.select("product_id", "department_id", "aisle_id", F.lit(True).alias("_known"))
     rows = pairs.join(catalogue, "product_id", "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
     rebought = F.col("_known") & (F.col("n_reorders") > 0) & F.col("user_id").isNotNull()
     sums = rows.groupBy("user_id", "department_id", "aisle_id").agg(
         F.count_if(F.col("_known")).alias("known"), F.count_if(rebought).alias("again"),
-        *[expr.alias(name) for name, expr in extra.items()])
-    per_user = sums.groupBy("user_id").agg(
-        F.sum("known").alias("user_total_unique_products"), F.sum("again").alias("user_reordered_unique_products"),
-        *[F.sum(name).alias(name) for name in extra])
-    for column, every, some in (("department_id", "user_unique_department_count", "user_reordered_department_count"),
-                                ("aisle_id", "user_unique_aisle_count", "user_reordered_aisle_count")):
-        named = F.col(column).isNotNull()
-        distinct = (sums.groupBy("user_id", column).agg(F.sum("known").alias("known"), F.sum("again").alias("again"))
-                    .groupBy("user_id").agg(F.count_if(named & (F.col("known") > 0)).alias(every),
-                                            F.count_if(named & (F.col("again") > 0)).alias(some)))
-        per_user = join_null_safe(per_user, distinct, "user_id")
+        *[expr.alias(name) for name, expr in extra.items()]).repartition("user_id")
+    department, aisle = F.lit("department"), F.lit("aisle")
+    under = F.inline(F.array(F.struct(department.alias("kind"), F.col("department_id").alias("value")),
+                             F.struct(aisle.alias("kind"), F.col("aisle_id").alias("value"))))
+    by_value = sums.select("user_id", "known", "again", *extra, under).groupBy("user_id", "kind", "value").agg(
+        *[F.sum(c).alias(c) for c in ("known", "again", *extra)])
+
+    def distinct(kind: F.Column, count: str) -> F.Column:
+        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull() & (F.col(count) > 0))
+
+    def once(c: str) -> F.Column:  # every sum stands under its department and its aisle
+        return F.sum(F.when(F.col("kind") == department, F.col(c)))
+
+    per_user = by_value.groupBy("user_id").agg(
+        once("known").alias("user_total_unique_products"), once("again").alias("user_reordered_unique_products"),
+        distinct(department, "known").alias("user_unique_department_count"),
+        distinct(department, "again").alias("user_reordered_department_count"),
+        distinct(aisle, "known").alias("user_unique_aisle_count"),
+        distinct(aisle, "again").alias("user_reordered_aisle_count"),
+        *[once(name).alias(name) for name in extra])
     known = F.col("user_total_unique_products") > 0
 
     def if_known(name: str) -> F.Column:

@@ -2,9 +2,9 @@
 
 All of them are projections of the ``pairs`` fact (one aggregation of the
 order lines by user and product), sometimes joined to a per-user or
-per-product total.  Joins on ``user_id`` alone are the only place where a
-heavy user concentrates rows; AQE's skew-join handling splits such
-partitions at runtime.
+per-product total.  Joins on ``user_id`` or ``product_id`` alone are the only
+places where a heavy key concentrates rows; ``salted_join`` deals those to
+several tasks.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions import as_flag, join_null_safe, nullif_zero, rate
+from basketflow.functions import as_flag, nullif_zero, rate
+from basketflow.operators.skew import salted_join
 from basketflow.plans import facts
 from basketflow.sources.readers import Sources
 
@@ -49,7 +50,9 @@ def up03_user_product_repurchase_interval(src: Sources) -> DataFrame:
 
 
 def up04_user_product_order_share(src: Sources) -> DataFrame:
-    return join_null_safe(_pairs(src), _user_line_totals(src), "user_id", "inner").select(
+    fx = facts.shared_facts(src)
+    met = salted_join(fx.pairs, _user_line_totals(src), ["user_id"], fx.heavy_users, ["product_id"], "inner", null_safe=True)
+    return met.select(
         *PAIR, F.col("n").alias("user_product_order_count"),
         rate(F.col("n"), F.col("user_line_count")).alias("user_product_order_share"))
 
@@ -64,8 +67,9 @@ def up05_user_product_order_rates(src: Sources) -> DataFrame:
 
 
 def up06_user_share_of_product_orders(src: Sources) -> DataFrame:
-    totals = facts.shared_facts(src).product_lines.select("product_id", F.col("n").alias("product_line_count"))
-    return _pairs(src).join(totals, "product_id").select(
+    fx = facts.shared_facts(src)
+    totals = fx.product_lines.select("product_id", F.col("n").alias("product_line_count"))
+    return salted_join(fx.pairs, totals, ["product_id"], fx.heavy_products, ["user_id"], "inner").select(
         *PAIR, rate(F.col("n"), F.col("product_line_count")).alias("user_share_of_product_orders"))
 
 
@@ -121,8 +125,10 @@ def _user_halves(src: Sources) -> DataFrame:
 
 
 def up13_user_product_order_trend(src: Sources) -> DataFrame:
-    p = _pairs(src).filter(F.col("user_max_order_number").isNotNull())
-    return order_trend(p.join(_user_halves(src), "user_id")).select(*PAIR, "user_product_order_trend")
+    fx = facts.shared_facts(src)
+    p = fx.pairs.filter(F.col("user_max_order_number").isNotNull())
+    met = salted_join(p, _user_halves(src), ["user_id"], fx.heavy_users, ["product_id"], "inner")
+    return order_trend(met).select(*PAIR, "user_product_order_trend")
 
 
 def up14_user_product_days_since_last_order(src: Sources) -> DataFrame:

@@ -26,13 +26,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.functions import count_lines, flag_max, mode_of_counts
 from basketflow.operators.sequence import BLOCK_ROWS, blocked_running_sum, run_starts
+from basketflow.operators.skew import NONE, PART_ROWS, Heavy, heavy_keys, salted_join
 from basketflow.sources.readers import Sources
-from basketflow.sources.store import materialise
+from basketflow.sources.store import materialise, once
 
 
 def _prior() -> F.Column:
@@ -118,7 +119,7 @@ def pairs(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_runs(pair_rows: DataFrame, lines: DataFrame) -> DataFrame:
+def with_runs(pair_rows: DataFrame, lines: DataFrame, heavy_pairs: Heavy = NONE) -> DataFrame:
     """``pairs`` plus ``latest_run_start``: for a pair of the user's last prior
     order, the order number at which the run that ends there starts (NULL for
     other pairs).
@@ -133,7 +134,7 @@ def with_runs(pair_rows: DataFrame, lines: DataFrame) -> DataFrame:
     in_last = F.col("in_last") == 1
     unbroken = (F.col("last_no") == umax) & (F.col("n") == umax - F.col("first_no") + 1)
     broken = pair_rows.filter(in_last & ~unbroken).select(*keys)
-    rows = lines.select(*keys, "order_number").join(broken, keys, "left_semi")
+    rows = salted_join(lines.select(*keys, "order_number"), broken, keys, heavy_pairs, ["order_number"], "left_semi")
     latest = run_starts(rows, keys, "order_number").groupBy(*keys).agg(F.max("order_number").alias("_start"))
     return (pair_rows.join(latest, keys, "left")
             .withColumn("latest_run_start", F.when(in_last, F.when(unbroken, F.col("first_no")).otherwise(F.col("_start"))))
@@ -193,6 +194,12 @@ class Facts:
     baskets: DataFrame
     pairs: DataFrame  # includes latest_run_start
     product_lines: DataFrame
+    # Keys that hold a large share: users and products by pairs, products and
+    # pairs by lines.
+    heavy_users: Heavy = NONE
+    heavy_products: Heavy = NONE
+    heavy_product_lines: Heavy = NONE
+    heavy_pairs: Heavy = NONE
 
     @classmethod
     def derive(cls, src: Sources) -> "Facts":
@@ -203,7 +210,7 @@ class Facts:
                    product_lines=product_line_stats(lines))
 
 
-def shared_facts(src: Sources) -> Facts:
+def shared_facts(src: Sources, part_rows: int = PART_ROWS) -> Facts:
     """Facts of ``src``, stored once as Parquet in the folder that is keyed by
     the state of the sources' files.
 
@@ -211,19 +218,33 @@ def shared_facts(src: Sources) -> Facts:
     and read back, so no step recomputes an earlier one and the lineage of
     every later query starts at a stored table (a lost executor costs a
     re-read, not a re-derivation).  Sources that are only a plan
-    (``home`` is None) get derived, unmaterialised facts.
+    (``home`` is None) get derived, unmaterialised facts without a list of
+    heavy keys (those come from the stored counts).
     """
     if src.home is None:
         return Facts.derive(src)
     spark = src.orders.sparkSession
+    return once(spark, f"facts-{part_rows}", src.home, lambda: _stored_facts(spark, src, part_rows))
 
-    def stored(name: str, build) -> DataFrame:
-        return materialise(spark, f"{src.home}/_facts/{name}", build)
+
+def _stored_facts(spark: SparkSession, src: Sources, part_rows: int) -> Facts:
+    def stored(name: str, build, **layout) -> DataFrame:
+        return materialise(spark, f"{src.home}/_facts/{name}", build, **layout)
+
+    def heavy(name: str, counts: DataFrame, keys: list[str]) -> Heavy:
+        return Heavy.of(stored(f"{name}-{part_rows}", lambda: heavy_keys(counts, keys, "n", part_rows)))
 
     timeline = stored("timeline", lambda: order_timeline(src))
-    lines = stored("lines", lambda: order_lines(src, timeline))
+    lines = stored("lines", lambda: order_lines(src, timeline), bucket_by="order_id")
     counted = stored("pair_counts", lambda: pairs(lines))
+    product_lines = stored("product_lines", lambda: product_line_stats(lines))
+    heavy_pairs = heavy("heavy_pairs", counted, ["user_id", "product_id"])
     return Facts(timeline=timeline, lines=lines,
                  baskets=stored("baskets", lambda: order_baskets(lines)),
-                 pairs=stored("pairs", lambda: with_runs(counted, lines)),
-                 product_lines=stored("product_lines", lambda: product_line_stats(lines)))
+                 pairs=stored("pairs", lambda: with_runs(counted, lines, heavy_pairs)),
+                 product_lines=product_lines,
+                 heavy_users=heavy("heavy_users", counted.groupBy("user_id").agg(count_lines().alias("n")), ["user_id"]),
+                 heavy_products=heavy("heavy_products", counted.groupBy("product_id").agg(count_lines().alias("n")),
+                                      ["product_id"]),
+                 heavy_product_lines=heavy("heavy_product_lines", product_lines, ["product_id"]),
+                 heavy_pairs=heavy_pairs)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag
+from basketflow.operators.skew import NONE, salted_join
+from basketflow.plans.facts import Facts, shared_facts
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
@@ -38,24 +40,29 @@ def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
     if with_target:
         train = (src.order_products_train.join(src.orders.select("order_id", "user_id"), "order_id")
                  .select("user_id", "product_id", F.col("reordered").isNotNull().alias("_in_train")))
-        lines = lines.join(train, ["user_id", "product_id"], "left") \
-            .withColumn("target_variable", as_flag(F.col("_in_train")))
+        heavy = shared_facts(src).heavy_pairs if src.home else NONE
+        lines = (salted_join(lines, train, ["user_id", "product_id"], heavy, ["order_id"])
+                 .withColumn("target_variable", as_flag(F.col("_in_train"))))
         cols.append("target_variable")
     return lines.select(*cols)
 
 
 def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: DataFrame,
-                     user_product_feature: DataFrame) -> DataFrame:
+                     user_product_feature: DataFrame, fx: Facts | None = None) -> DataFrame:
     """t6: the line dataset with the three feature tables (95 columns).
 
     The model joins the user table to the lines.  Here it meets the pair
     table first, which has every (user, product) of the lines, so the lines
     are shuffled once, by pair; a line without a user meets neither table in
     either order.  The product table, one row per product, is joined last.
-    Column order follows chained USING joins: the last join keys first."""
+    Column order follows chained USING joins: the last join keys first.  ``fx``
+    tells the heavy users, pairs and products, which are dealt to several
+    tasks."""
     keys = ["user_id", "product_id"]
-    per_pair = user_product_feature.join(user_feature, "user_id", "left")
-    joined = ml.join(per_pair, keys, "left").join(product_feature, "product_id", "left")
+    users, pairs, products = (fx.heavy_users, fx.heavy_pairs, fx.heavy_product_lines) if fx else (NONE, NONE, NONE)
+    per_pair = salted_join(user_product_feature, user_feature, ["user_id"], users, ["product_id"])
+    joined = salted_join(ml, per_pair, keys, pairs, ["order_id"])
+    joined = salted_join(joined, product_feature, ["product_id"], products, ["order_id"])
     rest = [c for c in ml.columns if c not in keys]
     cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
             + [c for c in product_feature.columns if c != "product_id"]

@@ -24,14 +24,14 @@ import json
 import time
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.operators import quality
 from basketflow.plans import mldataset, tables
 from basketflow.plans.facts import shared_facts
 from basketflow.session import build_session, ensure_checkpoint_dir
 from basketflow.sources.readers import Sources, read_csv_sources, read_parquet_sources, write_parquet_sources
-from basketflow.sources.sinks import write_and_read
+from basketflow.sources.sinks import read_table, write_and_read, write_table
 
 
 def stored_sources(spark: SparkSession, src: Sources) -> Sources:
@@ -46,8 +46,10 @@ def stored_sources(spark: SparkSession, src: Sources) -> Sources:
 
 def build_all(spark: SparkSession, src: Sources, out_dir: str, check: bool = True) -> dict[str, float]:
     """Build and write all five tables under ``out_dir``; returns seconds
-    per step.  With ``check`` the data-quality checks run on the written
-    feature tables and raise ``DataQualityError`` on any violation."""
+    per step.  With ``check`` the row checks are counted while the feature
+    tables are written, the others run on the written tables, and any violation
+    raises ``DataQualityError``.  A table is replaced when its new version is
+    complete; until then the old one can be read."""
     out = out_dir.rstrip("/")
     steps: dict[str, float] = {}
 
@@ -59,22 +61,27 @@ def build_all(spark: SparkSession, src: Sources, out_dir: str, check: bool = Tru
 
     src = timed("sources", lambda: stored_sources(spark, src))
     fx = timed("facts", lambda: shared_facts(src))
-    uf = timed("user_feature", lambda: write_and_read(tables.user_feature(src, fx), f"{out}/user_feature"))
-    pf = timed("product_feature",
-               lambda: write_and_read(tables.product_feature(src, fx), f"{out}/product_feature"))
-    upf = timed("user_product_feature",
-                lambda: write_and_read(tables.user_product_feature(src, fx), f"{out}/user_product_feature"))
+    seen: dict[str, dict] = {}
+
+    def built(name: str, build) -> DataFrame:
+        """Write a feature table and count its row checks on the way."""
+        seen[name] = write_table(build(src, fx), f"{out}/{name}", quality.observed_counts(name) if check else None)
+        return read_table(spark, f"{out}/{name}")
+
+    uf = timed("user_feature", lambda: built("user_feature", tables.user_feature))
+    pf = timed("product_feature", lambda: built("product_feature", tables.product_feature))
+    upf = timed("user_product_feature", lambda: built("user_product_feature", tables.user_product_feature))
     if check:
         def run_checks():
             report = (quality.key_checks(src).unionByName(quality.reference_checks(src))
-                      .unionByName(quality.user_feature_checks(uf, src))
-                      .unionByName(quality.product_feature_checks(pf, src))
-                      .unionByName(quality.user_product_feature_checks(upf, uf, pf, src)))
+                      .unionByName(quality.user_feature_checks(uf, src, seen["user_feature"]))
+                      .unionByName(quality.product_feature_checks(pf, src, seen["product_feature"]))
+                      .unionByName(quality.user_product_feature_checks(upf, uf, pf, src, seen["user_product_feature"])))
             return quality.enforce(report)
         timed("checks", run_checks)
     ml = timed("ml_dataset", lambda: write_and_read(mldataset.ml_dataset(src), f"{out}/ml_dataset"))
     timed("ml_dataset_final",
-          lambda: write_and_read(mldataset.ml_dataset_final(ml, uf, pf, upf), f"{out}/ml_dataset_final"))
+          lambda: write_and_read(mldataset.ml_dataset_final(ml, uf, pf, upf, fx), f"{out}/ml_dataset_final"))
     return steps
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from basketflow.functions.constants import DAYS_PER_WEEK, PERCENT
 from basketflow.functions import as_flag, avg_double, nullif_zero, rate
 from basketflow.operators.product import popularity_ranks
-from basketflow.operators.user import known_reorder_rate, order_timing, preferred_day, preferred_hour, reorder_diversity
+from basketflow.operators.quality import observed_counts
+from basketflow.operators.skew import salted_join
+from basketflow.operators.user import known_reorder_rate, order_profile, reorder_diversity
 from basketflow.operators.user_product import order_trend
 from basketflow.plans import facts
 from basketflow.plans.facts import Facts, shared_facts
+from basketflow.sources import store
 from basketflow.sources.readers import Sources
-from basketflow.sources.store import materialise
 from basketflow.sources.schema import (
     PRODUCT_FEATURE_COLUMNS, USER_FEATURE_COLUMNS, USER_PRODUCT_FEATURE_COLUMNS,
 )
@@ -32,8 +34,7 @@ def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     counts that are 0 for users without such products."""
     fx = fx or shared_facts(src)
     orders = fx.timeline.filter(F.col("is_prior"))
-    timing = (order_timing(orders).join(preferred_day(orders), "user_id", "left")
-              .join(preferred_hour(orders), "user_id", "left"))
+    timing = order_profile(orders)
     timing = timing.select("user_id", *[F.when(F.col("user_id").isNotNull(), F.col(c)).alias(c)
                                         for c in timing.columns if c != "user_id"])
     b = fx.baskets
@@ -159,11 +160,11 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
     product_lines = fx.product_lines.select("product_id", F.col("n").alias("product_line_count"))
     keys = ["user_id", "product_id"]
     # The per-user side is combined first (both parts are one row per user)
-    # so the pair data meets it in a single join, which AQE's skew-join
-    # handling can split for a heavy user.
+    # so the pair data meets it in a single join.  Heavy users and products are
+    # dealt to several tasks; AQE's skew-join handling stays for the rest.
     per_user = users.join(user_lines, "user_id", "full")
-    t = (fx.pairs.join(per_user, "user_id", "left")
-         .join(product_lines, "product_id", "left"))
+    t = salted_join(fx.pairs, per_user, ["user_id"], fx.heavy_users, ["product_id"])
+    t = salted_join(t, product_lines, ["product_id"], fx.heavy_products, ["user_id"])
     t = order_trend(facts.current_streak(t))
     n, umax = F.col("n"), F.col("user_max_order_number")
     span = (F.col("cum_last") - F.col("cum_first")).cast("double")
@@ -196,13 +197,22 @@ def user_product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
 
 def shared_tables(src: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three feature tables, stored once in the folder that is keyed by
-    the state of the sources' files, and read back (later jobs - the final dataset, the checks - start from
-    the written tables).  Plan-only sources get unmaterialised plans."""
+    the state of the sources' files, and read back (later jobs - the final
+    dataset, the checks - start from the written tables).  Their row checks
+    are counted while they are written.  Plan-only sources get unmaterialised
+    plans."""
     fx = shared_facts(src)
+    builders = {"user_feature": user_feature, "product_feature": product_feature,
+                "user_product_feature": user_product_feature}
     if src.home is None:
-        return user_feature(src, fx), product_feature(src, fx), user_product_feature(src, fx)
+        return tuple(build(src, fx) for build in builders.values())
     spark = src.orders.sparkSession
-    root = f"{src.home}/_tables"
-    return (materialise(spark, f"{root}/user_feature", lambda: user_feature(src, fx)),
-            materialise(spark, f"{root}/product_feature", lambda: product_feature(src, fx)),
-            materialise(spark, f"{root}/user_product_feature", lambda: user_product_feature(src, fx)))
+    return tuple(store.materialise(spark, f"{src.home}/_tables/{name}", lambda b=build: b(src, fx), observe=observed_counts(name))
+                 for name, build in builders.items())
+
+
+def seen_while_written(src: Sources, table: str) -> dict | None:
+    """Counts of the row checks of a stored feature table; None for plans."""
+    if src.home is None:
+        return None
+    return store.observed(src.orders.sparkSession, f"{src.home}/_tables/{table}")

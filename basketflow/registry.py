@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketflow.functions import significant
 from basketflow.operators import product, quality, user, user_product
 from basketflow.plans import mldataset, tables
+from basketflow.plans.facts import shared_facts
 from basketflow.sources.fixtures import load_star_schema
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ORDER_DEPENDENT_COLUMNS
@@ -57,7 +58,7 @@ def _t5(src: Sources) -> DataFrame:
 def _t6(src: Sources) -> DataFrame:
     """The line dataset joined with the stored feature tables."""
     uf, pf, upf = tables.shared_tables(src)
-    return mldataset.ml_dataset_final(mldataset.ml_dataset(src), uf, pf, upf)
+    return mldataset.ml_dataset_final(mldataset.ml_dataset(src), uf, pf, upf, shared_facts(src))
 
 
 TABLE_BUILDERS = {

@@ -139,21 +139,25 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     """
     folder = sf_dir.rstrip("/")
     root = store.folder_of(spark, "star", [f"{folder}/{table}.parquet" for table in STAR_TABLES], MAPPING_VERSION)
+    return store.once(spark, "sources", root, lambda: _stored_sources(spark, sf_dir, root))
 
-    def stored(name: str, build, **options) -> DataFrame:
-        return store.materialise(spark, f"{root}/{name}", build, **options)
 
-    dimensions = _dimensions(spark, sf_dir)
-    frames = {name: stored(name, lambda df=df: df) for name, df in dimensions.items()}
-    lines = stored("basket", lambda: _basket_lines(spark, sf_dir))
-    frames["orders"] = orders = stored("orders", lambda: _mapped_orders(spark, sf_dir))
+def _stored_sources(spark: SparkSession, sf_dir: str, root: str) -> Sources:
+    def stored(name: str, build, **layout) -> DataFrame:
+        return store.materialise(spark, f"{root}/{name}", build, **layout)
+
+    frames = {name: stored(name, lambda n=name: _dimensions(spark, sf_dir)[n])
+              for name in ("aisles", "departments", "products")}
+    lines = stored("basket", lambda: _basket_lines(spark, sf_dir), bucket_by="order_id")
+    frames["orders"] = orders = stored("orders", lambda: _mapped_orders(spark, sf_dir), bucket_by="order_id")
     # All lines in one pass, split by evaluation set on write; each line table
-    # is one partition of it (read with partition pruning).
+    # is then laid out by order, like the orders.
     line_tables = {"order_products_prior": "prior", "order_products_train": "train"}
     placed = stored("lines", lambda: _placed_lines(lines, orders)
                     .filter(F.col("eval_set").isin(*line_tables.values()))
                     .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered"),
                     partition_by="eval_set")
     for name, eval_set in line_tables.items():
-        frames[name] = placed.filter(F.col("eval_set") == eval_set)
+        frames[name] = stored(name, lambda e=eval_set, n=name: _conform(placed.filter(F.col("eval_set") == e), n),
+                              bucket_by="order_id")
     return Sources(**{name: _conform(df, name) for name, df in frames.items()}, home=root)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.sources import store
+from basketflow.sources.csvsplit import read_split_csv
 from basketflow.sources.schema import CSV_READ_SCHEMAS, SCHEMAS
 
 # File names of the original CSV export (fixed values).
@@ -54,7 +56,8 @@ def read_csv_sources(spark: SparkSession, folder: str, file_names: dict[str, str
     unquoted field is NULL, a quoted empty one an empty string.  Rows that do
     not fit the schema fail the read (FAILFAST) instead of turning into silent
     NULLs.  ``reordered`` is read as 0/1 and cast.  Line ends inside quoted
-    fields need ``multi_line``, with which a file is read by one task; without
+    fields need ``multi_line``, with which records are put together from lines
+    by quote parity (``csvsplit``; a file is still read by many tasks); without
     it such a row fails the read.
     """
     names = file_names or CSV_FILE_NAMES
@@ -62,22 +65,37 @@ def read_csv_sources(spark: SparkSession, folder: str, file_names: dict[str, str
     root = store.folder_of(spark, "csv", list(paths.values()), str(multi_line))
 
     def read(name: str) -> DataFrame:
+        if multi_line:
+            return _conform(read_split_csv(spark, paths[name], CSV_READ_SCHEMAS[name]), name)
         raw = (spark.read.schema(CSV_READ_SCHEMAS[name]).option("header", True).option("mode", "FAILFAST")
-               .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(paths[name]))
+               .option("quote", '"').option("escape", '"').csv(paths[name]))
         return _conform(raw, name)
 
-    frames = {name: _conform(store.materialise(spark, f"{root}/{name}", lambda n=name: read(n)), name)
-              for name in paths}
+    return store.once(spark, "sources", root, lambda: _laid_out(spark, root, read))
+
+
+# Orders and lines are stored by order: what meets or groups them by order
+# needs no exchange of lines.
+BY_ORDER = {"orders": "order_id", "order_products_prior": "order_id", "order_products_train": "order_id"}
+
+
+def _laid_out(spark: SparkSession, root: str, read: Callable[[str], DataFrame]) -> Sources:
+    """The six tables, stored under ``root``."""
+    frames = {name: _conform(store.materialise(spark, f"{root}/{name}", lambda n=name: read(n),
+                                               bucket_by=BY_ORDER.get(name)), name) for name in SCHEMAS}
     return Sources(**frames, home=root)
 
 
 def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
-    """Read the six tables from ``<folder>/<table>`` Parquet datasets.  What
-    is derived from them goes to the shared checkpoint folder, keyed by the
-    files' state; the input folder is only read."""
+    """Read the six tables from ``<folder>/<table>`` Parquet datasets.  Orders
+    and lines are stored once more in the shared checkpoint folder, laid out by
+    order (one exchange, which every later use of them is spared), and so is
+    what is derived; all keyed by the files' state.  The input folder is only
+    read."""
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in SCHEMAS}
-    frames = {name: _conform(spark.read.parquet(path), name) for name, path in paths.items()}
-    return Sources(**frames, home=store.folder_of(spark, "parquet", list(paths.values())))
+    root = store.folder_of(spark, "parquet", list(paths.values()))
+    return store.once(spark, "sources", root,
+                      lambda: _laid_out(spark, root, lambda n: _conform(spark.read.parquet(paths[n]), n)))
 
 
 def write_parquet_sources(sources: Sources, folder: str) -> None:

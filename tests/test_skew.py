@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketflow.plans import facts, tables
+from basketflow.operators import skew
+from basketflow.plans import facts, mldataset, tables
+from basketflow.plans.pipeline import stored_sources
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import SCHEMAS
 
@@ -146,3 +148,81 @@ def test_aqe_splits_the_heavy_user_join(spark, wide):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _spread(df, key):
+    """Rows of a key in each output partition."""
+    rows = df.withColumn("_p", F.spark_partition_id()).where(key).groupBy("_p").count().collect()
+    return [r["count"] for r in rows]
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """Shuffle joins whose partitions AQE neither splits nor merges."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_heavy_keys_are_few_and_found(spark):
+    counts = spark.range(5000).select(F.col("id").alias("k"), F.when(F.col("id") < 3, 10 ** 6).otherwise(10).alias("n"))
+    found = {r.k: r.parts for r in skew.heavy_keys(counts, ["k"], "n", part_rows=100, most=50).collect()}
+    assert set(found) == {0, 1, 2} and all(10 < p <= 50 for p in found.values())
+    even = spark.range(5000).select(F.col("id").alias("k"), F.lit(10 ** 7).alias("n"))
+    assert skew.heavy_keys(even, ["k"], "n", part_rows=100, most=50).count() == 0  # none stands out
+    assert skew.heavy_keys(counts.limit(0), ["k"], "n").count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_salted_join_equals_the_plain_one(spark, plain_shuffles, how, null_safe):
+    if how == "left_semi" and null_safe:
+        pytest.skip("not used")
+    rows = [(1, k) for k in range(900)] + [(None, k) for k in range(500)] + [(k % 50, k) for k in range(100)] + [(77, 1)]
+    big = spark.createDataFrame(rows, "k int, x int")
+    small = spark.createDataFrame([(k, k * 10) for k in range(50)] + [(None, -1)], "k int, y int")
+    heavy = skew.Heavy.of(skew.heavy_keys(big.groupBy("k").count(), ["k"], "count", part_rows=100, most=20))
+    assert {r[0] for r in heavy.rows} == {1, None}
+    got = skew.salted_join(big, small, ["k"], heavy, ["x"], how, null_safe)
+    want = skew.salted_join(big, small, ["k"], skew.NONE, ["x"], how, null_safe)
+    assert sorted(got.columns) == sorted(want.columns)
+    columns = sorted(got.columns)
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    assert max(_spread(got, "k = 1")) < 450
+    if how == "left":
+        assert max(_spread(got, "k is null")) < 300
+
+
+def test_heavy_user_is_dealt_without_aqe(spark, wide, plain_shuffles):
+    """The pair table of a user with 1,800 of 1,830 pairs, AQE skew join off."""
+    src = stored_sources(spark, wide)
+    plain = sorted(map(str, tables.user_product_feature(src, facts.Facts.derive(src)).collect()))
+    fx = facts.shared_facts(src, part_rows=100)
+    assert [r[0] for r in fx.heavy_users.rows] == [0] and not fx.heavy_products.rows
+    joined = tables.user_product_feature(src, fx)
+    assert sorted(map(str, joined.collect())) == plain
+    # In the join on users no task holds the user as a whole.
+    per_user = fx.baskets.groupBy("user_id").agg(F.sum("basket_size").alias("k"))
+    parts = _spread(skew.salted_join(fx.pairs, per_user, ["user_id"], fx.heavy_users, ["product_id"]), "user_id = 0")
+    assert sum(parts) == 1800 and len(parts) > 4 and max(parts) < 900
+
+
+def test_heavy_pair_and_product_are_dealt_without_aqe(spark, hot, plain_shuffles):
+    """Product 1 is in nearly every order of a user with 3,000."""
+    src, _, _ = hot
+    src = stored_sources(spark, src)
+    fx = facts.shared_facts(src, part_rows=500)
+    assert (0, 1) in {r[:2] for r in fx.heavy_pairs.rows} and 1 in {r[0] for r in fx.heavy_product_lines.rows}
+    uf, pf, upf = tables.user_feature(src, fx), tables.product_feature(src, fx), tables.user_product_feature(src, fx)
+    ml = mldataset.ml_dataset(src)
+    salted = mldataset.ml_dataset_final(ml, uf, pf, upf, fx)
+    want = mldataset.ml_dataset_final(ml, uf, pf, upf)
+    assert salted.columns == want.columns
+    assert sorted(map(str, salted.collect())) == sorted(map(str, want.collect()))
+    parts = _spread(salted, "user_id = 0 and product_id = 1")
+    assert len(parts) >= 3 and max(parts) < 0.6 * sum(parts)
