@@ -4,7 +4,7 @@ A folder is keyed by the state of the input files (path, length and
 modification time of every file, through the Hadoop file system)
 and by a digest of the package source.  Changed input or code leads to another
 folder; nothing is ever overwritten.  Every writer writes a copy of its own and
-then publishes it: a one-line text table names the finished copy, its schema,
+then publishes it: a small file names the finished copy, its schema,
 its layout and what was observed while it was written.  Readers take the first
 copy that is published.  Two applications that build the same table at the same
 time therefore write two equal copies and agree on one.
@@ -121,22 +121,28 @@ def published_copy(spark: SparkSession, folder: str) -> Published | None:
     make, fs = hadoop(spark, folder)
     if not fs.exists(make(f"{folder}/published")):
         return None
-    copies = spark.read.text(f"{folder}/published/*").collect()  # one line per writer
-    return min((Published(**json.loads(r.value)) for r in copies), key=lambda p: p.copy, default=None)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
+    found = []
+    for f in fs.listStatus(make(f"{folder}/published")):  # one small file per writer
+        if not f.getPath().getName().startswith("."):
+            stream = fs.open(f.getPath())
+            found.append(Published(**json.loads(text(stream, "UTF-8"))))
+            stream.close()
+    return min(found, key=lambda p: p.copy, default=None)
 
 
 # Handles of stored tables that this process has resolved, and what was built
 # from them.  A folder's content never changes, so a handle stays valid.
-_RESOLVED: dict[tuple[str, str], tuple[DataFrame, Published]] = {}
-_ONCE: dict[tuple[str, str, str], object] = {}
+_RESOLVED: dict[tuple[SparkSession, str], tuple[DataFrame, Published]] = {}
+_ONCE: dict[tuple[SparkSession, str, str], object] = {}
 # One writer per process: queries that are submitted from several threads
 # wait for each other instead of building a table twice.
 STORE_LOCK = threading.RLock()
 
 
 def once(spark: SparkSession, kind: str, folder: str, build: Callable[[], V]) -> V:
-    """``build()``, called once per application for a keyed folder."""
-    key = (spark.sparkContext.applicationId, kind, folder)
+    """``build()``, called once per session for a keyed folder."""
+    key = (spark, kind, folder)
     with STORE_LOCK:
         if key not in _ONCE:
             _ONCE[key] = build()
@@ -154,10 +160,10 @@ def open_copy(spark: SparkSession, folder: str, made: Published) -> DataFrame:
     path, schema = f"{folder}/{made.copy}", T.StructType.fromJson(json.loads(made.schema))
     if not made.bucket_by:
         return spark.read.schema(schema).parquet(path)
-    name = _table_name(path)
+    name, quoted = _table_name(path), path.replace("'", "\\'")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{made.bucket_by}`) "
-              f"SORTED BY (`{made.bucket_by}`) INTO {made.buckets} BUCKETS LOCATION '{path}'")
+              f"SORTED BY (`{made.bucket_by}`) INTO {made.buckets} BUCKETS LOCATION '{quoted}'")
     return spark.table(name)
 
 
@@ -190,12 +196,19 @@ def write_copy(df: DataFrame, folder: str, partition_by: str | None = None, buck
 
 
 def publish(spark: SparkSession, folder: str, made: Published) -> None:
-    line = json.dumps(made.__dict__)
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{folder}/published/{made.copy}")
+    """Name the finished copy.  The file appears under its name when it is
+    complete."""
+    make, fs = hadoop(spark, folder)
+    hidden = make(f"{folder}/published/.{made.copy}")
+    out = fs.create(hidden)
+    out.write(bytearray(json.dumps(made.__dict__).encode()))
+    out.close()
+    if not fs.rename(hidden, make(f"{folder}/published/{made.copy}")):
+        raise OSError(f"cannot publish {folder}")
 
 
 def _resolve(spark: SparkSession, folder: str, build: Callable[[], DataFrame] | None, **layout) -> tuple[DataFrame, Published]:
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark, folder)
     with STORE_LOCK:
         if key not in _RESOLVED:
             if published_copy(spark, folder) is None:
