@@ -78,3 +78,33 @@ def test_few_rows_and_none(spark):
     assert by_query(ann.report(two)) == {0: [(3, 4.0)]}
     assert ann.report(two.where("vec_id < 0")).count() == 0
     assert ann.report(two.where("vec_id = 0")).count() == 0
+
+
+def test_longest_vectors_outside_the_sample(spark, monkeypatch):
+    """Four vectors twenty times as long as the others, which the fit's sample
+    doesn't hold: recall stays, and every query gets its 20 rows."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 24))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    long = 20 * x[:4] / 1.0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(9001 + 2 * i, v.tolist()) for i, v in enumerate(long)]
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 256)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = by_query(ann.nearest(frame, F.col("vec_id") % 20 == 0))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert set(got) == set(want) and all(len(f) == 20 for f in got.values())
+    same = sum(len(set(dict(got[q])) & set(dict(want[q]))) for q in want)
+    assert same / (20 * len(want)) >= 0.9
+
+
+def test_short_answers_are_finished_exactly(spark, monkeypatch):
+    """Tables that find next to nothing: all answers come from the exact pass."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(200)]
+    frame = spark.createDataFrame(rows + rows[:3], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "fit", lambda sample, *_: ann.Hashes(6, 24, 4.0, 12, 7))
+    monkeypatch.setattr(ann, "ASK_ROWS", 4)  # several blocks
+    monkeypatch.setattr(ann, "WIDTH", 0.05)
+    got = by_query(ann.report(frame))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in f] for q, f in want.items()}
