@@ -158,3 +158,14 @@ def test_long_merges_equal_short_ones():
     for n in (25, 26, 100, 2000):
         w = "".join(random.choices("etaoinshrdlu", k=n))
         assert model.merge(w.encode()) == t.encode(w).ids
+
+
+def test_most_frequent_words_by_a_histogram(spark):
+    counts = spark.createDataFrame([(f"w{k}", 1 + 4000 // (k + 1)) for k in range(3000)], "word string, n long")
+    for n_words in (1, 10, 500, 2999, 3000, 10_000):
+        got = {r.word for r in bpe.most_frequent(counts, n_words).collect()}
+        assert len(got) <= n_words and (n_words < 3000 or len(got) == 3000)
+        assert got == {f"w{k}" for k in range(len(got))}  # the most frequent ones
+        if 10 <= n_words < 1000:
+            assert len(got) > n_words * 0.7
+    assert bpe.most_frequent(counts.limit(0), 5).count() == 0
