@@ -5,15 +5,20 @@
 * The metadata view: hashed values of the given columns, alone and in pairs,
   and the magnitude of numbers.
 
-Starting from the labelled rows, each round fits both views; each then labels
-the unlabelled rows of which it is surest (never more than its own calibrated
-confidence supports) for the other view.  In the end both are calibrated on
-labelled rows that no fit has seen, and combined by a logistic model of their
-log-odds, which also decides how much each view counts.
-
-The fit reads a bounded sample, ``LABELLED_ROWS`` labelled and
-``POOL_ROWS`` unlabelled documents chosen by a hash of their id; every document
-is scored, in one pass without a shuffle.
+Starting from the labelled rows, each round fits both views and lets them judge
+all other documents, in tasks.  Every document of which a view is sure, by its
+calibrated confidence, is a pseudo-label for the other view: the tasks sum its
+features for the other view, by class and by one of ``GROUPS`` groups (a hash of
+the text), and the other view's next fit takes the means of these groups as
+examples, weighted by their number.  So all documents take part at every size,
+and what reaches the driver is a few hundred vectors.  In the end both views are
+calibrated on labelled rows that no fit has seen, and combined by a logistic
+model of their log-odds, which also decides how much each view counts.
+
+The labelled rows are a bounded sample, ``LABELLED_ROWS`` documents chosen by a
+hash of their id (one row of each id: the one whose text has the least hash);
+labelled documents beyond it are judged like unlabelled ones.  Every document is
+scored, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +36,11 @@ from pyspark.sql import types as T
 from basketflow.llm.common import byte_table, ship_package, text_buffer, words
 from basketflow.llm.linear import Logistic, gram_bins, platt, row_counts, row_means, sigmoid, text_chunks
 
-LABELLED_ROWS = 3000  # bounds of the sample
-POOL_ROWS = 2000
+LABELLED_ROWS = 3000  # bound of the sample
 ROUNDS = 3
-PER_ROUND = 200  # pseudo-labels of each class that a view may give in a round
 CONFIDENT = 0.95
+GROUPS = 16  # means of pseudo-labelled documents by class
+FAN_IN = 64  # tasks whose sums are added up by one
 KEEP = 0.5  # documents with a lower score are rejected
 GRAM, BINS, META_BINS = 2, 2048, 1024
 
@@ -110,10 +116,23 @@ class Views:
         return sigmoid(t), sigmoid(m), sigmoid(self.both[0] * t + self.both[1] * m + self.both[2])
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, names: list[str], rounds: int = ROUNDS) -> Views | None:
-    """``label``: 1 good, 0 bad, -1 unlabelled.  None without both classes."""
+def confident(views: list[tuple[Logistic, tuple]], margins: list[np.ndarray]) -> list[np.ndarray]:
+    """By receiving view: the class (1, 0, or -1: not sure) that the other
+    view gives every row."""
+    given = []
+    for (_, line), margin in zip(views, margins):
+        p = sigmoid(margin * line[0] + line[1])
+        given.append(np.where(p >= CONFIDENT, 1, np.where(1 - p >= CONFIDENT, 0, -1)))
+    return given[::-1]
+
+
+def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, names: list[str], rounds: int = ROUNDS,
+            exchange=None) -> Views | None:
+    """``label``: 1 good, 0 bad, -1 unlabelled.  ``exchange`` tells, for the
+    two fitted views, what each receives: means of pseudo-labelled rows, their
+    classes and how many rows each stands for; without it the rows labelled -1
+    are judged.  None without both classes."""
     known = np.flatnonzero(label >= 0)
-    pool = np.flatnonzero(label < 0)
     if len(set(label[known].tolist())) < 2:
         return None
     # A third of each class is left for the calibration.
@@ -124,59 +143,163 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, names: list[s
     train = known[~held[known]]
     judge = known[held[known]] if held.any() else known
     views = (text, meta)
-    given = [dict(), dict()]  # pseudo-labels that each view has received
+
+    def among_rows(fitted):
+        pool = np.flatnonzero(label < 0)
+        classes = confident(fitted, [m.margins(x[pool])[:, 0] for (m, _), x in zip(fitted, views)])
+        sums = Sums([x.shape[1] for x in views])
+        sums.add([x[pool] for x in views], classes, np.arange(len(pool)) % GROUPS)
+        return sums.means()
+
+    given = [None, None]  # what each view has received
 
     def fit(v: int) -> tuple[Logistic, tuple]:
-        at = np.concatenate((train, np.array(list(given[v]), int)))
-        y = np.concatenate((label[train], np.array(list(given[v].values()), int))).astype(np.float32)[:, None]
-        # Both classes weigh the same; a pseudo-label weighs half of a label.
-        w = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max(len(y) - y.sum(), 1)).astype(np.float32)
-        w[len(train):] /= 2
-        model = Logistic(views[v][at], y, w)
+        x, y = views[v][train], label[train].astype(np.float32)
+        # Both classes weigh the same; pseudo-labels weigh half of the labels.
+        w = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max(len(y) - y.sum(), 1))
+        if given[v] is not None and len(given[v][1]):
+            means, classes, n = given[v]
+            of_class = np.where(classes > 0, n[classes > 0].sum(), n[classes == 0].sum())
+            x, y = np.concatenate((x, means.astype(np.float32))), np.concatenate((y, classes))
+            w = np.concatenate((w, 0.25 * n / of_class))
+        model = Logistic(x, y.astype(np.float32)[:, None], w.astype(np.float32)[:, None])
         return model, platt(model.margins(views[v][judge])[:, 0], label[judge])
 
     for _ in range(rounds):
-        fitted = [fit(0), fit(1)]
-        for v, (model, line) in enumerate(fitted):
-            open_ = np.array([i for i in pool.tolist() if i not in given[1 - v]], int)
-            if not len(open_):
-                continue
-            p = sigmoid(model.margins(views[v][open_])[:, 0] * line[0] + line[1])
-            for c, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:PER_ROUND]
-                given[1 - v].update((int(open_[i]), c) for i in best.tolist() if sure[i] >= CONFIDENT)
+        given = (exchange or among_rows)([fit(0), fit(1)])
     (t, t_line), (m, m_line) = fit(0), fit(1)
     odds = np.stack([np.clip(model.margins(x[judge])[:, 0] * line[0] + line[1], -12, 12)
                      for model, x, line in ((t, text, t_line), (m, meta, m_line))], 1)
     return Views(t, m, t_line, m_line, platt(odds, label[judge]), names)
 
 
+class Sums:
+    """Sums of features by receiving view, class and group."""
+
+    def __init__(self, widths: list[int]):
+        self.n = np.zeros((2, 2, GROUPS))
+        self.x = [np.zeros((2, GROUPS, w)) for w in widths]
+
+    def add(self, features: list, classes: list[np.ndarray], groups: np.ndarray) -> None:
+        """``features``: by view, a matrix or a function of row numbers."""
+        for v in (0, 1):
+            rows = np.flatnonzero(classes[v] >= 0)
+            if len(rows):
+                c, g = classes[v][rows], groups[rows]
+                x = features[v](rows) if callable(features[v]) else features[v][rows]
+                np.add.at(self.n[v], (c, g), 1)
+                np.add.at(self.x[v], (c, g), x)
+
+    def rows(self) -> list[tuple[int, float, bytes]]:
+        """(key, rows, sum) of the groups that hold any."""
+        return [((v * 2 + c) * GROUPS + g, self.n[v, c, g], self.x[v][c, g].tobytes())
+                for v in (0, 1) for c in (0, 1) for g in range(GROUPS) if self.n[v, c, g]]
+
+    def put(self, key: int, n: float, x: bytes) -> None:
+        v, c, g = key // (2 * GROUPS), key // GROUPS % 2, key % GROUPS
+        self.n[v, c, g] += n
+        self.x[v][c, g] += np.frombuffer(x)
+
+    def means(self) -> list[tuple]:
+        out = []
+        for v in (0, 1):
+            c, g = np.nonzero(self.n[v])
+            n = self.n[v][c, g]
+            out.append((self.x[v][c, g] / n[:, None], c, n))
+        return out
+
+
 def _text_features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.concatenate((row_counts(gram_bins(data, offs, _RAW, GRAM, BINS), offs, BINS),
                            shape(data, offs).astype(np.float32)), 1)
 
 
+def row_counts_of(bins_of: np.ndarray, offs: np.ndarray, bins: int, rows: np.ndarray) -> np.ndarray:
+    """``row_counts`` of some rows."""
+    out = np.zeros((len(rows), bins), np.float32)
+    for k, r in enumerate(rows.tolist()):
+        if offs[r + 1] > offs[r]:
+            out[k] = np.bincount(bins_of[offs[r]:offs[r + 1]], minlength=bins) / (offs[r + 1] - offs[r])
+    return out
+
+
 def _meta_rows(batch: pa.RecordBatch, names: list[str]) -> list[tuple]:
     return list(zip(*(batch.column(n).to_pylist() for n in names))) if names else [()] * batch.num_rows
 
 
+def _add_up(block: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(x) for x in block["x"].to_pylist()], 0)
+    return pa.table({"key": block["key"].slice(0, 1), "part": pa.array([block["part"][0].as_py() // FAN_IN], pa.int32()),
+                     "n": pa.array([float(np.sum(block["n"].to_numpy()))]), "x": pa.array([total.tobytes()], pa.binary())})
+
+
+_SUMS = "key int, part int, n double, x binary"
+
+
+def exchange_over(rows: DataFrame, slots: list[str]):
+    """The exchange of pseudo-labels over all ``rows`` (text, group, slots)."""
+    spark = rows.sparkSession
+    widths = [BINS + SHAPE, META_BINS]
+
+    def exchange(fitted):
+        model = spark.sparkContext.broadcast(fitted)
+
+        def judge(batches):
+            views = model.value
+            (t, _), (m, _) = views
+            sums = Sums(widths)
+            for batch in batches:
+                data, offs = text_buffer(batch.column("text"))
+                facts = meta_features(_meta_rows(batch, slots), slots)
+                groups = batch.column("group").to_numpy()
+                for i, j, part, at in text_chunks(data, offs):
+                    bins, form = gram_bins(part, at, _RAW, GRAM, BINS), shape(part, at)
+                    margin = (row_means(t.weights[:BINS], bins, at) + form @ t.weights[BINS:] + t.bias)[:, 0]
+                    classes = confident(views, [margin, m.margins(facts[i:j])[:, 0]])
+
+                    def of_text(r):
+                        return np.concatenate((row_counts_of(bins, at, BINS, r), form[r]), 1)
+
+                    sums.add([of_text, facts[i:j]], classes, groups[i:j])
+            found = sums.rows()
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_pydict({"key": pa.array([r[0] for r in found], pa.int32()),
+                                              "part": pa.array([part] * len(found), pa.int32()),
+                                              "n": pa.array([r[1] for r in found], pa.float64()),
+                                              "x": pa.array([r[2] for r in found], pa.binary())})
+
+        sums = rows.mapInArrow(judge, _SUMS)
+        for _ in range(3):  # FAN_IN ** 3 tasks
+            sums = sums.groupBy("key", F.expr(f"part div {FAN_IN}")).applyInArrow(_add_up, _SUMS)
+        total = Sums(widths)
+        for r in sums.collect():  # a row per view, class and group
+            total.put(r.key, r.n, bytes(r.x))
+        return total.means()
+
+    return exchange
+
+
 def fit(docs: DataFrame, labels: DataFrame, meta: list[str], id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS) -> Views | None:
+        label_col: str = "quality", labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> Views | None:
     """Fit on the labels (null labels and ids are left out, an id with several
-    labels counts by their mean) and a pool of unlabelled documents."""
+    labels counts by their mean) and all other documents."""
     ship_package(docs.sparkSession)
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null")
              .groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
-    ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    known = ids.join(marks, "id")
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(labelled_rows)
-    pool = (ids.join(marks, "id", "left_anti").orderBy(F.xxhash64("id"), "id").limit(pool_rows)
-            .select("id", F.lit(-1).alias("y")))
-    chosen = F.broadcast(chosen.union(pool))  # at most labelled_rows + pool_rows ids
+    known = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct().join(marks, "id")
+    # About twice the sample meets in one place.
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    n_known = known.count()
+    share = min(1 << 30, 1024 + (2 * labelled_rows << 30) // max(n_known, 1))
+    chosen = known.where(place < share).orderBy(place, "id").limit(labelled_rows)
+    chosen = docs.sparkSession.createDataFrame(chosen.collect(), known.schema)  # at most labelled_rows ids
     # Columns by place, whatever the metadata are called.
     slots = [f"m{k}" for k in range(len(meta))]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       *(F.col(c).alias(s) for c, s in zip(meta, slots))).join(chosen, "id")
+                       *(F.col(c).alias(s) for c, s in zip(meta, slots)))
+    own = F.struct("text", *slots)
+    sample = (rows.join(F.broadcast(chosen), "id").groupBy("id", "y")
+              .agg(F.min_by(own, F.xxhash64("text", *slots)).alias("own")).select("id", "y", "own.*"))
 
     def features(batches):
         for batch in batches:
@@ -189,14 +312,16 @@ def fit(docs: DataFrame, labels: DataFrame, meta: list[str], id_col: str = "doc_
                      pa.array([r.tobytes() for r in x], pa.binary()),
                      pa.array([r.tobytes() for r in facts[i:j]], pa.binary())], names=["id", "y", "text", "meta"])
 
-    sample = rows.mapInArrow(features, "id string, y int, text binary, meta binary").collect()
-    sample.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.text))
+    sample = sample.mapInArrow(features, "id string, y int, text binary, meta binary").collect()
+    sample.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id))
     if not sample:
         return None
+    others = rows.join(F.broadcast(chosen.select("id")), "id", "left_anti").select(
+        "text", *slots, F.pmod(F.xxhash64("text"), F.lit(GROUPS)).cast("int").alias("group"))
     wide = BINS + SHAPE
     return cotrain(np.frombuffer(b"".join(r.text for r in sample), np.float32).reshape(-1, wide),
                    np.frombuffer(b"".join(r.meta for r in sample), np.float32).reshape(-1, META_BINS),
-                   np.array([r.y for r in sample]), meta)
+                   np.array([r.y for r in sample]), meta, rounds, exchange_over(others, slots))
 
 
 def score(docs: DataFrame, views: Views | None, text_col: str = "text", keep: float = KEEP) -> DataFrame:

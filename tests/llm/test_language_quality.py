@@ -107,3 +107,48 @@ def test_few_metadata(spark, meta):
     labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
     frame = docs(spark)
     assert cotrain.score(frame, cotrain.fit(frame, labels, meta)).count() == len(DOCS)
+
+
+def test_every_unlabelled_document_teaches(spark):
+    """A metadata value that no labelled document and only the last of many
+    unlabelled ones carry is learnt from what their texts say."""
+    good = "The committee has read the report and found that the river was clean in spring. "
+    bad = "buy now !!! click click click $$$ win win win 1234 5678 "
+    rows = [(k, (good if k % 2 else bad) * (3 + k % 4), "en", "known", 0) for k in range(120)]
+    rows += [(1000 + k, (good if k % 2 else bad) * (2 + k % 5), "en", "known", 0) for k in range(2200)]
+    rows += [(9000 + k, (good if k % 2 else bad) * (2 + k % 5), "en", "fine" if k % 2 else "spam", 0) for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(120)], "doc_id long, quality int")
+    frame = docs(spark, rows)
+    views = cotrain.fit(frame, labels, ["source"])
+
+    def margins(views):  # the labelled rows tell the metadata view nothing, so its calibration is flat
+        return views.meta.margins(cotrain.meta_features([("fine",), ("spam",)], ["m0"]))[:, 0]
+
+    fine, spam = margins(views)
+    assert fine > spam + 1
+    fine, spam = margins(cotrain.fit(frame.where("doc_id < 9000"), labels, ["source"]))
+    assert abs(fine - spam) < 1e-3  # without those documents the values tell nothing
+    again = cotrain.fit(frame.repartition(5), labels, ["source"])
+    assert np.allclose(again.text.weights, views.text.weights, atol=1e-3)
+
+
+def test_a_repeated_id_counts_once(spark):
+    rows = [(1, f"text {k}", "en", "s", 0) for k in range(500)] + [(k, "words of all kinds", "en", "t", 0) for k in range(2, 40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id long, quality int")
+    frame = docs(spark, rows)
+    assert cotrain.score(frame, cotrain.fit(frame, labels, ["source"])).count() == len(rows)
+
+
+def test_scores_against_a_plain_version(spark):
+    """Every document's score worked out row by row from the same weights."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    meta = ["source", "lang", "n_chars"]
+    views = cotrain.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels, meta)
+    for r in cotrain.score(frame, views).collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        at = np.array([0, len(data)])
+        x = cotrain._text_features(data, at)
+        m = cotrain.meta_features([(r.source, r.lang, r.n_chars)], ["m0", "m1", "m2"])
+        t, o, s = views.scores(views.text.margins(x)[:, 0], views.meta.margins(m)[:, 0])
+        assert np.allclose([r.text_score, r.meta_score, r.quality_score], [t[0], o[0], s[0]], atol=1e-4)
