@@ -11,11 +11,7 @@ their exact inner product in double precision.
 
 Scale: the rows of a table are spread by bucket, buckets above ``BLOCK_ROWS``
 are split into blocks that each get the bucket's queries, and a task answers
-with at most ``k`` rows per query and block.  A first round asks only the own
-bucket of every query in the first table; the ``k``-th score found there is the
-bound below which no group of the second round, with all other buckets,
-answers.  So the rows between the rounds grow with the queries, not with the
-groups.  A query that finds fewer rows than there are gets the rest by an exact
+with at most ``k`` rows per query and block.  A query that finds fewer rows than there are gets the rest by an exact
 pass over all rows, in blocks of such queries.  Of exact copies only the k + 1
 smallest ids can ever be among k nearest (ties go to the smaller id), so the
 others are set aside before hashing, by a limit that acts before the shuffle.
@@ -197,17 +193,14 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
         raw = np.ascontiguousarray(x, "<f8" if x.dtype == np.float64 else "<f4")
         return pa.array([r.tobytes() for r in raw], pa.binary())
 
-    def hash_points(wanted: int):
-        """Rows of the first ``wanted`` tables."""
-        def run(batches):
-            for batch in batches:
-                x = _vectors(batch, "vec", dim)
-                keys = h.keys(np.floor(h.places(h.lift(x.astype(float)))))[:, :wanted].reshape(-1)
-                row = pa.array(np.repeat(np.arange(len(x)), wanted))
-                table = pa.array(np.tile(np.arange(wanted, dtype=np.int32), len(x)))
-                yield pa.RecordBatch.from_arrays([table, pa.array(keys), batch.column("id").take(row),
-                                                  as_bytes(x).take(row)], names=["table", "key", "id", "vec"])
-        return run
+    def hash_points(batches):
+        for batch in batches:
+            x = _vectors(batch, "vec", dim)
+            keys = h.keys(np.floor(h.places(h.lift(x.astype(float))))).reshape(-1)
+            row = pa.array(np.repeat(np.arange(len(x)), tables))
+            table = pa.array(np.tile(np.arange(tables, dtype=np.int32), len(x)))
+            yield pa.RecordBatch.from_arrays([table, pa.array(keys), batch.column("id").take(row),
+                                              as_bytes(x).take(row)], names=["table", "key", "id", "vec"])
 
     def hash_queries(batches):
         for batch in batches:
@@ -220,48 +213,30 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, len(part)), as_bytes(part), lists],
                                                  names=["id", "vec", "keys"])
 
-    asked = stored(queries.mapInArrow(hash_queries, "id long, vec binary, keys array<long>"), f"{folder}/asked")
     # A group is of one table, so a point stands in it once.
     group = F.col("table") * F.lit(spread) + F.pmod(F.xxhash64("key", "block"), F.lit(spread))
+    hashed = points.mapInArrow(hash_points, "table int, key long, id long, vec binary")
+    asked = queries.mapInArrow(hash_queries, "id long, vec binary, keys array<long>")
     visits = asked.select("id", "vec", F.posexplode("keys").alias("at", "key")).select(
-        "id", "vec", "key", "at", (F.col("at") / probes).cast("int").alias("table"))
+        "id", "vec", "key", (F.col("at") / probes).cast("int").alias("table"))
     if split:
+        hashed = hashed.join(hot, "key", "left").withColumn(
+            "block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
         visits = visits.join(hot, "key", "left").withColumn(
             "block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
     else:
-        visits = visits.withColumn("block", F.lit(0))
-
-    def answers(visits: DataFrame, wanted: int) -> DataFrame:
-        """(query_id, id, score) of the visited buckets of the first tables;
-        ``bound`` of a visit is the least score of interest."""
-        hashed = points.mapInArrow(hash_points(wanted), "table int, key long, id long, vec binary")
-        if split:
-            hashed = hashed.join(hot, "key", "left").withColumn(
-                "block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
-        else:
-            hashed = hashed.withColumn("block", F.lit(0))
-        # A query goes once to each group, with the buckets it visits there.
-        goes = (visits.select(group.alias("g"), "id", "vec", "bound", F.struct("key", "block").alias("bucket"))
-                .groupBy("g", "id", "vec").agg(F.max("bound").alias("bound"),
-                                               F.collect_list("bucket").alias("buckets")))  # at most tables * probes
-        empty = F.array().cast("array<struct<key:long,block:int>>")
-        rows = (hashed.select(group.alias("g"), F.lit(0).alias("kind"), "id", "vec",
-                              F.array(F.struct("key", "block")).alias("buckets"), F.lit(0.0).alias("bound"))
-                .union(goes.select("g", F.lit(1), "id", "vec", F.coalesce("buckets", empty), "bound")))
-        return (rows.repartition("g").sortWithinPartitions("g", "kind")
-                .mapInArrow(_rank(dim, k, F_TYPE[vectors.schema[vec_col].dataType.elementType.typeName()]),
-                            "query_id long, id long, score double"))
-
-    none = F.lit(float("-inf"))
-    first = stored(answers(visits.where("at = 0").withColumn("bound", none), 1), f"{folder}/own")
-    # The k-th score of the own buckets, if a query found k rows there.
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    bounds = (first.groupBy("query_id", "id").agg(F.max("score").alias("score"))
-              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
-              .select(F.col("query_id").alias("_id"), F.col("score").alias("_bound")))
-    bounded = (visits.where("at > 0").join(bounds, F.col("id") == F.col("_id"), "left")
-               .withColumn("bound", F.coalesce("_bound", none)))
-    found = stored(_nearest_of(first.union(answers(bounded, tables)), k), f"{folder}/found")
+        hashed, visits = hashed.withColumn("block", F.lit(0)), visits.withColumn("block", F.lit(0))
+    # A query goes once to each group, with the buckets it visits there.
+    goes = (visits.select(group.alias("g"), "id", "vec", F.struct("key", "block").alias("bucket"))
+            .groupBy("g", "id", "vec").agg(F.collect_list("bucket").alias("buckets")))  # at most tables * probes
+    empty = F.array().cast("array<struct<key:long,block:int>>")
+    rows = (hashed.select(group.alias("g"), F.lit(0).alias("kind"), "id", "vec",
+                          F.array(F.struct("key", "block")).alias("buckets"))
+            .union(goes.select("g", F.lit(1), "id", "vec", F.coalesce("buckets", empty))))
+    answers = (rows.repartition("g").sortWithinPartitions("g", "kind")
+               .mapInArrow(_rank(dim, k, F_TYPE[vectors.schema[vec_col].dataType.elementType.typeName()]),
+                           "query_id long, id long, score double"))
+    found = stored(_nearest_of(answers, k), f"{folder}/found")
 
     # Queries with fewer rows than there are.
     most = points.select("id").distinct().count() - 1
@@ -319,7 +294,7 @@ F_TYPE = {"float": "<f4", "double": "<f8"}
 def _rank(dim: int, k: int, kind: str):
     """Within a group: exact scores of the points in the visited buckets."""
 
-    def top(ids, x, x4, order_keys, repeated, query_id, q, buckets, bound):
+    def top(ids, x, x4, order_keys, repeated, query_id, q, buckets):
         lo = np.searchsorted(order_keys, buckets, "left")
         hi = np.searchsorted(order_keys, buckets, "right")
         on = hi > lo
@@ -333,17 +308,11 @@ def _rank(dim: int, k: int, kind: str):
         if not len(at):
             return None
         rough = x4[at] @ q.astype(np.float32)
-        # Rounding to 32 bits can't hide one of the k nearest.
-        slack = 1e-5 * float(np.abs(q).sum()) * float(np.abs(x4[at]).max())
-        if bound > -np.inf:
-            near = rough >= bound - slack
-            at, rough = at[near], rough[near]
         if len(at) > k and not repeated:
+            # Rounding to 32 bits can't hide one of the k nearest.
+            slack = 1e-5 * float(np.abs(q).sum()) * float(np.abs(x4[at]).max())
             at = at[rough >= np.partition(rough, len(at) - k)[len(at) - k] - slack]
         score = (x[at].astype(float) * q).sum(1)
-        at, score = at[score >= bound], score[score >= bound]
-        if not len(at):
-            return None
         best = np.lexsort((ids[at], -score))
         if repeated:  # an id with several vectors counts by the best
             best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])]
@@ -357,7 +326,6 @@ def _rank(dim: int, k: int, kind: str):
             is_query = batch.column("kind").to_numpy()
             ids = batch.column("id").to_numpy()
             vec = np.frombuffer(b"".join(batch.column("vec").to_pylist()), kind).reshape(-1, dim)
-            least = batch.column("bound").to_numpy()
             lists = batch.column("buckets")
             ends = lists.offsets.to_numpy()
             both = lists.values
@@ -382,8 +350,7 @@ def _rank(dim: int, k: int, kind: str):
                 if points is None:
                     continue
                 for r in range(a, b):
-                    found = top(*points, ids[r], vec[r].astype(float), np.unique(keys[ends[r]:ends[r + 1]]),
-                                least[r])
+                    found = top(*points, ids[r], vec[r].astype(float), np.unique(keys[ends[r]:ends[r + 1]]))
                     if found is not None:
                         out_q.append(np.full(len(found[0]), ids[r]))
                         out_i.append(found[0])
