@@ -185,18 +185,27 @@ def frame_starts(data: np.ndarray) -> tuple[list[int], int]:
     return starts, at
 
 
+def largest_id(model: str) -> int:
+    """The largest id that a tokenizer model (JSON text) can give."""
+    whole = json.loads(model)
+    vocab = whole["model"]["vocab"]
+    known = vocab.values() if isinstance(vocab, dict) else range(len(vocab))
+    return max([0, *known, *(a["id"] for a in whole.get("added_tokens", []))])
+
+
 MANIFEST = "part int, file string, n_records long, n_ids long, n_bytes long"
 
 
 def write_records(docs: DataFrame, folder: str, model: str, id_col: str = "doc_id", text_col: str = "text",
-                  end_id: int | None = END_ID, vocabulary: int = 1 << 16) -> DataFrame:
+                  end_id: int | None = END_ID) -> DataFrame:
     """Encode the whole texts with the tokenizer ``model`` (JSON text) and
     write them in ascending order of ``id_col`` (nulls first; equal ids by
     text hash).  Returns the stored manifest, one row per file, in order of
-    ``part``.  A null text is an empty sequence; ``end_id`` ends each."""
+    ``part``.  A null text is an empty sequence; ``end_id`` ends each.  Ids are
+    stored in 16 bits if the largest one of the model and ``end_id`` fits."""
     spark = docs.sparkSession
     ship_package(spark)
-    wide = vocabulary > 1 << 16
+    wide = max(largest_id(model), end_id or 0) >= 1 << 16
 
     def write(batches):
         encoder, memory = _encoder(model)

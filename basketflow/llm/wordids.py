@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 
 BLOCK = 20_000  # words encoded at a time
 
 
+class _Slots(dict):
+    """Number of every word; a word that is asked for first gets the next one
+    and is listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordIds:
     """Ids of the distinct words seen by a task.
 
@@ -19,7 +35,7 @@ class WordIds:
         self._reset()
 
     def _reset(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = _Slots()
         self.start = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
@@ -29,26 +45,30 @@ class WordIds:
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if n <= len(a) else np.concatenate((a, np.zeros(max(n - len(a), len(a)), a.dtype)))
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, n: int, new: list[str]) -> None:
+        """Ids of words that have the slots from ``n``."""
         ids, size = self.encode_new(new)
-        n, m, total = len(self.slot), len(new), len(ids)
+        m, total = len(new), len(ids)
         self.start, self.size = self._room(self.start, n + m), self._room(self.size, n + m)
         self.ids = self._room(self.ids, self.used + total)
         self.start[n:n + m] = self.used + np.cumsum(size) - size
         self.size[n:n + m] = size
         self.ids[self.used:self.used + total] = ids
         self.used += total
-        self.slot.update(zip(new, range(n, n + m)))
 
     def encode(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows (uint32, end to end) and row offsets into them."""
         if len(self.slot) > self.limit:
             self._reset()
-        flat = [w for row in rows for w in row]
-        new = [w for w in dict.fromkeys(flat) if w not in self.slot]
-        for i in range(0, len(new), BLOCK):
-            self._learn(new[i:i + BLOCK])
-        at = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
+        try:
+            at = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(rows)), np.int64)
+            new, self.slot.new = self.slot.new, []
+            known = len(self.slot) - len(new)
+            for i in range(0, len(new), BLOCK):
+                self._learn(known + i, new[i:i + BLOCK])
+        except BaseException:
+            self._reset()  # words without ids must not stay
+            raise
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -169,3 +170,33 @@ def test_most_frequent_words_by_a_histogram(spark):
         if 10 <= n_words < 1000:
             assert len(got) > n_words * 0.7
     assert bpe.most_frequent(counts.limit(0), 5).count() == 0
+
+
+def test_width_of_ids_follows_the_model(spark, tmp_path):
+    """A model with ids above 65,535 is stored in 32 bits, without being told."""
+    model = json.dumps({"version": "1.0", "added_tokens": [], "normalizer": None,
+                        "pre_tokenizer": {"type": "Whitespace"}, "post_processor": None, "decoder": None,
+                        "model": {"type": "WordLevel", "vocab": {"<pad>": 0, "a": 70_001, "b": 3}, "unk_token": "<pad>"}})
+    assert records.largest_id(model) == 70_001 and records.largest_id(open(WORD).read()) < 1 << 16
+    frame = docs(spark, [(1, "a b a", "en", "s", 5)])
+    folder = str(tmp_path / "rec")
+    back = records.read_records(records.write_records(frame, folder, model), folder).collect()
+    assert np.frombuffer(back[0].ids, "<u4").tolist() == [70_001, 3, 70_001, 2]
+
+
+def test_word_memory_after_a_failure():
+    from basketflow.llm.wordids import WordIds
+    fail = [True]
+
+    def encode(words):
+        if fail[0]:
+            raise ValueError
+        return np.array([len(w) for w in words for _ in w], np.uint32), np.array([len(w) for w in words])
+
+    memory = WordIds(encode, limit=3)
+    with pytest.raises(ValueError):
+        memory.encode([["ab", "c"]])
+    fail[0] = False
+    for _ in range(3):  # and over the limit
+        ids, at = memory.encode([["ab", "c", "ab"], [], ["dd", "eee", "c", "ffff"]])
+        assert ids.tolist() == [2, 2, 1, 2, 2, 2, 2, 3, 3, 3, 1, 4, 4, 4, 4] and at.tolist() == [0, 5, 5, 15]
