@@ -18,7 +18,7 @@ from basketflow.operators import product, quality, user, user_product
 from basketflow.plans import mldataset, tables
 from basketflow.plans.facts import shared_facts
 from basketflow.sources import store
-from basketflow.sources.fixtures import load_star_schema
+from basketflow.sources.fixtures import star_schema_on_demand
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ORDER_DEPENDENT_COLUMNS
 
@@ -30,7 +30,7 @@ def presented(df: DataFrame) -> DataFrame:
 
 def _over_sources(name: str, op: Callable[[Sources], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = load_star_schema(spark, sf_dir)
+        src = star_schema_on_demand(spark, sf_dir)
         # The query is planned once per input state, like a prepared statement;
         # every call is a query of its own over that plan.
         return presented(store.once(spark, f"query-{name}", src.home, lambda: op(src)))

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow.sources import store
-from basketflow.sources.readers import Sources, _conform
-from basketflow.sources.schema import GAP_TYPE
+from basketflow.sources.readers import Sources, SourcesOnDemand, _conform
+from basketflow.sources.schema import GAP_TYPE, SCHEMAS
 
 STAR_TABLES = ("orders", "lineitem", "supplier", "nation", "region")
 # Bumped whenever the mapping changes, so stored tables of an older mapping
@@ -88,10 +88,12 @@ def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One basket line per (order, product); its cart slot follows the first
     line number of the product in the order (a window per order: a basket
-    is small by nature)."""
+    is small by nature).  The lines are dealt by order once, for the grouping,
+    the window and the stored layout."""
     lines = (_read(spark, sf_dir, "lineitem")
-             .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("product_id"))
-             .agg(F.min("l_linenumber").alias("first_line")))
+             .select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("product_id"), "l_linenumber")
+             .repartition("order_id")
+             .groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("first_line")))
     return lines.withColumn(
         "add_to_cart_order",
         F.row_number().over(Window.partitionBy("order_id").orderBy("first_line", "product_id")))
@@ -139,25 +141,42 @@ def load_star_schema(spark: SparkSession, sf_dir: str) -> Sources:
     """
     folder = sf_dir.rstrip("/")
     root = store.folder_of(spark, "star", [f"{folder}/{table}.parquet" for table in STAR_TABLES], MAPPING_VERSION)
-    return store.once(spark, "sources", root, lambda: _stored_sources(spark, sf_dir, root))
+    return store.once(spark, "sources", root, lambda: Sources(
+        **{name: _stored_table(spark, sf_dir, root, name) for name in SCHEMAS}, home=root))
 
 
-def _stored_sources(spark: SparkSession, sf_dir: str, root: str) -> Sources:
+def star_schema_on_demand(spark: SparkSession, sf_dir: str) -> SourcesOnDemand:
+    """As ``load_star_schema``, each table stored when it is first read."""
+    folder = sf_dir.rstrip("/")
+    root = store.folder_of(spark, "star", [f"{folder}/{table}.parquet" for table in STAR_TABLES], MAPPING_VERSION)
+    return store.once(spark, "sources-on-demand", root, lambda: SourcesOnDemand(
+        root, lambda name: _stored_table(spark, sf_dir, root, name)))
+
+
+LINE_TABLES = {"order_products_prior": "prior", "order_products_train": "train"}
+
+
+def _stored_table(spark: SparkSession, sf_dir: str, root: str, name: str) -> DataFrame:
     def stored(name: str, build, **layout) -> DataFrame:
         return store.materialise(spark, f"{root}/{name}", build, **layout)
 
-    frames = {name: stored(name, lambda n=name: _dimensions(spark, sf_dir)[n])
-              for name in ("aisles", "departments", "products")}
-    lines = stored("basket", lambda: _basket_lines(spark, sf_dir), bucket_by="order_id")
-    frames["orders"] = orders = stored("orders", lambda: _mapped_orders(spark, sf_dir), bucket_by="order_id")
-    # All lines in one pass, split by evaluation set on write; each line table
-    # is then laid out by order, like the orders.
-    line_tables = {"order_products_prior": "prior", "order_products_train": "train"}
-    placed = stored("lines", lambda: _placed_lines(lines, orders)
-                    .filter(F.col("eval_set").isin(*line_tables.values()))
-                    .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered"),
-                    partition_by="eval_set")
-    for name, eval_set in line_tables.items():
-        frames[name] = stored(name, lambda e=eval_set, n=name: _conform(placed.filter(F.col("eval_set") == e), n),
-                              bucket_by="order_id")
-    return Sources(**{name: _conform(df, name) for name, df in frames.items()}, home=root)
+    def orders() -> DataFrame:
+        return stored("orders", lambda: _mapped_orders(spark, sf_dir), bucket_by="order_id")
+
+    def placed() -> DataFrame:
+        # All lines in one pass, split by evaluation set on write; each line
+        # table is then laid out by order, like the orders.
+        lines = stored("basket", lambda: _basket_lines(spark, sf_dir), bucket_by="order_id")
+        return stored("lines", lambda: _placed_lines(lines, orders())
+                      .filter(F.col("eval_set").isin(*LINE_TABLES.values()))
+                      .select("eval_set", "order_id", "product_id", "add_to_cart_order", "reordered"),
+                      partition_by="eval_set")
+
+    if name == "orders":
+        table = orders()
+    elif name in LINE_TABLES:
+        table = stored(name, lambda: _conform(placed().filter(F.col("eval_set") == LINE_TABLES[name]), name),
+                       bucket_by="order_id")
+    else:
+        table = stored(name, lambda: _dimensions(spark, sf_dir)[name])
+    return _conform(table, name)

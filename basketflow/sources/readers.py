@@ -41,6 +41,25 @@ class Sources:
         return {name: getattr(self, name) for name in SCHEMAS}
 
 
+class SourcesOnDemand:
+    """``Sources`` whose tables are stored when they are first read, so a query
+    waits for the tables it reads alone.  To be read while the input files are
+    as they were when ``home`` was found."""
+
+    def __init__(self, home: str, build: Callable[[str], DataFrame]):
+        self.home, self._build = home, build
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        table = self._build(name)
+        setattr(self, name, table)
+        return table
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in SCHEMAS}
+
+
 def _conform(df: DataFrame, name: str) -> DataFrame:
     """Select the model columns in model order with model types."""
     schema = SCHEMAS[name]
