@@ -231,7 +231,7 @@ def reorder_diversity(pairs: DataFrame, products: DataFrame, **extra: F.Column)
 
 
 def u11_user_reorder_diversity(src: Sources) -> DataFrame:
-    d = reorder_diversity(facts.shared_facts(src).pairs, src.products) \
+    d = reorder_diversity(facts.shared_facts(src).pair_counts, src.products) \
         .filter(F.col("user_total_unique_products").isNotNull())
     # Stand-alone form: the reordered department/aisle counts are NULL when
     # the user reordered nothing.
@@ -254,14 +254,14 @@ def u13_user_first_product_count(src: Sources) -> DataFrame:
 
 
 def u14_user_products_in_first_and_second(src: Sources) -> DataFrame:
-    pairs = facts.shared_facts(src).pairs
+    pairs = facts.shared_facts(src).pair_counts
     both = (F.col("in_first") == 1) & (F.col("in_second") == 1) & F.col("user_id").isNotNull()
     return (pairs.filter(both).groupBy("user_id")
             .agg(count_lines().alias("user_products_in_first_and_second")))
 
 
 def u15_user_products_in_first_and_last(src: Sources) -> DataFrame:
-    pairs = facts.shared_facts(src).pairs
+    pairs = facts.shared_facts(src).pair_counts
     return (pairs.filter((F.col("in_first") == 1) & (F.col("in_last") == 1)).groupBy("user_id")
             .agg(count_lines().alias("user_products_in_first_and_last")))
 

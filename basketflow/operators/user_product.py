@@ -21,7 +21,7 @@ PAIR = ["user_id", "product_id"]
 
 
 def _pairs(src: Sources) -> DataFrame:
-    return facts.shared_facts(src).pairs
+    return facts.shared_facts(src).pair_counts
 
 
 def _user_line_totals(src: Sources) -> DataFrame:
@@ -51,7 +51,7 @@ def up03_user_product_repurchase_interval(src: Sources) -> DataFrame:
 
 def up04_user_product_order_share(src: Sources) -> DataFrame:
     fx = facts.shared_facts(src)
-    met = salted_join(fx.pairs, _user_line_totals(src), ["user_id"], fx.heavy_users, ["product_id"], "inner", null_safe=True)
+    met = salted_join(fx.pair_counts, _user_line_totals(src), ["user_id"], fx.heavy_users, ["product_id"], "inner", null_safe=True)
     return met.select(
         *PAIR, F.col("n").alias("user_product_order_count"),
         rate(F.col("n"), F.col("user_line_count")).alias("user_product_order_share"))
@@ -68,8 +68,8 @@ def up05_user_product_order_rates(src: Sources) -> DataFrame:
 
 def up06_user_share_of_product_orders(src: Sources) -> DataFrame:
     fx = facts.shared_facts(src)
-    totals = fx.product_lines.select("product_id", F.col("n").alias("product_line_count"))
-    return salted_join(fx.pairs, totals, ["product_id"], fx.heavy_products, ["user_id"], "inner").select(
+    totals = fx.pair_sizes.groupBy("product_id").agg(F.sum("n").alias("product_line_count"))
+    return salted_join(fx.pair_sizes, totals, ["product_id"], fx.heavy_products, ["user_id"], "inner").select(
         *PAIR, rate(F.col("n"), F.col("product_line_count")).alias("user_share_of_product_orders"))
 
 
@@ -126,7 +126,7 @@ def _user_halves(src: Sources) -> DataFrame:
 
 def up13_user_product_order_trend(src: Sources) -> DataFrame:
     fx = facts.shared_facts(src)
-    p = fx.pairs.filter(F.col("user_max_order_number").isNotNull())
+    p = fx.pair_counts.filter(F.col("user_max_order_number").isNotNull())
     met = salted_join(p, _user_halves(src), ["user_id"], fx.heavy_users, ["product_id"], "inner")
     return order_trend(met).select(*PAIR, "user_product_order_trend")
 

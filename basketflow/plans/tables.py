@@ -46,7 +46,7 @@ def user_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
         F.sum(F.when(F.col("is_last"), F.col("basket_size"))).alias("user_last_product_count"),
         F.sum(F.when(F.col("is_first"), F.col("basket_size"))).alias("user_first_product_count"))
     diversity = reorder_diversity(
-        fx.pairs, src.products,
+        fx.pair_counts, src.products,
         first_second=F.count_if((F.col("in_first") == 1) & (F.col("in_second") == 1)),
         first_last=F.count_if((F.col("in_first") == 1) & (F.col("in_last") == 1)))
     t = timing.join(baskets, "user_id", "left").join(diversity, "user_id", "left")
@@ -93,7 +93,7 @@ def product_feature(src: Sources, fx: Facts | None = None) -> DataFrame:
                                     F.col("_fcfo_users") * PERCENT / F.col("_fcfo_users_total").cast("double"))))
 
     # Users are counted without the pairs that have none.
-    p = fx.pairs
+    p = fx.pair_counts
     user = F.col("user_id").isNotNull()
     rebought = (F.col("n_reorders") > 0) & user
     in_first, in_last = (F.col("in_first") == 1) & user, F.col("in_last") == 1

@@ -50,3 +50,30 @@ def test_order_feature_reads_orders_alone(spark, folder):
 def test_line_feature_needs_no_facts(spark, folder):
     rows, tables, inner = stored_for(spark, folder, "p06_product_first_order_count")
     assert rows and tables == LOADED and not inner
+
+
+def test_pair_share_needs_sizes_alone(spark, folder):
+    rows, tables, inner = stored_for(spark, folder, "up06_user_share_of_product_orders")
+    assert rows and tables == LOADED and {n.split("-")[0] for n in inner} == {"pair_sizes", "heavy_products"}
+
+
+def test_pair_recency_needs_no_runs(spark, folder):
+    rows, tables, inner = stored_for(spark, folder, "up10_user_product_orders_since_last")
+    assert rows and tables == LOADED and inner == {"timeline", "lines", "pair_counts"}
+
+
+def test_user_table_needs_no_product_statistics(spark, folder):
+    rows, _, inner = stored_for(spark, folder, "t1_user_feature")
+    assert rows and inner == {"timeline", "lines", "baskets", "pair_counts"}
+
+
+def test_a_pair_is_stored_once(spark, folder):
+    """Checks: pairs whose run is plain are not joined and stored again."""
+    rows, _, inner = stored_for(spark, folder, "q_user_product_feature_checks")
+    assert rows and "pair_counts" in inner and "runs" in inner and not inner & {"pairs", "pair_sizes"}
+
+
+def test_sizes_equal_counts(spark, folder):
+    fx = facts.shared_facts(fixtures.load_star_schema(spark, folder))
+    plain = sorted(map(str, fx.pair_counts.select("user_id", "product_id", "n").collect()))
+    assert plain and plain == sorted(map(str, fx.pair_sizes.collect()))
