@@ -46,59 +46,66 @@ GRAM, BINS, META_BINS = 2, 2048, 1024
 
 _RAW = np.arange(256, dtype=np.uint8)
 _SPACES = byte_table({0x20, *range(0x09, 0x0E)}, lower=True)
-_KINDS = np.zeros((256, 8), np.float32)  # one column by kind of byte
+_KINDS = np.zeros((256, 8))  # one column by kind of byte
 _KINDS[97:123, 0] = _KINDS[65:91, 1] = _KINDS[48:58, 2] = _KINDS[32, 3] = _KINDS[10, 4] = _KINDS[128:, 5] = 1
 _KINDS[[b for b in range(33, 127) if not chr(b).isalnum()], 6] = 1
 _KINDS[[b for b in range(32) if b not in (9, 10, 13)], 7] = 1
 STEPS = 8  # distinct and top word shares also as steps, so a linear model can bend
 SHAPE = 8 + 7 + 2 * STEPS
+WIDTHS = [BINS + SHAPE, META_BINS]  # features of the views
 
 
 def shape(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """(rows, SHAPE) numbers between 0 and about 1; zero for empty rows."""
     out = np.zeros((len(offs) - 1, SHAPE))
     size = offs[1:] - offs[:-1]
-    out[:, :8] = row_means(_KINDS, data, offs)
     s, e, h, by_row = words(data, offs, _SPACES)
-    _, _, lines, by_line = words(data, offs, _LINES)
     length = np.concatenate(([0], np.cumsum(e - s)))
-    for r in range(len(size)):
+    for r in np.flatnonzero(size).tolist():
+        row = data[offs[r]:offs[r + 1]]
+        out[r, :8] = np.bincount(row, minlength=256) @ _KINDS / size[r]
         a, b = by_row[r], by_row[r + 1]
         if b > a:
-            kinds, times = np.unique(h[a:b], return_counts=True)
+            held = np.sort(h[a:b])
+            last = np.concatenate((np.flatnonzero(held[1:] != held[:-1]), [b - a - 1]))  # of each word
             out[r, 8] = (length[b] - length[a]) / (b - a) / 20
-            out[r, 9] = len(kinds) / (b - a)
-            out[r, 10] = times.max() / (b - a)
+            out[r, 9] = len(last) / (b - a)
+            out[r, 10] = np.diff(last, prepend=-1).max() / (b - a)
             out[r, 11] = np.log1p(b - a) / 10
             out[r, 14] = (h[a + 1:b] == h[a:b - 1]).sum() / (b - a)  # words that repeat the one before
             out[r, 15 + min(STEPS - 1, int(out[r, 9] * STEPS))] = 1
             out[r, 15 + STEPS + min(STEPS - 1, int(out[r, 10] * STEPS))] = 1
-        a, b = by_line[r], by_line[r + 1]
-        if b > a:
-            out[r, 12] = 1 - len(np.unique(lines[a:b])) / (b - a)
-            out[r, 13] = np.log1p(b - a) / 10
+        lines = [x for x in row.tobytes().replace(b"\r", b"\n").split(b"\n") if x]
+        if lines:
+            out[r, 12] = 1 - len(set(lines)) / len(lines)
+            out[r, 13] = np.log1p(len(lines)) / 10
     return out
 
 
-_LINES = byte_table({10, 13}, lower=False)
-
-
 def _bucket(value: str) -> int:
     return zlib.crc32(value.encode("utf-8")) % META_BINS
 
 
 def meta_features(rows: list[tuple], names: list[str]) -> np.ndarray:
     """(rows, META_BINS): a row's values, pairs of values and magnitudes."""
-    out = np.zeros((len(rows), META_BINS), np.float32)
-    memory: dict[tuple, list[int]] = {}
-    for r, row in enumerate(rows):
+    kinds, of_row = meta_kinds(rows, names)
+    return kinds[of_row]
+
+
+def meta_kinds(rows: list[tuple], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The different features of the rows, and which of them every row has."""
+    memory: dict[tuple, int] = {}  # by values
+    kinds: dict[tuple, int] = {}  # by what counts of the values
+    for row in rows:
         if row not in memory:
-            parts = [f"{n}={int(np.log2(abs(v) + 1)) if isinstance(v, (int, float)) and v == v and abs(v) < 1e300 else v}"
-                     for n, v in zip(names, row)]
-            pairs = [f"{a}&{b}" for k, a in enumerate(parts) for b in parts[k + 1:]]
-            memory[row] = [_bucket(p) for p in parts + pairs]
-        out[r, memory[row]] = 1
-    return out
+            parts = tuple(f"{n}={int(np.log2(abs(v) + 1)) if isinstance(v, (int, float)) and v == v and abs(v) < 1e300 else v}"
+                          for n, v in zip(names, row))
+            memory[row] = kinds.setdefault(parts, len(kinds))
+    out = np.zeros((len(kinds), META_BINS), np.float32)
+    for parts, k in kinds.items():
+        pairs = [f"{a}&{b}" for i, a in enumerate(parts) for b in parts[i + 1:]]
+        out[k, [_bucket(p) for p in [*parts, *pairs]]] = 1
+    return out, np.fromiter((memory[row] for row in rows), np.int64, len(rows))
 
 
 @dataclass
@@ -148,7 +155,7 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, names: list[s
         pool = np.flatnonzero(label < 0)
         classes = confident(fitted, [m.margins(x[pool])[:, 0] for (m, _), x in zip(fitted, views)])
         sums = Sums([x.shape[1] for x in views])
-        sums.add([x[pool] for x in views], classes, np.arange(len(pool)) % GROUPS)
+        sums.add([dense(x[pool]) for x in views], classes, np.arange(len(pool)) % GROUPS)
         return sums.means()
 
     given = [None, None]  # what each view has received
@@ -181,14 +188,14 @@ class Sums:
         self.x = [np.zeros((2, GROUPS, w)) for w in widths]
 
     def add(self, features: list, classes: list[np.ndarray], groups: np.ndarray) -> None:
-        """``features``: by view, a matrix or a function of row numbers."""
+        """``features``: by view, a function that adds the features of rows to
+        a sum."""
         for v in (0, 1):
-            rows = np.flatnonzero(classes[v] >= 0)
-            if len(rows):
-                c, g = classes[v][rows], groups[rows]
-                x = features[v](rows) if callable(features[v]) else features[v][rows]
-                np.add.at(self.n[v], (c, g), 1)
-                np.add.at(self.x[v], (c, g), x)
+            place = np.where(classes[v] >= 0, classes[v] * GROUPS + groups, -1)
+            for k in np.unique(place[place >= 0]).tolist():
+                rows = np.flatnonzero(place == k)
+                self.n[v, k // GROUPS, k % GROUPS] += len(rows)
+                features[v](rows, self.x[v][k // GROUPS, k % GROUPS])
 
     def rows(self) -> list[tuple[int, float, bytes]]:
         """(key, rows, sum) of the groups that hold any."""
@@ -214,13 +221,30 @@ def _text_features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
                            shape(data, offs).astype(np.float32)), 1)
 
 
-def row_counts_of(bins_of: np.ndarray, offs: np.ndarray, bins: int, rows: np.ndarray) -> np.ndarray:
-    """``row_counts`` of some rows."""
-    out = np.zeros((len(rows), bins), np.float32)
-    for k, r in enumerate(rows.tolist()):
-        if offs[r + 1] > offs[r]:
-            out[k] = np.bincount(bins_of[offs[r]:offs[r + 1]], minlength=bins) / (offs[r + 1] - offs[r])
-    return out
+def dense(x: np.ndarray):
+    """Adds rows of a matrix up."""
+    def add(rows: np.ndarray, to: np.ndarray) -> None:
+        to += x[rows].sum(0, dtype=np.float64)
+    return add
+
+
+def of_kinds(kinds: np.ndarray, of_row: np.ndarray):
+    """Adds rows up that have one of a few features each."""
+    def add(rows: np.ndarray, to: np.ndarray) -> None:
+        held, n = np.unique(of_row[rows], return_counts=True)
+        to += n.astype(np.float64) @ kinds[held].astype(np.float64)
+    return add
+
+
+def of_texts(bins_of: np.ndarray, offs: np.ndarray, form: np.ndarray):
+    """Adds text features up, row by row: no matrix of them is made."""
+    def add(rows: np.ndarray, to: np.ndarray) -> None:
+        for r in rows.tolist():
+            n = offs[r + 1] - offs[r]
+            if n:
+                to[:BINS] += (np.bincount(bins_of[offs[r]:offs[r + 1]], minlength=BINS) / n).astype(np.float32)
+        to[BINS:] += form[rows].sum(0)
+    return add
 
 
 def _meta_rows(batch: pa.RecordBatch, names: list[str]) -> list[tuple]:
@@ -236,32 +260,32 @@ def _add_up(block: pa.Table) -> pa.Table:
 _SUMS = "key int, part int, n double, x binary"
 
 
+def judged(batches, views: list[tuple[Logistic, tuple]], slots: list[str]) -> Sums:
+    """Sums of the features of the rows that a view is sure of."""
+    (t, _), (m, _) = views
+    sums = Sums(WIDTHS)
+    for batch in batches:
+        data, offs = text_buffer(batch.column("text"))
+        facts, kind = meta_kinds(_meta_rows(batch, slots), slots)
+        of_facts = m.margins(facts)[:, 0]
+        groups = batch.column("group").to_numpy()
+        for i, j, part, at in text_chunks(data, offs):
+            bins, form = gram_bins(part, at, _RAW, GRAM, BINS), shape(part, at)
+            margin = (row_means(t.weights[:BINS], bins, at) + form @ t.weights[BINS:] + t.bias)[:, 0]
+            classes = confident(views, [margin, of_facts[kind[i:j]]])
+            sums.add([of_texts(bins, at, form), of_kinds(facts, kind[i:j])], classes, groups[i:j])
+    return sums
+
+
 def exchange_over(rows: DataFrame, slots: list[str]):
     """The exchange of pseudo-labels over all ``rows`` (text, group, slots)."""
     spark = rows.sparkSession
-    widths = [BINS + SHAPE, META_BINS]
 
     def exchange(fitted):
         model = spark.sparkContext.broadcast(fitted)
 
         def judge(batches):
-            views = model.value
-            (t, _), (m, _) = views
-            sums = Sums(widths)
-            for batch in batches:
-                data, offs = text_buffer(batch.column("text"))
-                facts = meta_features(_meta_rows(batch, slots), slots)
-                groups = batch.column("group").to_numpy()
-                for i, j, part, at in text_chunks(data, offs):
-                    bins, form = gram_bins(part, at, _RAW, GRAM, BINS), shape(part, at)
-                    margin = (row_means(t.weights[:BINS], bins, at) + form @ t.weights[BINS:] + t.bias)[:, 0]
-                    classes = confident(views, [margin, m.margins(facts[i:j])[:, 0]])
-
-                    def of_text(r):
-                        return np.concatenate((row_counts_of(bins, at, BINS, r), form[r]), 1)
-
-                    sums.add([of_text, facts[i:j]], classes, groups[i:j])
-            found = sums.rows()
+            found = judged(batches, model.value, slots).rows()
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pydict({"key": pa.array([r[0] for r in found], pa.int32()),
                                               "part": pa.array([part] * len(found), pa.int32()),
@@ -271,7 +295,7 @@ def exchange_over(rows: DataFrame, slots: list[str]):
         sums = rows.mapInArrow(judge, _SUMS)
         for _ in range(3):  # FAN_IN ** 3 tasks
             sums = sums.groupBy("key", F.expr(f"part div {FAN_IN}")).applyInArrow(_add_up, _SUMS)
-        total = Sums(widths)
+        total = Sums(WIDTHS)
         for r in sums.collect():  # a row per view, class and group
             total.put(r.key, r.n, bytes(r.x))
         return total.means()
@@ -351,11 +375,8 @@ def score(docs: DataFrame, views: Views | None, text_col: str = "text", keep: fl
                     w = found.text.weights
                     margin = (row_means(w[:BINS], gram_bins(part, at, _RAW, GRAM, BINS), at)
                               + shape(part, at) @ w[BINS:] + found.text.bias)[:, 0]
-                    facts = _meta_rows(rows, found.names)
-                    kinds = {row: k for k, row in enumerate(dict.fromkeys(facts))}
-                    by_kind = found.meta.margins(meta_features(list(kinds), [f"m{k}" for k in range(len(found.names))]))
-                    other = by_kind[[kinds[row] for row in facts], 0]
-                    scores = found.scores(margin, other)
+                    facts, kind = meta_kinds(_meta_rows(rows, found.names), [f"m{k}" for k in range(len(found.names))])
+                    scores = found.scores(margin, found.meta.margins(facts)[kind, 0])
                     out = [*(pa.array(s, pa.float64()) for s in scores), pa.array(scores[2] >= keep)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *out], names=[*batch.schema.names, *new])
 

@@ -3,6 +3,8 @@ chunk by chunk, weighted logistic fits on a bounded sample, row scores."""
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
 from basketflow.llm.common import chunks
@@ -12,8 +14,14 @@ def gram_bins(data: np.ndarray, offs: np.ndarray, fold: np.ndarray, n: int, bins
     """Bin of the n-gram that starts at each byte; a gram that would run past
     its row ends in zero bytes.  ``fold``: uint8 by byte; ``bins``: a power
     of two."""
-    f = np.concatenate((fold[data], np.zeros(n, np.uint8))).astype(np.uint64)
     size = len(data)
+    if n == 2:  # every gram's bin is known
+        f = np.concatenate((fold[data], np.zeros(1, np.uint8))).astype(np.uint16)
+        code = f[:-1] << np.uint16(8) | f[1:]
+        last = offs[1:][offs[1:] > offs[:-1]] - 1
+        code[last] &= np.uint16(0xFF00)
+        return _pair_bins(bins)[code]
+    f = np.concatenate((fold[data], np.zeros(n, np.uint8))).astype(np.uint64)
     code = f[:size].copy()
     for k in range(1, n):
         code = code << np.uint64(8) | f[k:size + k]
@@ -23,9 +31,18 @@ def gram_bins(data: np.ndarray, offs: np.ndarray, fold: np.ndarray, n: int, bins
         at = at[at >= offs[:-1]]
         cut = np.uint64(8 * (n - short))
         code[at] = code[at] >> cut << cut
+    return _bin(code, bins)
+
+
+def _bin(code: np.ndarray, bins: int) -> np.ndarray:
     return (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - bins.bit_length())).astype(np.int32)
 
 
+@cache
+def _pair_bins(bins: int) -> np.ndarray:
+    return _bin(np.arange(1 << 16, dtype=np.uint64), bins)
+
+
 def row_counts(bins_of: np.ndarray, offs: np.ndarray, bins: int) -> np.ndarray:
     """(rows, bins) shares of the row's grams; empty rows are zero."""
     out = np.zeros((len(offs) - 1, bins), np.float32)
@@ -42,8 +59,10 @@ def row_means(weights: np.ndarray, bins_of: np.ndarray, offs: np.ndarray) -> np.
     out = np.zeros((len(size), weights.shape[1]))
     some = np.flatnonzero(size)
     if len(some):
-        picked = weights[bins_of]
-        out[some] = np.add.reduceat(picked, offs[some], axis=0, dtype=np.float64) / size[some, None]
+        if weights.shape[1] == 1:
+            out[some, 0] = np.add.reduceat(weights[:, 0][bins_of], offs[some], dtype=np.float64) / size[some]
+        else:
+            out[some] = np.add.reduceat(weights[bins_of], offs[some], axis=0, dtype=np.float64) / size[some, None]
     return out
 
 
