@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag
 from basketflow.operators.skew import NONE, salted_join
-from basketflow.plans.facts import Facts, shared_facts
+from basketflow.plans.facts import Facts, FactsOnDemand, shared_facts
 from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
+SENT_PRODUCTS = 400_000  # rows of 36 columns: about 130 MB in memory
+
 
 def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
     """Attach product, department and aisle names (inner joins: products
@@ -48,21 +50,25 @@ def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
 
 
 def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: DataFrame,
-                     user_product_feature: DataFrame, fx: Facts | None = None) -> DataFrame:
+                     user_product_feature: DataFrame, fx: Facts | FactsOnDemand | None = None) -> DataFrame:
     """t6: the line dataset with the three feature tables (95 columns).
 
     The model joins the user table to the lines.  Here it meets the pair
     table first, which has every (user, product) of the lines, so the lines
     are shuffled once, by pair; a line without a user meets neither table in
-    either order.  The product table, one row per product, is joined last.
-    Column order follows chained USING joins: the last join keys first.  ``fx``
+    either order.  The product table, one row per product, is joined last: if
+    it is stored and has at most ``SENT_PRODUCTS`` rows, it is sent to the joined
+    rows, which would else be exchanged by product at their widest.  Column order follows chained USING joins: the last join keys first.  ``fx``
     tells the heavy users, pairs and products, which are dealt to several
     tasks."""
     keys = ["user_id", "product_id"]
     users, pairs, products = (fx.heavy_users, fx.heavy_pairs, fx.heavy_product_lines) if fx else (NONE, NONE, NONE)
     per_pair = salted_join(user_product_feature, user_feature, ["user_id"], users, ["product_id"])
     joined = salted_join(ml, per_pair, keys, pairs, ["order_id"])
-    joined = salted_join(joined, product_feature, ["product_id"], products, ["order_id"])
+    if isinstance(fx, FactsOnDemand) and product_feature.count() <= SENT_PRODUCTS:
+        joined = joined.join(F.broadcast(product_feature), "product_id", "left")
+    else:
+        joined = salted_join(joined, product_feature, ["product_id"], products, ["order_id"])
     rest = [c for c in ml.columns if c not in keys]
     cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
             + [c for c in product_feature.columns if c != "product_id"]

@@ -125,3 +125,17 @@ def test_plan_only_sources_have_no_counts(small_sources):
     plan = type(small_sources)(**small_sources.as_dict())
     assert tables.seen_while_written(plan, "user_feature") is None
     assert stored_sources(plan.orders.sparkSession, small_sources) is small_sources
+
+
+def test_the_dataset_is_not_exchanged_for_the_product_table(spark, small_sources, no_broadcast, monkeypatch):
+    """The stored product table is sent to the joined rows of 60 columns, which
+    were exchanged by product; too many products are joined as before."""
+    fx, ml = facts.shared_facts(small_sources), mldataset.ml_dataset(small_sources)
+    sent = mldataset.ml_dataset_final(ml, *tables.shared_tables(small_sources), fx)
+    monkeypatch.setattr(mldataset, "SENT_PRODUCTS", 0)
+    dealt = mldataset.ml_dataset_final(ml, *tables.shared_tables(small_sources), fx)
+    by_product = [len([x for x in exchanges(t) if re.search(r"hashpartitioning\(product_id#\d+L?, \d+\)", x)])
+                  for t in (sent, dealt)]
+    assert by_product[0] == by_product[1] - 2  # neither the rows nor the table
+    assert sent.columns == dealt.columns
+    assert sorted(map(str, sent.collect())) == sorted(map(str, dealt.collect()))
