@@ -29,7 +29,7 @@ import re
 from collections import Counter
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import stored, work_folder
@@ -162,24 +162,42 @@ def similarities(docs: DataFrame, weights: Weights, threshold: float, id_col: st
     else:
         holds_key = F.translate(text_col, _UPPER, _LOWER).rlike("(^|[^a-z0-9])(" + "|".join(weights.key_terms) + ")([^a-z0-9]|$)")
     hit = docs.where(holds_key & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # Rows that repeat an id are texts of their own.
-    lines = hit.select("id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("unit", "line"))
-    counts = lines.select("id", "t", "unit", F.explode(_words("line")).alias("term")) \
-        .groupBy("id", "t", "unit", "term").agg(F.count("*").alias("tf"))
-    both = counts.union(counts.groupBy("id", "t", F.lit(-1).alias("unit"), "term").agg(F.sum("tf").alias("tf")))
-    table = spark.createDataFrame([(t, k, n, weights.idf[t], v[t]) for k, (n, v) in enumerate(weights.vectors) for t in v],
-                                  "term string, template int, license string, idf double, weight double")
+    # Rows that repeat an id are texts of their own, equal rows one text that
+    # counts as often as it stands there.  The texts move once; all that follows
+    # is worked out where they are.
+    hit = hit.groupBy("id", F.xxhash64("text").alias("t")).agg(F.first("text").alias("text"), F.count("*").alias("m"))
+    whole = F.array(F.struct(F.lit(-1).alias("unit"), _words("text").alias("words")))
+    lines = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("unit"), _words(line).alias("words")))
+    units = (hit.select("id", "t", "m", F.inline(F.concat(whole, lines)))
+             .where(F.exists("words", lambda w: w.isin(weights.key_terms))))
+    counts = _term_counts(units, "words").select("id", "t", "unit", "term", (F.col("n") * F.col("m")).alias("tf"))
+    # Every template term stands in the table once for the norm and once for each
+    # template that holds it; other terms count for the norm alone.
+    rows = [(t, None, None, x, None) for t, x in sorted(weights.idf.items())]
+    rows += [(t, k, name, weights.idf[t], v[t]) for k, (name, v) in enumerate(weights.vectors) for t in v]
+    table = spark.createDataFrame(rows, "term string, template int, license string, idf double, weight double")
     tf = weights.tf("tf")
-    idf = spark.createDataFrame(sorted(weights.idf.items()), "term string, idf double")  # template terms only
-    norm = (both.join(F.broadcast(idf), "term", "left")
-            .groupBy("id", "t", "unit").agg(F.sqrt(F.sum(F.when(F.col("idf").isNull(), tf * weights.other ** 2)
-                                                         .otherwise((tf * F.col("idf")) ** 2))).alias("norm")))
-    dot = (both.join(F.broadcast(table), "term")
-           .groupBy("id", "t", "unit", "template", "license").agg(F.sum(tf * F.col("idf") * F.col("weight")).alias("dot")))
-    return (dot.join(norm, ["id", "t", "unit"]).select("id", "unit", "license", (F.col("dot") / F.col("norm")).alias("similarity"))
+    part = (F.when(F.col("template").isNotNull(), tf * F.col("idf") * F.col("weight"))
+            .when(F.col("idf").isNull(), tf * weights.other ** 2).otherwise((tf * F.col("idf")) ** 2))
+    sums = (counts.join(F.broadcast(table), "term", "left")
+            .groupBy("id", "t", "unit", "template", "license").agg(F.sum(part).alias("total")))
+    squares = F.max(F.when(F.col("template").isNull(), F.col("total"))).over(Window.partitionBy("id", "t", "unit"))
+    return (sums.withColumn("norm", F.sqrt(squares)).where(F.col("template").isNotNull())
+            .select("id", "unit", "license", (F.col("total") / F.col("norm")).alias("similarity"))
             .where(F.col("similarity") >= threshold))
 
 
+def _term_counts(rows: DataFrame, words: str) -> DataFrame:
+    """``rows`` with a row for each different (term, n) of their ``words``."""
+    sorted_rows = rows.withColumn("_sorted", F.sort_array(words)).drop(words)
+    word = F.col("_sorted")
+    first = sorted_rows.withColumn("_first", F.filter(  # places at which a term begins
+        F.sequence(F.lit(0), F.size(word) - 1), lambda k: (k == 0) | (F.get(word, k) != F.get(word, k - 1))))
+    end = lambda k: F.coalesce(F.get(F.col("_first"), k + 1), F.size(word))
+    return first.select(*[c for c in rows.columns if c != words], F.inline(F.transform(
+        "_first", lambda at, k: F.struct(F.get(word, at).alias("term"), (end(k) - at).alias("n")))))
+
+
 def _best(rows: DataFrame, *key: str) -> DataFrame:
     """Highest similarity per key (rounded, so ties are ties), then the
     smaller licence id."""

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 
 from cases import DOCS, crowded, docs, empty
@@ -131,3 +132,27 @@ def test_licences_of_awkward_rows(spark):
     assert license_scan.report(empty(spark)).count() == 0
     plan = license_scan.report(docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_texts_of_candidates_move_once_and_their_terms_never(spark):
+    rows = [(k, f"line {k} of it\nReleased under the MIT License.\nand the end", "en", "a", None) for k in range(40)]
+    frame = docs(spark, rows + rows[:7])
+    for templates, damped in ((license_scan.TEMPLATES, False), (license_scan.full_forms(), True)):
+        weights = license_scan.Weights(templates, 100, {"the": 40, "of": 40}, 0.6, damped)
+        found = license_scan.similarities(frame, weights, 0.6, "doc_id", "text")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        # Against plain sums; equal rows count as often as they stand there.
+        wanted = set()
+        for i, text, *_ in rows:
+            for unit, part in [(-1, text), *enumerate(text.split("\n"))]:
+                terms = license_scan._terms(part)
+                m = 2 if i < 7 else 1
+                tf = {t: 1 + math.log(m * terms.count(t)) if damped else m * terms.count(t) for t in terms}
+                norm = math.sqrt(sum((n * weights.idf[t]) ** 2 if t in weights.idf else n * weights.other ** 2
+                                     for t, n in tf.items()))
+                for name, vector in weights.vectors:
+                    near = sum(tf.get(t, 0) * weights.idf[t] * x for t, x in vector.items()) / norm
+                    if near >= 0.6:
+                        wanted.add((i, unit, name, round(near, 9)))
+        assert {(r.id, r.unit, r.license, round(r.similarity, 9)) for r in found.collect()} == wanted and wanted
