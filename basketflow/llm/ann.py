@@ -11,7 +11,9 @@ their exact inner product in double precision.
 
 Scale: the rows of a table are spread by bucket, buckets above ``BLOCK_ROWS``
 are split into blocks that each get the bucket's queries, and a task answers
-with at most ``k`` rows per query and block.  A query that finds fewer rows than there are gets the rest by an exact
+with at most ``k`` rows per query and block.  Tables of more than a block are
+searched in rounds of growing parts of the rows; what a query has found bounds
+the answers of the next round.  A query that finds fewer rows than there are gets the rest by an exact
 pass over all rows, in blocks of such queries.  Of exact copies only the k + 1
 smallest ids can ever be among k nearest (ties go to the smaller id), so the
 others are set aside before hashing, by a limit that acts before the shuffle.
@@ -143,6 +145,15 @@ def usable(vec: str) -> F.Column:
     return F.col(vec).isNotNull() & ~bad & F.exists(vec, lambda x: x != 0)
 
 
+def rounds_of(n_rows: int, block_rows: int) -> list[tuple[int, int]]:
+    """Ranges of a hash between 0 and 2^30, one a round: about a block of rows
+    at most, then three times as many as before."""
+    ends = [1 << 30]
+    while n_rows * ends[0] > block_rows << 30:
+        ends.insert(0, ends[0] // 4)
+    return list(zip([0, *ends], ends))
+
+
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
             tables: int = TABLES, probes: int = PROBES, block_rows: int = BLOCK_ROWS, seed: int = 7) -> DataFrame:
     """The ``k`` nearest rows found for every row for which ``is_query`` (a
@@ -187,7 +198,6 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                  .where(F.col("n") > block_rows)
                  .select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")), f"{folder}/hot")
     split = not hot.isEmpty()
-    spread = max(1, -(-n_rows // block_rows))  # groups of buckets of a table, about a block of rows in each
 
     def as_bytes(x: np.ndarray) -> pa.Array:
         raw = np.ascontiguousarray(x, "<f8" if x.dtype == np.float64 else "<f4")
@@ -213,30 +223,49 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, len(part)), as_bytes(part), lists],
                                                  names=["id", "vec", "keys"])
 
-    # A group is of one table, so a point stands in it once.
-    group = F.col("table") * F.lit(spread) + F.pmod(F.xxhash64("key", "block"), F.lit(spread))
-    hashed = points.mapInArrow(hash_points, "table int, key long, id long, vec binary")
-    asked = queries.mapInArrow(hash_queries, "id long, vec binary, keys array<long>")
-    visits = asked.select("id", "vec", F.posexplode("keys").alias("at", "key")).select(
-        "id", "vec", "key", (F.col("at") / probes).cast("int").alias("table"))
-    if split:
-        hashed = hashed.join(hot, "key", "left").withColumn(
-            "block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
-        visits = visits.join(hot, "key", "left").withColumn(
-            "block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    else:
-        hashed, visits = hashed.withColumn("block", F.lit(0)), visits.withColumn("block", F.lit(0))
-    # A query goes once to each group, with the buckets it visits there.
-    goes = (visits.select(group.alias("g"), "id", "vec", F.struct("key", "block").alias("bucket"))
-            .groupBy("g", "id", "vec").agg(F.collect_list("bucket").alias("buckets")))  # at most tables * probes
+    asked = stored(queries.mapInArrow(hash_queries, "id long, vec binary, keys array<long>"), f"{folder}/asked")
     empty = F.array().cast("array<struct<key:long,block:int>>")
-    rows = (hashed.select(group.alias("g"), F.lit(0).alias("kind"), "id", "vec",
-                          F.array(F.struct("key", "block")).alias("buckets"))
-            .union(goes.select("g", F.lit(1), "id", "vec", F.coalesce("buckets", empty))))
-    answers = (rows.repartition("g").sortWithinPartitions("g", "kind")
-               .mapInArrow(_rank(dim, k, F_TYPE[vectors.schema[vec_col].dataType.elementType.typeName()]),
-                           "query_id long, id long, score double"))
-    found = stored(_nearest_of(answers, k), f"{folder}/found")
+    kind = F_TYPE[vectors.schema[vec_col].dataType.elementType.typeName()]
+
+    # The rows are searched in rounds, about a block of them first and then three
+    # times as many as in all rounds before.  From the second on, a query brings
+    # the score of the k-th row that it has found: a task answers with rows that
+    # reach it, of which there are some 3 * k in a round, however many tasks.
+    found = None
+    for low, high in rounds_of(n_rows, block_rows):
+        spread = max(1, -(-n_rows * (high - low) // (block_rows << 30)))  # groups of buckets of a table
+        # A group is of one table, so a point stands in it once.
+        group = F.col("table") * F.lit(spread) + F.pmod(F.xxhash64("key", "block"), F.lit(spread))
+        of_round = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30))
+        hashed = (points.where((of_round >= low) & (of_round < high))
+                  .mapInArrow(hash_points, "table int, key long, id long, vec binary"))
+        if found is None:
+            aimed = asked.withColumn("bound", F.lit(float("-inf")))
+        else:
+            reached = (found.groupBy(F.col("query_id").alias("_id")).agg(F.min("score").alias("_least"), F.count("*").alias("_n"))
+                       .where(F.col("_n") >= k))
+            aimed = (asked.join(reached, F.col("id") == F.col("_id"), "left")
+                     .withColumn("bound", F.coalesce("_least", F.lit(float("-inf")))))
+        visits = aimed.select("id", "vec", "bound", F.posexplode("keys").alias("at", "key")).select(
+            "id", "vec", "bound", "key", (F.col("at") / probes).cast("int").alias("table"))
+        if split:
+            hashed = hashed.join(hot, "key", "left").withColumn(
+                "block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
+            visits = visits.join(hot, "key", "left").withColumn(
+                "block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+        else:
+            hashed, visits = hashed.withColumn("block", F.lit(0)), visits.withColumn("block", F.lit(0))
+        # A query goes once to each group, with the buckets it visits there.
+        goes = (visits.select(group.alias("g"), "id", "vec", "bound", F.struct("key", "block").alias("bucket"))
+                .groupBy("g", "id", "vec", "bound").agg(F.collect_list("bucket").alias("buckets")))  # at most tables * probes
+        rows = (hashed.select(group.alias("g"), F.lit(0).alias("kind"), "id", "vec", F.lit(0.0).alias("bound"),
+                              F.array(F.struct("key", "block")).alias("buckets"))
+                .union(goes.select("g", F.lit(1), "id", "vec", "bound", F.coalesce("buckets", empty))))
+        answers = (rows.repartition("g").sortWithinPartitions("g", "kind")
+                   .mapInArrow(_rank(dim, k, kind), "query_id long, id long, score double"))
+        if found is not None:
+            answers = answers.union(found.select("query_id", "id", "score"))
+        found = stored(_nearest_of(answers, k), f"{folder}/found-{high}")
 
     # Queries with fewer rows than there are.
     most = points.select("id").distinct().count() - 1
@@ -294,7 +323,7 @@ F_TYPE = {"float": "<f4", "double": "<f8"}
 def _rank(dim: int, k: int, kind: str):
     """Within a group: exact scores of the points in the visited buckets."""
 
-    def top(ids, x, x4, order_keys, repeated, query_id, q, buckets):
+    def top(ids, x, x4, order_keys, repeated, query_id, q, buckets, bound):
         lo = np.searchsorted(order_keys, buckets, "left")
         hi = np.searchsorted(order_keys, buckets, "right")
         on = hi > lo
@@ -307,12 +336,18 @@ def _rank(dim: int, k: int, kind: str):
         at = at[ids[at] != query_id]
         if not len(at):
             return None
-        rough = x4[at] @ q.astype(np.float32)
+        rough, least = x4[at] @ q.astype(np.float32), bound
         if len(at) > k and not repeated:
+            least = max(least, np.partition(rough, len(at) - k)[len(at) - k])
+        if least > -np.inf:
             # Rounding to 32 bits can't hide one of the k nearest.
             slack = 1e-5 * float(np.abs(q).sum()) * float(np.abs(x4[at]).max())
-            at = at[rough >= np.partition(rough, len(at) - k)[len(at) - k] - slack]
+            at = at[~(rough < least - slack)]
         score = (x[at].astype(float) * q).sum(1)
+        on = ~(score < bound)
+        at, score = at[on], score[on]
+        if not len(at):
+            return None
         best = np.lexsort((ids[at], -score))
         if repeated:  # an id with several vectors counts by the best
             best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])]
@@ -325,6 +360,7 @@ def _rank(dim: int, k: int, kind: str):
             group = batch.column("g").to_numpy()
             is_query = batch.column("kind").to_numpy()
             ids = batch.column("id").to_numpy()
+            bounds = batch.column("bound").to_numpy()
             vec = np.frombuffer(b"".join(batch.column("vec").to_pylist()), kind).reshape(-1, dim)
             lists = batch.column("buckets")
             ends = lists.offsets.to_numpy()
@@ -350,7 +386,8 @@ def _rank(dim: int, k: int, kind: str):
                 if points is None:
                     continue
                 for r in range(a, b):
-                    found = top(*points, ids[r], vec[r].astype(float), np.unique(keys[ends[r]:ends[r + 1]]))
+                    found = top(*points, ids[r], vec[r].astype(float), np.unique(keys[ends[r]:ends[r + 1]]),
+                                bounds[r])
                     if found is not None:
                         out_q.append(np.full(len(found[0]), ids[r]))
                         out_i.append(found[0])

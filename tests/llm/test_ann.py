@@ -108,3 +108,24 @@ def test_short_answers_are_finished_exactly(spark, monkeypatch):
     got = by_query(ann.report(frame))
     want = brute(rows, lambda q: q % 20 == 0, 20)
     assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in f] for q, f in want.items()}
+
+
+def test_answers_of_a_query_do_not_grow_with_the_number_of_groups(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((4096, 16)).astype(np.float32))]
+    made, best_of = [], ann._nearest_of
+
+    def counted(answers, k):
+        made.append(answers.count())
+        return best_of(answers, k)
+
+    monkeypatch.setattr(ann, "_nearest_of", counted)
+    answers, found = {}, {}
+    for block in (16_384, 64):  # one group a table, and 64
+        made.clear()
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        found[block] = by_query(ann.nearest(frame, F.col("vec_id") % 100 == 0, k=10, block_rows=block))
+        answers[block] = sum(made)
+    # The same rows; four rounds with some 3 * k distinct answers each.
+    assert found[64] == found[16_384]
+    assert answers[64] < 6 * answers[16_384]
