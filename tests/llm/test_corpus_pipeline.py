@@ -1,6 +1,7 @@
 """Every stage against a brute-force version on the smallest tables."""
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_SMALL
 from test_decontam import brute as hits_of
 from test_near_dup import brute as groups_of
@@ -48,3 +49,24 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert cp.run(spark, SF_SMALL).columns == ["doc_id", "source", "lang", "n_tokens", "ids"]
+
+
+def test_batches_are_small_while_the_stages_run_and_the_setting_is_given_back(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def stage(spark, docs, sf_dir):
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+        seen.append(max(r.n for r in docs.coalesce(1).mapInArrow(sizes, "n long").collect()))
+        return docs
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(cp, "STAGES", [("one", stage)])
+    for setting, most in ((before, cp.BATCH_ROWS), ("0", cp.BATCH_ROWS), ("50", 50)):
+        spark.conf.set(name, setting)
+        try:
+            cp.run(spark, "/root/testdata/sf0.01")
+            assert spark.conf.get(name) == setting and 0 < seen.pop() <= most
+        finally:
+            spark.conf.set(name, before)

@@ -1,9 +1,11 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from cases import DOCS, crowded, docs, empty
 from pyspark.sql import functions as F
 
-from basketflow.llm import cotrain, langid, queries
+from basketflow.llm import common, cotrain, langid, queries
 from basketflow.llm.linear import gram_bins, row_counts, row_means
 
 SF = "/root/testdata/sf0.01"
@@ -191,3 +193,21 @@ def test_sums_of_sure_rows_make_no_matrix_of_all_rows():
                 assert abs(found.n[v, c, g] - at.sum()) <= 1  # a margin may lie on the bound
                 if found.n[v, c, g] == at.sum():
                     assert np.allclose(found.x[v][c, g], f[at].sum(0, dtype=float), atol=1e-2)
+
+
+def test_words_of_a_chunk_take_little_memory_and_are_the_same_in_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    data = rng.choice(np.frombuffer(b"abcdefgXYZ  \n\xc3", np.uint8), common.CHUNK_BYTES)
+    cuts = np.sort(rng.integers(0, len(data), 900))
+    offs = np.concatenate(([0, 0], cuts, cuts[-3:-1], [len(data)]))
+    offs.sort()
+    table = common.byte_table(" \n")
+    monkeypatch.setattr(common, "_POWERS", {})
+    tracemalloc.start()
+    found = common.words(data, offs, table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20  # powers and sums of the whole chunk took more than twice as much
+    monkeypatch.setattr(common, "WORD_BYTES", len(data))
+    whole = common.words(data, offs, table)
+    assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(found, whole))
