@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 64
+BLOCK = 128
 
 
 def _tables() -> np.ndarray:
@@ -52,9 +52,8 @@ def crc32c(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     total = int(blocks.sum())
     ends = np.cumsum(blocks)
     padded = np.zeros(total * BLOCK, np.uint8)
-    shift = ends * BLOCK - (start + size)  # from a place in data to its padded place
-    src = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    padded[src + np.repeat(shift, size)] = data[src]
+    for a, k, end in zip(start.tolist(), size.tolist(), (ends * BLOCK).tolist()):
+        padded[end - k:end] = data[a:a + k]
     steps = np.ascontiguousarray(padded.reshape(total, BLOCK // 8, 8).transpose(1, 2, 0))
     crc = np.zeros(total, np.uint32)
     for b in steps:

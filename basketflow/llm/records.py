@@ -47,10 +47,16 @@ _READ_BYTES = 4 << 20
 _SPACE = re.compile(r"[ \t\r\n]+")
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
+# A word of letters and then marks is two words to a model that splits like
+# this.  Only letters that no normaliser changes, and marks that begin nothing.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_MARKS = r"!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"
+_MARKED = re.compile(f"([{_LETTERS}]+)([{_MARKS}]+)")
+_PLAIN = re.compile(f"[{_LETTERS}{_MARKS}]*")
 
-def cut(text: str | None) -> list[str]:
-    if not text:
-        return []
+
+def cut(text: str) -> list[str]:
     return [w for w in _SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
 
 
@@ -58,7 +64,7 @@ class WordEncoder:
     """Ids of distinct words by the tokenizer, many words in one call.
 
     Words of letters alone are joined by a line end and told apart by the ids
-    that end a word, if the model marks those; the others are joined by a
+    that end a word, if the model marks those (the letters a-z by themselves); the others are joined by a
     special token, which then stands between their ids.  A word that holds a
     special token's text goes alone."""
 
@@ -71,45 +77,86 @@ class WordEncoder:
         plain = [a for a in added if a["special"] and not (a["lstrip"] or a["rstrip"] or a["normalized"] or a["single_word"])]
         self.mark, self.mark_id = (plain[0]["content"], plain[0]["id"]) if plain else (None, None)
         self.special = [a["content"] for a in added]
-        # A tokenizer that lower-cases gives A-Z and a-z the same ids.
-        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        whole = json.loads(model)
+        suffix = whole["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.lowers = '"Lowercase"' in json.dumps(json.loads(model).get("normalizer"))
-
-    def words(self, text: str | None) -> list[str]:
-        if text and self.lowers and not any(m[:2] in text for m in self.special):
-            text = text.encode("utf-8").lower().decode("utf-8")  # A-Z only: fewer distinct words
-        return cut(text)
+        # A tokenizer that lower-cases gives A-Z and a-z the same ids.
+        self.lowers = '"Lowercase"' in json.dumps(whole.get("normalizer"))
+        self.splits = self._known_split(whole) and not any(_PLAIN.fullmatch(m) for m in self.special)
+        self.plain = None
+        if self.splits and self.ends_word.any():
+            # Words of the letters a-z alone need no normaliser and no pattern.
+            self.plain = Tokenizer.from_str(json.dumps(
+                whole | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "truncation": None,
+                         "padding": None}))
+
+    @staticmethod
+    def _known_split(whole: dict) -> bool:
+        def steps(part, name):
+            return part.get(name, [part]) if part else []
+        made = [n["type"] for n in steps(whole.get("normalizer"), "normalizers")]
+        cuts = steps(whole.get("pre_tokenizer"), "pretokenizers")
+        spaces = [n for n in steps(whole.get("normalizer"), "normalizers") if n["type"] == "Replace"]
+        return (made in (["NFC", "Replace", "Lowercase"], ["NFC", "Lowercase"], ["NFC"], [])
+                and all(n["pattern"] == {"Regex": r"\s+"} and n["content"] == " " for n in spaces)
+                and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+                and cuts[0]["pattern"] == {"Regex": _SPLIT} and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+                and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"])
+
+    def words(self, data: bytes, offs: np.ndarray) -> list[list[str]]:
+        """Words of the texts that lie end to end in ``data``."""
+        marks = [m.encode("utf-8") for m in {m[:2] for m in self.special}]
+        cuts = offs.tolist()
+        whole = data.lower() if self.lowers else data  # A-Z only: fewer distinct words
+        if whole is not data and any(m in data for m in marks):
+            whole = b"".join(t if any(m in t for m in marks) else t.lower()
+                             for t in (data[a:b] for a, b in zip(cuts, cuts[1:])))
+        return [cut(whole[a:b].decode("utf-8")) for a, b in zip(cuts, cuts[1:])]
+
+    def parts(self, words: list[str]) -> dict[int, tuple[str, str]]:
+        """By place: two words whose ids end to end are the word's, if known."""
+        if not self.splits:
+            return {}
+        return {k: m.groups() for k, w in enumerate(words) if not w.isalpha() and (m := _MARKED.fullmatch(w))}
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words end to end, and the number of each."""
-        letters = [k for k, w in enumerate(words) if w.isalpha()] if self.ends_word.any() else []
-        found: list[np.ndarray | None] = [None] * len(words)
-        if letters:
-            ids = self._encode("\n".join([words[k] for k in letters]))
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(letters):
-                if len(letters) == len(words):
-                    return ids, np.diff(ends, prepend=0)
-                for k, a, b in zip(letters, [0, *ends.tolist()], ends.tolist()):
-                    found[k] = ids[a:b]
-        rest = [k for k, f in enumerate(found) if f is None]
-        alone = [k for k in rest if self.mark is None or any(m in words[k] for m in self.special)]
+        left = list(range(len(words)))
+        done: list[tuple[list[int], np.ndarray, np.ndarray]] = []  # words, their ids, number of each
+        if self.ends_word.any():
+            letters = [k for k in left if words[k].isalpha()]
+            easy = [k for k in letters if words[k].isascii() and words[k].islower()] if self.plain else []
+            taken = set(easy)
+            for own, tokenizer in ((easy, self.plain), ([k for k in letters if k not in taken], self.tokenizer)):
+                ids = self._encode("\n".join([words[k] for k in own]), tokenizer) if own else []
+                ends = np.flatnonzero(self.ends_word[ids]) + 1 if own else []
+                if own and len(ends) == len(own) and ends[-1] == len(ids):
+                    done.append((own, ids, np.diff(ends, prepend=0)))
+            taken = {k for own, _, _ in done for k in own}
+            left = [k for k in left if k not in taken]
+        alone = [k for k in left if self.mark is None or any(m in words[k] for m in self.special)]
         for k, e in zip(alone, self.tokenizer.encode_batch_fast([words[k] for k in alone], add_special_tokens=False)):
-            found[k] = np.array(e.ids, np.uint32)
-        rest = [k for k in rest if found[k] is None]
-        if rest:
-            ids = self._encode(self.mark.join([*(words[k] for k in rest), ""]))
-            ends = np.flatnonzero(ids == self.mark_id).tolist()
-            for k, a, b in zip(rest, [0, *(e + 1 for e in ends)], ends):
-                found[k] = ids[a:b]
-        return np.concatenate(found), np.array([len(f) for f in found], np.int64)
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            done.append(([k], np.array(e.ids, np.uint32), np.array([len(e.ids)])))
+        taken = set(alone)
+        left = [k for k in left if k not in taken]
+        if left:
+            ids = self._encode(self.mark.join([*(words[k] for k in left), ""]), self.tokenizer)
+            ends = np.flatnonzero(ids == self.mark_id)
+            done.append((left, ids[ids != self.mark_id], np.diff(ends, prepend=-1) - 1))
+        # Back into the order of the words.
+        order = np.argsort(np.concatenate([own for own, _, _ in done]), kind="stable")
+        sizes = np.concatenate([size for _, _, size in done])
+        start, size = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        ends = np.cumsum(size)
+        every = np.concatenate([ids for _, ids, _ in done])
+        return every[np.repeat(start - (ends - size), size) + np.arange(len(every))], size
+
+    @staticmethod
+    def _encode(text: str, tokenizer) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
 
 _OPEN: dict[str, tuple[WordEncoder, WordIds]] = {}
@@ -119,7 +166,7 @@ def _encoder(model: str) -> tuple[WordEncoder, WordIds]:
     if model not in _OPEN:
         _OPEN.clear()
         words = WordEncoder(model)
-        _OPEN[model] = words, WordIds(words.ids)
+        _OPEN[model] = words, WordIds(words.ids, parts=words.parts)
     return _OPEN[model]
 
 
@@ -147,8 +194,8 @@ def frames(doc_ids: list[int | None], ids: np.ndarray, at: np.ndarray, wide: boo
     known = np.fromiter((d is not None for d in doc_ids), bool, n)
     out[begin + 12] = known.astype(np.uint8) | (_WIDE if wide else 0)
     put(begin + 13, np.array([d or 0 for d in doc_ids], "<i8"))
-    size_b = (at[1:] - at[:-1]) * width
-    out[np.repeat(begin + 21 - at[:-1] * width, size_b) + np.arange(len(body))] = body
+    for place, a, b in zip((begin + 21).tolist(), (at[:-1] * width).tolist(), (at[1:] * width).tolist()):
+        out[place:place + b - a] = body[a:b]
     put(begin + 12 + payload, masked(crc32c(out, begin + 12, payload)).astype("<u4"))
     return out.tobytes(), size
 
@@ -214,11 +261,9 @@ def write_records(docs: DataFrame, folder: str, model: str, id_col: str = "doc_i
         name = f"{path}/{part:06d}-{uuid.uuid4().hex}"
         out, places, n_ids, at_byte = None, [], 0, 0
         for batch in batches:
-            column = batch.column(1)
-            _, offs = text_buffer(column)
+            data, offs = text_buffer(batch.column(1))
             for i, j in chunks(offs):
-                texts = column.slice(i, j - i).to_pylist()
-                ids, at = memory.encode([encoder.words(t) for t in texts])
+                ids, at = memory.encode(encoder.words(data[offs[i]:offs[j]].tobytes(), offs[i:j + 1] - offs[i]))
                 if end_id is not None:
                     ids = np.insert(ids, at[1:], end_id)
                     at = at + np.arange(len(at))

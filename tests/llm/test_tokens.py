@@ -184,6 +184,31 @@ def test_width_of_ids_follows_the_model(spark, tmp_path):
     assert np.frombuffer(back[0].ids, "<u4").tolist() == [70_001, 3, 70_001, 2]
 
 
+def test_words_with_marks_are_put_together_from_known_words():
+    from basketflow.llm.wordids import WordIds
+    with open(WORD, encoding="utf-8") as f:
+        encoder = records.WordEncoder(f.read())
+    asked = []
+
+    def ids(words):
+        asked.extend(words)
+        return encoder.ids(words)
+
+    texts = ["house cat house, cat! (cat) house.*** cat", "HOUSE, Cat.\ttree; tree", "\u00e9t\u00e9, \u00df. \u0130. \u01c5. e\u0301. a\u0338. \u017f.",
+             "it's don't. o'er, x's. 12. a1, 'tis x_y x_ a<b b< <|endoftext|>. A<|endoftext|>, <|STARTOFTEXT|>", "", "\u0416\u0435, \u732b\u3002 \u732b. \xa0x.\x0by,\u2003z!",
+             "\u00d7. \u00aa. \u2460. \u00e0\u0327. i\u0307."]
+    coded = [t.encode() for t in texts]
+    offs = np.cumsum([0, *map(len, coded)])
+    memory = WordIds(ids, parts=encoder.parts)
+    for _ in range(2):
+        got, at = memory.encode(encoder.words(b"".join(coded), offs))
+        assert [got[a:b].tolist() for a, b in zip(at, at[1:])] == library(WORD, texts)
+    assert len(asked) == len(set(asked)) and not {"house,", "cat!", "house.***", "cat.", "tree;"} & set(asked)
+    assert {"house", "cat", "tree", ",", ".***"} <= set(asked)
+    with open(BYTE, encoding="utf-8") as f:  # a model that cuts words otherwise
+        assert records.WordEncoder(f.read()).parts(["house,"]) == {}
+
+
 def test_word_memory_after_a_failure():
     from basketflow.llm.wordids import WordIds
     fail = [True]
