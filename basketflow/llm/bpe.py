@@ -40,6 +40,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LEXICON_WORDS = 65_536
 LEXICON_WORD_BYTES = 48
 MEMORY_WORDS = 200_000  # words that a task remembers besides the lexicon
+COUNTED_WORDS = 300_000  # words that a task counts before it hands them on
 
 
 def byte_characters() -> dict[str, int]:
@@ -293,9 +294,9 @@ def pre_tokens(text: str, special_pattern=None) -> list[str]:
     return out
 
 
-def word_counts(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str, model: Model, held: int = COUNTED_WORDS) -> DataFrame:
     """(word, n) of all pre-tokens of all texts; each task sums its own words
-    by batch before the shuffle."""
+    before the shuffle, up to about ``held`` at a time."""
     special = model.special_pattern
 
     def count(batches):
@@ -310,7 +311,7 @@ def word_counts(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
         for batch in batches:
             for text in batch.column(0):
                 tally.update(pre_tokens(text.as_py() or "", special))
-                if len(tally) > 300_000:
+                if len(tally) > held:
                     yield rows()
         yield rows()
 
@@ -335,13 +336,15 @@ def most_frequent(counts: DataFrame, n_words: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
-def build_lexicon(docs: DataFrame, model_path: str, text_col: str = "text", n_words: int = LEXICON_WORDS) -> str:
+def build_lexicon(docs: DataFrame, model_path: str, text_col: str = "text", n_words: int = LEXICON_WORDS,
+                  held: int = COUNTED_WORDS) -> str:
     """Compile the most frequent words of ``docs`` (at most ``n_words``) and
-    ship the file to all executors; returns its name."""
+    ship the file to all executors; returns its name.  ``held`` is for
+    ``word_counts``."""
     spark = docs.sparkSession
     ship_package(spark)
     model = Model.load(model_path)
-    counts = stored(word_counts(docs, text_col, model).where(F.octet_length("word") <= LEXICON_WORD_BYTES),
+    counts = stored(word_counts(docs, text_col, model, held).where(F.octet_length("word") <= LEXICON_WORD_BYTES),
                     work_folder(spark, "lexicon"))
     top = sorted(most_frequent(counts, n_words).select("word").collect())
     return ship_lexicon(spark, [r.word for r in top if r.word not in model.special], model)
@@ -364,22 +367,25 @@ _SHIPPED: dict[str, set[str]] = {}
 _OPEN: dict[str, tuple[Lexicon, WordIds]] = {}
 
 
-def _lexicon(name: str) -> tuple[Lexicon, WordIds]:
+def _lexicon(name: str, remember: int = MEMORY_WORDS) -> tuple[Lexicon, WordIds]:
     if name not in _OPEN:
         _OPEN.clear()
         found = Lexicon(SparkFiles.get(name))
-        _OPEN[name] = found, WordIds(found.encode_words, MEMORY_WORDS)
+        _OPEN[name] = found, WordIds(found.encode_words)
+    _OPEN[name][1].limit = remember
     return _OPEN[name]
 
 
-def encode(docs: DataFrame, lexicon: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, lexicon: str, text_col: str = "text", ids_col: str = "ids",
+           remember: int = MEMORY_WORDS) -> DataFrame:
     """``docs`` with ``ids_col``: the ids of the whole text as little-endian
     unsigned 32-bit integers (binary).  A null text has no ids; a column of
-    that name is replaced."""
+    that name is replaced.  A task remembers about ``remember`` words: fewer
+    take less memory and are merged more often."""
     docs = docs.drop(ids_col)
 
     def run(batches):
-        found, memory = _lexicon(lexicon)
+        found, memory = _lexicon(lexicon, remember)
         special = found.model.special_pattern
         for batch in batches:
             column = batch.column(text_col)

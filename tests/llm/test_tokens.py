@@ -184,6 +184,26 @@ def test_width_of_ids_follows_the_model(spark, tmp_path):
     assert np.frombuffer(back[0].ids, "<u4").tolist() == [70_001, 3, 70_001, 2]
 
 
+def test_few_words_held_change_no_result(spark, monkeypatch):
+    import corpus_pipeline
+    texts = ["the cat, the dog 12 cats", None, "", "the\u00e9 <|endoftext|> cat don't", "a b c d e f g the cat"]
+    frame = docs(spark, [(k, t, "en", "s", 5) for k, t in enumerate(texts)]).coalesce(1)
+    model = bpe.Model.load(BYTE)
+    whole, few = ({r.word: r.n for r in bpe.word_counts(frame, "text", model, held).collect()} for held in (10**6, 2))
+    assert whole == few and len(few) > 10
+    lexicon = bpe.build_lexicon(frame, BYTE, n_words=3, held=2)
+    got = {r.doc_id: bytes(r.ids) for r in bpe.encode(frame, lexicon, remember=2).collect()}
+    assert got == {k: little(ids) for k, ids in enumerate(library(BYTE, texts))}
+    # The pipeline's workers, which live through all stages, hold few.
+    seen = {}
+    build, encode = bpe.build_lexicon, bpe.encode
+    monkeypatch.setattr(bpe, "build_lexicon", lambda *a, **k: (seen.update(k), build(*a, **k))[1])
+    monkeypatch.setattr(bpe, "encode", lambda *a, **k: (seen.update(k), encode(*a, **k))[1])
+    rows = corpus_pipeline.tokens(spark, frame, "")
+    assert {r.doc_id: bytes(r.ids) for r in rows.collect()} == got
+    assert seen["held"] == seen["remember"] == corpus_pipeline.HELD_WORDS < bpe.MEMORY_WORDS
+
+
 def test_words_with_marks_are_put_together_from_known_words():
     from basketflow.llm.wordids import WordIds
     with open(WORD, encoding="utf-8") as f:
