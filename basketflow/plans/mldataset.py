@@ -3,7 +3,7 @@ the optional train label and the three feature tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions import as_flag
@@ -13,6 +13,7 @@ from basketflow.sources.readers import Sources
 from basketflow.sources.schema import ML_DATASET_COLUMNS
 
 SENT_PRODUCTS = 400_000  # rows of 36 columns: about 130 MB in memory
+DEALT_PAIRS = 2_000_000  # pairs from which tables are not small enough to leave them to the planner
 
 
 def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
@@ -21,8 +22,11 @@ def _with_catalogue(lines: DataFrame, src: Sources) -> DataFrame:
 
     Each dimension is joined on its own: the size of a stored table is a good
     estimate, that of joined ones is not, and it decides the broadcast."""
-    return (lines.join(src.products, "product_id").join(src.departments, "department_id")
-            .join(src.aisles, "aisle_id"))
+    return _with_groups(lines.join(src.products, "product_id"), src)
+
+
+def _with_groups(products: DataFrame, src: Sources) -> DataFrame:
+    return products.join(src.departments, "department_id").join(src.aisles, "aisle_id")
 
 
 def ml_dataset(src: Sources, with_target: bool = False) -> DataFrame:
@@ -53,24 +57,66 @@ def ml_dataset_final(ml: DataFrame, user_feature: DataFrame, product_feature: Da
                      user_product_feature: DataFrame, fx: Facts | FactsOnDemand | None = None) -> DataFrame:
     """t6: the line dataset with the three feature tables (95 columns).
 
-    The model joins the user table to the lines.  Here it meets the pair
-    table first, which has every (user, product) of the lines, so the lines
-    are shuffled once, by pair; a line without a user meets neither table in
-    either order.  The product table, one row per product, is joined last: if
-    it is stored and has at most ``SENT_PRODUCTS`` rows, it is sent to the joined
-    rows, which would else be exchanged by product at their widest.  Column order follows chained USING joins: the last join keys first.  ``fx``
+    Column order follows chained USING joins: the last join keys first.  ``fx``
     tells the heavy users, pairs and products, which are dealt to several
-    tasks."""
-    keys = ["user_id", "product_id"]
-    users, pairs, products = (fx.heavy_users, fx.heavy_pairs, fx.heavy_product_lines) if fx else (NONE, NONE, NONE)
-    per_pair = salted_join(user_product_feature, user_feature, ["user_id"], users, ["product_id"])
-    joined = salted_join(ml, per_pair, keys, pairs, ["order_id"])
+    tasks.  The product table, one row per product, is joined last: if it is
+    stored and has at most ``SENT_PRODUCTS`` rows, it is sent to the joined rows,
+    which would else be exchanged by product at their widest."""
+    joined = _with_features(ml, user_feature, user_product_feature, fx)
     if isinstance(fx, FactsOnDemand) and product_feature.count() <= SENT_PRODUCTS:
         joined = joined.join(F.broadcast(product_feature), "product_id", "left")
     else:
+        products = fx.heavy_product_lines if fx else NONE
         joined = salted_join(joined, product_feature, ["product_id"], products, ["order_id"])
-    rest = [c for c in ml.columns if c not in keys]
-    cols = (keys + rest + [c for c in user_feature.columns if c != "user_id"]
+    return joined.select(*_final_columns(ml.columns, user_feature, product_feature, user_product_feature))
+
+
+def final_of_sources(src: Sources, user_feature: DataFrame, product_feature: DataFrame,
+                     user_product_feature: DataFrame, fx: Facts | FactsOnDemand) -> DataFrame:
+    """t6 from the sources: the lines are exchanged without the names of their
+    products, which are sent to the joined rows together with the product table,
+    if both have at most ``SENT_PRODUCTS`` rows."""
+    if not isinstance(fx, FactsOnDemand) or max(src.products.count(), product_feature.count()) > SENT_PRODUCTS:
+        return ml_dataset_final(ml_dataset(src), user_feature, product_feature, user_product_feature, fx)
+    lines = src.order_products_prior.join(src.orders, "order_id")
+    lines = lines.select(*[c for c in ML_DATASET_COLUMNS if c in lines.columns])
+    joined = _with_features(lines, user_feature, user_product_feature, fx)
+    products = _with_groups(src.products, src).join(product_feature, "product_id", "left")
+    return (joined.join(F.broadcast(products), "product_id")
+            .select(*_final_columns(ML_DATASET_COLUMNS, user_feature, product_feature, user_product_feature)))
+
+
+def _with_features(lines: DataFrame, user_feature: DataFrame, user_product_feature: DataFrame,
+                   fx: Facts | FactsOnDemand | None) -> DataFrame:
+    """Lines with the tables by pair and by user.
+
+    Many pairs are dealt by user, as the lines and the user table are: each row is
+    exchanged once, and the widest rows are not exchanged at all.  That needs
+    users with few lines; where one has many, the user table is joined to the
+    pair table, which has every (user, product) of the lines, and the lines are
+    dealt by pair (a line without a user meets neither table in either order)."""
+    keys = ["user_id", "product_id"]
+    if isinstance(fx, FactsOnDemand) and user_product_feature.count() > DEALT_PAIRS and not fx.heavy_user_lines.rows:
+        own, given = (F.struct(*[c for c in t.columns if c not in keys]) for t in (lines, user_product_feature))
+        line_type, pair_type = (t.select(c).schema[0].dataType for t, c in ((lines, own), (user_product_feature, given)))
+        rows = lines.select(*keys, own.alias("_line"), F.lit(None).cast(pair_type).alias("_pair"))
+        pairs = user_product_feature.dropna(subset=keys).select(*keys, F.lit(None).cast(line_type).alias("_line"),
+                                                                given.alias("_pair"))
+        # A join by (user, product) would deal both by both keys, whereas the rows of a
+        # window may be dealt by one of them.  The pair, of which there is one, stands first.
+        met = (Window.partitionBy(*keys).orderBy(F.col("_pair").isNull())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        joined = (pairs.unionByName(rows).repartition("user_id").withColumn("_pair", F.first("_pair").over(met))
+                  .where(F.col("_line").isNotNull()).select(*keys, "_line.*", "_pair.*"))
+        return joined.join(user_feature, "user_id", "left")
+    users, pairs = (fx.heavy_users, fx.heavy_pairs) if fx else (NONE, NONE)
+    return salted_join(lines, salted_join(user_product_feature, user_feature, ["user_id"], users, ["product_id"]),
+                       keys, pairs, ["order_id"])
+
+
+def _final_columns(line_columns, user_feature: DataFrame, product_feature: DataFrame,
+                   user_product_feature: DataFrame) -> list[str]:
+    keys = ["user_id", "product_id"]
+    return (keys + [c for c in line_columns if c not in keys] + [c for c in user_feature.columns if c != "user_id"]
             + [c for c in product_feature.columns if c != "product_id"]
             + [c for c in user_product_feature.columns if c not in keys])
-    return joined.select(*cols)

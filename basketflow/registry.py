@@ -62,7 +62,7 @@ def _t5(src: Sources) -> DataFrame:
 def _t6(src: Sources) -> DataFrame:
     """The line dataset joined with the stored feature tables."""
     uf, pf, upf = tables.shared_tables(src)
-    return mldataset.ml_dataset_final(mldataset.ml_dataset(src), uf, pf, upf, shared_facts(src))
+    return mldataset.final_of_sources(src, uf, pf, upf, shared_facts(src))
 
 
 TABLE_BUILDERS = {

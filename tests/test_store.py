@@ -1,6 +1,7 @@
 """Stored tables: resolved once while nothing changes, laid out by order, and
 counted while they are written."""
 
+import os
 import re
 import shutil
 import time
@@ -9,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from basketflow import registry
 from basketflow.operators import quality
 from basketflow.plans import facts, mldataset, tables
 from basketflow.plans.pipeline import stored_sources
@@ -139,3 +141,56 @@ def test_the_dataset_is_not_exchanged_for_the_product_table(spark, small_sources
     assert by_product[0] == by_product[1] - 2  # neither the rows nor the table
     assert sent.columns == dealt.columns
     assert sorted(map(str, sent.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_the_final_dataset_exchanges_each_row_once(spark, small_sources, no_broadcast, monkeypatch):
+    """Lines and many pairs meet dealt by user, where the user table is too: no
+    row is exchanged with the columns of another table, or with names."""
+    fx, made = facts.shared_facts(small_sources), tables.shared_tables(small_sources)
+    plain = registry.TABLE_BUILDERS["t6_ml_dataset_final"](small_sources)
+    assert any(re.search(r"hashpartitioning\(user_id#\d+L, product_id#\d+L", x) for x in exchanges(plain))
+    monkeypatch.setattr(mldataset, "DEALT_PAIRS", 0, raising=False)
+    dealt = registry.TABLE_BUILDERS["t6_ml_dataset_final"](small_sources)
+    by_user = [x for x in exchanges(dealt) if re.search(r"hashpartitioning\(user_id", x)]
+    assert len(by_user) == 2 and not any("product_id" in x for x in by_user)
+    want = mldataset.ml_dataset_final(mldataset.ml_dataset(small_sources), *made)
+    assert plain.columns == dealt.columns == want.columns
+    rows = sorted(map(str, want.collect()))
+    assert sorted(map(str, plain.collect())) == rows == sorted(map(str, dealt.collect()))
+    assert not fx.heavy_user_lines.rows
+
+
+def test_lines_without_a_user_or_a_pair_stay(spark, small_sources, monkeypatch):
+    """Rows without a user meet no table, lines may lack their pair, and a user
+    with many lines is left to the join by pair."""
+    uf, _, upf = tables.shared_tables(small_sources)
+    lines = spark.createDataFrame([(1, None, 1), (2, None, 1), (3, 5, 1), (4, 5, 1), (5, 5, 2), (6, 6, 2)],
+                                  "order_id long, user_id long, product_id long")
+    pairs = spark.createDataFrame([(None, 1, 9), (5, 1, 7), (6, 1, 8)], "user_id long, product_id long, n long")
+    users = spark.createDataFrame([(None, 3), (5, 4)], "user_id long, m long")
+    fx = facts.shared_facts(small_sources)
+    want = [(1, None, 1, None, None), (2, None, 1, None, None), (3, 5, 1, 7, 4), (4, 5, 1, 7, 4), (5, 5, 2, None, 4),
+            (6, 6, 2, None, None)]
+    monkeypatch.setattr(mldataset, "DEALT_PAIRS", 0, raising=False)
+    got = mldataset._with_features(lines, users, pairs, fx).select("order_id", "user_id", "product_id", "n", "m")
+    assert sorted(map(tuple, got.collect())) == want
+    heavy = facts.FactsOnDemand(small_sources, 1)
+    assert heavy.heavy_user_lines.rows
+    assert "Window" not in mldataset._with_features(lines, uf, upf, heavy)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
+    """The exchanges of all the tables that a query stores were on disk at once."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    dirs = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before, conf = files(), spark.conf.get(store.CLEANUP, None)
+    for layout in ({}, {"bucket_by": "k"}):
+        rows = spark.range(5000, numPartitions=3).selectExpr("id % 50 AS k", "id").groupBy("k").agg(F.max("id").alias("m"))
+        assert store.materialise(spark, f"{tmp_path}/{len(layout)}", lambda r=rows: r, **layout).collect()
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(store.CLEANUP, None) == conf
