@@ -153,7 +153,7 @@ def test_the_final_dataset_exchanges_each_row_once(spark, small_sources, no_broa
     dealt = registry.TABLE_BUILDERS["t6_ml_dataset_final"](small_sources)
     by_user = [x for x in exchanges(dealt) if re.search(r"hashpartitioning\(user_id", x)]
     assert len(by_user) == 2 and not any("product_id" in x for x in by_user)
-    want = mldataset.ml_dataset_final(mldataset.ml_dataset(small_sources), *made)
+    want = registry.presented(mldataset.ml_dataset_final(mldataset.ml_dataset(small_sources), *made))
     assert plain.columns == dealt.columns == want.columns
     rows = sorted(map(str, want.collect()))
     assert sorted(map(str, plain.collect())) == rows == sorted(map(str, dealt.collect()))
@@ -194,3 +194,20 @@ def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
     while files() - before and time.time() < until:
         time.sleep(0.2)
     assert not files() - before and spark.conf.get(store.CLEANUP, None) == conf
+
+
+def test_rounded_values_are_rounded_before_they_meet_the_lines(spark, small_sources, no_broadcast, monkeypatch):
+    """The writing of 95 columns was a method too large for the JVM to compile,
+    with text made of doubles for each line in it."""
+    monkeypatch.setattr(mldataset, "DEALT_PAIRS", 0, raising=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table = registry.queries()["t6_ml_dataset_final"](spark, SF_SMALL).select("*")
+        plan = table._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    last = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)][-1]
+    assert 0 < last < 7600
+    per_line = plan.toString().split("SortMergeJoin")[0].split("BroadcastHashJoin")[0]
+    assert "format_string" not in per_line and "format_string" in plan.toString()
